@@ -4,8 +4,10 @@ Fit, on a bounded sample: the neighbour graph of the sample is split into balanc
 bisection along the graph's second eigenvector, found by power iteration), and a softmax
 classifier learns the part of a vector. Index: every vector goes to its most probable part; equal
 vectors are one entry with their smallest ids. Search: a query is routed to its most probable parts,
-until they hold ``probe_share`` of all entries and enough of them, and all vectors there are scored
-exactly, in double precision. The work is dealt by (part, slice), where the number of slices of a part
+until they hold the probe share of all entries, and all vectors there are scored exactly, in double
+precision. The probe share is set by measurement: some vectors of the sample are searched in the sample
+by brute force, and the smallest share that finds ``RECALL`` of their neighbours is used. It is small
+where vectors gather in groups and large where they do not. The work is dealt by (part, slice), where the number of slices of a part
 follows its size; each slice keeps its best, and the bests of a query are merged.
 
 Cases: vectors that are null or zero, or hold null or non-finite components, take no part, nor do those
@@ -30,11 +32,14 @@ K = 20
 SAMPLE = 6000
 NEIGHBOURS = 12
 #: Entries of a part, about; the number of parts follows the number of entries.
-PART_ROWS = 1500
-MAX_PARTS = 64
-#: Share of all entries that a query is compared with, at least, in its most probable parts.
-PROBE_SHARE = 0.3
-SLICE_ROWS = 2000
+PART_ROWS = 200
+MAX_PARTS = 32
+#: Recall that the probe share has to reach on the sample, and the number of vectors it is measured with.
+RECALL = 0.95
+CALIBRATION = 400
+SLICE_ROWS = 20_000
+#: Rows of equal vectors that one window task may hold, about.
+COPY_ROWS = 50_000
 
 
 def neighbour_graph(x: np.ndarray, k: int) -> np.ndarray:
@@ -101,6 +106,23 @@ class Router:
         if parts > 1:
             self.w = softmax_classifier(unit, balanced_parts(neighbour_graph(unit, NEIGHBOURS), parts), parts)
 
+    def probe_share(self, sample: np.ndarray, k: int, recall: float = RECALL) -> float:
+        """Smallest share of the sample, in probed parts, that finds ``recall`` of the k nearest."""
+        n = len(sample)
+        if self.parts == 1 or n <= k + 1:
+            return 1.0
+        home = np.argmax(self.scores(sample), axis=1)
+        sizes = np.bincount(home, minlength=self.parts)
+        asked = np.linspace(0, n - 1, min(CALIBRATION, n)).astype(np.int64)
+        score = sample[asked] @ sample.T
+        score[np.arange(len(asked)), asked] = -np.inf
+        near = np.argpartition(-score, k - 1, axis=1)[:, :k]
+        order = np.argsort(-self.scores(sample[asked]), axis=1, kind="stable")
+        place = np.argsort(order, axis=1)  # rank of each part for each query
+        before = np.cumsum(sizes[order], axis=1) - sizes[order]
+        needed = np.take_along_axis(before, np.take_along_axis(place, home[near], axis=1), axis=1) / n
+        return float(np.quantile(needed, recall)) + 1.0 / n
+
     def scores(self, x: np.ndarray) -> np.ndarray:
         unit = x / np.linalg.norm(x, axis=1, keepdims=True)
         return (unit * np.sqrt(x.shape[1])) @ self.w[:-1] + self.w[-1]
@@ -115,13 +137,14 @@ def usable(vectors: DataFrame, id_col: str, vec_col: str) -> DataFrame:
     return out.where(F.size("v") == (lengths[0]["d"] if lengths else 0))
 
 
-def search(vectors: DataFrame, queries: DataFrame, k: int = K, id_col: str = "vec_id", vec_col: str = "embedding", probe_share: float = PROBE_SHARE, part_rows: int = PART_ROWS) -> DataFrame:
+def search(vectors: DataFrame, queries: DataFrame, k: int = K, id_col: str = "vec_id", vec_col: str = "embedding", part_rows: int = PART_ROWS) -> DataFrame:
     """The k nearest found for each query row, by inner product: query_id, rank, vec_id, score."""
     spark = vectors.sparkSession
     rows = usable(vectors, id_col, vec_col)
     # copies of a vector: none but the k + 1 smallest ids can be among the k nearest of a query
+    rows = cut_lineage(rows.withColumn("h", F.xxhash64("v")))
     held = Window.partitionBy("h", "s").orderBy("id")
-    copies = rows.withColumn("h", F.xxhash64("v")).withColumn("s", F.pmod(F.xxhash64("id"), F.lit(16)))
+    copies = rows.withColumn("s", F.pmod(F.xxhash64("id"), F.lit(1 + rows.count() // COPY_ROWS)))
     copies = copies.withColumn("r", F.row_number().over(held)).where(F.col("r") <= k + 1)
     entries = copies.groupBy("h", "v").agg(F.slice(F.array_sort(F.collect_list("id")), 1, k + 1).alias("ids"))
     entries = cut_lineage(entries.withColumn("n", F.size("ids")))
@@ -132,8 +155,12 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = K, id_col: str = "ve
     while parts < MAX_PARTS and parts * part_rows < n_entries:
         parts *= 2
     draw = F.pmod(F.xxhash64("h", F.lit("fit")), F.lit(1_000_000)) / 1e6
-    sample = entries.where(draw < SAMPLE / n_entries).select("v").limit(2 * SAMPLE).collect() if n_entries > SAMPLE else entries.select("v").collect()
-    router = spark.sparkContext.broadcast(Router(np.array([r["v"] for r in sample]), parts))
+    drawn = entries.where(draw < min(1.0, SAMPLE / n_entries)).orderBy("h", "ids").limit(2 * SAMPLE).select("v").collect()
+    sample = np.array([r["v"] for r in drawn]) if drawn else np.array([entries.first()["v"]])
+    parts = min(parts, 1 << (len(sample) // 20).bit_length() >> 1) or 1
+    fitted = Router(sample, parts)
+    share = fitted.probe_share(sample, k)
+    router = spark.sparkContext.broadcast(fitted)
 
     @F.pandas_udf("int")
     def home(v: pd.Series) -> pd.Series:
@@ -145,7 +172,7 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = K, id_col: str = "ve
     for r in placed.groupBy("part").agg(F.count(F.lit(1)).alias("n"), F.sum("n").alias("m")).collect():
         sizes[r["part"]], held_ids[r["part"]] = r["n"], r["m"]
     slices = np.maximum(1, -(-sizes // SLICE_ROWS))
-    enough = max(probe_share * n_entries, 1)
+    enough = max(share * n_entries, 1)
 
     @F.pandas_udf("array<struct<part int, slice int>>")
     def route(v: pd.Series) -> pd.Series:
@@ -154,7 +181,7 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = K, id_col: str = "ve
         found = np.cumsum(held_ids[order], axis=1)
         before = np.hstack([np.zeros((len(order), 1)), reached[:, :-1]])
         before_ids = np.hstack([np.zeros((len(order), 1)), found[:, :-1]])
-        wanted = (before < enough) | (before_ids < k + 1)
+        wanted = (before <= enough) | (before_ids < k + 1)
         return pd.Series([[{"part": int(p), "slice": s} for p in o[w] if sizes[p] for s in range(int(slices[p]))] for o, w in zip(order, wanted, strict=True)])
 
     asked = usable(queries, id_col, vec_col).dropDuplicates(["id"])
@@ -168,19 +195,23 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = K, id_col: str = "ve
             matrix, ids = np.stack(own["v"].to_numpy()), own["ids"].to_numpy()
             many = own["n"].to_numpy()
             flat = np.concatenate([np.asarray(i, np.int64) for i in ids])
-            entry = np.repeat(np.arange(len(own)), many)
-            for q, v in zip(query["id"].to_numpy(), query["v"].to_numpy(), strict=True):
-                score = (matrix * v).sum(axis=1)
-                if len(score) > k + 1:
-                    least = np.partition(score, len(score) - k - 1)[len(score) - k - 1]
-                    few = np.flatnonzero(score[entry] >= least)
-                else:
-                    few = np.arange(len(flat))
-                few = few[flat[few] != q]
-                few = few[np.lexsort((flat[few], -score[entry[few]]))][:k]
-                out["query_id"] += [q] * len(few)
-                out["vec_id"] += flat[few].tolist()
-                out["score"] += score[entry[few]].tolist()
+            first = np.cumsum(many) - many
+            asked_ids, asked_v = query["id"].to_numpy(), np.stack(query["v"].to_numpy())
+            for s in range(0, len(asked_ids), 64):
+                rough = asked_v[s : s + 64] @ matrix.T  # picks the entries; the measure itself is summed below
+                slack = 1e-9 * (1 + np.abs(rough).max())
+                for q, v, about in zip(asked_ids[s : s + 64], asked_v[s : s + 64], rough, strict=True):
+                    near = np.arange(len(about))
+                    if len(about) > k + 1:
+                        least = np.partition(about, len(about) - k - 1)[len(about) - k - 1]
+                        near = np.flatnonzero(about >= least - slack)
+                    score = np.repeat((matrix[near] * v).sum(axis=1), many[near])
+                    own_ids = np.concatenate([flat[first[e] : first[e] + many[e]] for e in near])
+                    score, own_ids = score[own_ids != q], own_ids[own_ids != q]
+                    best = np.lexsort((own_ids, -score))[:k]
+                    out["query_id"] += [q] * len(best)
+                    out["vec_id"] += own_ids[best].tolist()
+                    out["score"] += score[best].tolist()
         return pd.DataFrame(out).astype({"query_id": "int64", "vec_id": "int64", "score": "float64"})
 
     best = asked.groupBy("part", "slice").cogroup(cut.select("part", "slice", "v", "ids", "n").groupBy("part", "slice")).applyInPandas(rank, "query_id long, vec_id long, score double")
