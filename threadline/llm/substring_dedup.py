@@ -28,6 +28,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -164,13 +165,23 @@ def first_documents(rows: np.ndarray, docs: np.ndarray) -> np.ndarray:
     return np.where(fits, least[rank], none)
 
 
+def packed(values: np.ndarray) -> bytes:
+    """Bytes of an array, compressed: phrases are text and shuffle much smaller this way."""
+    return zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(values).tobytes())
+
+
+def unpacked(data: bytes, dtype: type) -> np.ndarray:
+    """The array of ``packed``."""
+    return np.frombuffer(zstandard.ZstdDecompressor().decompress(data), dtype)
+
+
 def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """Per document: id, ``n_bytes``, ``spans`` (starts and ends of the removed runs, in turn) and ``kept`` (the bytes left)."""
     spark = docs.sparkSession
     base = docs.select(F.col(id_col).cast("long").alias("i"), F.encode(F.coalesce(F.col(text_col), F.lit("")), "UTF-8").alias("t"))
     total = base.agg(F.sum(F.octet_length("t"))).first()[0] or 0
     n_blocks = max(task_count(spark), -(-int(total) // block_bytes))
-    n_buckets = n_blocks
+    n_buckets = 4 * n_blocks  # the suffix sort needs many times the memory of its phrases
     blocks = base.where("i is not null").select(F.pmod(F.xxhash64("i"), F.lit(n_blocks)).cast("int").alias("block"), "i", "t")
 
     def dealt(key: np.ndarray) -> np.ndarray:
@@ -230,16 +241,16 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         at = np.flatnonzero(np.diff(bucket, prepend=-1))
         cuts = list(zip(at, np.append(at[1:], len(bucket)), strict=True))
         return pd.DataFrame({
-            "bucket": bucket[at], "block": np.full(len(at), block["block"].iloc[0], np.int32), "phrases": [rows[s:e].tobytes() for s, e in cuts],
-            "first": [doc[s:e].tobytes() for s, e in cuts], "last": [last[s:e].tobytes() for s, e in cuts],
+            "bucket": bucket[at], "block": np.full(len(at), block["block"].iloc[0], np.int32), "phrases": [packed(rows[s:e]) for s, e in cuts],
+            "first": [packed(doc[s:e]) for s, e in cuts], "last": [packed(last[s:e]) for s, e in cuts],
         })
 
     def sorted_suffixes(sent: pd.DataFrame) -> pd.DataFrame:
-        parts = [np.frombuffer(x, np.uint8).reshape(-1, WIDTH + 4) for x in sent["phrases"]]
+        parts = [unpacked(x, np.uint8).reshape(-1, WIDTH + 4) for x in sent["phrases"]]
         rows = np.concatenate(parts)
         sender = np.repeat(np.arange(len(parts)), [len(p) for p in parts])
-        first = np.concatenate([np.frombuffer(x, np.int64) for x in sent["first"]])
-        last = np.concatenate([np.frombuffer(x, np.int64) for x in sent["last"]])
+        first = np.concatenate([unpacked(x, np.int64) for x in sent["first"]])
+        last = np.concatenate([unpacked(x, np.int64) for x in sent["last"]])
         digest = digests(rows)
         # the dictionary holds a phrase once; its exact bytes decide, so rows are compared where digests meet
         _, where, number = np.unique(rows.view(np.dtype((np.void, WIDTH + 4))).ravel(), return_index=True, return_inverse=True)
