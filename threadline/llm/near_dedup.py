@@ -144,14 +144,15 @@ def verified(pairs: DataFrame, texts: DataFrame, limit: float) -> DataFrame:
 def components(edges: DataFrame) -> DataFrame:
     """(id, component) of all ids in some edges (a, b); the component is the smallest id in it.
 
-    Every round moves each vertex to its neighbour of smallest random priority and contracts the
-    edges, so a long chain shrinks by a constant factor a round. Rounds are cut by checkpoints.
+    Every round moves each vertex to the least of its neighbours and contracts the edges. Least is by
+    id in the first and every other round, which takes a star around its smallest id at once, and by a random
+    priority in between, so a long chain shrinks by a constant factor. Rounds are cut by checkpoints.
     """
     rest, moves, turn = edges, [], 0
     while not rest.isEmpty():
         both = rest.select("a", "b").unionByName(rest.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        rank = lambda c: F.struct(F.xxhash64(F.col(c), F.lit(turn)).alias("p"), F.col(c).alias("v"))  # noqa: B023, E731
-        move = cut_lineage(both.groupBy("a").agg(F.min(rank("b")).alias("n")).select("a", F.least(rank("a"), F.col("n")).getField("v").alias("to")))
+        rank = lambda c: F.struct((F.xxhash64(F.col(c), F.lit(turn)) if turn % 2 else F.lit(0).cast("long")).alias("p"), F.col(c).alias("v"))  # noqa: B023, E731
+        move = both.groupBy("a").agg(F.min(rank("b")).alias("n")).select("a", F.least(rank("a"), F.col("n")).getField("v").alias("to"))
         moves.append(move)
         to = move.select(F.col("a").alias("x"), "to")
         rest = rest.join(to, rest.a == to.x).select(F.col("to").alias("a"), "b")
@@ -164,9 +165,8 @@ def components(edges: DataFrame) -> DataFrame:
     for move in moves[1:]:
         step = move.select(F.col("a").alias("x"), "to")
         found = found.join(step, found.root == step.x, "left").select("id", F.coalesce("to", "root").alias("root"))
-    found = cut_lineage(found)
     least = found.groupBy("root").agg(F.min("id").alias("component"))
-    return found.join(least, "root").select("id", "component")
+    return cut_lineage(found.join(least, "root").select("id", "component"))
 
 
 def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", limit: float = LIMIT) -> DataFrame:
@@ -176,7 +176,7 @@ def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """
     signed = cut_lineage(signatures(docs, id_col, text_col))
     exact = signed.groupBy("key_1", "key_2").agg(F.min("id").alias("copy_of"), F.min(F.struct("id", "words", "bands")).alias("first"))
-    reps = cut_lineage(exact.select("key_1", "key_2", "copy_of", "first.words", "first.bands"))
+    reps = exact.select("key_1", "key_2", "copy_of", "first.words", "first.bands")
     rows = reps.select(F.col("copy_of").alias("id"), "words", F.posexplode("bands").alias("band", "value"))
     # hash values of different bands may not meet, so the band is part of the key
     rows = rows.select("id", "words", F.xxhash64("band", "value").alias("bucket"))
@@ -185,20 +185,23 @@ def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     needed = members.select("id").distinct()
     plain = docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("t"))
     texts = cut_lineage(plain.join(needed, "id", "left_semi").dropDuplicates(["id"]))
-    star = cut_lineage(members.where("id <> hub").select(F.col("hub").alias("a"), F.col("id").alias("b")).distinct())
+    star = members.where("id <> hub").select(F.col("hub").alias("a"), F.col("id").alias("b")).distinct()
     linked = cut_lineage(verified(star, texts, limit))
-    parts = cut_lineage(components(linked))
+    parts = components(linked)
     placed = members.join(parts, "id", "left").select("bucket", "id", "words", F.coalesce("component", "id").alias("part"))
     mixed_buckets = placed.groupBy("bucket").agg(F.min("part").alias("p"), F.max("part").alias("q")).where("p < q").select("bucket")
-    open_ = cut_lineage(placed.join(mixed_buckets, "bucket", "left_semi"))
+    open_ = placed.join(mixed_buckets, "bucket", "left_semi")
     other = open_.select("bucket", F.col("id").alias("id_2"), F.col("words").alias("words_2"), F.col("part").alias("part_2"))
     close = (F.col("words") >= F.col("words_2") * limit) & (F.col("words_2") >= F.col("words") * limit)
     across = open_.join(other, "bucket").where((F.col("part") < F.col("part_2")) & close)
     across = across.select(F.least("id", "id_2").alias("a"), F.greatest("id", "id_2").alias("b")).distinct().join(star, ["a", "b"], "left_anti")
-    more = verified(cut_lineage(across), texts, limit)
-    links = cut_lineage(linked.unionByName(more))
-    final = components(links)
-    known = reps.join(final.withColumnRenamed("id", "copy_of"), "copy_of", "left").select("key_1", "key_2", "copy_of", F.coalesce("component", "copy_of").alias("class_id"))
+    more = verified(across, texts, limit)
+    named = lambda side: parts.select(F.col("id").alias(f"id_{side}"), F.col("component").alias(f"part_{side}"))
+    more = more.join(named("a"), F.col("a") == F.col("id_a"), "left").join(named("b"), F.col("b") == F.col("id_b"), "left")
+    more = cut_lineage(more.select(F.coalesce("part_a", "a").alias("a"), F.coalesce("part_b", "b").alias("b")).distinct())
+    joined = components(more).select(F.col("id").alias("part"), F.col("component").alias("whole"))
+    known = reps.join(parts.withColumnRenamed("id", "copy_of"), "copy_of", "left").withColumn("part", F.coalesce("component", "copy_of"))
+    known = known.join(joined, "part", "left").select("key_1", "key_2", "copy_of", F.coalesce("whole", "part").alias("class_id"))
     return signed.select("id", "key_1", "key_2").join(known, ["key_1", "key_2"]).groupBy("id").agg(F.min("copy_of").alias("copy_of"), F.min("class_id").alias("class_id"))
 
 
