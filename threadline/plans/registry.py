@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-MODULES: tuple = ()
+from threadline.plans import report_queries, text_queries
+
+MODULES = (report_queries, text_queries)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
