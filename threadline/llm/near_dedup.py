@@ -9,10 +9,12 @@ they pass the time by which all registers are filled, so a document costs its nu
 a constant.
 
 Signatures are cut into bands. Documents with equal bags are one class, and only its smallest id goes
-on. In a bucket every member is first compared with the smallest id; verified links (exact weighted
-Jaccard of at least the limit, on whole texts) join documents to components. Then members of a bucket
-that are still in different components are compared with each other, so no candidate link between
-components is left out, while a large group of copies never makes all its pairs.
+on. In a bucket every member is first compared with one hub, the member that meets most others; verified
+links (exact weighted Jaccard of at least the limit, on whole texts) join documents to components. In further
+rounds the members that are still apart from a member drawn for the bucket are compared with that one. At last
+all documents of buckets with more than one component are compared across components wherever a prefix
+filter, which is exact, lets them reach the limit. So no candidate link between components is left out, and
+neither a large family of copies nor one of looser variants makes all its pairs.
 
 Cases: texts without any word take no part and are classes of their own; so are null ids, which
 stay as they are; repeated rows are equal bags; texts under five words have one shingle; an empty table
@@ -25,7 +27,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import DOCUMENT_COLUMNS, cut_lineage, table
@@ -35,6 +37,8 @@ SHINGLE = 5
 LIMIT = 0.8
 BANDS = 32
 ROWS = 6
+#: Rounds in which the members of a bucket that are still apart meet a drawn member before all of them meet.
+SPREAD_ROUNDS = 2
 
 
 def _uniform(x: np.ndarray) -> np.ndarray:
@@ -169,6 +173,36 @@ def components(edges: DataFrame) -> DataFrame:
     return cut_lineage(found.join(least, "root").select("id", "component"))
 
 
+def prefix_candidates(open_: DataFrame, texts: DataFrame, limit: float) -> DataFrame:
+    """Pairs of rows (id, words, part) of different parts that can reach the limit, by the prefix filter.
+
+    The members of a bag, each repeat on its own, are put in one order, rare ones first. Two bags that reach the limit
+    share one of their first ``n - ceil(limit * n) + 1`` members, whatever the order is. A text with more members of
+    its own than that meets nothing, so a family of copies that are not close enough makes no pairs.
+    """
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            texts_, ids = batch["t"].tolist(), batch["id"].to_numpy()
+            for a, b in pieces(texts_):
+                owner, h, count = bags(texts_[a:b], SHINGLE)
+                at = np.repeat(np.arange(len(h)), count)
+                repeat = np.arange(len(at)) - np.repeat(np.cumsum(count) - count, count)
+                with np.errstate(over="ignore"):
+                    member = mixed(h[at] + mixed(repeat.astype(np.uint64)))
+                yield pd.DataFrame({"id": ids[a:b][owner[at]], "member": member.view(np.int64)})
+
+    members = cut_lineage(texts.join(open_.select("id"), "id", "left_semi").select("id", "t").mapInPandas(run, "id long, member long"))
+    rarity = members.groupBy("member").agg(F.count(F.lit(1)).alias("df"))
+    ranked = members.join(rarity, "member").withColumn("place", F.row_number().over(Window.partitionBy("id").orderBy("df", "member")))
+    first = open_.join(ranked, "id").where((F.col("df") > 1) & (F.col("place") <= F.col("words") - F.ceil(F.col("words") * limit - 1e-6) + 1)).select("id", "words", "part", "member", "place")
+    other = first.select("member", F.col("id").alias("id_2"), F.col("words").alias("words_2"), F.col("part").alias("part_2"), F.col("place").alias("place_2"))
+    # at the first member in common, what follows in either bag must still suffice
+    left = F.least(F.col("words") - F.col("place"), F.col("words_2") - F.col("place_2")) + 1
+    enough = left >= F.ceil((F.col("words") + F.col("words_2")) * (limit / (1 + limit)) - 1e-6)
+    return first.join(other, "member").where((F.col("part") < F.col("part_2")) & enough)
+
+
 def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", limit: float = LIMIT) -> DataFrame:
     """One row per distinct non-null id with words: (id, copy_of, class_id).
 
@@ -180,28 +214,42 @@ def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     rows = reps.select(F.col("copy_of").alias("id"), "words", F.posexplode("bands").alias("band", "value"))
     # hash values of different bands may not meet, so the band is part of the key
     rows = rows.select("id", "words", F.xxhash64("band", "value").alias("bucket"))
-    shared = rows.groupBy("bucket").agg(F.min("id").alias("hub"), F.count(F.lit(1)).alias("n")).where("n > 1").select("bucket", "hub")
-    members = cut_lineage(rows.join(shared, "bucket").select("bucket", "id", "words", "hub"))
+    # the hub of a bucket is the member that meets most others over all buckets: of a family of edited copies
+    # that is the text they were made from, which is close to all of them while they are not to each other
+    shared = rows.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    met = cut_lineage(rows.join(shared, "bucket"))
+    degrees = met.groupBy("id").agg(F.sum("n").alias("degree")).withColumnRenamed("id", "_id")
+    met = met.join(degrees, F.col("id") == F.col("_id")).select("bucket", "id", "words", F.struct("degree", (-F.col("id")).alias("minus")).alias("weight"))
+    hubs = met.groupBy("bucket").agg((-F.max("weight").getField("minus")).alias("hub"))
+    members = cut_lineage(met.join(hubs, "bucket").select("bucket", "id", "words", "hub", "weight"))
     needed = members.select("id").distinct()
     plain = docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("t"))
     texts = cut_lineage(plain.join(needed, "id", "left_semi").dropDuplicates(["id"]))
-    star = members.where("id <> hub").select(F.col("hub").alias("a"), F.col("id").alias("b")).distinct()
-    linked = cut_lineage(verified(star, texts, limit))
-    parts = components(linked)
-    placed = members.join(parts, "id", "left").select("bucket", "id", "words", F.coalesce("component", "id").alias("part"))
-    mixed_buckets = placed.groupBy("bucket").agg(F.min("part").alias("p"), F.max("part").alias("q")).where("p < q").select("bucket")
-    open_ = placed.join(mixed_buckets, "bucket", "left_semi")
-    other = open_.select("bucket", F.col("id").alias("id_2"), F.col("words").alias("words_2"), F.col("part").alias("part_2"))
+    star = members.where("id <> hub").select(F.least("hub", "id").alias("a"), F.greatest("hub", "id").alias("b")).distinct()
+    parts = components(cut_lineage(verified(star, texts, limit)))
     close = (F.col("words") >= F.col("words_2") * limit) & (F.col("words_2") >= F.col("words") * limit)
-    across = open_.join(other, "bucket").where((F.col("part") < F.col("part_2")) & close)
-    across = across.select(F.least("id", "id_2").alias("a"), F.greatest("id", "id_2").alias("b")).distinct().join(star, ["a", "b"], "left_anti")
-    more = verified(across, texts, limit)
-    named = lambda side: parts.select(F.col("id").alias(f"id_{side}"), F.col("component").alias(f"part_{side}"))
-    more = more.join(named("a"), F.col("a") == F.col("id_a"), "left").join(named("b"), F.col("b") == F.col("id_b"), "left")
-    more = cut_lineage(more.select(F.coalesce("part_a", "a").alias("a"), F.coalesce("part_b", "b").alias("b")).distinct())
-    joined = components(more).select(F.col("id").alias("part"), F.col("component").alias("whole"))
-    known = reps.join(parts.withColumnRenamed("id", "copy_of"), "copy_of", "left").withColumn("part", F.coalesce("component", "copy_of"))
-    known = known.join(joined, "part", "left").select("key_1", "key_2", "copy_of", F.coalesce("whole", "part").alias("class_id"))
+    for turn in range(SPREAD_ROUNDS + 1):
+        placed = members.join(parts, "id", "left").select("bucket", "id", "words", F.coalesce("component", "id").alias("part"))
+        mixed_buckets = placed.groupBy("bucket").agg(F.min("part").alias("p"), F.max("part").alias("q"), F.min(F.struct(F.xxhash64("id", "bucket", F.lit(turn)).alias("at"), "id", "words", "part")).alias("hub")).where("p < q")
+        last = turn == SPREAD_ROUNDS
+        if last:
+            open_ = cut_lineage(placed.join(mixed_buckets.select("bucket"), "bucket", "left_semi").select("id", "words", "part").distinct())
+            across = prefix_candidates(open_, texts, limit).where(close)
+        else:  # a hub drawn for each bucket: members meet as many different hubs as they have buckets
+            drawn = mixed_buckets.select("bucket", F.col("hub.id").alias("id_2"), F.col("hub.words").alias("words_2"), F.col("hub.part").alias("part_2"))
+            across = placed.join(drawn, "bucket").where((F.col("part") != F.col("part_2")) & close)
+        pairs = across.select(F.least("id", "id_2").alias("a"), F.greatest("id", "id_2").alias("b")).distinct()
+        more = verified(pairs, texts, limit)
+        named = lambda side: parts.select(F.col("id").alias(f"id_{side}"), F.col("component").alias(f"part_{side}"))  # noqa: E731, B023
+        more = more.join(named("a"), F.col("a") == F.col("id_a"), "left").join(named("b"), F.col("b") == F.col("id_b"), "left")
+        more = more.select(F.coalesce("part_a", "a").alias("a"), F.coalesce("part_b", "b").alias("b")).distinct()
+        joined = components(cut_lineage(more)).select(F.col("id").alias("part"), F.col("component").alias("whole"))
+        # parts that met are one from here on; a document that stood alone until now enters with its own id
+        renamed = parts.withColumnRenamed("component", "part").join(joined, "part", "left").select("id", F.coalesce("whole", "part").alias("component"))
+        new = joined.join(parts, joined.part == parts.id, "left_anti").select(F.col("part").alias("id"), F.col("whole").alias("component"))
+        parts = cut_lineage(renamed.unionByName(new))
+    known = reps.join(parts.withColumnRenamed("id", "copy_of"), "copy_of", "left").withColumn("class_id", F.coalesce("component", "copy_of"))
+    known = known.select("key_1", "key_2", "copy_of", "class_id")
     return signed.select("id", "key_1", "key_2").join(known, ["key_1", "key_2"]).groupBy("id").agg(F.min("copy_of").alias("copy_of"), F.min("class_id").alias("class_id"))
 
 
