@@ -113,6 +113,8 @@ def signatures(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
                     for r in range(ROWS):
                         band = mixed(band ^ mark[:, :, r])
                 has = np.flatnonzero(size > 0)
+                if not len(has):
+                    continue
                 yield pd.DataFrame({
                     "id": ids[a:b][has], "key_1": keys[0][has].view(np.int64), "key_2": keys[1][has].view(np.int64),
                     "words": size[has], "bands": list(band[has].view(np.int64)),

@@ -189,6 +189,8 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
     def triggers(block: pd.DataFrame) -> pd.DataFrame:
         keys = np.unique(np.concatenate([p.key for _, p in pieces(block)]))
+        if not len(keys):
+            return pd.DataFrame({"bucket": [], "block": [], "keys": []})
         bucket = dealt(keys)
         order = np.argsort(bucket, kind="stable")
         keys, bucket = keys[order], bucket[order]
@@ -264,7 +266,7 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         entry, place = np.nonzero(useful)
         out = {"block": [], "digest": [], "place": [], "doc": []}
         own, cut = np.unique(sender[entry], return_index=True)
-        for s, a, b in zip(own, cut, np.append(cut[1:], len(entry)), strict=True):
+        for s, a, b in zip(own, cut, np.append(cut[1:], len(entry))[: len(own)], strict=True):
             out["block"].append(sent["block"].iloc[s])
             out["digest"].append(digest[entry[a:b]].tobytes())
             out["place"].append(place[a:b].astype(np.uint8).tobytes())

@@ -65,7 +65,7 @@ def shingles(texts: list[str | None], n: int) -> tuple[np.ndarray, np.ndarray]:
     with np.errstate(over="ignore"):
         for k in range(n):
             shifted = np.zeros(total, np.uint64)
-            shifted[: total - k] = h[k:]
+            shifted[: max(total - k, 0)] = h[k:]
             inside = place + k < counts[owner]
             out = (out + np.where(inside, shifted, np.uint64(k))) * _MIX_2 + np.uint64(1)
             out ^= out >> np.uint64(29)
