@@ -43,17 +43,17 @@ def recurring_lines(docs: DataFrame, id_col: str, text_col: str, depth: int, min
     """Digests of masked lines whose template recurs, with the template."""
     lines = docs.where(F.col(text_col).isNotNull()).select(F.col(id_col).alias("_id"), F.explode(F.split(text_col, "\n")).alias("_line"))
     lines = lines.select("_id", mask(F.col("_line")).alias("masked")).where(F.col("masked") != "")
-    # (line, document) once; the ids stay with the digests, the texts with the distinct lines
-    pairs = cut_lineage(lines.groupBy(digest(F.col("masked")).alias("line_md5"), "_id").agg(F.first("masked").alias("masked")))
-    distinct = pairs.groupBy("line_md5").agg(F.first("masked").alias("masked"), F.count(F.lit(1)).alias("n_docs"))
+    # ids stay with the digests; texts are shuffled once, and only those of leaves that can recur are kept
+    lines = lines.withColumn("line_md5", digest(F.col("masked")))
+    pairs = cut_lineage(lines.select("line_md5", "_id").distinct())
+    counts = pairs.groupBy("line_md5").agg(F.count(F.lit(1)).alias("n_docs"))
+    distinct = lines.groupBy("line_md5").agg(F.first("masked").alias("masked")).join(counts, "line_md5")
     tokens = F.split("masked", " ")
-    distinct = distinct.withColumn("tokens", tokens).withColumn(
-        "leaf", digest(F.concat_ws(" ", F.size("tokens").cast("string"), F.slice("tokens", 1, depth)))
-    )
-    distinct = cut_lineage(distinct)
+    leaf = digest(F.concat_ws(" ", F.size(tokens).cast("string"), F.slice(tokens, 1, depth)))
     # a leaf can only hold a recurring template if its lines have so many documents between them
+    distinct = distinct.withColumn("leaf", leaf)
     leaves = distinct.groupBy("leaf").agg(F.sum("n_docs").alias("_docs"), F.count(F.lit(1)).alias("leaf_lines")).where(F.col("_docs") >= min_docs)
-    alive = distinct.join(leaves.select("leaf", "leaf_lines"), "leaf")
+    alive = cut_lineage(distinct.join(leaves.select("leaf", "leaf_lines"), "leaf")).withColumn("tokens", tokens)
     several = alive.where(F.col("leaf_lines") > 1)
     spread = several.select("leaf", "leaf_lines", F.posexplode("tokens").alias("pos", "token"))
     counted = spread.groupBy("leaf", "pos", "token").agg(F.count(F.lit(1)).alias("_n"), F.max("leaf_lines").alias("_of"))
