@@ -31,7 +31,9 @@ FIXED_SHARE = 0.5
 
 def mask(line: Column) -> Column:
     """Tokens of a line in one-space form, those with a digit as ``<*>``."""
-    return F.regexp_replace(F.trim(F.regexp_replace(line, r"[ \t\r]+", " ")), r"[^ ]*[0-9][^ ]*", "<*>")
+    one_space = F.trim(F.regexp_replace(line, r"[ \t\r]{2,}|[\t\r]", " "))
+    # a match starts at a token and never goes back, so the time is linear in the line
+    return F.regexp_replace(one_space, r"(?<![^ ])[^ 0-9]*+[0-9][^ ]*+", "<*>")
 
 
 def digest(value: Column) -> Column:
@@ -39,17 +41,25 @@ def digest(value: Column) -> Column:
     return F.md5(value.cast("binary"))
 
 
-def recurring_lines(docs: DataFrame, id_col: str, text_col: str, depth: int, min_docs: int, similarity: float, fixed_share: float) -> DataFrame:
-    """Digests of masked lines whose template recurs, with the template."""
-    lines = docs.where(F.col(text_col).isNotNull()).select(F.col(id_col).alias("_id"), F.explode(F.split(text_col, "\n")).alias("_line"))
-    lines = lines.select("_id", mask(F.col("_line")).alias("masked")).where(F.col("masked") != "")
+def line_key(masked: Column) -> Column:
+    """16 bytes that stand for a masked line, a leaf or a template."""
+    return F.unhex(F.md5(masked.cast("binary")))
+
+
+def masked_lines(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """Lines that are not blank: _id, _r (tells rows without an id apart), masked, line_md5."""
+    row = F.when(F.col(id_col).isNull(), F.xxhash64(text_col)).otherwise(F.lit(0).cast("long"))
+    lines = docs.where(F.col(text_col).isNotNull()).select(F.col(id_col).alias("_id"), row.alias("_r"), F.explode(F.transform(F.split(text_col, "\n"), mask)).alias("masked"))
+    return lines.where(F.col("masked") != "").withColumn("line_md5", line_key(F.col("masked")))
+
+
+def recurring_lines(lines: DataFrame, pairs: DataFrame, depth: int, min_docs: int, similarity: float, fixed_share: float) -> DataFrame:
+    """Digests of masked lines whose template recurs, with the template; pairs has each line and document once."""
     # ids stay with the digests; texts are shuffled once, and only those of leaves that can recur are kept
-    lines = lines.withColumn("line_md5", digest(F.col("masked")))
-    pairs = cut_lineage(lines.select("line_md5", "_id").distinct())
-    counts = pairs.groupBy("line_md5").agg(F.count(F.lit(1)).alias("n_docs"))
-    distinct = lines.groupBy("line_md5").agg(F.first("masked").alias("masked")).join(counts, "line_md5")
+    counts = pairs.groupBy("line_md5").agg((F.count("_id") + F.max(F.col("_id").isNull().cast("long"))).alias("n_docs"))
+    distinct = lines.select("line_md5", "masked").distinct().join(counts, "line_md5")
     tokens = F.split("masked", " ")
-    leaf = digest(F.concat_ws(" ", F.size(tokens).cast("string"), F.slice(tokens, 1, depth)))
+    leaf = line_key(F.concat_ws(" ", F.size(tokens).cast("string"), F.slice(tokens, 1, depth)))
     # a leaf can only hold a recurring template if its lines have so many documents between them
     distinct = distinct.withColumn("leaf", leaf)
     leaves = distinct.groupBy("leaf").agg(F.sum("n_docs").alias("_docs"), F.count(F.lit(1)).alias("leaf_lines")).where(F.col("_docs") >= min_docs)
@@ -57,8 +67,9 @@ def recurring_lines(docs: DataFrame, id_col: str, text_col: str, depth: int, min
     several = alive.where(F.col("leaf_lines") > 1)
     spread = several.select("leaf", "leaf_lines", F.posexplode("tokens").alias("pos", "token"))
     counted = spread.groupBy("leaf", "pos", "token").agg(F.count(F.lit(1)).alias("_n"), F.max("leaf_lines").alias("_of"))
-    best = counted.groupBy("leaf", "pos").agg(F.max(F.struct(F.col("_n"), F.col("token"))).alias("_best"), F.max("_of").alias("_of"))
-    fixed = best.where((F.col("_best._n") >= F.col("_of") * fixed_share) & (F.col("_best._n") > 1)).select("leaf", "pos", F.col("_best.token").alias("token"))
+    frequent = counted.where((F.col("_n") >= F.col("_of") * fixed_share) & (F.col("_n") > 1))
+    best = frequent.groupBy("leaf", "pos").agg(F.max(F.struct(F.col("_n"), F.col("token"))).alias("_best"))
+    fixed = best.select("leaf", "pos", F.col("_best.token").alias("token"))
     skeletons = fixed.groupBy("leaf").agg(F.map_from_entries(F.collect_list(F.struct("pos", "token"))).alias("skeleton"))
     shaped = alive.join(skeletons, "leaf", "left")
     template_tokens = F.transform("tokens", lambda t, i: F.when((t == F.lit("<*>")) | F.coalesce(F.element_at("skeleton", i) == t, F.lit(False)), t).otherwise(F.lit("<*>")))
@@ -80,14 +91,14 @@ def drop_recurring_lines(
     similarity: float = SIMILARITY, fixed_share: float = FIXED_SHARE,
 ) -> DataFrame:
     """Per document: id, ``n_lines``, ``n_dropped`` and ``kept_text`` (null for a null text)."""
-    recurring = cut_lineage(recurring_lines(docs, id_col, text_col, depth, min_docs, similarity, fixed_share).select("line_md5"))
-    base = docs.select(id_col, text_col).withColumn("_row", F.xxhash64(F.col(id_col), F.col(text_col)))
-    keyed = base.select(F.col(id_col).alias("_id"), F.col("_row").alias("_r"), F.explode(F.split(text_col, "\n")).alias("_line"))
-    keyed = keyed.select("_id", "_r", digest(mask(F.col("_line"))).alias("line_md5")).distinct().join(recurring, "line_md5", "left_semi")
-    dropped = keyed.groupBy("_id", "_r").agg(F.collect_set("line_md5").alias("_gone"))
+    lines = masked_lines(docs, id_col, text_col)
+    pairs = cut_lineage(lines.select("line_md5", "_id", "_r").distinct())
+    recurring = recurring_lines(lines, pairs, depth, min_docs, similarity, fixed_share).select("line_md5")
+    dropped = pairs.join(recurring, "line_md5", "left_semi").groupBy("_id", "_r").agg(F.collect_set("line_md5").alias("_gone"))
+    base = docs.select(id_col, text_col).withColumn("_row", F.when(F.col(id_col).isNull(), F.xxhash64(text_col)).otherwise(F.lit(0).cast("long")))
     joined = base.join(dropped, F.col(id_col).eqNullSafe(F.col("_id")) & (F.col("_row") == F.col("_r")), "left")
     parts = F.split(text_col, "\n")
-    kept = F.when(F.col("_gone").isNull(), parts).otherwise(F.filter(parts, lambda line: ~F.array_contains("_gone", digest(mask(line)))))
+    kept = F.when(F.col("_gone").isNull(), parts).otherwise(F.filter(parts, lambda line: ~F.array_contains("_gone", line_key(mask(line)))))
     joined = joined.withColumn("_parts", kept)
     n_lines = F.coalesce(F.when(F.col(text_col).isNotNull(), F.size(parts)), F.lit(0))
     return joined.select(
