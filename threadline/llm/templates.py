@@ -46,24 +46,23 @@ def line_key(masked: Column) -> Column:
     return F.unhex(F.md5(masked.cast("binary")))
 
 
-def masked_lines(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """Lines that are not blank: _id, _r (tells rows without an id apart), masked, line_md5."""
+def masked_lines(docs: DataFrame, id_col: str, text_col: str, depth: int) -> DataFrame:
+    """Lines that are not blank: _id, _r (tells rows without an id apart), masked, line_md5, leaf."""
     row = F.when(F.col(id_col).isNull(), F.xxhash64(text_col)).otherwise(F.lit(0).cast("long"))
     lines = docs.where(F.col(text_col).isNotNull()).select(F.col(id_col).alias("_id"), row.alias("_r"), F.explode(F.transform(F.split(text_col, "\n"), mask)).alias("masked"))
-    return lines.where(F.col("masked") != "").withColumn("line_md5", line_key(F.col("masked")))
+    tokens = F.split("masked", " ")
+    leaf = line_key(F.concat_ws(" ", F.size(tokens).cast("string"), F.slice(tokens, 1, depth)))
+    return lines.where(F.col("masked") != "").select("*", line_key(F.col("masked")).alias("line_md5"), leaf.alias("leaf"))
 
 
-def recurring_lines(lines: DataFrame, pairs: DataFrame, depth: int, min_docs: int, similarity: float, fixed_share: float) -> DataFrame:
+def recurring_lines(lines: DataFrame, pairs: DataFrame, min_docs: int, similarity: float, fixed_share: float) -> DataFrame:
     """Digests of masked lines whose template recurs, with the template; pairs has each line and document once."""
-    # ids stay with the digests; texts are shuffled once, and only those of leaves that can recur are kept
-    counts = pairs.groupBy("line_md5").agg((F.count("_id") + F.max(F.col("_id").isNull().cast("long"))).alias("n_docs"))
-    distinct = lines.select("line_md5", "masked").distinct().join(counts, "line_md5")
-    tokens = F.split("masked", " ")
-    leaf = line_key(F.concat_ws(" ", F.size(tokens).cast("string"), F.slice(tokens, 1, depth)))
-    # a leaf can only hold a recurring template if its lines have so many documents between them
-    distinct = distinct.withColumn("leaf", leaf)
-    leaves = distinct.groupBy("leaf").agg(F.sum("n_docs").alias("_docs"), F.count(F.lit(1)).alias("leaf_lines")).where(F.col("_docs") >= min_docs)
-    alive = cut_lineage(distinct.join(leaves.select("leaf", "leaf_lines"), "leaf")).withColumn("tokens", tokens)
+    # which leaves can hold a recurring template is known from digests alone; texts are shuffled once, to their line's row
+    counts = pairs.groupBy("line_md5", "leaf").agg((F.count("_id") + F.max(F.col("_id").isNull().cast("long"))).alias("n_docs"))
+    leaves = counts.groupBy("leaf").agg(F.sum("n_docs").alias("_docs"), F.count(F.lit(1)).alias("leaf_lines")).where(F.col("_docs") >= min_docs)
+    open_lines = counts.join(leaves.select("leaf", "leaf_lines"), "leaf")
+    texts = lines.groupBy("line_md5").agg(F.first("masked").alias("masked"))
+    alive = cut_lineage(texts.join(open_lines, "line_md5")).withColumn("tokens", F.split("masked", " "))
     several = alive.where(F.col("leaf_lines") > 1)
     spread = several.select("leaf", "leaf_lines", F.posexplode("tokens").alias("pos", "token"))
     counted = spread.groupBy("leaf", "pos", "token").agg(F.count(F.lit(1)).alias("_n"), F.max("leaf_lines").alias("_of"))
@@ -91,9 +90,9 @@ def drop_recurring_lines(
     similarity: float = SIMILARITY, fixed_share: float = FIXED_SHARE,
 ) -> DataFrame:
     """Per document: id, ``n_lines``, ``n_dropped`` and ``kept_text`` (null for a null text)."""
-    lines = masked_lines(docs, id_col, text_col)
-    pairs = cut_lineage(lines.select("line_md5", "_id", "_r").distinct())
-    recurring = recurring_lines(lines, pairs, depth, min_docs, similarity, fixed_share).select("line_md5")
+    lines = masked_lines(docs, id_col, text_col, depth)
+    pairs = cut_lineage(lines.select("line_md5", "leaf", "_id", "_r").distinct())
+    recurring = recurring_lines(lines, pairs, min_docs, similarity, fixed_share).select("line_md5")
     dropped = pairs.join(recurring, "line_md5", "left_semi").groupBy("_id", "_r").agg(F.collect_set("line_md5").alias("_gone"))
     base = docs.select(id_col, text_col).withColumn("_row", F.when(F.col(id_col).isNull(), F.xxhash64(text_col)).otherwise(F.lit(0).cast("long")))
     joined = base.join(dropped, F.col(id_col).eqNullSafe(F.col("_id")) & (F.col("_row") == F.col("_r")), "left")
