@@ -70,6 +70,22 @@ def test_signatures_estimate_weighted_jaccard():
     assert abs((mark[0] == mark[1]).mean() - sum((grams[0] & grams[1]).values()) / sum((grams[0] | grams[1]).values())) < 0.03
 
 
+def test_several_templates_of_a_leaf(spark):
+    kinds = [(50, "user session opened for {} now"), (60, "user session closed by {} today"), (55, "user session ended with {} here")]
+    names = ["".join(chr(97 + int(c)) for c in f"{i:03d}") for i in range(200)]
+    lines = [kind.format(names[i]) for n, kind in kinds for i in range(n)]
+    odd = ["user session never was like this", "user session mostly has other words"]
+    docs = spark.createDataFrame(list(enumerate(lines + odd)), "doc_id long, text string")
+    kept = [r["kept_text"] for r in templates.drop_recurring_lines(docs, several=True).orderBy("doc_id").collect()]
+    assert kept == [""] * len(lines) + odd
+    assert [r["n_dropped"] for r in templates.drop_recurring_lines(docs).collect()] == [0] * len(lines + odd)
+
+
+def test_several_templates_on_odd_rows(spark, odd):
+    assert templates.drop_recurring_lines(odd, several=True).count() == odd.count()
+    assert templates.drop_recurring_lines(odd.limit(0), several=True).collect() == []
+
+
 def test_repeated_spans_against_brute_force(spark):
     docs = [(r["doc_id"], r["text"]) for r in spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").collect()]
     seen, want = set(), {}
