@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import tempfile
+from collections.abc import Iterator
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -28,12 +31,12 @@ def term_counts(docs: DataFrame, id_col: str, words: Column, sizes: tuple[int, .
     return terms.groupBy(id_col, "term").agg(F.count(F.lit(1)).alias("tf"))
 
 
-def tfidf(counts: DataFrame, id_col: str, n_docs: int, min_docs: int = 2, max_terms: int = 400) -> DataFrame:
-    """(id, term, weight): sublinear tf times smoothed idf, unit length; vocabulary by total count, ties by term."""
+def tfidf(counts: DataFrame, id_col: str, n_docs: int, min_docs: int = 2, max_terms: int = 400, sublinear: bool = True) -> DataFrame:
+    """(id, term, weight): tf (sublinear or plain) times smoothed idf, unit length; vocabulary by total count, ties by term."""
     terms = counts.groupBy("term").agg(F.sum("tf").alias("total"), F.count(F.lit(1)).alias("df")).where(F.col("df") >= min_docs)
     vocabulary = terms.orderBy(F.desc("total"), "term").limit(max_terms)  # bounded by the parameter
     idf = F.log(F.lit(float(n_docs + 1)) / (F.col("df") + 1)) + 1
-    raw = counts.join(F.broadcast(vocabulary.select("term", idf.alias("idf"))), "term").withColumn("w", (1 + F.log("tf")) * F.col("idf"))
+    raw = counts.join(F.broadcast(vocabulary.select("term", idf.alias("idf"))), "term").withColumn("w", (1 + F.log("tf") if sublinear else F.col("tf")) * F.col("idf"))
     norm = raw.groupBy(id_col).agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
     return raw.join(norm, id_col).select(id_col, "term", (F.col("w") / F.col("norm")).alias("weight"))
 
@@ -68,6 +71,73 @@ def cosine_pairs(weights: DataFrame, id_col: str, least: float) -> DataFrame:
     return scores.groupBy("a", "b").agg(F.sum(F.col("x") * F.col("y")).alias("cosine")).where(F.col("cosine") >= least)
 
 
+def _matrix(ids: bytes, sizes: bytes, terms: bytes, weights: bytes, n_terms: int) -> tuple[np.ndarray, np.ndarray]:
+    """Ids of a packed block and its dense matrix."""
+    own, n = np.frombuffer(ids, np.int64), np.frombuffer(sizes, np.int32)
+    x = np.zeros((len(own), n_terms))
+    x[np.repeat(np.arange(len(own)), n), np.frombuffer(terms, np.int32)] = np.frombuffer(weights)
+    return own, x
+
+
+def _parts(near: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Connected parts of a matrix of rows near columns: the rows and columns of each."""
+    free, open_columns = near.any(axis=1), np.ones(near.shape[1], bool)
+    for seed in range(len(near)):
+        if not free[seed]:
+            continue
+        rows, columns, new = [], [], np.array([seed])
+        free[seed] = False
+        while len(new):
+            rows.append(new)
+            reached = np.flatnonzero(near[new].any(axis=0) & open_columns)
+            open_columns[reached] = False
+            columns.append(reached)
+            new = np.flatnonzero(near[:, reached].any(axis=1) & free)
+            free[new] = False
+        yield np.concatenate(rows), np.concatenate(columns)
+
+
+def near_pairs(weights: DataFrame, id_col: str, least: float, spanning: bool = False, block_docs: int = 2048) -> DataFrame:
+    """As ``cosine_pairs`` for a low threshold, where most candidates count: every block of documents times every other.
+
+    ids are long. With ``spanning`` only pairs (a, b) that connect the same documents come out: per two blocks a star
+    from the least id of each connected part, so what is made grows with documents and blocks, not with pairs.
+    """
+    terms = [r[0] for r in weights.select("term").distinct().orderBy("term").collect()]  # no more than the vocabulary
+    spark = weights.sparkSession
+    places = spark.createDataFrame(list(enumerate(terms)), "k int, term string")
+    rows = weights.join(F.broadcast(places), "term").select(F.col(id_col).cast("long").alias("i"), "k", "weight")
+    n_blocks = max(1, -(-rows.select("i").distinct().count() // block_docs))
+    rows = rows.withColumn("block", F.pmod(F.xxhash64("i"), F.lit(n_blocks)).cast("int"))
+
+    def packed(block: pd.DataFrame) -> pd.DataFrame:
+        block = block.sort_values(["i", "k"])
+        ids, n = np.unique(block["i"].to_numpy(), return_counts=True)
+        return pd.DataFrame({"block": block["block"].iloc[:1], "ids": [ids.tobytes()], "sizes": [n.astype(np.int32).tobytes()], "terms": [block["k"].to_numpy(np.int32).tobytes()], "weights": [block["weight"].to_numpy(np.float64).tobytes()]})
+
+    def products(two: pd.DataFrame) -> pd.DataFrame:
+        both = [_matrix(*r, len(terms)) for r in two.sort_values("block")[["ids", "sizes", "terms", "weights"]].itertuples(index=False)]
+        (a, x), (b, y) = both[0], both[-1]
+        if spanning:
+            near = np.concatenate([x[k : k + 512] @ y.T >= least for k in range(0, len(x), 512)])
+            out = [np.unique(np.concatenate([a[i], b[j]])) for i, j in _parts(near)]
+            first = np.concatenate([np.empty(0, np.int64), *(np.full(len(o) - 1, o[0]) for o in out)])
+            return pd.DataFrame({"a": first, "b": np.concatenate([np.empty(0, np.int64), *(o[1:] for o in out)]), "cosine": np.full(len(first), least)})
+        found = []
+        for k in range(0, len(x), 512):
+            score = x[k : k + 512] @ y.T
+            i, j = np.nonzero(score >= least)
+            u, v, z = a[k + i], b[j], score[i, j]
+            some = u < v if len(both) == 1 else u != v
+            found.append(pd.DataFrame({"a": np.minimum(u, v)[some], "b": np.maximum(u, v)[some], "cosine": z[some]}))
+        return pd.concat(found)
+
+    blocks = materialised(rows.groupBy("block").applyInPandas(packed, "block int, ids binary, sizes binary, terms binary, weights binary"))
+    other = F.explode(F.sequence(F.lit(0), F.lit(n_blocks - 1)))
+    dealt = blocks.withColumn("_o", other).select("*", F.least("block", "_o").alias("_x"), F.greatest("block", "_o").alias("_y"))
+    return dealt.groupBy("_x", "_y").applyInPandas(products, "a long, b long, cosine double")
+
+
 def clusters(pairs: DataFrame) -> DataFrame:
     """(id, cluster) by connected components of pairs (a, b): labels take the least label of the neighbours and then of their own label, until none changes."""
     edges = materialised(pairs.select("a", "b").unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct())

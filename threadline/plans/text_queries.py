@@ -38,6 +38,30 @@ def _weights(s, d):
     return features.tfidf(counts, "doc_id", docs.count())
 
 
+def _cluster_weights(s, d):
+    """Weights by the reference's cluster settings: 2,000 terms, also those of one document, plain counts."""
+    docs = read(s, d, "documents")
+    counts = features.materialised(features.term_counts(docs.where("text is not null"), "doc_id", T.tokens(T.clean_text(F.col("text")))))
+    return features.materialised(features.tfidf(counts, "doc_id", docs.count(), 1, 2000, sublinear=False))
+
+
+def _clusters(s, d):
+    """Size of every cluster; a document near no other is one of its own."""
+    found = features.clusters(features.near_pairs(_cluster_weights(s, d), "doc_id", _CLUSTER_LEAST, spanning=True))
+    docs = read(s, d, "documents").select("doc_id").join(found, F.col("doc_id") == F.col("id"), "left")
+    return docs.groupBy(F.coalesce("cluster", "doc_id").alias("cluster")).agg(F.count(F.lit(1)).alias("members"))
+
+
+def _top_grams(s, d):
+    """The commonest words, pairs and triples."""
+    docs, out = read(s, d, "documents").where("text is not null"), None
+    for n, k in _TOP_GRAMS:
+        counts = features.term_counts(docs, "doc_id", T.tokens(T.clean_text(F.col("text"))), (n,)).groupBy("term").agg(F.sum("tf").alias("n"))
+        top = counts.orderBy(F.desc("n"), "term").limit(k).select(F.lit(n).alias("words"), "term", "n")
+        out = top if out is None else out.unionByName(top)
+    return out
+
+
 def _labels(s, d):
     return read(s, d, "labels").select("doc_id", F.col("quality").cast("string").alias("label"))
 
@@ -49,6 +73,8 @@ def _guess(s, d):
 
 
 _LEAST = 0.9
+_CLUSTER_LEAST = 0.3
+_TOP_GRAMS = ((1, 15), (2, 10), (3, 10))
 QUERIES = {
     "role_assign": lambda s, d: messages(s, d).groupBy("sender", "role").agg(F.count(F.lit(1)).alias("n")),
     "unmapped_senders": lambda s, d: chat.unmapped_senders(messages(s, d), s.range(1).select(F.explode(F.array(F.lit("user"), F.lit("assistant"))).alias("sender"))),
@@ -72,7 +98,9 @@ QUERIES = {
     "tfidf_terms": lambda s, d: features.feature_summary(_weights(s, d), read(s, d, "documents").count()),
     "top_terms_by_label": lambda s, d: features.top_terms(_weights(s, d), read(s, d, "documents").select("doc_id", F.col("lang").alias("label")).where("label is not null"), "doc_id", "label"),
     "cosine_pairs": lambda s, d: features.cosine_pairs(_weights(s, d), "doc_id", _LEAST).select("a", "b"),
-    "clusters": lambda s, d: features.clusters(features.cosine_pairs(_weights(s, d), "doc_id", _LEAST)).groupBy("cluster").agg(F.count(F.lit(1)).alias("members")),
+    "cluster_pairs": lambda s, d: features.near_pairs(_cluster_weights(s, d), "doc_id", _CLUSTER_LEAST).select("a", "b"),
+    "clusters": lambda s, d: _clusters(s, d),
+    "ngram_top_lists": lambda s, d: _top_grams(s, d),
     "confusion": lambda s, d: _guess(s, d).groupBy("label", "guess").agg(F.count(F.lit(1)).alias("n")),
     "class_metrics": lambda s, d: reports.class_metrics(_guess(s, d), "label", "guess"),
     "summary_metrics": lambda s, d: reports.summary_metrics(reports.class_metrics(_guess(s, d), "label", "guess")),
@@ -119,6 +147,11 @@ SELECT conv_id, CASE WHEN client IS NULL THEN 'NO_RESPONSE' WHEN admins = 0 OR l
     "search": "SELECT doc_id FROM documents WHERE (contains(lower(text), 'this work is') OR contains(lower(source), 'this work is')) AND lang = 'en'",
     "customer_name": "SELECT c_custkey, CASE WHEN c_custkey % 3 = 1 THEN NULL ELSE c_name END AS customer FROM customer",
 }
+_CLUSTER_TERMS = _TERMS.replace("HAVING count(*) >= 2 ", "").replace("LIMIT 400", "LIMIT 2000").replace("(1 + ln(tf.tf))", "tf.tf")
+ORACLES["cluster_pairs"] = f"WITH {_CLUSTER_TERMS} SELECT x.doc_id AS a, y.doc_id AS b FROM weights x JOIN weights y ON x.term = y.term AND x.doc_id < y.doc_id GROUP BY 1, 2 HAVING sum(x.weight * y.weight) >= {_CLUSTER_LEAST}::DOUBLE"
+ORACLES["ngram_top_lists"] = f"WITH toks AS (SELECT {_TOKENS} AS w FROM documents), " + ", ".join(
+    f"g{n} AS (SELECT {n} AS words, term, count(*) AS n FROM (SELECT unnest(list_transform(range(1, greatest(len(w) - {n - 2}, 1)), lambda i: array_to_string(w[i:i + {n - 1}], ' '))) AS term FROM toks) GROUP BY term ORDER BY n DESC, term LIMIT {k})" for n, k in _TOP_GRAMS
+) + " " + " UNION ALL ".join(f"SELECT * FROM g{n}" for n, _ in _TOP_GRAMS)
 _G = "WITH g AS (SELECT l.quality::VARCHAR AS label, CASE WHEN length(d.text) < 500 THEN '0' ELSE '1' END AS guess FROM labels l JOIN documents d USING (doc_id)), c AS (SELECT DISTINCT label AS class FROM g UNION SELECT DISTINCT guess FROM g), m AS (SELECT class, (SELECT count(*) FROM g WHERE label = class) AS support, (SELECT count(*) FROM g WHERE guess = class) AS guesses, (SELECT count(*) FROM g WHERE guess = class AND label = class) AS hits FROM c), p AS (SELECT class, support, CASE WHEN guesses > 0 THEN hits::DOUBLE / guesses ELSE 0 END AS precision, CASE WHEN support > 0 THEN hits::DOUBLE / support ELSE 0 END AS recall, CASE WHEN support + guesses > 0 THEN hits * 2.0::DOUBLE / (support + guesses) ELSE 0 END AS f1 FROM m)"
 ORACLES["class_metrics"] = f"{_G} SELECT * FROM p"
 ORACLES["summary_metrics"] = f"{_G} SELECT avg(precision) AS macro_precision, avg(recall) AS macro_recall, avg(f1) AS macro_f1, sum(precision * support) / sum(support) AS weighted_precision, sum(recall * support) / sum(support) AS weighted_recall, sum(f1 * support) / sum(support) AS weighted_f1 FROM p"
