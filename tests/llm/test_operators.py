@@ -102,6 +102,44 @@ def test_repeated_spans_against_brute_force(spark):
     assert got == want
 
 
+def cut_by_brute_force(docs):
+    seen, want = {}, {}
+    for i, t in docs:
+        for p in range(len(t) - 49):
+            seen[t[p : p + 50]] = min(i, seen.get(t[p : p + 50], i))
+    for i, t in docs:
+        gone = bytearray(len(t))
+        for p in range(len(t) - 49):
+            if seen[t[p : p + 50]] < i:
+                gone[p : p + 50] = b"\1" * 50
+        want[i] = bytes(x for x, g in zip(t, gone, strict=True) if not g)
+    return want
+
+
+@pytest.mark.parametrize("hot", [0, 3, 30])
+def test_repeated_spans_of_frequent_triggers(spark, hot):
+    rng = np.random.default_rng(8)
+    letters = np.frombuffer(b"abcdefghijklmnop qrstuvwxyz", np.uint8)
+    noise = lambda n: rng.choice(letters, n).tobytes()
+    notice, passage = b"ALL RIGHTS OF THIS NOTICE ARE RESERVED", noise(120)
+    docs = [(i, noise(30 + i % 50) + notice + (noise(3) if i % 3 else b"the same end") + (passage[i % 40 : 70 + i % 50] if i % 4 else b"") + noise(i % 37)) for i in range(1, 240)]
+    df = spark.createDataFrame([(i, t.decode()) for i, t in docs], "doc_id long, text string")
+    got = {r["doc_id"]: bytes(r["kept"]) for r in substring_dedup.repeated_spans(df, block_bytes=3000, hot_phrases=hot).collect()}
+    assert got == cut_by_brute_force(docs)
+
+
+def test_no_range_grows_with_the_documents_at_a_trigger(spark):
+    rng = np.random.default_rng(9)
+    noise = lambda n: "".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz"), n))
+    docs = spark.createDataFrame([(i, noise(60) + "ALL RIGHTS OF THIS NOTICE ARE RESERVED, SAYS A B" + noise(60)) for i in range(3000)], "doc_id long, text string")
+
+    def largest(hot):
+        sizes = substring_dedup.spans_and_sizes(docs, "doc_id", "text", 8000, hot)[1]
+        return sizes.groupBy("bucket").agg(F.sum("n").alias("n")).agg(F.max("n")).first()[0]
+
+    assert largest(10**9) > 2000 and largest(100) < 1000
+
+
 def test_shards(spark):
     rows = sharding.op3_hilbert_shards(spark, SF).collect()
     sizes = Counter(r["shard"] for r in rows)

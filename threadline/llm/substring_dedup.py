@@ -13,6 +13,12 @@ parse). (3) In each hash range the suffixes of the dictionary's phrases are sort
 rank is where the string first occurs in the corpus. (4) Blocks hear the first documents of their phrases'
 suffixes and mark, in each document, the strings that a smaller id has too.
 
+A short string in very many documents, with other neighbours in each, gives a distinct phrase per document at one
+trigger. In (1) blocks also say how many phrases they have at a trigger that is frequent there; where all blocks
+together may have more than ``HOT_PHRASES``, the phrases are not sorted but cut into their strings of ``LENGTH``
+bytes, which are dealt by their own hash: a string is one row of each block and phrase, and strings that differ go
+to different tasks, so a range does not grow with the documents at a trigger.
+
 What is shuffled is the texts once, eight bytes a trigger, and the shared phrases. A phrase that very many
 documents hold is one row a block. Comparison is of bytes; hashes only choose what is compared, apart from
 the 64-bit digest that names a phrase within a block.
@@ -42,6 +48,10 @@ WIDTH = LENGTH + REACH  # bytes of a phrase
 #: Text that a block of documents should hold, about.
 BLOCK_BYTES = 8_000_000
 PIECE_BYTES = 1_000_000
+#: More phrases than this at one trigger, over all blocks, are compared string by string.
+HOT_PHRASES = 20_000
+#: Blocks count the phrases of triggers that stand in so many places of theirs.
+FREQUENT = 16
 _BASE = 0x9E3779B97F4A7C15 | 1
 _powers: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
@@ -165,6 +175,21 @@ def first_documents(rows: np.ndarray, docs: np.ndarray) -> np.ndarray:
     return np.where(fits, least[rank], none)
 
 
+def strings(rows: np.ndarray, first: np.ndarray, last: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The strings of LENGTH bytes in some phrases: bytes, phrase digest, place, first and last document."""
+    place = np.arange(REACH + 1)
+    fits = (place >= REACH - rows[:, WIDTH].astype(np.int64)[:, None]) & (place <= REACH - LENGTH + rows[:, WIDTH + 1].astype(np.int64)[:, None])
+    entry, at = np.nonzero(fits)
+    return rows[entry[:, None], at[:, None] + np.arange(LENGTH)], digests(rows)[entry], at.astype(np.uint8), first[entry], last[entry]
+
+
+def string_hashes(texts: np.ndarray) -> np.ndarray:
+    """64-bit hash of each string of LENGTH bytes."""
+    wide = np.zeros((len(texts), -(-LENGTH // 8) * 8), np.uint8)
+    wide[:, :LENGTH] = texts
+    return digests(wide)
+
+
 def packed(values: np.ndarray) -> bytes:
     """Bytes of an array, compressed: phrases are text and shuffle much smaller this way."""
     return zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(values).tobytes())
@@ -175,28 +200,51 @@ def unpacked(data: bytes, dtype: type) -> np.ndarray:
     return np.frombuffer(zstandard.ZstdDecompressor().decompress(data), dtype)
 
 
-def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", block_bytes: int = BLOCK_BYTES) -> DataFrame:
+def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", block_bytes: int = BLOCK_BYTES, hot_phrases: int = HOT_PHRASES) -> DataFrame:
     """Per document: id, ``n_bytes``, ``spans`` (starts and ends of the removed runs, in turn) and ``kept`` (the bytes left)."""
+    return spans_and_sizes(docs, id_col, text_col, block_bytes, hot_phrases)[0]
+
+
+def spans_and_sizes(docs: DataFrame, id_col: str, text_col: str, block_bytes: int, hot_phrases: int) -> tuple[DataFrame, DataFrame]:
+    """``repeated_spans``, and what is dealt out for it: a row per range and block, with the number of phrases or strings."""
     spark = docs.sparkSession
     base = docs.select(F.col(id_col).cast("long").alias("i"), F.encode(F.coalesce(F.col(text_col), F.lit("")), "UTF-8").alias("t"))
     total = base.agg(F.sum(F.octet_length("t"))).first()[0] or 0
     n_blocks = max(task_count(spark), -(-int(total) // block_bytes))
+    frequent = min(FREQUENT, hot_phrases)
     n_buckets = 4 * n_blocks  # the suffix sort needs many times the memory of its phrases
     blocks = base.where("i is not null").select(F.pmod(F.xxhash64("i"), F.lit(n_blocks)).cast("int").alias("block"), "i", "t")
 
     def dealt(key: np.ndarray) -> np.ndarray:
         return ((key >> np.uint64(33)) % np.uint64(n_buckets)).astype(np.int32)
 
+    def phrase_counts(keys: np.ndarray, places: np.ndarray, own: Iterator[Piece]) -> np.ndarray:
+        """At most so many distinct phrases has the block at each key; exact where the key is frequent."""
+        counts = np.minimum(places, frequent).astype(np.int32)
+        many = keys[places > frequent]
+        if not len(many):
+            return counts
+        seen = []
+        for p in own:
+            some = np.flatnonzero(many[np.minimum(np.searchsorted(many, p.key), len(many) - 1)] == p.key)
+            for s in range(0, len(some), 50_000):
+                part = some[s : s + 50_000]
+                seen.append(np.unique(np.stack([p.key[part], digests(p.phrases(part))], axis=1), axis=0))
+        key, n = np.unique(np.unique(np.concatenate(seen), axis=0)[:, 0], return_counts=True)
+        counts[np.searchsorted(keys, key)] = n
+        return counts
+
     def triggers(block: pd.DataFrame) -> pd.DataFrame:
-        keys = np.unique(np.concatenate([p.key for _, p in pieces(block)]))
+        keys, places = np.unique(np.concatenate([p.key for _, p in pieces(block)]), return_counts=True)
         if not len(keys):
-            return pd.DataFrame({"bucket": [], "block": [], "keys": []})
+            return pd.DataFrame({"bucket": [], "block": [], "keys": [], "counts": []})
+        counts = phrase_counts(keys, places, (p for _, p in pieces(block)))
         bucket = dealt(keys)
         order = np.argsort(bucket, kind="stable")
-        keys, bucket = keys[order], bucket[order]
+        keys, bucket, counts = keys[order], bucket[order], counts[order]
         at = np.flatnonzero(np.diff(bucket, prepend=-1))
         ends = np.append(at[1:], len(keys))
-        return pd.DataFrame({"bucket": bucket[at], "block": np.full(len(at), block["block"].iloc[0], np.int32), "keys": [keys[s:e].tobytes() for s, e in zip(at, ends, strict=True)]})
+        return pd.DataFrame({"bucket": bucket[at], "block": np.full(len(at), block["block"].iloc[0], np.int32), "keys": [keys[s:e].tobytes() for s, e in zip(at, ends, strict=True)], "counts": [packed(counts[s:e]) for s, e in zip(at, ends, strict=True)]})
 
     def meeting(rows: pd.DataFrame) -> pd.DataFrame:
         parts = [np.frombuffer(k, np.uint64) for k in rows["keys"]]
@@ -207,14 +255,17 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         twice = np.zeros(len(keys), bool)
         twice[order[1:][same]] = True
         twice[order[:-1][same]] = True
+        counts = np.concatenate([unpacked(c, np.int32) for c in rows["counts"]])[twice]
         row, keys = row[twice], keys[twice]
+        _, number = np.unique(keys, return_inverse=True)
+        hot = np.bincount(number, counts)[number] > hot_phrases
         own = np.unique(row)
         ends = np.searchsorted(row, own, "right")
         starts = np.searchsorted(row, own, "left")
-        return pd.DataFrame({"block": rows["block"].to_numpy()[own], "keys": [keys[s:e].tobytes() for s, e in zip(starts, ends, strict=True)]})
+        return pd.DataFrame({"block": rows["block"].to_numpy()[own], "keys": [keys[s:e].tobytes() for s, e in zip(starts, ends, strict=True)], "hot": [keys[s:e][hot[s:e]].tobytes() for s, e in zip(starts, ends, strict=True)]})
 
     def dictionary(block: pd.DataFrame, heard: pd.DataFrame) -> pd.DataFrame:
-        columns = ["bucket", "block", "phrases", "first", "last"]
+        columns = ["bucket", "block", "phrases", "first", "last", "digest", "n"]
         if not len(block):
             return pd.DataFrame({c: [] for c in columns})
         ids = block["i"].to_numpy()
@@ -237,17 +288,56 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         at = np.flatnonzero(np.append(True, digest[1:] != digest[:-1]))
         last = doc[np.append(at[1:], len(doc)) - 1]
         key, doc, rows = key[at], doc[at], rows[at]
-        bucket = dealt(key)
+        met = np.unique(np.concatenate([np.empty(0, np.uint64), *(np.frombuffer(k, np.uint64) for k in heard["keys"])]))
+        hot = np.isin(key, np.concatenate([np.empty(0, np.uint64), *(np.frombuffer(k, np.uint64) for k in heard["hot"])]))
+        _, number, n = np.unique(key, return_inverse=True, return_counts=True)
+        hot |= (n[number] > hot_phrases) & ~np.isin(key, met)  # no other block has the key
+        out = ranges(dealt(key[~hot]), block["block"].iloc[0], rows[~hot], doc[~hot], last[~hot])
+        if hot.any():
+            text, phrase, place, doc, last = strings(rows[hot], doc[hot], last[hot])
+            bucket = n_buckets + dealt(string_hashes(text))
+            out = pd.concat([out, ranges(bucket, block["block"].iloc[0], np.concatenate([text, place[:, None]], axis=1), doc, last, phrase)])
+        return out
+
+    def ranges(bucket: np.ndarray, block: int, rows: np.ndarray, doc: np.ndarray, last: np.ndarray, phrase: np.ndarray | None = None) -> pd.DataFrame:
         order = np.argsort(bucket, kind="stable")
         bucket, doc, last, rows = bucket[order], doc[order], last[order], rows[order]
         at = np.flatnonzero(np.diff(bucket, prepend=-1))
-        cuts = list(zip(at, np.append(at[1:], len(bucket)), strict=True))
+        cuts = list(zip(at, np.append(at[1:], len(bucket))[: len(at)], strict=True))
         return pd.DataFrame({
-            "bucket": bucket[at], "block": np.full(len(at), block["block"].iloc[0], np.int32), "phrases": [packed(rows[s:e]) for s, e in cuts],
+            "bucket": bucket[at], "block": np.full(len(at), block, np.int32), "phrases": [packed(rows[s:e]) for s, e in cuts],
             "first": [packed(doc[s:e]) for s, e in cuts], "last": [packed(last[s:e]) for s, e in cuts],
+            "digest": [None if phrase is None else packed(phrase[order][s:e]) for s, e in cuts], "n": np.array([e - s for s, e in cuts], np.int64),
         })
 
+    def equal_strings(sent: pd.DataFrame) -> pd.DataFrame:
+        """Answers for strings of frequent triggers: where the run of a place ends is said too, as the next place may be elsewhere."""
+        parts = [unpacked(x, np.uint8).reshape(-1, LENGTH + 1) for x in sent["phrases"]]
+        rows = np.concatenate(parts)
+        sender = np.repeat(np.arange(len(parts)), [len(p) for p in parts])
+        first, last = (np.concatenate([unpacked(x, np.int64) for x in sent[c]]) for c in ("first", "last"))
+        digest = np.concatenate([unpacked(x, np.uint64) for x in sent["digest"]])
+        text = np.ascontiguousarray(rows[:, :LENGTH]).view(np.dtype((np.void, LENGTH))).ravel()
+        _, number = np.unique(text, return_inverse=True)
+        number = number.ravel()
+        none = np.iinfo(np.int64).max
+        least = np.full(int(number.max()) + 1, none)
+        np.minimum.at(least, number, first)
+        useful = np.flatnonzero(least[number] < last)
+        out = {"block": [], "digest": [], "place": [], "doc": []}
+        for s in np.unique(sender[useful]):
+            own = useful[sender[useful] == s]
+            place = rows[own, LENGTH]
+            ends = place < REACH
+            out["block"].append(sent["block"].iloc[s])
+            out["digest"].append(np.concatenate([digest[own], digest[own][ends]]).tobytes())
+            out["place"].append(np.concatenate([place, place[ends] + np.uint8(1)]).tobytes())
+            out["doc"].append(np.concatenate([least[number[own]], np.full(int(ends.sum()), none)]).tobytes())
+        return pd.DataFrame(out)
+
     def sorted_suffixes(sent: pd.DataFrame) -> pd.DataFrame:
+        if sent["bucket"].iloc[0] >= n_buckets:
+            return equal_strings(sent)
         parts = [unpacked(x, np.uint8).reshape(-1, WIDTH + 4) for x in sent["phrases"]]
         rows = np.concatenate(parts)
         sender = np.repeat(np.arange(len(parts)), [len(p) for p in parts])
@@ -278,8 +368,10 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         digest = np.concatenate([np.empty(0, np.uint64), *(np.frombuffer(x, np.uint64) for x in heard["digest"])])
         place = np.concatenate([np.empty(0, np.uint8), *(np.frombuffer(x, np.uint8) for x in heard["place"])]).astype(np.int64)
         first = np.concatenate([np.empty(0, np.int64), *(np.frombuffer(x, np.int64) for x in heard["doc"])])
-        order = np.lexsort((place, digest))
+        order = np.lexsort((first, place, digest))
         digest, place, first = digest[order], place[order], first[order]
+        again = np.append(False, (digest[1:] == digest[:-1]) & (place[1:] == place[:-1]))[: len(digest)]  # the end of a run where another begins
+        digest, place, first = digest[~again], place[~again], first[~again]
         # a run of places lasts until the phrase's next run
         stop = np.append(place[1:], 0)
         stop[np.append(digest[1:] != digest[:-1], True)[: len(stop)]] = REACH + 1
@@ -308,13 +400,13 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                 out["kept"].append(p.buffer[s : s + size][~own].tobytes())
         return pd.DataFrame(out)
 
-    sent = blocks.groupBy("block").applyInPandas(triggers, "bucket int, block int, keys binary")
-    heard = sent.groupBy("bucket").applyInPandas(meeting, "block int, keys binary")
-    phrases = blocks.groupBy("block").cogroup(heard.groupBy("block")).applyInPandas(dictionary, "bucket int, block int, phrases binary, first binary, last binary")
+    sent = blocks.groupBy("block").applyInPandas(triggers, "bucket int, block int, keys binary, counts binary")
+    heard = sent.groupBy("bucket").applyInPandas(meeting, "block int, keys binary, hot binary")
+    phrases = blocks.groupBy("block").cogroup(heard.groupBy("block")).applyInPandas(dictionary, "bucket int, block int, phrases binary, first binary, last binary, digest binary, n long")
     firsts = phrases.groupBy("bucket").applyInPandas(sorted_suffixes, "block int, digest binary, place binary, doc binary")
     result = blocks.groupBy("block").cogroup(firsts.groupBy("block")).applyInPandas(marked, "i long, n_bytes long, spans array<long>, kept binary")
     without_id = base.where("i is null").select("i", F.octet_length("t").cast("long").alias("n_bytes"), F.array().cast("array<long>").alias("spans"), F.col("t").alias("kept"))
-    return result.unionByName(without_id).withColumnRenamed("i", id_col)
+    return result.unionByName(without_id).withColumnRenamed("i", id_col), phrases.select("bucket", "block", "n")
 
 
 def op2_repeated_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
