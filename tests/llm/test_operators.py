@@ -140,6 +140,18 @@ def test_no_range_grows_with_the_documents_at_a_trigger(spark):
     assert largest(10**9) > 2000 and largest(100) < 1000
 
 
+def test_whole_licenses_however_wrapped(spark):
+    import textwrap
+
+    texts = licenses.whole_texts()
+    assert {n for n, _ in texts} == {"MIT", "ISC", "Unlicense", "BSD-3-Clause", "Apache-2.0", "MPL-2.0", "GPL-3.0"}
+    wrapped = [(n, "\n\n".join(textwrap.fill(p, w) for p in t.split("\n\n"))) for w in (40, 61, 72, 79) for n, t in texts if n in ("MIT", "ISC", "Unlicense", "BSD-3-Clause")]
+    wrapped += [("MIT", t.replace("sublicense", "sub-\nlicense").replace("COPYRIGHT HOLDERS", "\nCOPYRIGHT HOLDERS").replace("<year> <holder>", "2020 A. Body")) for n, t in texts if n == "MIT"]
+    rows = [*texts, *wrapped, (None, texts[0][1][:3000]), (None, "All software has a license.")]
+    docs = spark.createDataFrame([(i, t) for i, (_, t) in enumerate(rows)], "doc_id long, text string")
+    assert [r["license_id"] for r in licenses.scan(docs).orderBy("doc_id").collect()] == [n for n, _ in rows]
+
+
 def test_shards(spark):
     rows = sharding.op3_hilbert_shards(spark, SF).collect()
     sizes = Counter(r["shard"] for r in rows)

@@ -3,7 +3,10 @@
 A text is brought to a canonical form (lower case, copyright lines dropped, punctuation to single
 spaces, equivalent spellings unified) and its MD5 digest is joined with the digests of known licence
 texts. The same form keeps line breaks, so each line is a text of its own and short notices inside a
-document are found by the same digests.
+document are found by the same digests. Where that names no licence for the whole text, a second form decides, which
+has no SQL: copyright lines are only those with a mark, a year or a place for them, and spellings are unified after
+the lines are joined, so that hard wraps do not matter. It is compared with the whole texts in ``license_texts`` and
+those above two lines in ``KNOWN``, each also without its title.
 
 Cases: null and empty texts have the canonical form '' and match nothing; repeated rows each get a
 result row; equal digests under two names yield the smaller name; extra columns are not looked at;
@@ -12,6 +15,8 @@ an empty table gives an empty result.
 
 from __future__ import annotations
 
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -81,6 +86,37 @@ def one_line(canonical: Column) -> Column:
     return F.trim(F.regexp_replace(canonical, r"[ \n]+", " "))
 
 
+#: In a whole text, a line of a copyright mark, a year or a place for them, or one that only reserves all rights.
+OWNER_LINE = r"(?m)^[^a-z0-9\n]*(?:copyright[ \t:]*(?:\(c\)|©|[0-9]{4}|[<\[{])[^\n]*|(?:\(c\)[ \t]*(?:[0-9]{4}|[<\[{])|©)[^\n]*|all rights reserved[. \t\r]*)$"
+#: Every whole text has one of these.
+ANY_WHOLE = r"(?i)softw|licen"
+
+
+def whole_form(text: Column) -> Column:
+    """Canonical form of a whole text, whatever its line breaks."""
+    out = one_line(F.regexp_replace(F.regexp_replace(F.lower(text), OWNER_LINE, ""), r"[^a-z0-9]+", " "))
+    for old, new in SPELLINGS:
+        out = F.replace(out, F.lit(old), F.lit(new))
+    return out
+
+
+def whole_texts(known: tuple[tuple[str, str], ...] = KNOWN) -> list[tuple[str, str]]:
+    """Whole licences, with and without a title."""
+    files = [(f.stem, f.read_text()) for f in sorted((Path(__file__).parent / "license_texts").glob("*.txt"))]
+    found = []
+    for name, text in [*files, *((n, t) for n, t in known if n in ("MIT", "ISC") and t.count("\n") > 2)]:
+        title, _, rest = text.partition("\n")
+        found += [(name, text)] + ([(name, rest)] if title.endswith(" License") else [])
+    return found
+
+
+def whole_digests(spark: SparkSession, known: tuple[tuple[str, str], ...]) -> DataFrame:
+    """Digests of the whole texts with a name."""
+    rows = F.explode(F.array(*[F.struct(F.lit(name).alias("name"), F.lit(text).alias("text")) for name, text in whole_texts(known)]))
+    texts = spark.range(1).select(rows.alias("k")).select(F.col("k.name").alias("name"), F.md5(whole_form(F.col("k.text")).cast("binary")).alias("_whole"))
+    return texts.groupBy("_whole").agg(F.min("name").alias("_is"))
+
+
 def known_digests(spark: SparkSession, known: tuple[tuple[str, str], ...] = KNOWN) -> DataFrame:
     """Distinct digests of the known texts with a name and the canonical length; as many rows as the parameter has, at most."""
     rows = F.explode(F.array(*[F.struct(F.lit(name).alias("name"), F.lit(text).alias("text")) for name, text in known]))
@@ -96,16 +132,18 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", known:
     """
     digests = known_digests(docs.sparkSession, known)
     lengths = [r[0] for r in digests.select("canon_length").distinct().collect()]  # no more than the parameter
-    canon = docs.select(F.col(id_col), canonical_lines(F.col(text_col)).alias("_lines"))
-    canon = canon.select(id_col, "_lines", F.md5(one_line(F.col("_lines")).cast("binary")).alias("canon_md5"))
+    other = F.when(F.col(text_col).rlike(ANY_WHOLE), F.md5(whole_form(F.col(text_col)).cast("binary")))
+    canon = docs.select(F.col(id_col), canonical_lines(F.col(text_col)).alias("_lines"), other.alias("_whole"))
+    canon = canon.select(id_col, "_lines", "_whole", F.md5(one_line(F.col("_lines")).cast("binary")).alias("canon_md5"))
     lines = F.filter(F.transform(F.split("_lines", "\n"), lambda line: F.trim(line)), lambda line: F.length(line).isin(lengths))
-    base = canon.select(id_col, "canon_md5", lines.alias("_kept"))
+    base = canon.select(id_col, "canon_md5", "_whole", lines.alias("_kept"))
     hits = base.where(F.size("_kept") > 0).select(F.col(id_col).alias("_id"), F.col("canon_md5").alias("_md5"), F.posexplode("_kept").alias("_no", "_line"))
     hits = hits.select("_id", "_md5", "_no", F.md5(F.col("_line").cast("binary")).alias("digest")).join(digests.select("digest", "license_id"), "digest")
     found = hits.groupBy("_id", "_md5").agg(
         F.array_join(F.array_sort(F.collect_set("license_id")), ",").alias("notices"), F.countDistinct("_no").alias("notice_lines")
     )
-    whole = base.select(id_col, "canon_md5").join(digests.select(F.col("digest").alias("canon_md5"), "license_id"), "canon_md5", "left")
+    whole = base.select(id_col, "canon_md5", "_whole").join(digests.select(F.col("digest").alias("canon_md5"), "license_id"), "canon_md5", "left")
+    whole = whole.join(F.broadcast(whole_digests(docs.sparkSession, known)), "_whole", "left").withColumn("license_id", F.coalesce("license_id", "_is"))
     out = whole.join(found, F.col(id_col).eqNullSafe(F.col("_id")) & (F.col("canon_md5") == F.col("_md5")), "left")
     return out.select(
         id_col, "canon_md5", "license_id", F.coalesce("notices", F.lit("")).alias("notices"), F.coalesce("notice_lines", F.lit(0)).cast("long").alias("notice_lines")
