@@ -8,17 +8,20 @@ the weighted Jaccard similarity, sum of minima over sum of maxima. Processes are
 they pass the time by which all registers are filled, so a document costs its number of shingles plus
 a constant.
 
-Signatures are cut into bands. Documents with equal bags are one class, and only its smallest id goes
-on. In a bucket every member is first compared with one hub, the member that meets most others; verified
-links (exact weighted Jaccard of at least the limit, on whole texts) join documents to components. In further
-rounds the members that are still apart from a member drawn for the bucket are compared with that one. At last
-all documents of buckets with more than one component are compared across components wherever a prefix
+Signatures are cut into bands; documents with an equal band are candidates. Documents with equal bags are one
+class, and only its smallest id goes on. Verified links (exact weighted Jaccard of at least the limit, on whole
+texts) join documents to components. In a bucket of up to ``SMALL`` documents all pairs are verified. In a larger
+one a member first meets a hub, the member that meets most others (one hub a document, over all its buckets); in
+further rounds a document whose bucket still holds other components meets one member drawn for it. At last all
+documents of large buckets with more than one component are compared across components wherever a prefix
 filter, which is exact, lets them reach the limit. So no candidate link between components is left out, and
-neither a large family of copies nor one of looser variants makes all its pairs.
+neither a large family of copies nor one of looser variants makes all its pairs. A hub's text goes to as many
+tasks as its number of partners asks for, once each.
 
 Cases: texts without any word take no part and are classes of their own; so are null ids, which
-stay as they are; repeated rows are equal bags; texts under five words have one shingle; an empty table
-gives an empty result; extra columns pass through ``keep_one`` and are not looked at otherwise.
+stay as they are; of several texts under one id the one with the largest hash counts; repeated rows are equal
+bags; texts under five words have one shingle; an empty table gives an empty result; extra columns pass through
+``keep_one``, whatever their names, and are not looked at otherwise but to choose between rows of one id.
 """
 
 from __future__ import annotations
@@ -37,8 +40,14 @@ SHINGLE = 5
 LIMIT = 0.8
 BANDS = 32
 ROWS = 6
-#: Rounds in which the members of a bucket that are still apart meet a drawn member before all of them meet.
+#: Buckets of up to so many documents make all their pairs.
+SMALL = 3
+#: Rounds in which documents that are still apart meet a drawn member of a bucket before the prefix filter.
 SPREAD_ROUNDS = 2
+#: Partners of a hub that one task compares, about.
+HUB_SLICE = 256
+#: Ratio of the shortest and longest bags of a length class of the prefix filter.
+LENGTH_STEP = 1.05
 
 
 def _uniform(x: np.ndarray) -> np.ndarray:
@@ -61,31 +70,34 @@ def bag_minhash(owner: np.ndarray, h: np.ndarray, count: np.ndarray, n_docs: int
         total = np.bincount(owner, weights=count, minlength=n_docs)
         best = np.full(n_docs * m, np.inf)
         mark = np.zeros(n_docs * m, np.uint64)
-        horizon = np.where(total > 0, m * (np.log(m) + 5.0) / np.maximum(total, 1), 0.0)
+        horizon = np.where(total > 0, m * (np.log(m) + 2.0) / np.maximum(total, 1), 0.0)
         time = np.zeros(len(seed))
         step = np.zeros(len(seed), np.uint64)
         pending = np.arange(len(seed))
         while len(pending):
             live = pending
             while len(live):
-                x = mixed(seed[live] + step[live] * np.uint64(0xA0761D6478BD642F))
-                ahead = time[live] - np.log(_uniform(x)) / (high[live] - low[live])
-                ok = ahead <= horizon[doc[live]]
-                live, x, ahead = live[ok], x[ok], ahead[ok]
-                step[live] += np.uint64(1)
-                time[live] = ahead
+                ahead_of = min(64, max(1, 50_000 // len(live)))  # points drawn at once: many where few processes are left
+                x = mixed(seed[live][:, None] + (step[live][:, None] + np.arange(ahead_of, dtype=np.uint64)) * np.uint64(0xA0761D6478BD642F))
+                at = -np.log(_uniform(x)) / (high[live] - low[live])[:, None]
+                at[:, 0] += time[live]
+                np.cumsum(at, axis=1, out=at)
+                ok = at <= horizon[doc[live]][:, None]
+                drawn = ok.sum(axis=1)
+                some = np.flatnonzero(drawn)
+                time[live[some]] = at[some, drawn[some] - 1]
+                step[live] += drawn.astype(np.uint64)
+                own, x, at = np.repeat(live, drawn), x[ok], at[ok]
+                live = live[drawn == ahead_of]
                 y = mixed(x ^ np.uint64(0x5851F42D4C957F2D))
-                level = low[live] + _uniform(mixed(y)) * (high[live] - low[live])
-                inside = level <= weight[live]
-                slot = doc[live[inside]] * m + (y[inside] % np.uint64(m)).astype(np.int64)
-                at, value = ahead[inside], mixed(x[inside] ^ seed[live[inside]])
-                order = np.lexsort((at, slot))
-                slot, at, value = slot[order], at[order], value[order]
-                first = np.ones(len(slot), bool)
-                first[1:] = slot[1:] != slot[:-1]
-                slot, at, value = slot[first], at[first], value[first]
-                better = at < best[slot]
-                best[slot[better]], mark[slot[better]] = at[better], value[better]
+                level = low[own] + _uniform(mixed(y)) * (high[own] - low[own])
+                inside = np.flatnonzero(level <= weight[own])
+                own, x, y, at = own[inside], x[inside], y[inside], at[inside]
+                slot = doc[own] * m + (y % np.uint64(m)).astype(np.int64)
+                value = mixed(x ^ seed[own])
+                np.minimum.at(best, slot, at)
+                won = at == best[slot]
+                mark[slot[won]] = value[won]
             # a register without a point needs a later horizon; points go on where they stopped
             empty = np.isinf(best).reshape(n_docs, m).any(axis=1) & (total > 0)
             horizon[empty] *= 2
@@ -94,11 +106,11 @@ def bag_minhash(owner: np.ndarray, h: np.ndarray, count: np.ndarray, n_docs: int
 
 
 def signatures(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """Per document: id, key_1, key_2 (digest of the bag), words (bag size), bands (hash of each band)."""
+    """Per document: id, tag (hash of the text), key_1, key_2 (digest of the bag), words (bag size), bands (hash of each band)."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            texts, ids = batch["t"].tolist(), batch["i"].to_numpy()
+            texts, ids, tags = batch["t"].tolist(), batch["i"].to_numpy(), batch["g"].to_numpy()
             for a, b in pieces(texts):
                 n = b - a
                 owner, h, count = bags(texts[a:b], SHINGLE)
@@ -116,16 +128,16 @@ def signatures(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
                 if not len(has):
                     continue
                 yield pd.DataFrame({
-                    "id": ids[a:b][has], "key_1": keys[0][has].view(np.int64), "key_2": keys[1][has].view(np.int64),
+                    "id": ids[a:b][has], "tag": tags[a:b][has], "key_1": keys[0][has].view(np.int64), "key_2": keys[1][has].view(np.int64),
                     "words": size[has], "bands": list(band[has].view(np.int64)),
                 })
 
-    narrow = docs.where(F.col(id_col).isNotNull() & F.col(text_col).isNotNull()).select(F.col(id_col).cast("long").alias("i"), F.col(text_col).alias("t"))
-    return narrow.mapInPandas(run, "id long, key_1 long, key_2 long, words long, bands array<long>")
+    narrow = docs.where(F.col(id_col).isNotNull() & F.col(text_col).isNotNull()).select(F.col(id_col).cast("long").alias("i"), F.col(text_col).alias("t"), F.xxhash64(text_col).alias("g"))
+    return narrow.mapInPandas(run, "id long, tag long, key_1 long, key_2 long, words long, bands array<long>")
 
 
 def verified(pairs: DataFrame, texts: DataFrame, limit: float) -> DataFrame:
-    """Those (a, b) whose whole texts have a weighted Jaccard similarity of at least the limit."""
+    """Those (a, b) whose whole texts have a weighted Jaccard similarity of at least the limit; ``a`` may stand in many pairs."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -133,8 +145,13 @@ def verified(pairs: DataFrame, texts: DataFrame, limit: float) -> DataFrame:
             ids = batch[["a", "b"]].to_numpy()
             for s, e in pieces([x + y for x, y in zip(left, right, strict=True)]):
                 n = e - s
-                owner, h, count = bags(left[s:e] + right[s:e], SHINGLE)
-                pair = owner % n
+                hubs, first, hub = np.unique(ids[s:e, 0], return_index=True, return_inverse=True)  # a hub's bag is made once
+                owner, h, count = bags([left[s + k] for k in first] + right[s:e], SHINGLE)
+                size = np.bincount(owner, minlength=len(hubs) + n)
+                start = np.cumsum(size) - size
+                each = np.concatenate([hub, np.arange(len(hubs), len(hubs) + n)])  # bags of all pairs, both sides
+                at = np.repeat(start[each] - np.cumsum(size[each]) + size[each], size[each]) + np.arange(int(size[each].sum()))
+                pair, h, count = np.repeat(np.tile(np.arange(n), 2), size[each]), h[at], count[at]
                 order = np.lexsort((h, pair))
                 pair, h, count = pair[order], h[order], count[order]
                 both = np.flatnonzero((h[1:] == h[:-1]) & (pair[1:] == pair[:-1]))
@@ -143,8 +160,11 @@ def verified(pairs: DataFrame, texts: DataFrame, limit: float) -> DataFrame:
                 good = common >= limit * (total - common) - 1e-9
                 yield pd.DataFrame(ids[s:e][good], columns=["a", "b"])
 
-    joined = pairs.join(texts.select(F.col("id").alias("a"), F.col("t").alias("ta")), "a").join(texts.select(F.col("id").alias("b"), F.col("t").alias("tb")), "b")
-    return joined.select("a", "b", "ta", "tb").mapInPandas(run, "a long, b long")
+    loads = pairs.groupBy("a").agg((F.floor(F.count(F.lit(1)) / HUB_SLICE) + 1).alias("slices"))
+    dealt = pairs.join(loads, "a").join(texts.select(F.col("id").alias("b"), F.col("t").alias("tb")), "b")
+    dealt = dealt.select("a", "b", "tb", F.pmod(F.xxhash64("b"), F.col("slices")).alias("slice"))
+    hubs = loads.join(texts.select(F.col("id").alias("a"), F.col("t").alias("ta")), "a").select("a", "ta", F.explode(F.sequence(F.lit(0).cast("long"), F.col("slices") - 1)).alias("slice"))
+    return dealt.join(hubs, ["a", "slice"]).select("a", "b", "ta", "tb").mapInPandas(run, "a long, b long")
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -197,12 +217,22 @@ def prefix_candidates(open_: DataFrame, texts: DataFrame, limit: float) -> DataF
     members = cut_lineage(texts.join(open_.select("id"), "id", "left_semi").select("id", "t").mapInPandas(run, "id long, member long"))
     rarity = members.groupBy("member").agg(F.count(F.lit(1)).alias("df"))
     ranked = members.join(rarity, "member").withColumn("place", F.row_number().over(Window.partitionBy("id").orderBy("df", "member")))
-    first = open_.join(ranked, "id").where((F.col("df") > 1) & (F.col("place") <= F.col("words") - F.ceil(F.col("words") * limit - 1e-6) + 1)).select("id", "words", "part", "member", "place")
-    other = first.select("member", F.col("id").alias("id_2"), F.col("words").alias("words_2"), F.col("part").alias("part_2"), F.col("place").alias("place_2"))
+    common = limit / (1 + limit)  # of the members of both bags, so many must be shared
+    up = lambda c: F.ceil(c - 1e-6)
+    kept = open_.join(ranked.where((F.col("df") > 1)), "id").where(F.col("place") <= F.col("words") - up(F.col("words") * limit) + 1).select("id", "words", "part", "member", "place")
+    length_class = lambda c: F.floor(F.log(c) / float(np.log(LENGTH_STEP)))
+    # the shorter bag of a pair: its partner has no fewer members
+    short = kept.where(F.col("place") <= F.col("words") - up(F.col("words") * (2 * common)) + 1).withColumn("class", length_class(F.col("words")))
+    # the longer one, for each class of lengths that a partner can have; few places suffice for a class near its own
+    longer = kept.select(F.col("id").alias("id_2"), F.col("words").alias("words_2"), F.col("part").alias("part_2"), "member", F.col("place").alias("place_2"))
+    longer = longer.withColumn("class", F.explode(F.sequence(length_class(up(F.col("words_2") * limit)), length_class(F.col("words_2")))))
+    least = F.greatest(F.lit(1.0), F.floor(F.pow(F.lit(LENGTH_STEP), F.col("class")) - 1e-6))
+    longer = longer.where(F.col("place_2") <= F.col("words_2") - up((least + F.col("words_2")) * common) + 1)
     # at the first member in common, what follows in either bag must still suffice
     left = F.least(F.col("words") - F.col("place"), F.col("words_2") - F.col("place_2")) + 1
-    enough = left >= F.ceil((F.col("words") + F.col("words_2")) * (limit / (1 + limit)) - 1e-6)
-    return first.join(other, "member").where((F.col("part") < F.col("part_2")) & enough)
+    enough = left >= up((F.col("words") + F.col("words_2")) * common)
+    ordered = (F.col("words") < F.col("words_2")) | ((F.col("words") == F.col("words_2")) & (F.col("id") < F.col("id_2")))
+    return short.join(longer, ["member", "class"]).where((F.col("part") != F.col("part_2")) & ordered & enough)
 
 
 def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", limit: float = LIMIT) -> DataFrame:
@@ -210,49 +240,62 @@ def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
     ``copy_of`` is the smallest id with an equal bag, ``class_id`` the smallest id of the component.
     """
-    signed = cut_lineage(signatures(docs, id_col, text_col))
-    exact = signed.groupBy("key_1", "key_2").agg(F.min("id").alias("copy_of"), F.min(F.struct("id", "words", "bands")).alias("first"))
-    reps = exact.select("key_1", "key_2", "copy_of", "first.words", "first.bands")
-    rows = reps.select(F.col("copy_of").alias("id"), "words", F.posexplode("bands").alias("band", "value"))
+    every = cut_lineage(signatures(docs, id_col, text_col))
+    signed = every.groupBy("id").agg(F.max(F.struct("tag", "key_1", "key_2", "words", "bands")).alias("s")).select("id", "s.*")
+    exact = signed.groupBy("key_1", "key_2").agg(F.min(F.struct("id", "tag", "words", "bands")).alias("first"))
+    reps = cut_lineage(exact.select("key_1", "key_2", "first.*"))
+    rows = reps.select("id", "words", F.posexplode("bands").alias("band", "value"))
     # hash values of different bands may not meet, so the band is part of the key
     rows = rows.select("id", "words", F.xxhash64("band", "value").alias("bucket"))
-    # the hub of a bucket is the member that meets most others over all buckets: of a family of edited copies
-    # that is the text they were made from, which is close to all of them while they are not to each other
     shared = rows.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     met = cut_lineage(rows.join(shared, "bucket"))
-    degrees = met.groupBy("id").agg(F.sum("n").alias("degree")).withColumnRenamed("id", "_id")
-    met = met.join(degrees, F.col("id") == F.col("_id")).select("bucket", "id", "words", F.struct("degree", (-F.col("id")).alias("minus")).alias("weight"))
-    hubs = met.groupBy("bucket").agg((-F.max("weight").getField("minus")).alias("hub"))
-    members = cut_lineage(met.join(hubs, "bucket").select("bucket", "id", "words", "hub", "weight"))
-    needed = members.select("id").distinct()
+    needed = met.select("id").distinct().join(reps.select("id", "tag"), "id").withColumnsRenamed({"id": "_id", "tag": "_tag"})
     plain = docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("t"))
-    texts = cut_lineage(plain.join(needed, "id", "left_semi").dropDuplicates(["id"]))
-    star = members.where("id <> hub").select(F.least("hub", "id").alias("a"), F.greatest("hub", "id").alias("b")).distinct()
-    parts = components(cut_lineage(verified(star, texts, limit)))
+    own = (F.col("id") == F.col("_id")) & (F.xxhash64("t") == F.col("_tag"))
+    texts = cut_lineage(plain.join(needed, own, "left_semi").dropDuplicates(["id"]))
     close = (F.col("words") >= F.col("words_2") * limit) & (F.col("words_2") >= F.col("words") * limit)
+    # small buckets: all pairs
+    group = F.array_sort(F.collect_list(F.struct("id", "words")))
+    few = met.where(F.col("n") <= SMALL).groupBy("bucket").agg(group.alias("g"))
+    few = few.select(F.posexplode("g").alias("k", "x"), "g").select("x.id", "x.words", F.explode(F.slice("g", F.col("k") + 2, SMALL)).alias("y"))
+    few = few.select("id", "words", F.col("y.id").alias("id_2"), F.col("y.words").alias("words_2")).where(close).select(F.col("id").alias("a"), F.col("id_2").alias("b"))
+    # large buckets: the hub is the member that meets most others over all its buckets; of a family of edited copies
+    # that is the text they were made from, which is close to all of them while they are not to each other
+    large = cut_lineage(met.where(F.col("n") > SMALL).select("bucket", "id", "words", "n"))
+    degrees = large.groupBy("id").agg(F.sum("n").alias("degree"))
+    weight = F.struct("degree", (-F.col("id")).alias("minus"), "words")
+    hubs = large.join(degrees, "id").groupBy("bucket").agg(F.max(weight).alias("hub"))
+    star = large.join(hubs, "bucket").groupBy("id", "words").agg(F.max("hub").alias("hub"))
+    star = star.select("id", "words", (-F.col("hub.minus")).alias("id_2"), F.col("hub.words").alias("words_2")).where((F.col("id") != F.col("id_2")) & close)
+    pairs = cut_lineage(few.unionByName(star.select(F.col("id_2").alias("a"), F.col("id").alias("b"))).distinct())
+    found = components(cut_lineage(verified(pairs, texts, limit)))
+    parts = cut_lineage(large.select("id").distinct().join(found, "id", "full").select("id", F.coalesce("component", "id").alias("component")))
+    tested = pairs.select(F.least("a", "b").alias("x"), F.greatest("a", "b").alias("y"))
     for turn in range(SPREAD_ROUNDS + 1):
-        placed = members.join(parts, "id", "left").select("bucket", "id", "words", F.coalesce("component", "id").alias("part"))
-        mixed_buckets = placed.groupBy("bucket").agg(F.min("part").alias("p"), F.max("part").alias("q"), F.min(F.struct(F.xxhash64("id", "bucket", F.lit(turn)).alias("at"), "id", "words", "part")).alias("hub")).where("p < q")
-        last = turn == SPREAD_ROUNDS
-        if last:
+        placed = large.join(parts, "id").select("bucket", "id", "words", F.col("component").alias("part"))
+        drawn = F.min(F.struct(F.xxhash64("id", "bucket", F.lit(turn)).alias("at"), "id", "words", "part")).alias("hub")
+        mixed_buckets = cut_lineage(placed.groupBy("bucket").agg(F.min("part").alias("p"), F.max("part").alias("q"), drawn).where("p < q").select("bucket", "hub"))
+        if mixed_buckets.isEmpty():
+            break
+        if turn == SPREAD_ROUNDS:
             open_ = cut_lineage(placed.join(mixed_buckets.select("bucket"), "bucket", "left_semi").select("id", "words", "part").distinct())
-            across = prefix_candidates(open_, texts, limit).where(close)
-        else:  # a hub drawn for each bucket: members meet as many different hubs as they have buckets
-            drawn = mixed_buckets.select("bucket", F.col("hub.id").alias("id_2"), F.col("hub.words").alias("words_2"), F.col("hub.part").alias("part_2"))
-            across = placed.join(drawn, "bucket").where((F.col("part") != F.col("part_2")) & close)
-        pairs = across.select(F.least("id", "id_2").alias("a"), F.greatest("id", "id_2").alias("b")).distinct()
-        more = verified(pairs, texts, limit)
-        named = lambda side: parts.select(F.col("id").alias(f"id_{side}"), F.col("component").alias(f"part_{side}"))  # noqa: E731, B023
-        more = more.join(named("a"), F.col("a") == F.col("id_a"), "left").join(named("b"), F.col("b") == F.col("id_b"), "left")
-        more = more.select(F.coalesce("part_a", "a").alias("a"), F.coalesce("part_b", "b").alias("b")).distinct()
-        joined = components(cut_lineage(more)).select(F.col("id").alias("part"), F.col("component").alias("whole"))
-        # parts that met are one from here on; a document that stood alone until now enters with its own id
-        renamed = parts.withColumnRenamed("component", "part").join(joined, "part", "left").select("id", F.coalesce("whole", "part").alias("component"))
-        new = joined.join(parts, joined.part == parts.id, "left_anti").select(F.col("part").alias("id"), F.col("whole").alias("component"))
-        parts = cut_lineage(renamed.unionByName(new))
-    known = reps.join(parts.withColumnRenamed("id", "copy_of"), "copy_of", "left").withColumn("class_id", F.coalesce("component", "copy_of"))
-    known = known.select("key_1", "key_2", "copy_of", "class_id")
-    return signed.select("id", "key_1", "key_2").join(known, ["key_1", "key_2"]).groupBy("id").agg(F.min("copy_of").alias("copy_of"), F.min("class_id").alias("class_id"))
+            across = prefix_candidates(open_, texts, limit).select(F.col("id").alias("b"), F.col("id_2").alias("a"))
+        else:  # documents meet one member drawn for a bucket of theirs
+            hub = mixed_buckets.select("bucket", F.col("hub.id").alias("id_2"), F.col("hub.words").alias("words_2"), F.col("hub.part").alias("part_2"))
+            across = placed.join(hub, "bucket").where((F.col("part") != F.col("part_2")) & close)
+            across = across.groupBy("id").agg(F.max(F.struct(F.xxhash64("id", "bucket", F.lit(turn)), "id_2")).alias("m")).select(F.col("id").alias("b"), F.col("m.id_2").alias("a"))
+        across = across.groupBy(F.least("a", "b").alias("x"), F.greatest("a", "b").alias("y")).agg(F.min("a").alias("a"))
+        pairs = cut_lineage(across.join(tested, ["x", "y"], "left_anti").select("x", "y", "a"))
+        tested = tested.unionByName(pairs.select("x", "y"))
+        more = verified(pairs.select("a", (F.col("x") + F.col("y") - F.col("a")).alias("b")), texts, limit)
+        named = lambda side: parts.select(F.col("id").alias(side), F.col("component").alias(f"part_{side}"))  # noqa: E731, B023
+        more = cut_lineage(more.join(named("a"), "a").join(named("b"), "b").select(F.col("part_a").alias("a"), F.col("part_b").alias("b")).distinct())
+        if not more.isEmpty():
+            joined = components(more).select(F.col("id").alias("component"), F.col("component").alias("whole"))
+            parts = cut_lineage(parts.join(joined, "component", "left").select("id", F.coalesce("whole", "component").alias("component")))
+    known = reps.select("key_1", "key_2", F.col("id").alias("copy_of")).join(parts.withColumnRenamed("id", "copy_of"), "copy_of", "left")
+    known = known.select("key_1", "key_2", "copy_of", F.coalesce("component", "copy_of").alias("class_id"))
+    return signed.select("id", "key_1", "key_2").join(known, ["key_1", "key_2"]).select("id", "copy_of", "class_id")
 
 
 def op1_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -264,10 +307,17 @@ def op1_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The documents with the smallest id of each class, once each; rows with a null id stay."""
+    """The documents with the smallest id of each class, once each; rows with a null id stay.
+
+    Of several rows with one id the row of the text that counted stays; of rows that differ only in other columns, the one of the largest hash.
+    """
     others = near_classes(docs, id_col, text_col).where("id <> class_id").select(F.col("id").alias("_gone"))
-    kept = docs.join(others, docs[id_col] == others["_gone"], "left_anti")
-    return kept.where(F.col(id_col).isNotNull()).dropDuplicates([id_col]).unionByName(docs.where(F.col(id_col).isNull()))
+    order = F.struct(F.xxhash64(F.col(text_col)).alias("t"), F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns]).alias("all"))
+    order = F.when(F.col(text_col).isNotNull(), order)  # a null text counts least
+    several = docs.where(F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias("_id")).agg(F.count(F.lit(1)).alias("_n"), F.max(order).alias("_pick")).where("_n > 1")
+    kept = docs.join(others, F.col(id_col) == F.col("_gone"), "left_anti").join(several, F.col(id_col) == F.col("_id"), "left")
+    once = kept.where(F.col("_id").isNotNull() & order.eqNullSafe(F.col("_pick"))).select(*[F.col(f"`{c}`") for c in docs.columns]).dropDuplicates([id_col])
+    return kept.where(F.col("_id").isNull()).select(*[F.col(f"`{c}`") for c in docs.columns]).unionByName(once)
 
 
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

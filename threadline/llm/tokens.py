@@ -78,8 +78,10 @@ def bags(texts: list[str | None], n: int) -> tuple[np.ndarray, np.ndarray, np.nd
     h, owner = shingles(texts, n)
     if not len(h):
         return owner, h, np.empty(0, np.int64)
-    order = np.lexsort((h, owner))
-    h, owner = h[order], owner[order]
+    h = h.copy()
+    ends = np.cumsum(np.bincount(owner, minlength=len(texts)))
+    for s, e in zip(ends - np.diff(ends, prepend=0), ends, strict=True):
+        h[s:e].sort()  # the shingles of a text stand together
     new = np.ones(len(h), bool)
     new[1:] = (h[1:] != h[:-1]) | (owner[1:] != owner[:-1])
     at = np.flatnonzero(new)
