@@ -27,6 +27,11 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def columns(df: DataFrame) -> list[Column]:
+    """All columns of a frame, whatever signs their names have."""
+    return [F.col("`{}`".format(c.replace("`", "``"))) for c in df.columns]
+
+
 def task_count(spark: SparkSession) -> int:
     """Number of shuffle partitions of the session; block and bucket counts follow it."""
     return int(spark.conf.get("spark.sql.shuffle.partitions"))

@@ -33,7 +33,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import DOCUMENT_COLUMNS, cut_lineage, table
+from .common import DOCUMENT_COLUMNS, columns, cut_lineage, table
 from .tokens import bags, mixed, pieces
 
 SHINGLE = 5
@@ -311,13 +311,13 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
 
     Of several rows with one id the row of the text that counted stays; of rows that differ only in other columns, the one of the largest hash.
     """
-    others = near_classes(docs, id_col, text_col).where("id <> class_id").select(F.col("id").alias("_gone"))
-    order = F.struct(F.xxhash64(F.col(text_col)).alias("t"), F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns]).alias("all"))
-    order = F.when(F.col(text_col).isNotNull(), order)  # a null text counts least
-    several = docs.where(F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias("_id")).agg(F.count(F.lit(1)).alias("_n"), F.max(order).alias("_pick")).where("_n > 1")
-    kept = docs.join(others, F.col(id_col) == F.col("_gone"), "left_anti").join(several, F.col(id_col) == F.col("_id"), "left")
-    once = kept.where(F.col("_id").isNotNull() & order.eqNullSafe(F.col("_pick"))).select(*[F.col(f"`{c}`") for c in docs.columns]).dropDuplicates([id_col])
-    return kept.where(F.col("_id").isNull()).select(*[F.col(f"`{c}`") for c in docs.columns]).unionByName(once)
+    others = near_classes(docs, id_col, text_col).where("id <> class_id").select(F.col("id").alias("gone"))
+    order = F.struct(F.xxhash64(F.col(text_col)).alias("t"), F.xxhash64(*columns(docs)).alias("all"))
+    rows = docs.select(F.struct(*columns(docs)).alias("row"), F.col(id_col).alias("id"), F.when(F.col(text_col).isNotNull(), order).alias("pick"))  # a null text counts least
+    several = rows.where("id is not null").groupBy(F.col("id").alias("same")).agg(F.count(F.lit(1)).alias("n"), F.max("pick").alias("best")).where("n > 1")
+    kept = rows.join(others, F.col("id") == F.col("gone"), "left_anti").join(several, F.col("id") == F.col("same"), "left")
+    once = kept.where(F.col("same").isNotNull() & F.col("pick").eqNullSafe(F.col("best"))).dropDuplicates(["id"])
+    return kept.where(F.col("same").isNull()).unionByName(once).select("row.*")
 
 
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
