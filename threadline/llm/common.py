@@ -32,6 +32,11 @@ def columns(df: DataFrame) -> list[Column]:
     return [F.col("`{}`".format(c.replace("`", "``"))) for c in df.columns]
 
 
+def in_tasks(df: DataFrame, rows: int, per_task: int) -> DataFrame:
+    """The frame in no more tasks than its number of rows asks for: a small one does not go through all shuffle partitions."""
+    return df.coalesce(max(1, -(-rows // per_task)))
+
+
 def task_count(spark: SparkSession) -> int:
     """Number of shuffle partitions of the session; block and bucket counts follow it."""
     return int(spark.conf.get("spark.sql.shuffle.partitions"))

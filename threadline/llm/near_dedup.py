@@ -33,7 +33,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import DOCUMENT_COLUMNS, columns, cut_lineage, table
+from .common import DOCUMENT_COLUMNS, columns, cut_lineage, in_tasks, table
 from .tokens import bags, mixed, pieces
 
 SHINGLE = 5
@@ -48,6 +48,9 @@ SPREAD_ROUNDS = 2
 HUB_SLICE = 256
 #: Ratio of the shortest and longest bags of a length class of the prefix filter.
 LENGTH_STEP = 1.05
+#: Narrow rows, and pairs to verify, that one task handles, about; smaller frames take fewer tasks.
+TASK_ROWS = 100_000
+TASK_PAIRS = 2000
 
 
 def _uniform(x: np.ndarray) -> np.ndarray:
@@ -160,11 +163,13 @@ def verified(pairs: DataFrame, texts: DataFrame, limit: float) -> DataFrame:
                 good = common >= limit * (total - common) - 1e-9
                 yield pd.DataFrame(ids[s:e][good], columns=["a", "b"])
 
-    loads = pairs.groupBy("a").agg((F.floor(F.count(F.lit(1)) / HUB_SLICE) + 1).alias("slices"))
-    dealt = pairs.join(loads, "a").join(texts.select(F.col("id").alias("b"), F.col("t").alias("tb")), "b")
+    n = pairs.count()
+    loads = in_tasks(pairs.groupBy("a").agg((F.floor(F.count(F.lit(1)) / HUB_SLICE) + 1).alias("slices")), n, TASK_ROWS)
+    dealt = in_tasks(pairs.join(loads, "a"), n, TASK_ROWS).join(texts.select(F.col("id").alias("b"), F.col("t").alias("tb")), "b")
     dealt = dealt.select("a", "b", "tb", F.pmod(F.xxhash64("b"), F.col("slices")).alias("slice"))
     hubs = loads.join(texts.select(F.col("id").alias("a"), F.col("t").alias("ta")), "a").select("a", "ta", F.explode(F.sequence(F.lit(0).cast("long"), F.col("slices") - 1)).alias("slice"))
-    return dealt.join(hubs, ["a", "slice"]).select("a", "b", "ta", "tb").mapInPandas(run, "a long, b long")
+    dealt, hubs = in_tasks(dealt, n, TASK_PAIRS), in_tasks(hubs, n, TASK_PAIRS)
+    return in_tasks(dealt.join(hubs, ["a", "slice"]), n, TASK_PAIRS).select("a", "b", "ta", "tb").mapInPandas(run, "a long, b long")
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -174,25 +179,27 @@ def components(edges: DataFrame) -> DataFrame:
     id in the first and every other round, which takes a star around its smallest id at once, and by a random
     priority in between, so a long chain shrinks by a constant factor. Rounds are cut by checkpoints.
     """
-    rest, moves, turn = edges, [], 0
+    n, moves, turn = edges.count(), [], 0
+    small = lambda df: in_tasks(df, 2 * n, TASK_ROWS)
+    rest = small(edges.select("a", "b"))
     while not rest.isEmpty():
-        both = rest.select("a", "b").unionByName(rest.select(F.col("b").alias("a"), F.col("a").alias("b")))
+        both = rest.unionByName(rest.select(F.col("b").alias("a"), F.col("a").alias("b")))
         rank = lambda c: F.struct((F.xxhash64(F.col(c), F.lit(turn)) if turn % 2 else F.lit(0).cast("long")).alias("p"), F.col(c).alias("v"))  # noqa: B023, E731
-        move = both.groupBy("a").agg(F.min(rank("b")).alias("n")).select("a", F.least(rank("a"), F.col("n")).getField("v").alias("to"))
+        move = small(small(both).groupBy("a").agg(F.min(rank("b")).alias("n")).select("a", F.least(rank("a"), F.col("n")).getField("v").alias("to")))
         moves.append(move)
         to = move.select(F.col("a").alias("x"), "to")
-        rest = rest.join(to, rest.a == to.x).select(F.col("to").alias("a"), "b")
-        rest = rest.join(to, rest.b == to.x).select("a", F.col("to").alias("b"))
-        rest = cut_lineage(rest.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
+        rest = small(rest.join(to, rest.a == to.x)).select(F.col("to").alias("a"), "b")
+        rest = small(rest.join(to, rest.b == to.x)).select("a", F.col("to").alias("b"))
+        rest = small(cut_lineage(small(rest.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())))
         turn += 1
     if not moves:
         return edges.select(F.col("a").alias("id"), F.col("a").alias("component"))
     found = moves[0].select(F.col("a").alias("id"), F.col("to").alias("root"))
     for move in moves[1:]:
         step = move.select(F.col("a").alias("x"), "to")
-        found = found.join(step, found.root == step.x, "left").select("id", F.coalesce("to", "root").alias("root"))
-    least = found.groupBy("root").agg(F.min("id").alias("component"))
-    return cut_lineage(found.join(least, "root").select("id", "component"))
+        found = small(found.join(step, found.root == step.x, "left").select("id", F.coalesce("to", "root").alias("root")))
+    least = small(found.groupBy("root").agg(F.min("id").alias("component")))
+    return small(cut_lineage(small(found.join(least, "root").select("id", "component"))))
 
 
 def prefix_candidates(open_: DataFrame, texts: DataFrame, limit: float) -> DataFrame:
@@ -249,10 +256,12 @@ def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     rows = rows.select("id", "words", F.xxhash64("band", "value").alias("bucket"))
     shared = rows.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     met = cut_lineage(rows.join(shared, "bucket"))
+    n_met = met.count()
+    met = in_tasks(met, n_met, TASK_ROWS)
     needed = met.select("id").distinct().join(reps.select("id", "tag"), "id").withColumnsRenamed({"id": "_id", "tag": "_tag"})
     plain = docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("t"))
-    own = (F.col("id") == F.col("_id")) & (F.xxhash64("t") == F.col("_tag"))
-    texts = cut_lineage(plain.join(needed, own, "left_semi").dropDuplicates(["id"]))
+    own = plain.join(needed, F.col("id") == F.col("_id")).where(F.xxhash64("t") == F.col("_tag"))
+    texts = cut_lineage(own.select("id", "t").dropDuplicates(["id"]))
     close = (F.col("words") >= F.col("words_2") * limit) & (F.col("words_2") >= F.col("words") * limit)
     # small buckets: all pairs
     group = F.array_sort(F.collect_list(F.struct("id", "words")))
@@ -261,38 +270,43 @@ def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     few = few.select("id", "words", F.col("y.id").alias("id_2"), F.col("y.words").alias("words_2")).where(close).select(F.col("id").alias("a"), F.col("id_2").alias("b"))
     # large buckets: the hub is the member that meets most others over all its buckets; of a family of edited copies
     # that is the text they were made from, which is close to all of them while they are not to each other
-    large = cut_lineage(met.where(F.col("n") > SMALL).select("bucket", "id", "words", "n"))
-    degrees = large.groupBy("id").agg(F.sum("n").alias("degree"))
+    large = met.where(F.col("n") > SMALL).select("bucket", "id", "words", "n")
+    narrow = lambda df: in_tasks(df, n_met, TASK_ROWS)
+    degrees = narrow(large.groupBy("id").agg(F.sum("n").alias("degree")))
     weight = F.struct("degree", (-F.col("id")).alias("minus"), "words")
-    hubs = large.join(degrees, "id").groupBy("bucket").agg(F.max(weight).alias("hub"))
-    star = large.join(hubs, "bucket").groupBy("id", "words").agg(F.max("hub").alias("hub"))
+    hubs = narrow(narrow(large.join(degrees, "id")).groupBy("bucket").agg(F.max(weight).alias("hub")))
+    star = narrow(large.join(hubs, "bucket")).groupBy("id", "words").agg(F.max("hub").alias("hub"))
     star = star.select("id", "words", (-F.col("hub.minus")).alias("id_2"), F.col("hub.words").alias("words_2")).where((F.col("id") != F.col("id_2")) & close)
-    pairs = cut_lineage(few.unionByName(star.select(F.col("id_2").alias("a"), F.col("id").alias("b"))).distinct())
+    pairs = narrow(cut_lineage(narrow(narrow(few.unionByName(star.select(F.col("id_2").alias("a"), F.col("id").alias("b")))).distinct())))
     found = components(cut_lineage(verified(pairs, texts, limit)))
-    parts = cut_lineage(large.select("id").distinct().join(found, "id", "full").select("id", F.coalesce("component", "id").alias("component")))
+    parts = cut_lineage(narrow(large.select("id").distinct()).join(found, "id", "full").select("id", F.coalesce("component", "id").alias("component")))
+    parts = narrow(parts)
     tested = pairs.select(F.least("a", "b").alias("x"), F.greatest("a", "b").alias("y"))
     for turn in range(SPREAD_ROUNDS + 1):
-        placed = large.join(parts, "id").select("bucket", "id", "words", F.col("component").alias("part"))
+        placed = narrow(large.join(parts, "id").select("bucket", "id", "words", F.col("component").alias("part")))
         drawn = F.min(F.struct(F.xxhash64("id", "bucket", F.lit(turn)).alias("at"), "id", "words", "part")).alias("hub")
-        mixed_buckets = cut_lineage(placed.groupBy("bucket").agg(F.min("part").alias("p"), F.max("part").alias("q"), drawn).where("p < q").select("bucket", "hub"))
+        mixed_buckets = placed.groupBy("bucket").agg(F.min("part").alias("p"), F.max("part").alias("q"), drawn).where("p < q").select("bucket", "hub")
+        mixed_buckets = narrow(cut_lineage(narrow(mixed_buckets)))
         if mixed_buckets.isEmpty():
             break
         if turn == SPREAD_ROUNDS:
-            open_ = cut_lineage(placed.join(mixed_buckets.select("bucket"), "bucket", "left_semi").select("id", "words", "part").distinct())
+            open_ = narrow(placed.join(mixed_buckets.select("bucket"), "bucket", "left_semi").select("id", "words", "part"))
+            open_ = narrow(cut_lineage(narrow(open_.distinct())))
             across = prefix_candidates(open_, texts, limit).select(F.col("id").alias("b"), F.col("id_2").alias("a"))
         else:  # documents meet one member drawn for a bucket of theirs
             hub = mixed_buckets.select("bucket", F.col("hub.id").alias("id_2"), F.col("hub.words").alias("words_2"), F.col("hub.part").alias("part_2"))
-            across = placed.join(hub, "bucket").where((F.col("part") != F.col("part_2")) & close)
+            across = narrow(placed.join(hub, "bucket").where((F.col("part") != F.col("part_2")) & close))
             across = across.groupBy("id").agg(F.max(F.struct(F.xxhash64("id", "bucket", F.lit(turn)), "id_2")).alias("m")).select(F.col("id").alias("b"), F.col("m.id_2").alias("a"))
-        across = across.groupBy(F.least("a", "b").alias("x"), F.greatest("a", "b").alias("y")).agg(F.min("a").alias("a"))
-        pairs = cut_lineage(across.join(tested, ["x", "y"], "left_anti").select("x", "y", "a"))
+        across = narrow(across).groupBy(F.least("a", "b").alias("x"), F.greatest("a", "b").alias("y")).agg(F.min("a").alias("a"))
+        pairs = narrow(cut_lineage(narrow(across.join(narrow(tested), ["x", "y"], "left_anti").select("x", "y", "a"))))
         tested = tested.unionByName(pairs.select("x", "y"))
         more = verified(pairs.select("a", (F.col("x") + F.col("y") - F.col("a")).alias("b")), texts, limit)
         named = lambda side: parts.select(F.col("id").alias(side), F.col("component").alias(f"part_{side}"))  # noqa: E731, B023
-        more = cut_lineage(more.join(named("a"), "a").join(named("b"), "b").select(F.col("part_a").alias("a"), F.col("part_b").alias("b")).distinct())
+        more = narrow(narrow(more.join(named("a"), "a")).join(named("b"), "b").select(F.col("part_a").alias("a"), F.col("part_b").alias("b")))
+        more = cut_lineage(narrow(more.distinct()))
         if not more.isEmpty():
             joined = components(more).select(F.col("id").alias("component"), F.col("component").alias("whole"))
-            parts = cut_lineage(parts.join(joined, "component", "left").select("id", F.coalesce("whole", "component").alias("component")))
+            parts = narrow(cut_lineage(narrow(parts.join(joined, "component", "left").select("id", F.coalesce("whole", "component").alias("component")))))
     known = reps.select("key_1", "key_2", F.col("id").alias("copy_of")).join(parts.withColumnRenamed("id", "copy_of"), "copy_of", "left")
     known = known.select("key_1", "key_2", "copy_of", F.coalesce("component", "copy_of").alias("class_id"))
     return signed.select("id", "key_1", "key_2").join(known, ["key_1", "key_2"]).select("id", "copy_of", "class_id")
