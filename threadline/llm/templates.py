@@ -36,10 +36,11 @@ FIXED_SHARE = 0.5
 
 
 def mask(line: Column) -> Column:
-    """Tokens of a line in one-space form, those with a digit as ``<*>``."""
-    one_space = F.trim(F.regexp_replace(line, r"[ \t\r]{2,}|[\t\r]", " "))
+    """Tokens of a line in one-space form, those with a digit as ``<*>``. Most lines need neither step, which a byte search tells."""
+    odd = line.contains("  ") | line.contains("\t") | line.contains("\r")
+    one_space = F.trim(F.when(odd, F.regexp_replace(line, r"[ \t\r]{2,}|[\t\r]", " ")).otherwise(line))
     # a match starts at a token and never goes back, so the time is linear in the line
-    return F.regexp_replace(one_space, r"(?<![^ ])[^ 0-9]*+[0-9][^ ]*+", "<*>")
+    return F.when(line.rlike("[0-9]"), F.regexp_replace(one_space, r"(?<![^ ])[^ 0-9]*+[0-9][^ ]*+", "<*>")).otherwise(one_space)
 
 
 def digest(value: Column) -> Column:
@@ -53,18 +54,18 @@ def line_key(masked: Column) -> Column:
 
 
 def masked_lines(docs: DataFrame, id_col: str, text_col: str, depth: int) -> DataFrame:
-    """Lines that are not blank: _id, _r (tells rows without an id apart), masked, line_md5, leaf."""
-    row = F.when(F.col(id_col).isNull(), F.xxhash64(text_col)).otherwise(F.lit(0).cast("long"))
-    lines = docs.where(F.col(text_col).isNotNull()).select(F.col(id_col).alias("_id"), row.alias("_r"), F.explode(F.transform(F.split(text_col, "\n"), mask)).alias("masked"))
-    tokens = F.split("masked", " ")
-    leaf = line_key(F.concat_ws(" ", F.size(tokens).cast("string"), F.slice(tokens, 1, depth)))
+    """Lines that are not blank: _id, _r (the hash of the text, tells rows of one id apart), pos, masked, line_md5, leaf."""
+    each = F.posexplode(F.transform(F.split(text_col, "\n"), mask)).alias("pos", "masked")
+    lines = docs.where(F.col(text_col).isNotNull()).select(F.col(id_col).alias("_id"), F.xxhash64(text_col).alias("_r"), each)
+    count = F.length("masked") - F.length(F.replace("masked", F.lit(" "), F.lit(""))) + 1
+    leaf = line_key(F.concat_ws(" ", count.cast("string"), F.substring_index("masked", " ", depth)))
     return lines.where(F.col("masked") != "").select("*", line_key(F.col("masked")).alias("line_md5"), leaf.alias("leaf"))
 
 
 def lines_of_open_leaves(lines: DataFrame, pairs: DataFrame, min_docs: int) -> DataFrame:
     """Distinct lines of the leaves that can hold a recurring template: line_md5, masked, leaf, n_docs, leaf_lines, tokens."""
     # which leaves can hold a recurring template is known from digests alone; texts are shuffled once, to their line's row
-    counts = pairs.groupBy("line_md5", "leaf").agg((F.count("_id") + F.max(F.col("_id").isNull().cast("long"))).alias("n_docs"))
+    counts = pairs.select("line_md5", "leaf", "_id").distinct().groupBy("line_md5", "leaf").agg((F.count("_id") + F.max(F.col("_id").isNull().cast("long"))).alias("n_docs"))
     leaves = counts.groupBy("leaf").agg(F.sum("n_docs").alias("_docs"), F.count(F.lit(1)).alias("leaf_lines")).where(F.col("_docs") >= min_docs)
     open_lines = counts.join(leaves.select("leaf", "leaf_lines"), "leaf")
     texts = lines.groupBy("line_md5").agg(F.first("masked").alias("masked"))
@@ -83,7 +84,7 @@ def lines_of_recurring(shaped: DataFrame, pairs: DataFrame, min_docs: int) -> Da
 
 
 def recurring_lines(lines: DataFrame, pairs: DataFrame, min_docs: int, similarity: float, fixed_share: float) -> DataFrame:
-    """Digests of masked lines whose template recurs, with the template; pairs has each line and document once."""
+    """Digests of masked lines whose template recurs, with the template's digest; pairs has the lines' places in the documents."""
     alive = lines_of_open_leaves(lines, pairs, min_docs)
     several = alive.where(F.col("leaf_lines") > 1)
     spread = several.select("leaf", "leaf_lines", F.posexplode("tokens").alias("pos", "token"))
@@ -96,8 +97,8 @@ def recurring_lines(lines: DataFrame, pairs: DataFrame, min_docs: int, similarit
     template_tokens = F.transform("tokens", lambda t, i: F.when((t == F.lit("<*>")) | F.coalesce(F.element_at("skeleton", i) == t, F.lit(False)), t).otherwise(F.lit("<*>")))
     kept = F.size(F.filter("_general", lambda t: t != "<*>"))
     shaped = shaped.withColumn("_general", F.when(F.col("skeleton").isNotNull(), template_tokens).otherwise(F.col("tokens")))
-    shaped = shaped.withColumn("template", F.when(kept >= F.size("tokens") * similarity, F.concat_ws(" ", "_general")).otherwise(F.col("masked")))
-    shaped = shaped.select("line_md5", "template", "n_docs")
+    template = F.when(F.col("skeleton").isNotNull() & (kept >= F.size("tokens") * similarity), line_key(F.concat_ws(" ", "_general"))).otherwise(F.col("line_md5"))
+    shaped = cut_lineage(shaped.select("line_md5", template.alias("template"), "n_docs"))
     return lines_of_recurring(shaped, pairs, min_docs)
 
 
@@ -127,20 +128,19 @@ def drop_recurring_lines(
 ) -> DataFrame:
     """Per document: id, ``n_lines``, ``n_dropped`` and ``kept_text`` (null for a null text)."""
     lines = masked_lines(docs, id_col, text_col, depth)
-    pairs = cut_lineage(lines.select("line_md5", "leaf", "_id", "_r").distinct())
+    pairs = cut_lineage(lines.select("line_md5", "leaf", "_id", "_r", "pos"))
     found = lines_by_templates(lines, pairs, min_docs, similarity, depth) if several else recurring_lines(lines, pairs, min_docs, similarity, fixed_share)
     recurring = found.select("line_md5")
-    dropped = pairs.join(recurring, "line_md5", "left_semi").groupBy("_id", "_r").agg(F.collect_set("line_md5").alias("_gone"))
-    base = docs.select(id_col, text_col).withColumn("_row", F.when(F.col(id_col).isNull(), F.xxhash64(text_col)).otherwise(F.lit(0).cast("long")))
+    dropped = pairs.join(recurring, "line_md5", "left_semi").groupBy("_id", "_r").agg(F.collect_set("pos").alias("_gone"))
+    base = docs.select(F.col(id_col), F.split(text_col, "\n").alias("_parts"), F.xxhash64(text_col).alias("_row"))
     joined = base.join(dropped, F.col(id_col).eqNullSafe(F.col("_id")) & (F.col("_row") == F.col("_r")), "left")
-    parts = F.split(text_col, "\n")
-    kept = F.when(F.col("_gone").isNull(), parts).otherwise(F.filter(parts, lambda line: ~F.array_contains("_gone", line_key(mask(line)))))
-    joined = joined.withColumn("_parts", kept)
-    n_lines = F.coalesce(F.when(F.col(text_col).isNotNull(), F.size(parts)), F.lit(0))
+    # places that stay, by a set difference; the parts come through the join, so no text is split again for a line
+    places = F.array_except(F.sequence(F.lit(0), F.size("_parts") - 1), F.col("_gone"))
+    kept = F.when(F.col("_gone").isNull(), F.col("_parts")).otherwise(F.transform(places, lambda i: F.get("_parts", i)))
+    n_lines = F.when(F.col("_parts").isNotNull(), F.size("_parts")).otherwise(0)
     return joined.select(
-        id_col, n_lines.cast("long").alias("n_lines"),
-        F.when(F.col(text_col).isNotNull(), n_lines - F.size("_parts")).otherwise(0).cast("long").alias("n_dropped"),
-        F.array_join("_parts", "\n").alias("kept_text"),
+        id_col, n_lines.cast("long").alias("n_lines"), F.when(F.col("_gone").isNotNull(), F.size("_gone")).otherwise(0).cast("long").alias("n_dropped"),
+        F.array_join(kept, "\n").alias("kept_text"),
     )
 
 
