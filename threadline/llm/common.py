@@ -15,15 +15,26 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Write a frame to the shared checkpoint folder and go on from the files.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that all machines share, as the session names it in ``spark.checkpoint.dir`` or ``setCheckpointDir``.
 
-    The folder is the one the session names in ``spark.checkpoint.dir``. Only where that is
-    unset (a single-machine test) is a temporary folder used.
+    Only where neither is set and all runs in one process (a test) is it a temporary folder; a cluster without a folder is an error.
     """
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if named:
+        return named
+    if not spark.sparkContext.master.split("[")[0] == "local":
+        raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
+    folder = tempfile.mkdtemp(prefix="spark-checkpoint-")
+    spark.sparkContext.setCheckpointDir(folder)
+    return folder
+
+
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """Write a frame to the shared checkpoint folder and go on from the files."""
     spark = df.sparkSession
-    if not spark.conf.get("spark.checkpoint.dir", None) and not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="spark-checkpoint-"))
+    if not spark.sparkContext.getCheckpointDir():
+        spark.sparkContext.setCheckpointDir(shared_folder(spark))
     return df.checkpoint()
 
 

@@ -6,7 +6,12 @@ over the document's ranked n-grams of the difference in rank, or of the profile
 that the profile lacks. The nearest language wins, ties by name.
 
 Profiles come from a bounded sample: of each language the documents whose id hash falls below
-``sample / count``, so about ``sample`` of them at any size of the table.
+``sample / count``, so about ``sample`` of them at any size of the table. The counts by language go to the driver
+(a row a language, as the profiles do), so the sample is a filter and no text is dealt by its language.
+
+The pipeline stage keeps a document if its distance to the nearest profile, as a share of the largest possible, is
+not beyond a limit: halfway between what all but one in a hundred sampled documents reach and 1, which is the distance
+of a text that shares no n-gram with any language.
 
 Cases: null texts and texts without a letter are ``und`` with score 0, as is every text when nothing
 was learned; null languages are not learned from; repeated rows are scored alike; extra columns are
@@ -24,11 +29,13 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import DOCUMENT_COLUMNS, table
+from .common import DOCUMENT_COLUMNS, columns, table
 
 PROFILE = 400
 SAMPLE = 2000
-NON_LETTER = re.compile(r"[\W\d_]+")
+#: Word signs that are neither letters nor decimal digits, such as fractions and circled numbers.
+_NUMBERS = "".join(chr(c) for c in range(0x110000) if chr(c).isalnum() and not chr(c).isalpha() and not chr(c).isdecimal())
+NON_LETTER = re.compile(rf"[\W\d_{re.escape(_NUMBERS)}]+")
 _EDGE = ord("_")
 
 
@@ -70,29 +77,43 @@ class Profiles:
             grams = np.array(rankings[name], np.int64)
             self.ranks[np.searchsorted(self.keys, grams), j] = np.arange(len(grams))
 
-    def judge(self, text: str | None) -> tuple[str, float]:
-        """Language and score (share of the two nearest distances that the second holds)."""
+    def distances(self, text: str | None) -> tuple[np.ndarray, int]:
+        """Out-of-place distance to each language, and the largest that is possible (0: no letter)."""
         grams = ranked(*gram_counts(text), self.size)
         if not len(grams) or not self.names:
-            return "und", 0.0
+            return np.empty(0), 0
         at = np.searchsorted(self.keys, grams)
         known = (at < len(self.keys)) & (self.keys[np.minimum(at, len(self.keys) - 1)] == grams)
         ranks = self.ranks[np.where(known, at, len(self.keys))]
-        away = np.where(ranks < 0, self.size, np.abs(ranks - np.arange(len(grams))[:, None])).sum(axis=0)
+        return np.where(ranks < 0, self.size, np.abs(ranks - np.arange(len(grams))[:, None])).sum(axis=0), self.size * len(grams)
+
+    def judge(self, text: str | None) -> tuple[str, float, float]:
+        """Language, score (share of the two nearest distances that the second holds) and nearest distance as a share of the largest."""
+        away, most = self.distances(text)
+        if not most:
+            return "und", 0.0, 1.0
         best = int(np.argmin(away))
+        near = float(away[best]) / most
         if len(away) == 1:
-            return self.names[best], 1.0 - float(away[best]) / (self.size * len(grams))
+            return self.names[best], 1.0 - near, near
         second = float(np.partition(away, 1)[1])
         both = second + float(away[best])
-        return self.names[best], second / both if both else 1.0
+        return self.names[best], second / both if both else 1.0, near
+
+
+def drawn(docs: DataFrame, lang_col: str, id_col: str, sample: int) -> DataFrame:
+    """About ``sample`` documents of each non-null language, by the hash of the id."""
+    labelled = docs.where(F.col(lang_col).isNotNull())
+    counts = labelled.groupBy(F.col(lang_col).alias("l")).agg(F.count(F.lit(1)).alias("n")).collect()  # a row a language
+    if not counts:
+        return labelled
+    share = F.create_map(*[x for r in counts for x in (F.lit(r["l"]), F.lit(float(sample) / r["n"]))])
+    return labelled.where(F.pmod(F.xxhash64(F.col(id_col), F.lit("sample")), F.lit(1_000_000)) / 1e6 < F.try_element_at(share, F.col(lang_col)))
 
 
 def learn(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", id_col: str = "doc_id", sample: int = SAMPLE, size: int = PROFILE) -> Profiles:
     """Profiles of all non-null languages of some documents."""
-    labelled = docs.where(F.col(lang_col).isNotNull())
-    counts = labelled.groupBy(F.col(lang_col).alias("_l")).agg(F.count(F.lit(1)).alias("_n"))
-    draw = F.pmod(F.xxhash64(F.col(id_col), F.lit("sample")), F.lit(1_000_000)) / 1e6
-    chosen = labelled.join(counts, F.col(lang_col) == F.col("_l")).where(draw < F.lit(float(sample)) / F.col("_n"))
+    chosen = drawn(docs, lang_col, id_col, sample)
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -115,16 +136,25 @@ def learn(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", id_co
 
 
 def identify(docs: DataFrame, profiles: Profiles, text_col: str = "text") -> DataFrame:
-    """Add ``lang_pred`` and ``score``."""
+    """Add ``lang_pred``, ``score`` and ``distance`` (to the nearest profile, 0 to 1); columns of these names are replaced."""
     shared = docs.sparkSession.sparkContext.broadcast(profiles)
 
-    @F.pandas_udf("lang_pred string, score double")
+    @F.pandas_udf("lang_pred string, score double, distance double")
     def judge(texts: pd.Series) -> pd.DataFrame:
         own = shared.value
-        return pd.DataFrame([own.judge(t) for t in texts], columns=["lang_pred", "score"])
+        return pd.DataFrame([own.judge(t) for t in texts], columns=["lang_pred", "score", "distance"])
+
+    # the documents are packed, so no column of theirs meets one of ours
+    packed = docs.select(F.struct(*columns(docs)).alias("row"), judge(F.col(text_col)).alias("judged"))
+    kept = [F.col("row").getField(c).alias(c) for c in docs.columns if c not in ("lang_pred", "score", "distance")]
+    return packed.select(*kept, "judged.*")
 
-    out = docs.withColumn("_judged", judge(F.col(text_col)))
-    return out.withColumn("lang_pred", F.col("_judged.lang_pred")).withColumn("score", F.col("_judged.score")).drop("_judged")
+
+def distance_limit(docs: DataFrame, profiles: Profiles, text_col: str = "text", lang_col: str = "lang", id_col: str = "doc_id", sample: int = SAMPLE) -> float:
+    """Distance beyond which a text is in no learned language, from the documents that the profiles come from."""
+    judged = identify(drawn(docs, lang_col, id_col, sample), profiles, text_col).where("lang_pred <> 'und'")
+    usual = judged.agg(F.percentile_approx("distance", 0.99, F.lit(1000))).first()[0]
+    return (1.0 + usual) / 2 if usual is not None else 1.0
 
 
 def op8_language_profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -135,10 +165,17 @@ def op8_language_profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline stage: documents in a language; those without one (``und``) go."""
+    """Pipeline stage: documents in a language; texts without a letter and those far from every profile go.
+
+    Where nothing could be learned only texts without a letter go. Null texts have no language; ids may be null or repeated.
+    """
     docs = docs.select(*DOCUMENT_COLUMNS)
-    profiles = learn(docs.where(~held_out("doc_id", 4, 2)))
-    return identify(docs, profiles).where(F.col("lang_pred") != "und").select(*DOCUMENT_COLUMNS)
+    learned = docs.where(~held_out("doc_id", 4, 2))
+    profiles = learn(learned)
+    if not profiles.names:
+        return docs.where(F.col("text").rlike(r"\p{L}"))
+    limit = distance_limit(learned, profiles)
+    return identify(docs, profiles).where((F.col("lang_pred") != "und") & (F.col("distance") <= limit)).select(*DOCUMENT_COLUMNS)
 
 
 QUERIES = {"op8_language_profiles": op8_language_profiles}

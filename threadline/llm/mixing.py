@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import DOCUMENT_COLUMNS, cut_lineage, table
+from .common import DOCUMENT_COLUMNS, columns, cut_lineage, table
 
 LEVEL_BITS = 12
 LEVELS = 3
@@ -24,6 +24,8 @@ LEVELS = 3
 CYCLE = 3
 #: A source gives at most so many times its size.
 REPEATS = 3
+#: Sources up to this number are a table small enough to broadcast (some hundred bytes a row).
+BROADCAST_SOURCES = 20_000
 
 
 def word_count(text: str) -> Column:
@@ -76,7 +78,7 @@ def thresholds(sized: DataFrame, targets: DataFrame) -> DataFrame:
     for level in range(LEVELS):
         shift = LEVEL_BITS * (LEVELS - 1 - level)
         if level:  # only the boundary bucket of each source goes on
-            rows = rows.join(open_, rows.source.eqNullSafe(open_._s) & (F.expr(f"shiftright(hash, {shift + LEVEL_BITS})") == F.col("_prefix")), "left_semi")
+            rows = by_source(rows, open_, rows.source.eqNullSafe(open_._s) & (F.expr(f"shiftright(hash, {shift + LEVEL_BITS})") == F.col("_prefix")), "left_semi")
         histogram = rows.groupBy("source", F.expr(f"shiftright(hash, {shift})").alias("_bucket")).agg(F.sum("size").alias("_words"))
         running = Window.partitionBy("source").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
         histogram = histogram.withColumn("_before", F.coalesce(F.sum("_words").over(running), F.lit(0)))
@@ -96,35 +98,42 @@ def thresholds(sized: DataFrame, targets: DataFrame) -> DataFrame:
     return open_.select("_s", F.when(F.col("_prefix") < 0, F.lit(0)).otherwise(keep).alias("below"))
 
 
-def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame]:
-    """The documents with ``size`` and ``hash``, and the plan by source: sizes, target, rounds, threshold."""
-    sized = docs.withColumn("size", word_count(text_col)).withColumn("hash", hash_value(id_col))
-    narrow = cut_lineage(sized.select("source", "size", "hash"))
-    targets = cut_lineage(source_targets(narrow))
-    below = thresholds(narrow, targets)
+def by_source(rows: DataFrame, few: DataFrame, condition: Column, how: str = "inner") -> DataFrame:
+    """Join with a frame of a row a source; it is broadcast if it has no more than ``BROADCAST_SOURCES`` rows, so no source's rows meet in one task."""
+    small = few.count() <= BROADCAST_SOURCES
+    return rows.join(F.broadcast(few) if small else few, condition, how)
+
+
+def source_plan(sized: DataFrame) -> DataFrame:
+    """Per source (``plan_source``): its size, target, rounds and threshold (``below``), from (source, size, hash) rows."""
+    targets = cut_lineage(source_targets(sized))
+    below = thresholds(sized, targets)
     plan = targets.join(below, targets.source.eqNullSafe(below._s), "left").select(
-        F.col("source").alias("_source"), "source_size", "target", "rounds", F.coalesce(F.col("below"), F.lit(0)).alias("below")
+        F.col("source").alias("plan_source"), "source_size", "target", "rounds", F.coalesce(F.col("below"), F.lit(0)).alias("below")
     )
-    return sized, plan
+    return cut_lineage(plan)
+
+
+def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame]:
+    """The documents packed in ``row``, with ``source``, ``size`` and ``hash``, and the plan by source."""
+    sized = docs.select(F.struct(*columns(docs)).alias("row"), F.col("source").alias("source"), word_count(text_col).alias("size"), hash_value(id_col).alias("hash"))
+    return sized, source_plan(cut_lineage(sized.select("source", "size", "hash")))
 
 
 def taken_copies(sized: DataFrame, plan: DataFrame) -> DataFrame:
-    """Add each document's ``source_size``, ``target`` and ``copies`` (times the mix takes it)."""
-    sized = sized.drop("source_size", "target", "copies")
-    out = sized.join(plan, F.col("source").eqNullSafe(F.col("_source")))
-    return out.withColumn("copies", F.col("rounds") + F.when(F.col("hash") < F.col("below"), 1).otherwise(0)).drop("_source", "rounds", "below")
+    """The documents with ``size``, ``hash``, ``source_size``, ``target`` and ``copies`` (times the mix takes each)."""
+    out = by_source(sized, plan, F.col("source").eqNullSafe(F.col("plan_source")))
+    copies = F.col("rounds") + F.when(F.col("hash") < F.col("below"), 1).otherwise(0)
+    added = ("size", "hash", "source_size", "target")
+    kept = [F.col("row").getField(c).alias(c) for c in sized.schema["row"].dataType.names if c not in (*added, "copies")]
+    return out.select(*kept, *added, copies.alias("copies"))
 
 
 def op9_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words that the mix takes from each document."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
     sized = cut_lineage(docs.select("doc_id", "source", word_count("text").alias("size"), hash_value("doc_id").alias("hash")))
-    targets = cut_lineage(source_targets(sized))
-    below = thresholds(sized, targets)
-    plan = targets.join(below, targets.source.eqNullSafe(below._s), "left").select(
-        F.col("source").alias("_source"), "source_size", "target", "rounds", F.coalesce(F.col("below"), F.lit(0)).alias("below")
-    )
-    out = taken_copies(sized, plan)
+    out = taken_copies(sized.select(F.struct("doc_id").alias("row"), "source", "size", "hash"), source_plan(sized))
     return out.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
 
 
@@ -132,7 +141,7 @@ def mix_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage: every document as often as the mix takes it."""
     sized, plan = mix(docs.select(*DOCUMENT_COLUMNS))
     out = taken_copies(sized, plan).where(F.col("copies") > 0)
-    return out.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies")))).select(*DOCUMENT_COLUMNS)
+    return out.select(*DOCUMENT_COLUMNS, F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))).alias("copy")).select(*DOCUMENT_COLUMNS)
 
 
 OP9_SQL = r"""

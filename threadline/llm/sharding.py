@@ -91,7 +91,7 @@ def shard_by_curve(docs: DataFrame, n_shards: int, bits: int = BITS, id_col: str
         .withColumn("lang_cell", string_cell("lang", side))
         .withColumn("size_cell", size_cell(F.col("size"), side))
         .withColumn("curve", F.element_at(lattice, (F.col("source_cell") * side + F.col("lang_cell")) * side + F.col("size_cell") + 1).cast("int"))
-        .withColumn("_tie", F.crc32(F.coalesce(F.col(id_col).cast("string"), F.lit(""))))
+        .withColumn("_tie", F.coalesce(F.crc32(F.col(id_col).cast("string")), F.col("text_crc32")))  # null ids spread by their text
         .withColumn("_group", F.pmod(F.col("_tie"), F.lit(groups)).cast("int"))
     )
     # Both windows below see a histogram of bounded size: cells of the lattice, groups of a cell.
@@ -105,9 +105,7 @@ def shard_by_curve(docs: DataFrame, n_shards: int, bits: int = BITS, id_col: str
     order = Window.partitionBy("curve", "_group").orderBy("_tie", F.col(id_col).asc_nulls_first(), "text_crc32", "size")
     ranked = placed.withColumn("_rank", F.row_number().over(order) - 1).join(firsts, (F.col("curve") == F.col("_c")) & (F.col("_group") == F.col("_g")))
     ranked = ranked.withColumn("_rank", F.col("_rank") + F.col("_first"))
-    total = F.lit(max(rows, 1))
-    shard = F.floor(F.col("_rank") * n_shards / total)
-    ranked = ranked.withColumn("shard", F.expr(f"cast((_rank * {n_shards}) div {max(rows, 1)} as int)")) if n_shards else ranked.withColumn("shard", shard)
+    ranked = ranked.withColumn("shard", F.expr(f"cast((_rank * {n_shards}) div {max(rows, 1)} as int)"))
     # first rank of shard s is ceil(s * rows / n_shards)
     ranked = ranked.withColumn("slot", F.expr(f"_rank - (cast(shard as bigint) * {rows} + {n_shards - 1}) div {n_shards}"))
     return ranked.drop("_tie", "_group", "_rank", "_c", "_g", "_first")

@@ -142,7 +142,7 @@ def fit(labelled: DataFrame) -> Classifier:
     """Learn from (i, t, y) rows: id, text, label 0 or 1."""
     spark = labelled.sparkSession
     n = {r["y"]: r["n"] for r in labelled.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
-    base = (n.get(1, 0) + 1) / (n.get(0, 0) + n.get(1, 0) + 2)
+    base = (n.get(1, 0) + 0.5) / (n.get(0, 0) + n.get(1, 0) + 2)  # 0.25 without any label
     if not n.get(0) or not n.get(1):
         return Classifier(None, None, base)
     draw = F.pmod(F.xxhash64("i", F.lit("fit")), F.lit(1_000_000)) / 1e6
