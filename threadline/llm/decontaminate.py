@@ -6,15 +6,16 @@ document at that offset, and the overlap is real if some window of ``WINDOW`` to
 ``AGREE`` of them. The masks are chosen so that every such window with up to two substitutions holds
 a seed that none of them touches, so nothing within the limit is missed.
 
-Items of fewer tokens than a window must agree whole, in the same share; items of fewer tokens than
-``MIN_TOKENS`` say too little and match nothing.
+Items of fewer tokens than a window must agree whole, in the same share; those of 8 tokens or more get one
+more mask, so that again no placement of the substitutions is missed. Items of fewer tokens than
+``WHOLE_BELOW`` must occur whole and unchanged: their mask is all their tokens.
 
-The benchmark goes to the tasks in blocks of at most ``BLOCK_BYTES`` of text (an item is never cut);
-a larger benchmark takes several passes over the documents, each with one block, so what is sent to a
-task at once does not grow.
+The benchmark goes to the tasks in blocks of about ``BLOCK_BYTES`` of text (an item is never cut), which is checked
+before one is sent; a larger benchmark takes several passes over the documents, one after the other, each with one
+block, whose result is written before the next is sent. So what the driver and a task hold does not grow.
 
-Cases: null and empty texts match nothing; repeated documents are each judged (ids decide pairs);
-repeated items match under each id; long texts are handled whole; an empty table on either side gives no
+Cases: null and empty texts match nothing, null ids take no part; repeated documents are each judged (ids decide
+pairs); repeated items match under each id; long texts are handled whole; an empty table on either side gives no
 pair; extra columns are not looked at.
 """
 
@@ -25,18 +26,23 @@ from functools import reduce
 
 import numpy as np
 import pandas as pd
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import DOCUMENT_COLUMNS, table
+from .common import DOCUMENT_COLUMNS, cut_lineage, table
 from .tokens import WORD, mixed, pieces
 
 #: 1: the token counts, 0: it is ignored. Together they cover all pairs of substitutions in 13 tokens.
 MASKS = ("111011", "1011011", "110111")
+#: For items of fewer tokens than a window: with the others it covers all substitutions allowed in 8 to 12 tokens.
+SHORT_MASK = "1100101"
 WINDOW = 13
 AGREE = 0.8
-MIN_TOKENS = 8
+WHOLE_BELOW = 8
 BLOCK_BYTES = 8_000_000
+#: Meetings of seeds that are handled at once.
+HITS = 1_000_000
 
 
 def seed_hashes(ids: np.ndarray, mask: str) -> np.ndarray:
@@ -58,7 +64,7 @@ class SeedIndex:
 
     def __init__(self, items: list[tuple[int, str | None]]) -> None:
         tokens = [(i, WORD.findall((t or "").lower())) for i, t in items]
-        tokens = [(i, t) for i, t in tokens if len(t) >= MIN_TOKENS]
+        tokens = [(i, t) for i, t in tokens if t]
         self.items = np.array([i for i, _ in tokens], np.int64)
         self.vocabulary: dict[str, int] = {}
         for _, own in tokens:
@@ -68,12 +74,18 @@ class SeedIndex:
         self.lengths = np.array([len(e) for e in encoded], np.int64)
         self.starts = np.cumsum(self.lengths) - self.lengths
         self.flat = np.concatenate([*encoded, np.empty(0, np.int64)])
+        groups = [(mask, self.lengths >= WHOLE_BELOW) for mask in MASKS]
+        groups += [(SHORT_MASK, (self.lengths >= WHOLE_BELOW) & (self.lengths < WINDOW))]
+        groups += [("1" * n, self.lengths == n) for n in range(1, WHOLE_BELOW)]
         self.seeds = []
-        for mask in MASKS:
-            h = [seed_hashes(e, mask) for e in encoded]
-            item = np.repeat(np.arange(len(h)), [len(x) for x in h])
-            offset = np.concatenate([*(np.arange(len(x)) for x in h), np.empty(0, np.int64)]).astype(np.int64)
-            value = np.concatenate([*h, np.empty(0, np.uint64)])
+        for mask, some in groups:
+            if not some.any():
+                continue
+            own = np.flatnonzero(some)
+            h = [seed_hashes(encoded[k], mask) for k in own]
+            item = np.repeat(own, [len(x) for x in h])
+            offset = np.concatenate([np.arange(len(x)) for x in h]).astype(np.int64)
+            value = np.concatenate(h)
             order = np.argsort(value, kind="stable")
             small = np.zeros(1 << 16, bool)
             small[(value & np.uint64(0xFFFF)).astype(np.int64)] = True
@@ -88,10 +100,14 @@ class SeedIndex:
             at = at[owner[at] == owner[at + len(mask) - 1]]
             low = np.searchsorted(value, h[at], "left")
             n = np.searchsorted(value, h[at], "right") - low
-            row = np.repeat(low, n) + np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
-            at = np.repeat(at, n)
-            hits.append(np.stack([owner[at], item[row], at - offset[row]]))
-        hits = np.unique(np.concatenate(hits, axis=1), axis=1)  # an item on a diagonal once
+            # a token that repeats in both texts makes many meetings on few diagonals, so they are reduced as they come
+            cuts = np.searchsorted(np.cumsum(n), np.arange(HITS, int(n.sum()) + HITS, HITS), "left") + 1
+            for s, e in zip([0, *cuts[:-1]][: len(cuts)], cuts, strict=True):
+                m = n[s:e]
+                row = np.repeat(low[s:e], m) + np.arange(int(m.sum())) - np.repeat(np.cumsum(m) - m, m)
+                place = np.repeat(at[s:e], m)
+                hits.append(np.unique(np.stack([owner[place], item[row], place - offset[row]]), axis=1))
+        hits = np.unique(np.concatenate([np.empty((3, 0), np.int64), *hits], axis=1), axis=1)  # an item on a diagonal once
         found: list[tuple[np.ndarray, ...]] = []
         for s in range(0, hits.shape[1], 20_000):
             doc, item, start = hits[:, s : s + 20_000]
@@ -108,7 +124,7 @@ class SeedIndex:
             stop = np.minimum(column[None, :] + window[:, None], width)
             fits = column[None, :] + window[:, None] <= self.lengths[item][:, None]
             agree = np.where(fits, np.take_along_axis(run, stop, axis=1) - run[:, :-1], 0).max(axis=1)
-            good = agree >= np.ceil(AGREE * window - 1e-9)
+            good = agree >= np.where(window < WHOLE_BELOW, window, np.ceil(AGREE * window - 1e-9))
             found.append((doc[good], item[good], same.sum(axis=1)[good], (agree / window)[good], (start - first[doc])[good]))
         return tuple(np.concatenate(x) for x in zip(*found, strict=True)) if found else tuple(np.empty(0, np.int64) for _ in range(5))
 
@@ -129,9 +145,7 @@ def overlaps(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col
     narrow = docs.where(F.col(id_col).isNotNull() & F.col(text_col).isNotNull()).select(F.col(id_col).cast("long").alias("i"), F.col(text_col).alias("t"))
     spark = docs.sparkSession
 
-    def passed(block: list[tuple[int, str | None]]) -> DataFrame:
-        shared = spark.sparkContext.broadcast(SeedIndex(block))
-
+    def passed(shared: Broadcast) -> DataFrame:
         def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             index = shared.value
             number = index.vocabulary.get
@@ -147,7 +161,18 @@ def overlaps(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col
 
         return narrow.mapInPandas(run, "id long, item_id long, tokens long, share double, place long")
 
-    passes = [passed(block) for block in item_blocks(items, item_col, item_text_col, block_bytes)]
+    passes: list[DataFrame] = []
+    blocks = item_blocks(items, item_col, item_text_col, block_bytes)
+    block, following = next(blocks, None), None
+    while block is not None:
+        following = next(blocks, None)
+        shared = spark.sparkContext.broadcast(SeedIndex(block))
+        if passes or following is not None:  # one of several blocks: its result is written and the block let go
+            passes.append(cut_lineage(passed(shared)))
+            shared.unpersist()
+        else:
+            passes.append(passed(shared))
+        block = following
     if not passes:
         return spark.createDataFrame([], "id long, item_id long, tokens long, share double, place long")
     every = reduce(DataFrame.unionByName, passes)
@@ -162,7 +187,7 @@ def op5_spaced_seeds(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def decontaminate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline stage: the documents without any benchmark overlap."""
+    """Pipeline stage: the documents without any benchmark overlap; null texts and null ids stay."""
     docs = docs.select(*DOCUMENT_COLUMNS)
     hit = overlaps(docs, table(spark, sf_dir, "benchmark")).select(F.col("id").alias("_hit")).distinct()
     return docs.join(hit, F.col("doc_id") == F.col("_hit"), "left_anti")

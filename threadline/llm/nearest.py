@@ -10,15 +10,17 @@ by brute force, and the smallest share that finds ``RECALL`` of their neighbours
 where vectors gather in groups and large where they do not. The work is dealt by (part, slice), where the number of slices of a part
 follows its size; each slice keeps its best, and the bests of a query are merged.
 
-Cases: vectors that are null or zero, or hold null or non-finite components, take no part, nor do those
-whose length is not the commonest one; copies of a vector are all candidates (only the k + 1 smallest
+Where a part has many queries these are sliced too, so a task compares a bounded number of queries with a bounded
+number of entries. Vectors meet those of their own length only, each length with a router of its own.
+
+Cases: vectors that are null or zero, or hold null or non-finite components, take no part; copies of a vector are all candidates (only the k + 1 smallest
 ids of a copy group can be among the k nearest, and those are kept); fewer candidates than k give all of them;
 an empty table gives an empty result; extra columns are not looked at. Null ids take no part.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -31,13 +33,15 @@ K = 20
 #: Vectors to fit on, at most.
 SAMPLE = 6000
 NEIGHBOURS = 12
-#: Entries of a part, about; the number of parts follows the number of entries.
+#: Entries of a part, about; the number of parts follows the number of entries up to what the bounded sample can teach.
 PART_ROWS = 200
 MAX_PARTS = 32
 #: Recall that the probe share has to reach on the sample, and the number of vectors it is measured with.
 RECALL = 0.95
 CALIBRATION = 400
 SLICE_ROWS = 20_000
+#: Queries that one task compares, about.
+QUERY_ROWS = 20_000
 #: Rows of equal vectors that one window task may hold, about.
 COPY_ROWS = 50_000
 
@@ -133,14 +137,22 @@ def usable(vectors: DataFrame, id_col: str, vec_col: str) -> DataFrame:
     out = vectors.select(F.col(id_col).cast("long").alias("id"), F.col(vec_col).cast("array<double>").alias("v")).where("id is not null and v is not null")
     bad = F.exists("v", lambda c: c.isNull() | F.isnan(c) | (F.abs(c) == float("inf")))
     out = out.where(~bad & F.exists("v", lambda c: c != 0))
-    lengths = out.groupBy(F.size("v").alias("d")).agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "d").limit(1).collect()
-    return out.where(F.size("v") == (lengths[0]["d"] if lengths else 0))
+    return out
 
 
 def search(vectors: DataFrame, queries: DataFrame, k: int = K, id_col: str = "vec_id", vec_col: str = "embedding", part_rows: int = PART_ROWS) -> DataFrame:
     """The k nearest found for each query row, by inner product: query_id, rank, vec_id, score."""
-    spark = vectors.sparkSession
-    rows = usable(vectors, id_col, vec_col)
+    rows, asked = usable(vectors, id_col, vec_col), usable(queries, id_col, vec_col).dropDuplicates(["id"])
+    lengths = sorted(r[0] for r in asked.select(F.size("v")).distinct().collect())  # dimensions, of which a table has few
+    if not lengths:
+        return vectors.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score double")
+    found = [search_length(rows.where(F.size("v") == d), asked.where(F.size("v") == d), k, part_rows) for d in lengths]
+    return reduce(DataFrame.unionByName, found)
+
+
+def search_length(rows: DataFrame, asked: DataFrame, k: int, part_rows: int) -> DataFrame:
+    """``search`` among (id, v) rows of one length."""
+    spark = rows.sparkSession
     # copies of a vector: none but the k + 1 smallest ids can be among the k nearest of a query
     rows = cut_lineage(rows.withColumn("h", F.xxhash64("v")))
     held = Window.partitionBy("h", "s").orderBy("id")
@@ -184,8 +196,9 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = K, id_col: str = "ve
         wanted = (before <= enough) | (before_ids < k + 1)
         return pd.Series([[{"part": int(p), "slice": s} for p in o[w] if sizes[p] for s in range(int(slices[p]))] for o, w in zip(order, wanted, strict=True)])
 
-    asked = usable(queries, id_col, vec_col).dropDuplicates(["id"])
-    asked = asked.withColumn("at", F.explode(route("v"))).select("id", "v", "at.part", "at.slice")
+    asked = cut_lineage(asked)
+    query_slices = max(1, -(-asked.count() // QUERY_ROWS))
+    asked = asked.withColumn("at", F.explode(route("v"))).select("id", "v", "at.part", "at.slice", F.pmod(F.xxhash64("id"), F.lit(query_slices)).alias("share"))
     n_slices = F.element_at(F.array(*[F.lit(int(s)) for s in slices]), F.col("part") + 1)
     cut = placed.withColumn("slice", F.pmod(F.xxhash64("h", F.lit("slice")), n_slices).cast("int"))
 
@@ -214,7 +227,9 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = K, id_col: str = "ve
                     out["score"] += score[best].tolist()
         return pd.DataFrame(out).astype({"query_id": "int64", "vec_id": "int64", "score": "float64"})
 
-    best = asked.groupBy("part", "slice").cogroup(cut.select("part", "slice", "v", "ids", "n").groupBy("part", "slice")).applyInPandas(rank, "query_id long, vec_id long, score double")
+    shares = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(query_slices - 1).cast("long"))).alias("share")
+    cut = cut.select("part", "slice", "v", "ids", "n", shares)
+    best = asked.groupBy("part", "slice", "share").cogroup(cut.groupBy("part", "slice", "share")).applyInPandas(rank, "query_id long, vec_id long, score double")
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return best.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
