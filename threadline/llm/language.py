@@ -33,9 +33,11 @@ from .common import DOCUMENT_COLUMNS, columns, table
 
 PROFILE = 400
 SAMPLE = 2000
-#: Word signs that are neither letters nor decimal digits, such as fractions and circled numbers.
-_NUMBERS = "".join(chr(c) for c in range(0x110000) if chr(c).isalnum() and not chr(c).isalpha() and not chr(c).isdecimal())
-NON_LETTER = re.compile(rf"[\W\d_{re.escape(_NUMBERS)}]+")
+NON_LETTER = re.compile(r"[\W\d_]+")
+#: Code points that are word signs but neither letters nor decimal digits, such as fractions and circled numbers.
+NUMBERS = np.array([c for c in range(0x110000) if chr(c).isalnum() and not chr(c).isalpha() and not chr(c).isdecimal()])
+_IS_NUMBER = np.zeros(0x110000, bool)
+_IS_NUMBER[NUMBERS] = True
 _EDGE = ord("_")
 
 
@@ -46,10 +48,13 @@ def held_out(id_col: str, modulus: int, rest: int) -> Column:
 
 def gram_counts(text: str | None) -> tuple[np.ndarray, np.ndarray]:
     """Distinct n-grams of a text as 63-bit keys, with counts."""
-    letters = NON_LETTER.sub("_", (text or "").lower()).strip("_")
+    letters = NON_LETTER.sub("_", (text or "").lower())
+    if not letters.isascii() and _IS_NUMBER[np.frombuffer(letters.encode("utf-32-le", "replace"), np.uint32)].any():
+        letters = "_".join(x for x in "".join("_" if _IS_NUMBER[ord(c)] else c for c in letters).split("_") if x)
+    letters = letters.strip("_")
     if not letters:
         return np.empty(0, np.int64), np.empty(0, np.int64)
-    c = np.frombuffer(f"_{letters}_".encode("utf-32-le"), np.uint32).astype(np.int64)
+    c = np.frombuffer(f"_{letters}_".encode("utf-32-le", "replace"), np.uint32).astype(np.int64)
     one = c[c != _EDGE]
     two = c[:-1] | c[1:] << 21
     three = (two[:-1] | c[2:] << 42)[c[1:-1] != _EDGE]
@@ -144,8 +149,9 @@ def identify(docs: DataFrame, profiles: Profiles, text_col: str = "text") -> Dat
         own = shared.value
         return pd.DataFrame([own.judge(t) for t in texts], columns=["lang_pred", "score", "distance"])
 
-    # the documents are packed, so no column of theirs meets one of ours
-    packed = docs.select(F.struct(*columns(docs)).alias("row"), judge(F.col(text_col)).alias("judged"))
+    # the documents are packed, so no column of theirs meets one of ours; a text is judged once, whatever is asked of the result
+    once = judge.asNondeterministic()
+    packed = docs.select(F.struct(*columns(docs)).alias("row"), once(F.col(text_col)).alias("judged"))
     kept = [F.col("row").getField(c).alias(c) for c in docs.columns if c not in ("lang_pred", "score", "distance")]
     return packed.select(*kept, "judged.*")
 
