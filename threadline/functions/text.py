@@ -58,15 +58,22 @@ def parse_chat_time(date: Column, time: Column) -> Column:
 
 
 def parse_time(text: Column) -> Column:
-    """Timestamp in one of four formats, first success."""
-    tries = [F.try_to_timestamp(F.trim(text), F.lit(f)) for f in ("d/M/yy H.mm", "d/M/yyyy H.mm", "yyyy-MM-dd HH:mm:ss", "yyyy-MM-dd HH:mm")]
+    """Timestamp in one of four day-first formats, first success."""
+    tries = [F.try_to_timestamp(F.trim(text), F.lit(f)) for f in ("d/M/yy H.mm", "d/M/yyyy H.mm", "d/M/yy H:mm", "d/M/yyyy H:mm")]
     return F.coalesce(*tries)
 
 
+#: What cleaning removes, in this order: marks of media and deletion, image names and links; signs; lone numbers; doubled blanks.
+CLEAN_PATTERNS = (
+    rf"<[^<>]*(?:omitted|attached|terlampir|disertakan)[^<>]*>|[(]file[ \t\n]+terlampir[)]|this message was deleted|pesan[ \t\n]+ini[ \t\n]+(?:telah[ \t\n]+)?(?:dihapus|diedit)|https?://[^ \t\n]+|www\.[^ \t\n]+|{MEDIA_NAME}",
+    rf"[^{_WORD} ]+", r"(^| )([0-9]+ )*[0-9]+( |$)", r" +",
+)
+
+
 def clean_text(text: Column) -> Column:
     """Lower case without media markers, image names, links, punctuation, lone numbers and doubled blanks."""
     out = F.lower(text)
-    for pattern in (r"<[^<>]*(?:omitted|attached|terlampir)[^<>]*>", r"https?://[^ \t\n]+", r"www\.[^ \t\n]+", MEDIA_NAME, r"this message was deleted", rf"[^{_WORD} ]+", r"(^| )([0-9]+ )*[0-9]+( |$)", r" +"):
+    for pattern in CLEAN_PATTERNS:
         out = F.regexp_replace(out, pattern, " ")
     return F.trim(out)
 
@@ -108,10 +115,15 @@ def normalise_text(cleaned: Column, domain: dict[str, str], general: dict[str, s
     return F.struct(F.array_join(new, " ").alias("normalised"), changed.alias("changed"))
 
 
+# Spellings of the handling status.
+REMOTE_SPELLINGS = ("REMOTE", "TRUE", "YES", "YA", "1", "T")
+NON_REMOTE_SPELLINGS = ("NON_REMOTE", "NON-REMOTE", "FALSE", "NO", "TIDAK", "0", "F")
+
+
 def handling_status(value: Column) -> Column:
     """REMOTE, NON_REMOTE or UNKNOWN from usual spellings."""
-    v = F.upper(F.trim(value))
-    return F.when(v.isin("REMOTE", "YES", "TRUE", "1", "Y", "YA"), "REMOTE").when(v.isin("NON_REMOTE", "NON-REMOTE", "NON REMOTE", "NO", "FALSE", "0", "N"), "NON_REMOTE").otherwise("UNKNOWN")
+    v = F.upper(F.trim(value.cast("string")))
+    return F.when(v.isin(*REMOTE_SPELLINGS), "REMOTE").when(v.isin(*NON_REMOTE_SPELLINGS), "NON_REMOTE").otherwise("UNKNOWN")
 
 
 def clean_category(value: Column) -> Column:
@@ -141,14 +153,22 @@ def parent_id(conversation: Column, sub: Column) -> Column:
 
 
 def letters_suffix(n: Column) -> Column:
-    """a to z, then aa, ab, ... for 0, 1, 2, ... (up to 701): a suffix that does not repeat."""
-    one = F.chr(F.lit(97) + n % 26)
-    return F.when(n < 26, one).otherwise(F.concat(F.chr(F.lit(96) + F.floor(n / 26)), one))
+    """a to z, aa to zz, aaa, ... for 0, 1, 2, ...: a suffix that does not repeat, for any number below 26^7."""
+    rest, out = n.cast("long"), F.lit("")
+    for _ in range(7):
+        out = F.when(rest >= 0, F.concat(F.chr(F.lit(97) + rest % 26), out)).otherwise(out)
+        rest = F.when(rest >= 0, F.floor(rest / 26) - 1).otherwise(F.lit(-1))
+    return out
 
 
 def decide_status(old: Column, new: Column, previous: Column) -> Column:
-    """KEEP when the new label is the old one, UPDATE when it is confirmed by the previous one, else REVIEW."""
-    return F.when(new == old, "KEEP").when(new == previous, "UPDATE").otherwise("REVIEW")
+    """KEEP when the new label is the old one, UPDATE when a previous one that is not blank confirms it, else REVIEW."""
+    return F.when(new == old, "KEEP").when((F.trim(previous.cast("string")) != "") & (new == previous), "UPDATE").otherwise("REVIEW")
+
+
+def decided_label(old: Column, new: Column, previous: Column) -> Column:
+    """The label that goes with the status: the new one for UPDATE, else the old one."""
+    return F.when(decide_status(old, new, previous) == "UPDATE", new).otherwise(old)
 
 
 def first_json(answer: Column, schema: str) -> Column:
@@ -168,9 +188,59 @@ def softmax(scores: Column) -> Column:
     return F.transform(powers, lambda p: p / total)
 
 
+# Names of export files that name no customer.
+GENERIC_NAMES = ("chat", "export", "whatsapp chat", "obrolan whatsapp", "messages", "chat_parsed", "data", "whatsapp_export")
+EXPORT_PREFIX = r"(?i)^(?:WhatsApp Chat|Obrolan WhatsApp|Chat) ?(?:-|with|dengan) ?(.+)$"
+
+
 def customer_from_file(name: Column) -> Column:
-    """Customer name in an export's file name, null for generic names and chat numbers."""
-    stem = F.regexp_replace(F.regexp_extract(name, r"([^/\\]+)$", 1), r"(?i)\.(txt|zip)$", "")
-    named = F.coalesce(F.nullif(F.regexp_extract(stem, r"(?i)^(?:.*chat with |.*chat dengan )(.+)$", 1), F.lit("")), F.nullif(F.regexp_extract(stem, r"(?i)^(?:export|chat)[ _-]+(.+)$", 1), F.lit("")), stem)
-    named = F.trim(named)
-    return F.when(named.rlike(r"(?i)^chat[_ -]?[0-9]*$") | F.lower(named).isin("chat", "export", "messages", "untitled", "") | named.rlike("^[0-9]+$"), None).otherwise(named)
+    """Customer name in an export's file name, null for generic names, chat numbers and single signs."""
+    stem = F.regexp_replace(F.regexp_extract(name, r"([^/\\]+)$", 1), r"(.)\.[^.]*$", "$1")
+    stem = F.trim(F.regexp_replace(stem, r"[ \t\n]+", " "))
+    named = F.trim(F.regexp_extract(stem, EXPORT_PREFIX, 1))
+    generic = F.lower(stem).isin(*GENERIC_NAMES) | stem.rlike(r"(?i)^chat_[0-9]+$")
+    return F.when((named != "") & ~F.lower(named).isin(*GENERIC_NAMES), named).when(~generic & (F.length(stem) > 1), stem)
+
+
+# Marks of chat exports, and what a system or a sender puts for a deleted message.
+OMITTED_MARKS = ("<Media tidak disertakan>", "<Media omitted>")
+ATTACHED_MARK = "(file terlampir)"
+DELETED_MARKS = ("Pesan ini telah dihapus", "This message was deleted", "You deleted this message", "Anda menghapus pesan ini")
+MEDIA_KINDS = (
+    ("image", ("jpg", "jpeg", "png", "gif", "webp")), ("video", ("mp4", "3gp", "avi", "mov")),
+    ("audio", ("opus", "mp3", "aac", "ogg")), ("document", ("pdf", "doc", "docx", "xls", "xlsx")),
+)
+
+
+def holds_any(text: Column, marks: tuple[str, ...]) -> Column:
+    """Whether a text holds one of some strings."""
+    found = F.lit(False)
+    for mark in marks:
+        found = found | F.coalesce(text.contains(mark), F.lit(False))
+    return found
+
+
+def media_kind(name: Column) -> Column:
+    """image, video, audio or document by the extension of a file name, else file."""
+    extension = F.lower(F.regexp_extract(name, r"\.([^.]*)$", 1))
+    kind = F.lit("file")
+    for label, extensions in reversed(MEDIA_KINDS):
+        kind = F.when(extension.isin(*extensions), label).otherwise(kind)
+    return kind
+
+
+def media_of(text: Column) -> Column:
+    """Struct of media_type, file_name and has_media of a message."""
+    omitted = holds_any(text, OMITTED_MARKS)
+    name = F.trim(F.regexp_extract(text, r"([^\n]+?)[ \t\n]+[(]file terlampir[)]", 1))
+    attached = name != ""
+    return F.struct(
+        F.when(omitted, "image").when(attached, media_kind(name)).otherwise("").alias("media_type"),
+        F.when(~omitted & attached, name).otherwise("").alias("file_name"), (omitted | attached).alias("has_media"),
+    )
+
+
+def credential_pattern(words: tuple[str, ...]) -> str:
+    """A pattern for lower text: phrases, ``id: x`` and the like, nine digits in threes, or eight or nine digits."""
+    edge, end = rf"(^|[^{_WORD}])", rf"([^{_WORD}]|$)"
+    return rf"{word_pattern(words)}|{edge}(id|pass|password)[ ]*:[ ]*[0-9a-z]+|{edge}[0-9]{{3}}[ ]*[0-9]{{3}}[ ]*[0-9]{{3}}{end}|{edge}[0-9]{{8,9}}{end}"

@@ -75,7 +75,7 @@ def split_topics(rows: DataFrame, keys: list[str], order: list[str], taxonomy: T
 def response_labels(rows: DataFrame, key: str, position: str, closing: str, waiting: str, role: str = "role", text: str = "text", short: int = 30) -> DataFrame:
     """Per conversation whether the client responded, by the ordered rule.
 
-    No client row: no. No admin row: yes. Last row by the client: yes. Last row a closing word and no question: yes.
+    No client row: no. No admin row: yes. Last row by the client: yes. Last row a closing word that neither asks nor waits: yes.
     All rows after the client's last are short or closing, and none asks or waits: yes. Else no.
     """
     lowered = F.lower(F.coalesce(F.col(text), F.lit("")))
@@ -87,11 +87,11 @@ def response_labels(rows: DataFrame, key: str, position: str, closing: str, wait
     after = F.col("_p") > F.col("_client")
     groups = out.groupBy(key).agg(
         F.max("_client").alias("client"), F.count_if(F.col("_r") == "ADMIN").alias("admins"), F.max_by("_r", "_p").alias("last_role"),
-        F.max_by(F.struct("_closing", "_asks"), "_p").alias("last"),
+        F.max_by(F.col("_closing") & ~F.col("_asks") & ~F.col("_waits"), "_p").alias("closed"),
         F.coalesce(F.bool_and(F.when(after, F.col("_short") | F.col("_closing"))), F.lit(True)).alias("brief"),
         F.coalesce(F.bool_or(F.when(after, F.col("_asks") | F.col("_waits"))), F.lit(False)).alias("open"),
     )
-    yes = (F.col("admins") == 0) | (F.col("last_role") == "CLIENT") | (F.col("last._closing") & ~F.col("last._asks")) | (F.col("brief") & ~F.col("open"))
+    yes = (F.col("admins") == 0) | (F.col("last_role") == "CLIENT") | F.col("closed") | (F.col("brief") & ~F.col("open"))
     return groups.select(key, F.when(F.col("client").isNull(), "NO_RESPONSE").when(yes, "RESPONSE").otherwise("NO_RESPONSE").alias("response"))
 
 

@@ -16,10 +16,11 @@ def _words(words: tuple[str, ...]) -> str:
     return f"regexp_matches(lower(text), '{T.word_pattern(words)}')"
 
 
+_CREDENTIAL = f"regexp_matches(lower(text), '{T.credential_pattern(dims.CREDENTIAL_WORDS)}')"
 _FIRST = "CASE " + " ".join(f"WHEN regexp_matches(lower(text), '{T.category_pattern(c)}') THEN '{c.name}'" for c in dims.TAXONOMY.categories) + " END"
 _ALL = ", ".join(f"CASE WHEN regexp_matches(lower(text), '{T.category_pattern(c)}') THEN '{c.name}' END" for c in dims.TAXONOMY.categories)
 _CLEAN = "lower(text)"
-for _p in (r"<[^<>]*(?:omitted|attached|terlampir)[^<>]*>", r"https?://[^ \t\n]+", r"www\.[^ \t\n]+", T.MEDIA_NAME, r"this message was deleted", rf"[^{_W} ]+", r"(^| )([0-9]+ )*[0-9]+( |$)", r" +"):
+for _p in T.CLEAN_PATTERNS:
     _CLEAN = f"regexp_replace({_CLEAN}, '{_p}', ' ', 'g')"
 _CLEAN = f"trim({_CLEAN})"
 _TOKENS = f"list_filter(string_split({_CLEAN}, ' '), lambda t: t <> '')"
@@ -80,11 +81,13 @@ QUERIES = {
     "unmapped_senders": lambda s, d: chat.unmapped_senders(messages(s, d), s.range(1).select(F.explode(F.array(F.lit("user"), F.lit("assistant"))).alias("sender"))),
     "role_mix": lambda s, d: messages(s, d).groupBy("conv_id").agg(F.array_join(F.array_sort(F.collect_set("role")), ",").alias("roles"), F.count(F.lit(1)).alias("n")),
     "content_flags": lambda s, d: messages(s, d).agg(
-        F.count_if(F.col("text").rlike("https?://")).alias("links"), F.count_if(F.length("text").between(1, 5)).alias("very_short"), F.count_if(F.col("text").contains("?")).alias("questions")),
+        F.count_if(F.col("text").rlike("https?://")).alias("links"), F.count_if(F.length(F.trim("text")).between(1, 5)).alias("very_short"), F.count_if(F.col("text").contains("?")).alias("questions"),
+        F.count_if(T.holds_any(F.col("text"), T.OMITTED_MARKS)).alias("omitted"), F.count_if(F.col("text").contains(T.ATTACHED_MARK)).alias("attached"),
+        F.count_if(T.holds_any(F.col("text"), T.DELETED_MARKS)).alias("deleted"), F.count_if(F.col("role") == "SYSTEM").alias("system")),
     "length_profile": lambda s, d: profile.length_profile(messages(s, d), "text", "role"),
     "duplicate_messages": lambda s, d: chat.exact_duplicates(read(s, d, "documents"), ["source", "text"], "doc_id"),
     "similar_names": lambda s, d: profile.similar_names(read(s, d, "part").select("p_name").union(read(s, d, "documents").select("source")), "p_name"),
-    "mention_flags": lambda s, d: chat.handling_labels(messages(s, d), "conv_id", T.word_pattern(dims.REMOTE_WORDS), T.word_pattern(dims.CREDENTIAL_WORDS)),
+    "mention_flags": lambda s, d: chat.handling_labels(messages(s, d), "conv_id", T.word_pattern(dims.REMOTE_WORDS), T.credential_pattern(dims.CREDENTIAL_WORDS)),
     "response_label": lambda s, d: chat.response_labels(messages(s, d), "conv_id", "turn", T.word_pattern(dims.CLOSING_WORDS), T.word_pattern(dims.WAITING_WORDS)),
     "topic_split": lambda s, d: chat.split_topics(messages(s, d), ["conv_id"], ["turn"], dims.TAXONOMY).select("conv_id", "turn", "segment", "category"),
     "topic_summary": lambda s, d: chat.split_topics(messages(s, d), ["conv_id"], ["turn"], dims.TAXONOMY).groupBy("conv_id", "segment", "category").agg(F.count(F.lit(1)).alias("n")),
@@ -107,7 +110,9 @@ QUERIES = {
     "relabel_decision": lambda s, d: read(s, d, "labels").select("doc_id", T.decide_status(F.col("quality"), F.col("toxic"), F.lit(1)).alias("status")).groupBy("status").agg(F.count(F.lit(1)).alias("n")),
     "rule_label": lambda s, d: chat.document_labels(read(s, d, "documents"), dims.TAXONOMY).groupBy("label", "confidence").agg(F.count(F.lit(1)).alias("n")),
     "json_contract": lambda s, d: read(s, d, "events").select("event_id", T.first_json(F.concat(F.lit("```json\n"), F.regexp_replace("props", r"\}$", ",}"), F.lit("\n```")), "k int").alias("j")).select("event_id", F.col("j.k").alias("k")),
-    "customer_name": lambda s, d: read(s, d, "customer").select("c_custkey", T.customer_from_file(F.when(F.col("c_custkey") % 3 == 0, F.concat(F.lit("Chat with "), "c_name", F.lit(".txt"))).when(F.col("c_custkey") % 3 == 1, F.concat(F.lit("in/chat_"), "c_custkey", F.lit(".txt"))).otherwise(F.col("c_name"))).alias("customer")),
+    "customer_name": lambda s, d: read(s, d, "customer").select("c_custkey", T.customer_from_file(F.element_at(F.array(
+        F.concat(F.lit("WhatsApp Chat - "), "c_name", F.lit(".txt")), F.concat(F.lit("in/Obrolan WhatsApp dengan "), "c_name", F.lit(".txt")), F.concat(F.lit("chat_"), "c_custkey", F.lit(".txt")),
+        F.concat(F.lit("a/b/"), "c_name", F.lit(".zip")), F.lit("WhatsApp_Export.txt"), F.concat(F.lit("Chat with  "), "c_mktsegment", F.lit(".txt"))), (F.col("c_custkey") % 6 + 1).cast("int"))).alias("customer")),
     "group_split": lambda s, d: _group_split(s, d),
     "search": lambda s, d: reports.matching(read(s, d, "documents"), "this work is", ("text", "source"), lang="en").select("doc_id"),
 }
@@ -123,13 +128,15 @@ ORACLES = {
     "role_assign": f"WITH {MESSAGES_SQL} SELECT sender, role, count(*) AS n FROM msg GROUP BY ALL",
     "unmapped_senders": f"WITH {MESSAGES_SQL} SELECT DISTINCT sender FROM msg WHERE sender NOT IN ('user', 'assistant')",
     "role_mix": f"WITH {MESSAGES_SQL} SELECT conv_id, string_agg(DISTINCT role, ',' ORDER BY role) AS roles, count(*) AS n FROM msg GROUP BY 1",
-    "content_flags": "SELECT count(*) FILTER (WHERE regexp_matches(text, 'https?://')) AS links, count(*) FILTER (WHERE length(text) BETWEEN 1 AND 5) AS very_short, count(*) FILTER (WHERE contains(text, '?')) AS questions FROM conversations",
+    "content_flags": "SELECT count(*) FILTER (WHERE regexp_matches(text, 'https?://')) AS links, count(*) FILTER (WHERE length(trim(text)) BETWEEN 1 AND 5) AS very_short, count(*) FILTER (WHERE contains(text, '?')) AS questions, " + ", ".join(
+        f"count(*) FILTER (WHERE {' OR '.join(f'contains(text, {chr(39)}{m}{chr(39)})' for m in marks)}) AS {name}" for name, marks in (("omitted", T.OMITTED_MARKS), ("attached", (T.ATTACHED_MARK,)), ("deleted", T.DELETED_MARKS))
+    ) + ", count(*) FILTER (WHERE role = 'system') AS system FROM conversations",
     "length_profile": f"WITH {MESSAGES_SQL}, l AS (SELECT role, length(text) AS len, row_number() OVER (PARTITION BY role ORDER BY length(text)) AS i, count(*) OVER (PARTITION BY role) AS n FROM msg) SELECT role, avg(len) AS mean_len, min(len)::INT AS min_len, max(len)::INT AS max_len, count(*) FILTER (WHERE len < 10) AS from_0, count(*) FILTER (WHERE len >= 10 AND len < 50) AS from_10, count(*) FILTER (WHERE len >= 50 AND len < 100) AS from_50, count(*) FILTER (WHERE len >= 100 AND len < 500) AS from_100, count(*) FILTER (WHERE len >= 500 AND len < 2000) AS from_500, count(*) FILTER (WHERE len >= 2000) AS from_2000, max(len) FILTER (WHERE i = n // 2 + 1)::INT AS median FROM l GROUP BY role",
     "duplicate_messages": "SELECT doc_id, first_id FROM (SELECT doc_id, min(doc_id) OVER (PARTITION BY source, text) AS first_id FROM documents) WHERE doc_id <> first_id",
     "similar_names": "WITH n AS (SELECT DISTINCT lower(trim(p_name)) AS name FROM (SELECT p_name FROM part UNION ALL SELECT source FROM documents) WHERE length(lower(trim(p_name))) >= 3) SELECT a.name AS short, b.name AS long FROM n a JOIN n b ON a.name <> b.name AND contains(b.name, a.name)",
-    "mention_flags": f"SELECT conv_id, CASE WHEN bool_or({_words(dims.REMOTE_WORDS)} OR {_words(dims.CREDENTIAL_WORDS)}) THEN 'REMOTE' ELSE 'NON_REMOTE' END AS handling, count(*) FILTER (WHERE {_words(dims.CREDENTIAL_WORDS)}) AS credential_rows FROM conversations GROUP BY 1",
+    "mention_flags": f"SELECT conv_id, CASE WHEN bool_or({_words(dims.REMOTE_WORDS)} OR {_CREDENTIAL}) THEN 'REMOTE' ELSE 'NON_REMOTE' END AS handling, count(*) FILTER (WHERE {_CREDENTIAL}) AS credential_rows FROM conversations GROUP BY 1",
     "response_label": f"""WITH {MESSAGES_SQL}, f AS (SELECT conv_id, turn, role, {_words(dims.CLOSING_WORDS)} AS closing, contains(text, '?') AS asks, {_words(dims.WAITING_WORDS)} AS waits, length(trim(lower(text))) <= 30 AS short, max(CASE WHEN role = 'CLIENT' THEN turn END) OVER (PARTITION BY conv_id) AS client FROM msg),
-g AS (SELECT conv_id, max(client) AS client, count(*) FILTER (WHERE role = 'ADMIN') AS admins, arg_max(role, turn) AS last_role, arg_max(closing AND NOT asks, turn) AS closed, coalesce(bool_and(short OR closing) FILTER (WHERE turn > client), true) AS brief, coalesce(bool_or(asks OR waits) FILTER (WHERE turn > client), false) AS open FROM f GROUP BY 1)
+g AS (SELECT conv_id, max(client) AS client, count(*) FILTER (WHERE role = 'ADMIN') AS admins, arg_max(role, turn) AS last_role, arg_max(closing AND NOT asks AND NOT waits, turn) AS closed, coalesce(bool_and(short OR closing) FILTER (WHERE turn > client), true) AS brief, coalesce(bool_or(asks OR waits) FILTER (WHERE turn > client), false) AS open FROM f GROUP BY 1)
 SELECT conv_id, CASE WHEN client IS NULL THEN 'NO_RESPONSE' WHEN admins = 0 OR last_role = 'CLIENT' OR closed OR (brief AND NOT open) THEN 'RESPONSE' ELSE 'NO_RESPONSE' END AS response FROM g""",
     "first_category": f"SELECT doc_id, coalesce({_FIRST}, 'OTHER') AS category FROM documents",
     "all_categories": f"SELECT doc_id, coalesce(nullif(concat_ws(',', {_ALL}), ''), 'OTHER') AS categories FROM documents",
@@ -145,7 +152,7 @@ SELECT conv_id, CASE WHEN client IS NULL THEN 'NO_RESPONSE' WHEN admins = 0 OR l
     "rule_label": f"WITH l AS (SELECT coalesce({_FIRST}, 'OTHER') AS label FROM documents) SELECT label, CASE WHEN label = 'OTHER' THEN 0.5::DOUBLE ELSE 0.9::DOUBLE END AS confidence, count(*) AS n FROM l GROUP BY ALL",
     "json_contract": "SELECT event_id, (props->>'$.k')::INT AS k FROM events",
     "search": "SELECT doc_id FROM documents WHERE (contains(lower(text), 'this work is') OR contains(lower(source), 'this work is')) AND lang = 'en'",
-    "customer_name": "SELECT c_custkey, CASE WHEN c_custkey % 3 = 1 THEN NULL ELSE c_name END AS customer FROM customer",
+    "customer_name": "SELECT c_custkey, CASE c_custkey % 6 WHEN 2 THEN NULL WHEN 4 THEN NULL WHEN 5 THEN c_mktsegment ELSE c_name END AS customer FROM customer",
 }
 _CLUSTER_TERMS = _TERMS.replace("HAVING count(*) >= 2 ", "").replace("LIMIT 400", "LIMIT 2000").replace("(1 + ln(tf.tf))", "tf.tf")
 ORACLES["cluster_pairs"] = f"WITH {_CLUSTER_TERMS} SELECT x.doc_id AS a, y.doc_id AS b FROM weights x JOIN weights y ON x.term = y.term AND x.doc_id < y.doc_id GROUP BY 1, 2 HAVING sum(x.weight * y.weight) >= {_CLUSTER_LEAST}::DOUBLE"
