@@ -84,6 +84,12 @@ def page(rows: DataFrame, order: list, number: int = 1, size: int = 50) -> DataF
     return rows.orderBy(*order).offset((number - 1) * size).limit(size)
 
 
+def page_with_totals(rows: DataFrame, order: list, number: int = 1, size: int = 50) -> DataFrame:
+    """A page with ``total`` rows and ``pages`` of all; the count is one row."""
+    totals = rows.agg(F.count(F.lit(1)).alias("total")).withColumn("pages", F.ceil(F.col("total") / size))
+    return page(rows, order, number, size).crossJoin(F.broadcast(totals))
+
+
 def zero_filled(categories: DataFrame, counts: DataFrame, key: str = "category") -> DataFrame:
     """A breakdown with a zero row for every category it lacks."""
     return categories.join(counts, key, "left").fillna(0)
