@@ -2,28 +2,31 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import reduce
+
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LinearSVC, LogisticRegression, NaiveBayes, OneVsRest, RandomForestClassifier
 from pyspark.ml.feature import CountVectorizer, IDF, NGram, Normalizer, RegexTokenizer, SQLTransformer, StopWordsRemover, StringIndexer
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, Window
+from pyspark.ml.evaluation import MulticlassClassificationEvaluator
+from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from threadline.dims import STOP_WORDS
 from threadline.functions.text import softmax
+from threadline.operators.reports import class_metrics, summary_metrics
 
 
-def group_folds(rows: DataFrame, group: str, label: str, folds: int = 5) -> DataFrame:
-    """(group, fold): whole groups on one side, dealt within their commonest label so that label shares stay near."""
-    counts = rows.where(F.col(group).isNotNull()).groupBy(group, label).agg(F.count(F.lit(1)).alias("n"))
-    main = counts.groupBy(group).agg(F.min(F.struct((-F.col("n")).alias("n"), F.col(label).alias("l"))).alias("b"))
-    w = Window.partitionBy("b.l").orderBy(F.xxhash64(group), group)
-    return main.select(group, ((F.row_number().over(w) - 1) % folds).alias("fold"))
+def hash_fold(key: str, folds: int = 5) -> Column:
+    """Fold of a key, from the first 32 bits of the MD5 digest of its text form."""
+    return (F.conv(F.substring(F.md5(F.col(key).cast("string").cast("binary")), 1, 8), 16, 10).cast("long") % folds).cast("int")
 
 
-def group_split(rows: DataFrame, group: str, label: str, folds: int = 5) -> DataFrame:
-    """Add ``split``: the first fold is the test side."""
-    return rows.join(group_folds(rows, group, label, folds), group).withColumn("split", F.when(F.col("fold") == 0, "test").otherwise("train")).drop("fold")
+def group_split(rows: DataFrame, group: str, folds: int = 5) -> DataFrame:
+    """Add ``split``: whole groups on one side, the first of ``folds`` folds is the test side. A fold depends on the group alone, so nothing is shuffled."""
+    return rows.where(F.col(group).isNotNull()).withColumn("split", F.when(hash_fold(group, folds) == 0, "test").otherwise("train"))
 
 
 def leaking_groups(rows: DataFrame, group: str) -> DataFrame:
@@ -81,6 +84,104 @@ def predict(model: PipelineModel, rows: DataFrame, label: str) -> DataFrame:
     return out.withColumn("margin", F.try_element_at("_scores", F.lit(1)) - F.coalesce(F.try_element_at("_scores", F.lit(2)), F.lit(0.0)))
 
 
+def class_union(train_rows: DataFrame, test_rows: DataFrame, label: str) -> DataFrame:
+    """All labels of both sides."""
+    return train_rows.select(label).union(test_rows.select(label)).where(F.col(label).isNotNull()).distinct()
+
+
+def shared_groups(train_rows: DataFrame, test_rows: DataFrame, group: str) -> DataFrame:
+    """Groups that stand on both sides; a sound split has none."""
+    return train_rows.select(group).intersect(test_rows.select(group))
+
+
+def filled(rows: DataFrame, text: str, token: str = "empty") -> DataFrame:
+    """Blank texts replaced by a token, so every row has a feature."""
+    return rows.withColumn(text, F.when(F.trim(F.coalesce(text, F.lit(""))) == "", token).otherwise(F.col(text)))
+
+
+def scores(predicted: DataFrame, label: str, name: str) -> DataFrame:
+    """One row: model, accuracy and the macro and weighted averages of the per-class metrics."""
+    accuracy = predicted.agg(F.avg((F.col(label) == F.col("predicted")).cast("double")).alias("accuracy"))
+    return accuracy.crossJoin(summary_metrics(class_metrics(predicted, label, "predicted"))).select(F.lit(name).alias("model"), "*")
+
+
+def cross_validate(rows: DataFrame, label: str, key: str, chosen: dict[str, object], folds: int = 5, text: str = "text") -> DataFrame:
+    """Per model the mean and deviation of accuracy and F1 over folds, and the mean accuracy on the training side. The features are fitted inside each fold."""
+    dealt = filled(rows, text).withColumn("_fold", hash_fold(key, folds))
+    found = []
+    for name, model in chosen.items():
+        for k in range(folds):
+            inner = dealt.where(F.col("_fold") != k).drop("_fold")
+            fitted = train(inner, label, model, text)
+            own = scores(predict(fitted, dealt.where(F.col("_fold") == k).drop("_fold"), label), label, name)
+            seen = predict(fitted, inner, label).agg(F.avg((F.col(label) == F.col("predicted")).cast("double")).alias("train_accuracy"))
+            found.append(own.crossJoin(seen))
+    every = reduce(DataFrame.unionByName, found)
+    spread = [f(c).alias(f"{n}_{c}") for c in ("accuracy", "macro_f1", "weighted_f1") for n, f in (("mean", F.avg), ("std", F.stddev_pop))]
+    return every.groupBy("model").agg(*spread, F.avg("train_accuracy").alias("train_accuracy"))
+
+
+def tune(rows: DataFrame, label: str, key: str, name: str, grid: dict[str, list], folds: int = 5, text: str = "text") -> tuple[PipelineModel, dict[str, object]]:
+    """Grid search of one model by weighted F1 over folds; the best pipeline and its parameters."""
+    model = models()[name]
+    inner = model.getClassifier() if isinstance(model, OneVsRest) else model
+    build = ParamGridBuilder()
+    for parameter, values in grid.items():
+        build = build.addGrid(getattr(inner, parameter), values)
+    maps = build.build()
+    stages = [StringIndexer(inputCol=label, outputCol="_label", handleInvalid="keep", stringOrderType="alphabetAsc"), *feature_stages(text), model]
+    judge = MulticlassClassificationEvaluator(labelCol="_label", predictionCol="prediction", metricName="f1")
+    dealt = balanced_weights(filled(rows, text), label).withColumn("_fold", hash_fold(key, folds))
+    found = CrossValidator(estimator=Pipeline(stages=stages), estimatorParamMaps=maps, evaluator=judge, numFolds=folds, foldCol="_fold", parallelism=2).fit(dealt)
+    best = maps[max(range(len(maps)), key=lambda k: (found.avgMetrics[k], -k))]
+    return found.bestModel, {p.name: v for p, v in best.items()}
+
+
+def evaluate(fitted: dict[str, PipelineModel], train_rows: DataFrame, test_rows: DataFrame, label: str) -> DataFrame:
+    """Metrics of fitted models on the test side, with the gap of accuracy to the training side, best first, ties by name."""
+    found = []
+    for name, model in fitted.items():
+        seen = predict(model, train_rows, label).agg(F.avg((F.col(label) == F.col("predicted")).cast("double")).alias("train_accuracy"))
+        found.append(scores(predict(model, test_rows, label), label, name).crossJoin(seen).withColumn("gap", F.col("train_accuracy") - F.col("accuracy")))
+    return reduce(DataFrame.unionByName, found).orderBy(F.desc("accuracy"), "model")
+
+
+def select_model(validated: DataFrame) -> str:
+    """Name of the model with the best mean weighted F1, ties by name; one row is read."""
+    return validated.orderBy(F.desc("mean_weighted_f1"), "model").first()["model"]
+
+
+def keep_model(model: PipelineModel, path: str, name: str, train_rows: DataFrame, test_rows: DataFrame, group: str) -> DataFrame:
+    """Save a model and return its one-row record; an error if a group stands on both sides."""
+    if not shared_groups(train_rows, test_rows, group).isEmpty():
+        raise ValueError(f"a {group} stands in training and test")
+    model.write().overwrite().save(path)
+    spark = train_rows.sparkSession
+    return spark.createDataFrame([(name, path, train_rows.count(), test_rows.count())], "model string, path string, train_rows long, test_rows long")
+
+
+def score_texts(model: PipelineModel, rows: DataFrame, label: str, fallback: str, text: str = "text") -> DataFrame:
+    """Rows with ``predicted`` and ``confidence`` in percent; a blank text gets the fallback at 100."""
+    blank = F.trim(F.coalesce(text, F.lit(""))) == ""
+    out = predict(model, rows.withColumn(text, F.coalesce(text, F.lit(""))), label)
+    return out.withColumns({"predicted": F.when(blank, fallback).otherwise(F.col("predicted")), "confidence": F.when(blank, 100.0).otherwise(F.col("confidence") * 100)})
+
+
+def active_learning(rows: DataFrame, key: str, label: str, model: PipelineModel, relabel: Callable[[DataFrame], DataFrame], previous: DataFrame, n: int = 30, text: str = "text") -> DataFrame:
+    """Score all, take the n most uncertain, relabel them with ``relabel`` (rows to (key, new_label)) and decide: (key, label, predicted, margin, new_label, status, final)."""
+    from threadline.operators.labels import relabelled
+
+    scored = predict(model, rows.withColumn(text, F.coalesce(text, F.lit(""))), label)
+    asked = most_uncertain(scored, key, n, text)
+    return relabelled(scored.select(key, label, "predicted", "margin"), key, label, relabel(asked.select(key, text)), previous)
+
+
+def retrain(rows: DataFrame, key: str, label: str, chosen: DataFrame, model: object, text: str = "text") -> PipelineModel:
+    """Fit anew with the labels of a (key, chosen) table; the rows themselves stay as they are, so this can be repeated."""
+    new = rows.drop(label).join(chosen.select(key, F.col("chosen").alias(label)), key).where(F.col(label).isNotNull())
+    return train(filled(new, text), label, model, text)
+
+
 def most_uncertain(scored: DataFrame, id_col: str, n: int, text: str = "text") -> DataFrame:
     """The n rows of smallest margin with a text; a top-k."""
     return scored.where(F.trim(F.col(text)) != "").orderBy("margin", id_col).limit(n)

@@ -121,7 +121,7 @@ QUERIES = {
 def _group_split(s, d):
     from threadline.operators.learn import group_split
 
-    return group_split(read(s, d, "documents").where("source is not null"), "source", "lang").select("doc_id", "split")
+    return group_split(read(s, d, "documents"), "source").select("doc_id", "split")
 
 
 ORACLES = {
@@ -154,6 +154,7 @@ SELECT conv_id, CASE WHEN client IS NULL THEN 'NO_RESPONSE' WHEN admins = 0 OR l
     "search": "SELECT doc_id FROM documents WHERE (contains(lower(text), 'this work is') OR contains(lower(source), 'this work is')) AND lang = 'en'",
     "customer_name": "SELECT c_custkey, CASE c_custkey % 6 WHEN 2 THEN NULL WHEN 4 THEN NULL WHEN 5 THEN c_mktsegment ELSE c_name END AS customer FROM customer",
 }
+ORACLES["group_split"] = "SELECT doc_id, CASE WHEN ('0x' || substr(md5(source), 1, 8))::BIGINT % 5 = 0 THEN 'test' ELSE 'train' END AS split FROM documents WHERE source IS NOT NULL"
 _CLUSTER_TERMS = _TERMS.replace("HAVING count(*) >= 2 ", "").replace("LIMIT 400", "LIMIT 2000").replace("(1 + ln(tf.tf))", "tf.tf")
 ORACLES["cluster_pairs"] = f"WITH {_CLUSTER_TERMS} SELECT x.doc_id AS a, y.doc_id AS b FROM weights x JOIN weights y ON x.term = y.term AND x.doc_id < y.doc_id GROUP BY 1, 2 HAVING sum(x.weight * y.weight) >= {_CLUSTER_LEAST}::DOUBLE"
 ORACLES["ngram_top_lists"] = f"WITH toks AS (SELECT {_TOKENS} AS w FROM documents), " + ", ".join(
