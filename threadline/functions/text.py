@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Callable
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from threadline.dims import Category, Taxonomy
@@ -70,12 +71,24 @@ CLEAN_PATTERNS = (
 )
 
 
+#: Without any of these a text holds nothing that the first pattern removes.
+CLEAN_HINTS = ("<", "(file", "this message was deleted", "pesan", "http", "www.", ".jpg", ".jpeg", ".png", ".webp", ".mp4", ".opus", ".pdf")
+
+
+def bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of a value that is computed once, however often ``use`` names it."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def clean_text(text: Column) -> Column:
-    """Lower case without media markers, image names, links, punctuation, lone numbers and doubled blanks."""
-    out = F.lower(text)
-    for pattern in CLEAN_PATTERNS:
-        out = F.regexp_replace(out, pattern, " ")
-    return F.trim(out)
+    """Lower case without media markers, image names, links, punctuation, lone numbers and doubled blanks.
+
+    A byte search tells whether a pattern can match at all, which for most texts and patterns it cannot.
+    """
+    marks, signs, numbers, blanks = CLEAN_PATTERNS
+    out = bound(F.lower(text), lambda v: F.when(holds_any(v, CLEAN_HINTS), F.regexp_replace(v, marks, " ")).otherwise(v))
+    out = bound(F.regexp_replace(out, signs, " "), lambda v: F.when(v.rlike("[0-9]"), F.regexp_replace(v, numbers, " ")).otherwise(v))
+    return F.trim(bound(out, lambda v: F.when(v.contains("  "), F.regexp_replace(v, blanks, " ")).otherwise(v)))
 
 
 def tokens(cleaned: Column) -> Column:
@@ -94,25 +107,26 @@ def reduce_elongated(word: Column) -> Column:
     return F.regexp_replace(word, r"(.)\1{2,}", "$1")
 
 
-def normalise_token(word: Column, domain: dict[str, str], general: dict[str, str], protected: tuple[str, ...]) -> Column:
-    """Cascade: protected; domain word; reduced form protected; domain, then general word of the reduced form; general word of the original; reduced form."""
+def normalise_token(word: Column, short: Column, domain: dict[str, str], general: dict[str, str], protected: tuple[str, ...]) -> Column:
+    """Cascade for a word and its reduced form: protected; domain word; reduced form protected; domain, then general word of the reduced form; general word of the original; reduced form."""
     def lookup(table: dict[str, str], key: Column) -> Column:
         if not table:
             return F.lit(None).cast("string")
         return F.try_element_at(F.create_map(*[F.lit(x) for kv in table.items() for x in kv]), key)
 
-    short = reduce_elongated(word)
     return F.when(word.isin(*protected), word).otherwise(F.coalesce(
         lookup(domain, word), F.when(short.isin(*protected), short), lookup(domain, short), lookup(general, short), lookup(general, word), short,
     ))
 
 
-def normalise_text(cleaned: Column, domain: dict[str, str], general: dict[str, str], protected: tuple[str, ...]) -> Column:
-    """Struct of the normalised text and the number of changed tokens."""
-    old = tokens(cleaned)
-    new = F.transform(old, lambda t: normalise_token(t, domain, general, protected))
-    changed = F.size(F.filter(F.zip_with(old, new, lambda a, b: a != b), lambda x: x))
-    return F.struct(F.array_join(new, " ").alias("normalised"), changed.alias("changed"))
+def normalised_texts(rows: DataFrame, cleaned: str, domain: dict[str, str], general: dict[str, str], protected: tuple[str, ...]) -> DataFrame:
+    """Add ``normalised`` (the tokens of a cleaned text, normalised) and ``changed`` (how many of them changed). A word is reduced once, whatever the cascade asks."""
+    # only a run of three equal signs is reduced, and few words have one
+    forms = F.transform(tokens(F.col(cleaned)), lambda t: F.struct(t.alias("t"), reduce_elongated(t).alias("short")))
+    new = F.transform("_forms", lambda p: F.struct(p["t"].alias("t"), normalise_token(p["t"], p["short"], domain, general, protected).alias("n")))
+    out = rows.withColumn("_forms", forms).withColumn("_new", new)
+    changed = F.size(F.filter("_new", lambda p: p["t"] != p["n"]))
+    return out.withColumns({"normalised": F.array_join(F.col("_new.n"), " "), "changed": F.when(F.col("_new").isNotNull(), changed)}).drop("_forms", "_new")
 
 
 # Spellings of the handling status.

@@ -12,10 +12,13 @@ from pyspark.sql import functions as F
 
 
 def materialised(df: DataFrame) -> DataFrame:
-    """Checkpoint in the folder that the session names; a temporary one only where none is set."""
+    """Checkpoint in the folder that the session names; a temporary one only where none is set and all runs in one process."""
     spark: SparkSession = df.sparkSession
-    if not spark.conf.get("spark.checkpoint.dir", None) and not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="spark-checkpoint-"))
+    if not spark.sparkContext.getCheckpointDir():
+        named = spark.conf.get("spark.checkpoint.dir", None)
+        if not named and spark.sparkContext.master.split("[")[0] != "local":
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
+        spark.sparkContext.setCheckpointDir(named or tempfile.mkdtemp(prefix="spark-checkpoint-"))
     return df.checkpoint()
 
 
@@ -25,9 +28,9 @@ def ngrams(words: Column, n: int) -> Column:
 
 
 def term_counts(docs: DataFrame, id_col: str, words: Column, sizes: tuple[int, ...] = (1, 2)) -> DataFrame:
-    """(id, term, tf) of all n-grams of some sizes."""
+    """(id, term, tf) of all n-grams of some sizes. The texts are dealt by id before they are cut up, so the counting itself shuffles nothing."""
     parts = [ngrams(F.col("_w"), n) for n in sizes]
-    terms = docs.select(F.col(id_col), words.alias("_w")).select(id_col, F.explode(F.concat(*parts) if len(parts) > 1 else parts[0]).alias("term"))
+    terms = docs.repartition(F.col(id_col)).select(F.col(id_col), words.alias("_w")).select(id_col, F.explode(F.concat(*parts) if len(parts) > 1 else parts[0]).alias("term"))
     return terms.groupBy(id_col, "term").agg(F.count(F.lit(1)).alias("tf"))
 
 
@@ -54,23 +57,6 @@ def top_terms(weights: DataFrame, labels: DataFrame, id_col: str, label: str, k:
     return means.where("mean_weight > 0").withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k).select(label, "rank", "term", "mean_weight")
 
 
-def cosine_pairs(weights: DataFrame, id_col: str, least: float) -> DataFrame:
-    """Pairs of documents (a < b) with a cosine of at least ``least``, by an inverted index.
-
-    Prefix filter: per document, terms are ordered from rare to frequent, and only as many are indexed as leave
-    a rest too light to reach the threshold; two documents that reach it share an indexed term. Nothing is lost.
-    """
-    df = weights.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
-    own = Window.partitionBy(id_col).orderBy(F.desc("df"), "term")
-    rest = F.sum(F.col("weight") * F.col("weight")).over(own.rowsBetween(Window.unboundedPreceding, 0))
-    indexed = weights.join(df, "term").withColumn("_rest", rest).where(F.col("_rest") >= least * least * 0.999999)
-    left = indexed.select("term", F.col(id_col).alias("a"))
-    right = indexed.select("term", F.col(id_col).alias("b"))
-    candidates = left.join(right, "term").where("a < b").select("a", "b").distinct()
-    scores = candidates.join(weights.select(F.col(id_col).alias("a"), "term", F.col("weight").alias("x")), "a").join(weights.select(F.col(id_col).alias("b"), "term", F.col("weight").alias("y")), ["b", "term"])
-    return scores.groupBy("a", "b").agg(F.sum(F.col("x") * F.col("y")).alias("cosine")).where(F.col("cosine") >= least)
-
-
 def _matrix(ids: bytes, sizes: bytes, terms: bytes, weights: bytes, n_terms: int) -> tuple[np.ndarray, np.ndarray]:
     """Ids of a packed block and its dense matrix."""
     own, n = np.frombuffer(ids, np.int64), np.frombuffer(sizes, np.int32)
@@ -98,9 +84,9 @@ def _parts(near: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
 
 
 def near_pairs(weights: DataFrame, id_col: str, least: float, spanning: bool = False, block_docs: int = 2048) -> DataFrame:
-    """As ``cosine_pairs`` for a low threshold, where most candidates count: every block of documents times every other.
+    """Pairs of documents (a < b) with a cosine of at least ``least``: every block of documents times every other, in products of dense matrices.
 
-    ids are long. With ``spanning`` only pairs (a, b) that connect the same documents come out: per two blocks a star
+    The terms are few and common, so nearly all pairs share one and an index on terms would meet them all too. ids are long. With ``spanning`` only pairs (a, b) that connect the same documents come out: per two blocks a star
     from the least id of each connected part, so what is made grows with documents and blocks, not with pairs.
     """
     terms = [r[0] for r in weights.select("term").distinct().orderBy("term").collect()]  # no more than the vocabulary

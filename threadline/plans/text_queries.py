@@ -96,11 +96,12 @@ QUERIES = {
     "client_text": lambda s, d: chat.client_text(messages(s, d), "conv_id", "turn"),
     "clean_text": lambda s, d: read(s, d, "documents").select("doc_id", F.md5(T.clean_text(F.col("text")).cast("binary")).alias("clean_md5")),
     "token_count": lambda s, d: read(s, d, "documents").select("source", F.size(T.tokens(T.clean_text(F.col("text")))).alias("n")).groupBy("source").agg(F.sum("n").alias("tokens"), F.min("n").alias("least"), F.max("n").alias("most"), F.count_if(F.col("n") == 0).alias("empty")),
-    "token_normalise": lambda s, d: read(s, d, "documents").select("doc_id", T.normalise_text(T.clean_text(F.col("text")), dims.SLANG, dims.GENERAL_WORDS, dims.PROTECTED).alias("x")).select("doc_id", "x.changed", F.md5(F.col("x.normalised").cast("binary")).alias("normal_md5")),
+    "token_normalise": lambda s, d: T.normalised_texts(read(s, d, "documents").select("doc_id", T.clean_text(F.col("text")).alias("c")), "c", dims.SLANG, dims.GENERAL_WORDS, dims.PROTECTED).select("doc_id", "changed", F.md5(F.col("normalised").cast("binary")).alias("normal_md5")),
+    "normalise_coverage": lambda s, d: T.normalised_texts(read(s, d, "documents").select("doc_id", T.clean_text(F.col("text")).alias("c")), "c", dims.SLANG, dims.GENERAL_WORDS, dims.PROTECTED).agg(F.sum("changed").alias("words_changed"), F.count_if(F.col("changed") > 0).alias("texts_changed"), (F.count_if(F.col("changed") > 0) * 100.0 / F.count(F.lit(1))).alias("percent")),
     "ngram_top": lambda s, d: features.term_counts(read(s, d, "documents").where("text is not null"), "doc_id", T.tokens(T.clean_text(F.col("text"))), (2,)).groupBy("term").agg(F.sum("tf").alias("n")).orderBy(F.desc("n"), "term").limit(15),
     "tfidf_terms": lambda s, d: features.feature_summary(_weights(s, d), read(s, d, "documents").count()),
     "top_terms_by_label": lambda s, d: features.top_terms(_weights(s, d), read(s, d, "documents").select("doc_id", F.col("lang").alias("label")).where("label is not null"), "doc_id", "label"),
-    "cosine_pairs": lambda s, d: features.cosine_pairs(_weights(s, d), "doc_id", _LEAST).select("a", "b"),
+    "cosine_pairs": lambda s, d: features.near_pairs(features.materialised(_weights(s, d)), "doc_id", _LEAST).select("a", "b"),
     "cluster_pairs": lambda s, d: features.near_pairs(_cluster_weights(s, d), "doc_id", _CLUSTER_LEAST).select("a", "b"),
     "clusters": lambda s, d: _clusters(s, d),
     "ngram_top_lists": lambda s, d: _top_grams(s, d),
