@@ -152,6 +152,50 @@ def test_whole_licenses_however_wrapped(spark):
     assert [r["license_id"] for r in licenses.scan(docs).orderBy("doc_id").collect()] == [n for n, _ in rows]
 
 
+def test_spellings_are_whole_words(spark):
+    known = (("X", "Never favour a ver 2 organisation licence, at https://x.y"),)
+    docs = spark.createDataFrame([(1, "NEVER favor a version 2 organization license, at http://x.y"), (2, "neversion favour a ver 2 organisation licence at https x y")], "doc_id long, text string")
+    assert [r["license_id"] for r in licenses.scan(docs, known=known).orderBy("doc_id").collect()] == ["X", None]
+
+
+def test_shards_follow_the_curve(spark):
+    rows = sorted(sharding.op3_hilbert_shards(spark, SF).collect(), key=lambda r: (r["shard"], r["slot"]))
+    curve = [r["curve"] for r in rows]
+    table = sharding.curve_table()
+    assert curve == sorted(curve) and all(r["curve"] == table[(r["source_cell"] * 16 + r["lang_cell"]) * 16 + r["size_cell"]] for r in rows)
+
+
+def test_mixing_and_language_keep_columns_of_any_name(spark):
+    rows = [(i, "some words in a text", "en", "s" if i % 2 else None, 5, "r", "b", "s", "p", "l", "j") for i in range(6)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long, rounds string, below string, _source string, plan_source string, _l string, row string")
+    out = mixing.taken_copies(*mixing.mix(docs))
+    assert out.count() == 6 and set(docs.columns) <= set(out.columns)
+    assert set(docs.columns) <= set(language.identify(docs, language.learn(docs)).columns)
+
+
+def test_vectors_meet_those_of_their_length(spark):
+    rng = np.random.default_rng(0)
+    rows = [(i, rng.standard_normal(2 if i < 60 else 3).tolist()) for i in range(100)] + [(200, [1.0, 2.0, 3.0, 4.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = nearest.search(df, df.where("vec_id % 20 = 0"), k=5).collect()
+    vectors = dict(rows)
+    assert {r["query_id"] for r in got} == {0, 20, 40, 60, 80}  # the one of four components has no candidate
+    for q in (0, 20, 40, 60, 80):
+        scored = sorted(((-float(np.dot(vectors[q], v)), i) for i, v in rows if i != q and len(v) == len(vectors[q])))[:5]
+        assert [r["vec_id"] for r in sorted((r for r in got if r["query_id"] == q), key=lambda r: r["rank"])] == [i for _, i in scored]
+
+
+def test_toxicity_on_held_out_rows_and_without_labels(spark):
+    sf = "/root/testdata/sf0.1"
+    toxic = {r["doc_id"]: r["toxic"] for r in spark.read.parquet(f"{sf}/labels.parquet").collect()}
+    rows = [(toxic[r["doc_id"]], r["score"], r["predicted"]) for r in toxicity.op6_compression_toxicity(spark, sf).collect() if r["held_out"] and r["doc_id"] in toxic]
+    hits = sum(y == p == 1 for y, _, p in rows)
+    assert hits >= 0.75 * sum(y for y, _, _ in rows) and hits >= 0.85 * sum(p for _, _, p in rows)
+    none = spark.createDataFrame([], "i long, t string, y int")
+    docs = spark.createDataFrame([(1, "a text"), (2, None)], "doc_id long, text string")
+    assert [r["predicted"] for r in toxicity.score_toxicity(docs, toxicity.fit(none)).collect()] == [0, 0]
+
+
 def test_shards(spark):
     rows = sharding.op3_hilbert_shards(spark, SF).collect()
     sizes = Counter(r["shard"] for r in rows)

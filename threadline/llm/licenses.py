@@ -62,10 +62,10 @@ Anyone is free to copy, modify, publish, use, compile, sell, or distribute this
     ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."),
 )
 
-# Equivalent spellings, applied to canonical words in this order.
+# Equivalent spellings, applied to canonical words in this order. A blank stands for a bound: every line begins with one.
 SPELLINGS = (
-    ("licence", "license"), ("sub license", "sublicense"), ("non commercial", "noncommercial"), ("https", "http"),
-    ("organisation", "organization"), ("favour", "favor"), ("merchantibility", "merchantability"), ("ver ", "version "), (" v 2 0", " version 2 0"),
+    (" licence", " license"), (" sublicence", " sublicense"), (" sub license", " sublicense"), (" non commercial", " noncommercial"), (" https ", " http "),
+    (" organisation", " organization"), (" favour", " favor"), (" merchantibility", " merchantability"), (" ver ", " version "), (" v 2 0", " version 2 0"),
 )
 
 #: A line that starts (after signs) with a copyright mark, or reserves all rights, is no part of the licence.
@@ -75,7 +75,7 @@ COPYRIGHT_LINE = r"(?m)^[^a-z0-9\n]*(?:copyright|\(c\)|©|all rights reserved)[^
 def canonical_lines(text: Column) -> Column:
     """Canonical form that keeps line breaks."""
     out = F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), COPYRIGHT_LINE, "")
-    out = F.regexp_replace(out, r"[^a-z0-9\n]+", " ")
+    out = F.concat(F.lit(" "), F.replace(F.regexp_replace(out, r"[^a-z0-9\n]+", " "), F.lit("\n"), F.lit("\n ")))
     for old, new in SPELLINGS:
         out = F.replace(out, F.lit(old), F.lit(new))
     return out
@@ -94,10 +94,10 @@ ANY_WHOLE = r"(?i)softw|licen"
 
 def whole_form(text: Column) -> Column:
     """Canonical form of a whole text, whatever its line breaks."""
-    out = one_line(F.regexp_replace(F.regexp_replace(F.lower(text), OWNER_LINE, ""), r"[^a-z0-9]+", " "))
+    out = F.concat(F.lit(" "), one_line(F.regexp_replace(F.regexp_replace(F.lower(text), OWNER_LINE, ""), r"[^a-z0-9]+", " ")), F.lit(" "))
     for old, new in SPELLINGS:
         out = F.replace(out, F.lit(old), F.lit(new))
-    return out
+    return F.trim(out)
 
 
 def whole_texts(known: tuple[tuple[str, str], ...] = KNOWN) -> list[tuple[str, str]]:
@@ -159,6 +159,7 @@ def _sql() -> str:
     def lines(text: str) -> str:
         out = f"regexp_replace(lower(coalesce({text}, '')), '{COPYRIGHT_LINE}', '', 'g')"
         out = rf"regexp_replace({out}, '[^a-z0-9\n]+', ' ', 'g')"
+        out = f"(' ' || replace({out}, chr(10), chr(10) || ' '))"
         for old, new in SPELLINGS:
             out = f"replace({out}, '{old}', '{new}')"
         return out
