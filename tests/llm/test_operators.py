@@ -256,3 +256,10 @@ def test_pipeline(spark):
     corpus_pipeline = pytest.importorskip("corpus_pipeline")
     rows = corpus_pipeline.run(spark, SF).collect()
     assert rows and max(Counter(r["shard"] for r in rows).values()) - min(Counter(r["shard"] for r in rows).values()) <= 1
+
+
+def test_templates_without_a_broadcast_of_leaves(spark, monkeypatch):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text")
+    want = sorted(map(tuple, templates.drop_recurring_lines(docs).collect()))
+    monkeypatch.setattr(templates, "BROADCAST_LEAVES", 0)
+    assert sorted(map(tuple, templates.drop_recurring_lines(docs).collect())) == want

@@ -33,6 +33,8 @@ DEPTH = 2
 MIN_DOCS = 3
 SIMILARITY = 0.6
 FIXED_SHARE = 0.5
+#: Open leaves up to this number go to all tasks (some 50 bytes each); more are met by a shuffle.
+BROADCAST_LEAVES = 400_000
 
 
 def mask(line: Column) -> Column:
@@ -67,7 +69,11 @@ def lines_of_open_leaves(lines: DataFrame, pairs: DataFrame, min_docs: int) -> D
     # which leaves can hold a recurring template is known from digests alone; texts are shuffled once, to their line's row
     counts = pairs.select("line_md5", "leaf", "_id").distinct().groupBy("line_md5", "leaf").agg((F.count("_id") + F.max(F.col("_id").isNull().cast("long"))).alias("n_docs"))
     leaves = counts.groupBy("leaf").agg(F.sum("n_docs").alias("_docs"), F.count(F.lit(1)).alias("leaf_lines")).where(F.col("_docs") >= min_docs)
-    open_lines = counts.join(leaves.select("leaf", "leaf_lines"), "leaf")
+    leaves = cut_lineage(leaves.select("leaf", "leaf_lines"))
+    if leaves.count() <= BROADCAST_LEAVES:  # then lines of other leaves are not shuffled at all
+        leaves = F.broadcast(leaves)
+        lines = lines.join(leaves.select("leaf"), "leaf", "left_semi")
+    open_lines = counts.join(leaves, "leaf")
     texts = lines.groupBy("line_md5").agg(F.first("masked").alias("masked"))
     return cut_lineage(texts.join(open_lines, "line_md5")).withColumn("tokens", F.split("masked", " "))
 
