@@ -54,9 +54,10 @@ def period_change(series: DataFrame) -> DataFrame:
 
 def concentration(totals: DataFrame, total: str = "total", key: str = "customer") -> DataFrame:
     """Mean per customer, shares of the top 10 and 25 and number of customers with one row; from one row a customer."""
-    ranked = totals.select(F.col(total).alias("n"), F.row_number().over(Window.partitionBy(F.lit(1)).orderBy(F.desc(total), key)).alias("r"))
-    top = lambda k: F.sum(F.when(F.col("r") <= k, F.col("n")).otherwise(0)) * 100.0 / F.sum("n")
-    return ranked.agg((F.sum("n") * 1.0 / F.count(F.lit(1))).alias("mean_rows"), top(10).alias("top10_share"), top(25).alias("top25_share"), F.count_if(F.col("n") == 1).alias("single"))
+    best = totals.orderBy(F.desc(total), key).limit(25).select(F.col(total).alias("n"), F.row_number().over(Window.orderBy(F.desc(total), key)).alias("r"))  # 25 rows
+    tops = best.agg(F.sum(F.when(F.col("r") <= 10, F.col("n"))).alias("t10"), F.sum("n").alias("t25"))
+    one = totals.agg(F.sum(total).alias("all"), F.count(F.lit(1)).alias("k"), F.count_if(F.col(total) == 1).alias("single")).crossJoin(tops)
+    return one.select((F.col("all") * 1.0 / F.col("k")).alias("mean_rows"), (F.col("t10") * 100.0 / F.col("all")).alias("top10_share"), (F.col("t25") * 100.0 / F.col("all")).alias("top25_share"), "single")
 
 
 def in_range(rows: DataFrame, ts: str, start: str | None, end: str | None) -> DataFrame:

@@ -53,7 +53,7 @@ QUERIES = {
     "session_composition": lambda s, d: master(s, d).agg(
         F.count_if((F.col("client_messages") > 0) & (F.col("admin_messages") > 0)).alias("dialog"), F.count_if((F.col("client_messages") > 0) & (F.col("admin_messages") == 0)).alias("client_only"),
         F.count_if((F.col("client_messages") == 0) & (F.col("admin_messages") > 0)).alias("admin_only"), F.count_if((F.col("client_messages") == 0) & (F.col("admin_messages") == 0)).alias("system_only")),
-    "time_order_anomalies": lambda s, d: time_anomalies(events(s, d), ["event_type"], ["user_id", "event_id"]).select("event_id", "gap_us"),
+    "time_order_anomalies": lambda s, d: time_anomalies(events(s, d), ["user_id"], ["event_id"]).select("event_id", "gap_us"),
     "share_by_key": lambda s, d: profile.counts_with_share(read(s, d, "events"), ["event_type"]),
 }
 
@@ -83,6 +83,6 @@ ORACLES = {
     "session_sizes": f"WITH {MASTER_SQL} SELECT total_messages, count(*) AS sessions FROM master GROUP BY 1",
     "session_median": f"WITH {MASTER_SQL}, r AS (SELECT category, total_messages, row_number() OVER (PARTITION BY category ORDER BY total_messages) AS i, count(*) OVER (PARTITION BY category) AS n FROM master) SELECT category, total_messages AS median FROM r WHERE i = n // 2 + 1",
     "session_composition": f"WITH {MASTER_SQL} SELECT count(*) FILTER (WHERE client_messages > 0 AND admin_messages > 0) AS dialog, count(*) FILTER (WHERE client_messages > 0 AND admin_messages = 0) AS client_only, count(*) FILTER (WHERE client_messages = 0 AND admin_messages > 0) AS admin_only, count(*) FILTER (WHERE client_messages = 0 AND admin_messages = 0) AS system_only FROM master",
-    "time_order_anomalies": "SELECT event_id, gap_us FROM (SELECT event_id, epoch_us(ts) - epoch_us(lag(ts) OVER (PARTITION BY event_type ORDER BY user_id, event_id)) AS gap_us FROM events) WHERE gap_us < 0",
+    "time_order_anomalies": "SELECT event_id, gap_us FROM (SELECT event_id, epoch_us(ts) - epoch_us(lag(ts) OVER (PARTITION BY user_id ORDER BY event_id)) AS gap_us FROM events) WHERE gap_us < 0",
     "share_by_key": "SELECT event_type, count(*) AS n, count(*) * 100.0::DOUBLE / sum(count(*)) OVER () AS share FROM events GROUP BY 1",
 }
