@@ -27,21 +27,27 @@ def ngrams(words: Column, n: int) -> Column:
     return F.when(F.size(words) >= n, F.transform(F.sequence(F.lit(1), F.size(words) - n + 1), lambda i: F.array_join(F.slice(words, i, n), " "))).otherwise(F.array().cast("array<string>"))
 
 
-def term_counts(docs: DataFrame, id_col: str, words: Column, sizes: tuple[int, ...] = (1, 2)) -> DataFrame:
-    """(id, term, tf) of all n-grams of some sizes. The texts are dealt by id before they are cut up, so the counting itself shuffles nothing."""
+def term_counts(docs: DataFrame, id_col: str, words: Column, sizes: tuple[int, ...] = (1, 2), only: DataFrame | None = None) -> DataFrame:
+    """(id, term, tf) of all n-grams of some sizes, or of those in ``only`` (a bounded vocabulary). The texts are dealt by id before they are cut up, so the counting itself shuffles nothing."""
     parts = [ngrams(F.col("_w"), n) for n in sizes]
     terms = docs.repartition(F.col(id_col)).select(F.col(id_col), words.alias("_w")).select(id_col, F.explode(F.concat(*parts) if len(parts) > 1 else parts[0]).alias("term"))
+    if only is not None:  # before counting, so other terms are never held
+        terms = terms.join(F.broadcast(only.select("term")), "term", "left_semi")
     return terms.groupBy(id_col, "term").agg(F.count(F.lit(1)).alias("tf"))
 
 
-def tfidf(counts: DataFrame, id_col: str, n_docs: int, min_docs: int = 2, max_terms: int = 400, sublinear: bool = True) -> DataFrame:
-    """(id, term, weight): tf (sublinear or plain) times smoothed idf, unit length; vocabulary by total count, ties by term."""
+def vocabulary(counts: DataFrame, min_docs: int = 2, max_terms: int = 400) -> DataFrame:
+    """(term, df) of the commonest terms by total count, ties by term; no more rows than ``max_terms``."""
     terms = counts.groupBy("term").agg(F.sum("tf").alias("total"), F.count(F.lit(1)).alias("df")).where(F.col("df") >= min_docs)
-    vocabulary = terms.orderBy(F.desc("total"), "term").limit(max_terms)  # bounded by the parameter
+    return terms.orderBy(F.desc("total"), "term").limit(max_terms).select("term", "df")
+
+
+def tfidf(counts: DataFrame, id_col: str, n_docs: int, known: DataFrame, sublinear: bool = True) -> DataFrame:
+    """(id, term, weight) of the terms of a vocabulary: tf (sublinear or plain) times smoothed idf, unit length. A document has no more rows than the vocabulary."""
     idf = F.log(F.lit(float(n_docs + 1)) / (F.col("df") + 1)) + 1
-    raw = counts.join(F.broadcast(vocabulary.select("term", idf.alias("idf"))), "term").withColumn("w", (1 + F.log("tf") if sublinear else F.col("tf")) * F.col("idf"))
-    norm = raw.groupBy(id_col).agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
-    return raw.join(norm, id_col).select(id_col, "term", (F.col("w") / F.col("norm")).alias("weight"))
+    raw = counts.join(F.broadcast(known.select("term", idf.alias("idf"))), "term").withColumn("w", (1 + F.log("tf") if sublinear else F.col("tf")) * F.col("idf"))
+    norm = F.sqrt(F.sum(F.col("w") * F.col("w")).over(Window.partitionBy(id_col).orderBy("term").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)))
+    return raw.select(id_col, "term", (F.col("w") / norm).alias("weight"))
 
 
 def feature_summary(weights: DataFrame, n_docs: int) -> DataFrame:

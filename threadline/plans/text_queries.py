@@ -35,15 +35,16 @@ weights AS (SELECT raw.doc_id, raw.term, raw.w / norm.n AS weight FROM raw JOIN
 
 def _weights(s, d):
     docs = read(s, d, "documents")
-    counts = features.term_counts(docs.where("text is not null"), "doc_id", T.tokens(T.clean_text(F.col("text"))))
-    return features.tfidf(counts, "doc_id", docs.count())
+    texts, words = docs.where("text is not null"), T.tokens(T.clean_text(F.col("text")))
+    known = features.materialised(features.vocabulary(features.term_counts(texts, "doc_id", words)))
+    return features.tfidf(features.term_counts(texts, "doc_id", words, only=known), "doc_id", docs.count(), known)
 
 
 def _cluster_weights(s, d):
     """Weights by the reference's cluster settings: 2,000 terms, also those of one document, plain counts."""
     docs = read(s, d, "documents")
     counts = features.materialised(features.term_counts(docs.where("text is not null"), "doc_id", T.tokens(T.clean_text(F.col("text")))))
-    return features.materialised(features.tfidf(counts, "doc_id", docs.count(), 1, 2000, sublinear=False))
+    return features.materialised(features.tfidf(counts, "doc_id", docs.count(), features.vocabulary(counts, 1, 2000), sublinear=False))
 
 
 def _clusters(s, d):
