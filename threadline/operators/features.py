@@ -11,14 +11,19 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 
-def materialised(df: DataFrame) -> DataFrame:
-    """Checkpoint in the folder that the session names; a temporary one only where none is set and all runs in one process."""
-    spark: SparkSession = df.sparkSession
+def checkpoint_folder(spark: SparkSession) -> str:
+    """The folder that the session names and all machines share; a temporary one only where none is set and all runs in one process."""
     if not spark.sparkContext.getCheckpointDir():
         named = spark.conf.get("spark.checkpoint.dir", None)
         if not named and spark.sparkContext.master.split("[")[0] != "local":
             raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         spark.sparkContext.setCheckpointDir(named or tempfile.mkdtemp(prefix="spark-checkpoint-"))
+    return spark.sparkContext.getCheckpointDir()
+
+
+def materialised(df: DataFrame) -> DataFrame:
+    """Write a frame to the checkpoint folder and go on from the files."""
+    checkpoint_folder(df.sparkSession)
     return df.checkpoint()
 
 
