@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, language, licenses, merkle, mixing, near_dedup, nearest, sharding, substring_dedup, templates, toxicity
+from . import alignment, decontaminate, language, licenses, merkle, mixing, near_dedup, nearest, sharding, substring_dedup, templates, toxicity, url_filter
 
-MODULES = (near_dedup, substring_dedup, sharding, licenses, decontaminate, toxicity, templates, language, mixing, nearest, merkle)
+MODULES = (near_dedup, substring_dedup, sharding, licenses, decontaminate, toxicity, templates, language, mixing, nearest, url_filter, alignment, merkle)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
