@@ -97,8 +97,9 @@ def test_repeated_spans_against_brute_force(spark):
             if b[p : p + 50] in seen:
                 gone[p : p + 50] = b"\1" * 50
         seen |= own
-        want[i] = (len(b), sum(gone), hashlib.sha256(bytes(x for x, g in zip(b, gone, strict=True) if not g)).hexdigest())
-    got = {r["doc_id"]: (r["n_bytes"], r["n_removed"], r["kept_sha256"]) for r in substring_dedup.op2_repeated_substrings(spark, SF).collect()}
+        spans = sum(g and not h for g, h in zip(gone, b"\0" + bytes(gone), strict=False))
+        want[i] = (len(b), sum(gone), spans, hashlib.sha256(bytes(x for x, g in zip(b, gone, strict=True) if not g)).hexdigest())
+    got = {r["doc_id"]: (r["n_bytes"], r["n_removed"], r["n_spans"], r["kept_sha256"]) for r in substring_dedup.op2_repeated_substrings(spark, SF).collect()}
     assert got == want
 
 
@@ -128,16 +129,19 @@ def test_repeated_spans_of_frequent_triggers(spark, hot):
     assert got == cut_by_brute_force(docs)
 
 
-def test_no_range_grows_with_the_documents_at_a_trigger(spark):
+@pytest.mark.parametrize("length", [48, 64, 200])
+def test_no_range_grows_with_the_documents_at_a_trigger(spark, length):
     rng = np.random.default_rng(9)
     noise = lambda n: "".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz"), n))
-    docs = spark.createDataFrame([(i, noise(60) + "ALL RIGHTS OF THIS NOTICE ARE RESERVED, SAYS A B" + noise(60)) for i in range(3000)], "doc_id long, text string")
+    notice = ("ALL RIGHTS OF THIS NOTICE ARE RESERVED, SAYS A B" + noise(200).upper())[:length]
 
-    def largest(hot):
+    def largest(n, hot):
+        docs = spark.createDataFrame([(i, noise(60) + notice + noise(60)) for i in range(n)], "doc_id long, text string")
         sizes = substring_dedup.spans_and_sizes(docs, "doc_id", "text", 8000, hot)[1]
         return sizes.groupBy("bucket").agg(F.sum("n").alias("n")).agg(F.max("n")).first()[0]
 
-    assert largest(10**9) > 2000 and largest(100) < 1000
+    few, many = largest(1500, 100), largest(4500, 100)
+    assert largest(1500, 10**9) > 1000 and few < 1000 and many < 2 * few
 
 
 def test_whole_licenses_however_wrapped(spark):
@@ -185,6 +189,20 @@ def test_vectors_meet_those_of_their_length(spark):
         assert [r["vec_id"] for r in sorted((r for r in got if r["query_id"] == q), key=lambda r: r["rank"])] == [i for _, i in scored]
 
 
+def test_toxicity_does_not_follow_the_partitions(spark):
+    sf = "/root/testdata/sf0.01"
+    labels = spark.read.parquet(f"{sf}/labels.parquet").select("doc_id", F.col("toxic").alias("y"))
+    rows = spark.read.parquet(f"{sf}/documents.parquet").join(labels, "doc_id").select(F.col("doc_id").alias("i"), F.col("text").alias("t"), "y")
+    rows = spark.createDataFrame(rows.toPandas(), rows.schema)
+    found = []
+    for n in (2, 3, 8):
+        spark.conf.set("spark.sql.shuffle.partitions", str(n))
+        found.append(toxicity.fit(rows.repartition(n)))
+    assert len({m.distance.dictionaries for m in found}) == 1
+    texts = [r["t"] for r in rows.limit(50).collect()]
+    assert len({tuple(m.scores(texts).round(12)) for m in found}) == 1
+
+
 def test_toxicity_on_held_out_rows_and_without_labels(spark):
     sf = "/root/testdata/sf0.1"
     toxic = {r["doc_id"]: r["toxic"] for r in spark.read.parquet(f"{sf}/labels.parquet").collect()}

@@ -16,12 +16,12 @@ suffixes and mark, in each document, the strings that a smaller id has too.
 A short string in very many documents, with other neighbours in each, gives a distinct phrase per document at one
 trigger. In (1) blocks also say how many phrases they have at a trigger that is frequent there; where all blocks
 together may have more than ``HOT_PHRASES``, the phrases are not sorted but cut into their strings of ``LENGTH``
-bytes, which are dealt by their own hash: a string is one row of each block and phrase, and strings that differ go
-to different tasks, so a range does not grow with the documents at a trigger.
+bytes, which are dealt by their own hash. Equal strings of a block are one row with the least and largest id, whatever
+their phrases, and strings that differ go to different tasks, so a range does not grow with the documents at a trigger.
 
 What is shuffled is the texts once, eight bytes a trigger, and the shared phrases. A phrase that very many
 documents hold is one row a block. Comparison is of bytes; hashes only choose what is compared, apart from
-the 64-bit digest that names a phrase within a block.
+the 64-bit digest that names a phrase or a string within a block.
 
 Cases: null texts are empty; a null id takes no part and keeps all; documents with equal ids are not smaller
 than each other; texts under ``LENGTH`` bytes keep all; equal texts: all but the smallest id go entirely;
@@ -175,12 +175,31 @@ def first_documents(rows: np.ndarray, docs: np.ndarray) -> np.ndarray:
     return np.where(fits, least[rank], none)
 
 
-def strings(rows: np.ndarray, first: np.ndarray, last: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """The strings of LENGTH bytes in some phrases: bytes, phrase digest, place, first and last document."""
+def fitting(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The strings of LENGTH bytes in some phrases: phrase, place, bytes."""
     place = np.arange(REACH + 1)
     fits = (place >= REACH - rows[:, WIDTH].astype(np.int64)[:, None]) & (place <= REACH - LENGTH + rows[:, WIDTH + 1].astype(np.int64)[:, None])
     entry, at = np.nonzero(fits)
-    return rows[entry[:, None], at[:, None] + np.arange(LENGTH)], digests(rows)[entry], at.astype(np.uint8), first[entry], last[entry]
+    return entry, at, rows[entry[:, None], at[:, None] + np.arange(LENGTH)]
+
+
+def strings(rows: np.ndarray, key: np.ndarray, first: np.ndarray, last: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The distinct strings at each trigger key: name (their hash), key, bytes, first and last document. Phrases are taken in parts, as they hold up to REACH + 1 strings each."""
+    parts = []
+    for s in range(0, len(rows), 20_000):
+        entry, _, text = fitting(rows[s : s + 20_000])
+        parts.append(folded(string_hashes(text), key[s + entry], text, first[s + entry], last[s + entry]))
+    return folded(*(np.concatenate(x) for x in zip(*parts, strict=True)))
+
+
+def folded(name: np.ndarray, key: np.ndarray, text: np.ndarray, first: np.ndarray, last: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """One row a (name, key), with the least first and the largest last document."""
+    if not len(name):
+        return name, key, text, first, last
+    order = np.lexsort((key, name))
+    name, key = name[order], key[order]
+    at = np.flatnonzero(np.append(True, (name[1:] != name[:-1]) | (key[1:] != key[:-1])))
+    return name[at], key[at], text[order[at]], np.minimum.reduceat(first[order], at), np.maximum.reduceat(last[order], at)
 
 
 def string_hashes(texts: np.ndarray) -> np.ndarray:
@@ -265,7 +284,7 @@ def spans_and_sizes(docs: DataFrame, id_col: str, text_col: str, block_bytes: in
         return pd.DataFrame({"block": rows["block"].to_numpy()[own], "keys": [keys[s:e].tobytes() for s, e in zip(starts, ends, strict=True)], "hot": [keys[s:e][hot[s:e]].tobytes() for s, e in zip(starts, ends, strict=True)]})
 
     def dictionary(block: pd.DataFrame, heard: pd.DataFrame) -> pd.DataFrame:
-        columns = ["bucket", "block", "phrases", "first", "last", "digest", "n"]
+        columns = ["bucket", "block", "phrases", "first", "last", "keys", "n"]
         if not len(block):
             return pd.DataFrame({c: [] for c in columns})
         ids = block["i"].to_numpy()
@@ -294,12 +313,11 @@ def spans_and_sizes(docs: DataFrame, id_col: str, text_col: str, block_bytes: in
         hot |= (n[number] > hot_phrases) & ~np.isin(key, met)  # no other block has the key
         out = ranges(dealt(key[~hot]), block["block"].iloc[0], rows[~hot], doc[~hot], last[~hot])
         if hot.any():
-            text, phrase, place, doc, last = strings(rows[hot], doc[hot], last[hot])
-            bucket = n_buckets + dealt(string_hashes(text))
-            out = pd.concat([out, ranges(bucket, block["block"].iloc[0], np.concatenate([text, place[:, None]], axis=1), doc, last, phrase)])
+            name, own_key, text, doc, last = strings(rows[hot], key[hot], doc[hot], last[hot])
+            out = pd.concat([out, ranges(n_buckets + dealt(name), block["block"].iloc[0], text, doc, last, own_key)])
         return out
 
-    def ranges(bucket: np.ndarray, block: int, rows: np.ndarray, doc: np.ndarray, last: np.ndarray, phrase: np.ndarray | None = None) -> pd.DataFrame:
+    def ranges(bucket: np.ndarray, block: int, rows: np.ndarray, doc: np.ndarray, last: np.ndarray, key: np.ndarray | None = None) -> pd.DataFrame:
         order = np.argsort(bucket, kind="stable")
         bucket, doc, last, rows = bucket[order], doc[order], last[order], rows[order]
         at = np.flatnonzero(np.diff(bucket, prepend=-1))
@@ -307,32 +325,30 @@ def spans_and_sizes(docs: DataFrame, id_col: str, text_col: str, block_bytes: in
         return pd.DataFrame({
             "bucket": bucket[at], "block": np.full(len(at), block, np.int32), "phrases": [packed(rows[s:e]) for s, e in cuts],
             "first": [packed(doc[s:e]) for s, e in cuts], "last": [packed(last[s:e]) for s, e in cuts],
-            "digest": [None if phrase is None else packed(phrase[order][s:e]) for s, e in cuts], "n": np.array([e - s for s, e in cuts], np.int64),
+            "keys": [None if key is None else packed(key[order][s:e]) for s, e in cuts], "n": np.array([e - s for s, e in cuts], np.int64),
         })
 
     def equal_strings(sent: pd.DataFrame) -> pd.DataFrame:
-        """Answers for strings of frequent triggers: where the run of a place ends is said too, as the next place may be elsewhere."""
-        parts = [unpacked(x, np.uint8).reshape(-1, LENGTH + 1) for x in sent["phrases"]]
-        rows = np.concatenate(parts)
+        """Answers for strings of frequent triggers: their names, first documents and the triggers at which the block has them."""
+        parts = [unpacked(x, np.uint8).reshape(-1, LENGTH) for x in sent["phrases"]]
+        text = np.concatenate(parts)
         sender = np.repeat(np.arange(len(parts)), [len(p) for p in parts])
         first, last = (np.concatenate([unpacked(x, np.int64) for x in sent[c]]) for c in ("first", "last"))
-        digest = np.concatenate([unpacked(x, np.uint64) for x in sent["digest"]])
-        text = np.ascontiguousarray(rows[:, :LENGTH]).view(np.dtype((np.void, LENGTH))).ravel()
-        _, number = np.unique(text, return_inverse=True)
+        key = np.concatenate([unpacked(x, np.uint64) for x in sent["keys"]])
+        _, number = np.unique(np.ascontiguousarray(text).view(np.dtype((np.void, LENGTH))).ravel(), return_inverse=True)
         number = number.ravel()
-        none = np.iinfo(np.int64).max
-        least = np.full(int(number.max()) + 1, none)
+        least = np.full(int(number.max()) + 1, np.iinfo(np.int64).max)
         np.minimum.at(least, number, first)
-        useful = np.flatnonzero(least[number] < last)
-        out = {"block": [], "digest": [], "place": [], "doc": []}
+        useful = least[number] < last
+        name = string_hashes(text)
+        out = {"block": [], "digest": [], "place": [], "doc": [], "keys": []}
         for s in np.unique(sender[useful]):
-            own = useful[sender[useful] == s]
-            place = rows[own, LENGTH]
-            ends = place < REACH
+            own = useful & (sender == s)
             out["block"].append(sent["block"].iloc[s])
-            out["digest"].append(np.concatenate([digest[own], digest[own][ends]]).tobytes())
-            out["place"].append(np.concatenate([place, place[ends] + np.uint8(1)]).tobytes())
-            out["doc"].append(np.concatenate([least[number[own]], np.full(int(ends.sum()), none)]).tobytes())
+            out["digest"].append(name[own].tobytes())
+            out["place"].append(b"")
+            out["doc"].append(least[number[own]].tobytes())
+            out["keys"].append(np.unique(key[own]).tobytes())
         return pd.DataFrame(out)
 
     def sorted_suffixes(sent: pd.DataFrame) -> pd.DataFrame:
@@ -354,24 +370,27 @@ def spans_and_sizes(docs: DataFrame, id_col: str, text_col: str, block_bytes: in
         start[:, 1:] = firsts[:, 1:] != firsts[:, :-1]
         useful = start & ((firsts < last[:, None]) | np.concatenate([np.zeros((len(firsts), 1), bool), firsts[:, :-1] < last[:, None]], axis=1))
         entry, place = np.nonzero(useful)
-        out = {"block": [], "digest": [], "place": [], "doc": []}
+        out = {"block": [], "digest": [], "place": [], "doc": [], "keys": []}
         own, cut = np.unique(sender[entry], return_index=True)
         for s, a, b in zip(own, cut, np.append(cut[1:], len(entry))[: len(own)], strict=True):
             out["block"].append(sent["block"].iloc[s])
             out["digest"].append(digest[entry[a:b]].tobytes())
             out["place"].append(place[a:b].astype(np.uint8).tobytes())
             out["doc"].append(firsts[entry[a:b], place[a:b]].tobytes())
+            out["keys"].append(None)
         return pd.DataFrame(out)
 
     def marked(block: pd.DataFrame, heard: pd.DataFrame) -> pd.DataFrame:
         out: dict[str, list] = {"i": [], "n_bytes": [], "spans": [], "kept": []}
+        named, heard = heard[heard["keys"].notna()], heard[heard["keys"].isna()]
+        hot, name, earliest = (np.concatenate([np.empty(0, t), *(np.frombuffer(x, t) for x in named[c])]) for c, t in (("keys", np.uint64), ("digest", np.uint64), ("doc", np.int64)))
+        order = np.argsort(name)
+        hot, name, earliest = np.unique(hot), name[order], earliest[order]
         digest = np.concatenate([np.empty(0, np.uint64), *(np.frombuffer(x, np.uint64) for x in heard["digest"])])
         place = np.concatenate([np.empty(0, np.uint8), *(np.frombuffer(x, np.uint8) for x in heard["place"])]).astype(np.int64)
         first = np.concatenate([np.empty(0, np.int64), *(np.frombuffer(x, np.int64) for x in heard["doc"])])
         order = np.lexsort((first, place, digest))
         digest, place, first = digest[order], place[order], first[order]
-        again = np.append(False, (digest[1:] == digest[:-1]) & (place[1:] == place[:-1]))[: len(digest)]  # the end of a run where another begins
-        digest, place, first = digest[~again], place[~again], first[~again]
         # a run of places lasts until the phrase's next run
         stop = np.append(place[1:], 0)
         stop[np.append(digest[1:] != digest[:-1], True)[: len(stop)]] = REACH + 1
@@ -390,6 +409,16 @@ def spans_and_sizes(docs: DataFrame, id_col: str, text_col: str, block_bytes: in
                 end = p.at[trigger] - REACH + stop[run] - 1 + LENGTH
                 np.add.at(gone, begin, 1)
                 np.add.at(gone, end, -1)
+            held = np.flatnonzero(np.isin(p.key, hot)) if len(name) else hot[:0]
+            for s in range(0, len(held), 20_000):
+                some = held[s : s + 20_000]
+                entry, at, text = fitting(p.phrases(some))
+                own = string_hashes(text)
+                near = np.minimum(np.searchsorted(name, own), len(name) - 1)
+                take = (name[near] == own) & (earliest[near] < ids[p.doc[some[entry]]])
+                begin = p.at[some[entry]][take] - REACH + at[take]
+                np.add.at(gone, begin, 1)
+                np.add.at(gone, begin + LENGTH, -1)
             removed = np.cumsum(gone)[:-1] > 0
             for k, (i, s, size) in enumerate(zip(ids, p.starts, p.sizes, strict=True)):
                 own = removed[s : s + size]
@@ -402,8 +431,8 @@ def spans_and_sizes(docs: DataFrame, id_col: str, text_col: str, block_bytes: in
 
     sent = blocks.groupBy("block").applyInPandas(triggers, "bucket int, block int, keys binary, counts binary")
     heard = sent.groupBy("bucket").applyInPandas(meeting, "block int, keys binary, hot binary")
-    phrases = blocks.groupBy("block").cogroup(heard.groupBy("block")).applyInPandas(dictionary, "bucket int, block int, phrases binary, first binary, last binary, digest binary, n long")
-    firsts = phrases.groupBy("bucket").applyInPandas(sorted_suffixes, "block int, digest binary, place binary, doc binary")
+    phrases = blocks.groupBy("block").cogroup(heard.groupBy("block")).applyInPandas(dictionary, "bucket int, block int, phrases binary, first binary, last binary, keys binary, n long")
+    firsts = phrases.groupBy("bucket").applyInPandas(sorted_suffixes, "block int, digest binary, place binary, doc binary, keys binary")
     result = blocks.groupBy("block").cogroup(firsts.groupBy("block")).applyInPandas(marked, "i long, n_bytes long, spans array<long>, kept binary")
     without_id = base.where("i is null").select("i", F.octet_length("t").cast("long").alias("n_bytes"), F.array().cast("array<long>").alias("spans"), F.col("t").alias("kept"))
     return result.unionByName(without_id).withColumnRenamed("i", id_col), phrases.select("bucket", "block", "n")

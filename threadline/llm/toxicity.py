@@ -9,8 +9,11 @@ a logistic model that sets the thresholds on the labelled rows.
 Characteristic words are those whose share among distinct (previous, word, next) contexts is
 significantly larger in toxic texts; counting contexts rather than texts keeps copies from voting.
 
-The fit uses a bounded sample of labelled rows: of each class those whose id hash falls below
-``sample / count``. Scores depend on the text alone.
+The fit uses a bounded sample of labelled rows: of each class those whose id hash falls below ``sample / count``
+(``TOXIC_SAMPLE`` and ``ORDINARY_SAMPLE`` rows). What the model holds is bounded too: a dictionary is trained on at most about
+``TRAIN_WINDOWS`` of the sample's windows, drawn by a hash of document and place, and ``CHARACTERISTIC`` words choose the
+toxic ones. Nothing else is limited. The model is a function of the labelled rows and scores are one of the text alone:
+neither depends on partitions or cores.
 
 Cases: null and empty texts get the score of a text without any distance; labels that are null or
 missing are not learned from, and of several labels of a document the largest counts; if a class is missing
@@ -147,21 +150,21 @@ def fit(labelled: DataFrame) -> Classifier:
         return Classifier(None, None, base)
     draw = F.pmod(F.xxhash64("i", F.lit("fit")), F.lit(1_000_000)) / 1e6
     share = F.when(F.col("y") == 1, TOXIC_SAMPLE / n[1]).otherwise(ORDINARY_SAMPLE / n[0])
-    sample = cut_lineage(labelled.where(draw < share).repartition(2 * spark.sparkContext.defaultParallelism, "i"))
+    sample = cut_lineage(labelled.withColumn("i", F.col("i").cast("string")).where(draw < share).repartition(2 * spark.sparkContext.defaultParallelism, "i"))
     words = spark.sparkContext.broadcast(characteristic_words(sample))
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         known = words.value
         for batch in batches:
-            for y, t in zip(batch["y"], batch["t"], strict=True):
+            for i, y, t in zip(batch["i"], batch["y"], batch["t"], strict=True):
                 own = windows(t)
                 if y == 1:
                     own = [w for w in own if any(p in known for p in w.decode("utf-8", "ignore").lower().split())]
                 if own:
-                    yield pd.DataFrame({"y": y, "w": own})
+                    yield pd.DataFrame({"i": i, "y": y, "k": range(len(own)), "w": own})
 
-    pieces = sample.select("y", "t").mapInPandas(cut, "y int, w binary")
-    pieces = cut_lineage(pieces.withColumn("at", F.xxhash64("w", F.monotonically_increasing_id())))
+    pieces = sample.select("i", "y", "t").mapInPandas(cut, "i string, y int, k long, w binary")
+    pieces = cut_lineage(pieces.select("y", "w", F.xxhash64("i", "k", "w").alias("at")))  # the draw rests on the document and the place, not on tasks
     amount = {r["y"]: r["n"] for r in pieces.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
     if not amount.get(0) or not amount.get(1):
         return Classifier(None, None, base)
@@ -179,7 +182,7 @@ def fit(labelled: DataFrame) -> Classifier:
         return pd.Series([shared.value.features(x) for x in t])
 
     rows = sample.select("i", "y", features("t").alias("x")).collect()
-    rows.sort(key=lambda r: r["i"])
+    rows.sort(key=lambda r: (r["i"], r["y"], r["x"]))  # sums in one order, whatever the tasks
     return Classifier(distance, logistic(np.array([r["x"] for r in rows]), np.array([float(r["y"]) for r in rows])), base)
 
 
