@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from threadline.plans import export_queries, label_queries, learn_queries, report_queries, stream_queries, text_queries
+from threadline.plans import export_queries, label_queries, learn_queries, report_queries, split_queries, stream_queries, text_queries
 
-MODULES = (report_queries, text_queries, export_queries, label_queries, learn_queries, stream_queries)
+MODULES = (report_queries, text_queries, export_queries, label_queries, learn_queries, split_queries, stream_queries)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
