@@ -30,6 +30,13 @@ def parsed(s, d):
     return exports.fold_lines(export_lines(s, d))
 
 
+def _split_messages(s, d):
+    """The same exports with every file in ranges of some lines, as byte ranges of a large file are."""
+    lines = export_lines(s, d).withColumns({"split": F.expr("line_no div 1000"), "place": F.col("line_no")}).drop("line_no")
+    folded = exports.fold_splits(lines, ["source_file"]).drop("line_no")
+    return folded.select("source_file", "msg_no", "sent_date", "sent_time", "sender", "text", "media_type", "file_name", "has_media")
+
+
 _PARSED = """msgs AS (
   SELECT 'user_' || user_id || '.txt' AS source_file, row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS msg_no, event_id, ts, strftime(ts, '%d/%m/%y') AS sent_date, strftime(ts, '%H.%M') AS sent_time,
          CASE event_type WHEN 'error' THEN 'SYSTEM' WHEN 'view' THEN 'desk' ELSE 'user ' || user_id END AS sender,
@@ -69,6 +76,7 @@ chats AS (SELECT 'chat_' || doc_id AS chat_id, doc_id AS place, path, regexp_rep
 
 QUERIES = {
     "parse_chat": lambda s, d: exports.with_ids(parsed(s, d)).select("id", "source_file", "msg_no", "sent_date", "sent_time", "sender", "text", "media_type", "file_name", "has_media"),
+    "parse_splits": lambda s, d: _split_messages(s, d),
     "parse_quality": lambda s, d: exports.parse_quality(parsed(s, d)),
     "detect_chats": lambda s, d: exports.detect_chats(export_lines(s, d).unionByName(s.createDataFrame([("notes.txt", 0, "no date here"), ("Z.txt", 0, "[2024-01-02, 10:30] hi")], "source_file string, line_no long, line string"))),
     "attach_media": lambda s, d: exports.attach_media(parsed(s, d), parsed(s, d).where("file_name <> '' and msg_no % 2 = 0").select(F.regexp_replace("source_file", ".txt$", "").alias("chat"), "file_name", F.concat(F.lit("media/"), "file_name").alias("path"))).select("source_file", "msg_no", "media_path"),
@@ -84,6 +92,7 @@ QUERIES = {
 }
 ORACLES = {
     "parse_chat": f"WITH {_PARSED} SELECT row_number() OVER (ORDER BY source_file, msg_no) AS id, * EXCLUDE (event_id, ts) FROM msgs",
+    "parse_splits": f"WITH {_PARSED} SELECT * EXCLUDE (event_id, ts) FROM msgs",
     "parse_quality": f"WITH {_PARSED} SELECT count(*) AS messages, count(DISTINCT source_file) AS files, count(DISTINCT sender) AS senders, 0::BIGINT AS no_sent_date, 0::BIGINT AS no_sent_time, 0::BIGINT AS no_sender, 0::BIGINT AS empty, count(*) FILTER (WHERE contains(text, chr(10))) AS multi_line, count(*) FILTER (WHERE has_media) AS with_media, count(*) FILTER (WHERE sender = 'SYSTEM') AS system FROM msgs",
     "detect_chats": f"WITH {_PARSED}, f AS (SELECT source_file AS path, count(*) AS timed_lines FROM msgs GROUP BY 1 UNION ALL SELECT 'Z.txt', 1) SELECT path, timed_lines, (row_number() OVER (ORDER BY lower(path), path))::INT AS place FROM f",
     "attach_media": f"WITH {_PARSED} SELECT source_file, msg_no, CASE WHEN file_name <> '' AND msg_no % 2 = 0 THEN 'media/' || file_name ELSE '' END AS media_path FROM msgs",

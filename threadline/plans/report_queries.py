@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from threadline.operators import profile, reports
+from threadline.operators import profile, reports, scans
 from threadline.operators.chat import first_rows, time_anomalies
 from threadline.plans.frames import EVENTS_SQL, MASTER_SQL, events, master, read, sessions
 
@@ -29,6 +29,7 @@ QUERIES = {
     "series_month": lambda s, d: reports.time_series(master(s, d), "month", "category", "start_ts"),
     "series_year": lambda s, d: reports.time_series(master(s, d), "year", "category", "start_ts"),
     "session_numbers": lambda s, d: sessions(s, d).select("event_id", "user_id", "session_no"),
+    "session_slices": lambda s, d: scans.sessions_by_slice(events(s, d), ["user_id"], ["ts", "event_id"], F.date_trunc("week", "ts"), 4, counts=F.col("role") != "SYSTEM").select("event_id", "user_id", "session_no"),
     "master": lambda s, d: master(s, d),
     "overview": lambda s, d: reports.overview(master(s, d).withColumn("conv", F.concat_ws("_", "user_id", "session_no")), "conv", "category", "start_ts"),
     "issues": lambda s, d: reports.breakdown(master(s, d), "category", share=True),
@@ -64,6 +65,7 @@ ORACLES = {
     "series_month": _series("month"),
     "series_year": _series("year"),
     "session_numbers": f"WITH {EVENTS_SQL} SELECT event_id, user_id, session_no::BIGINT AS session_no FROM sess",
+    "session_slices": f"WITH {EVENTS_SQL} SELECT event_id, user_id, session_no::BIGINT AS session_no FROM sess",
     "master": f"WITH {MASTER_SQL} SELECT * FROM master",
     "overview": f"WITH {MASTER_SQL}, c AS (SELECT {_COUNTS}, count(DISTINCT user_id || '_' || session_no) AS conversations, min(start_ts::DATE)::VARCHAR AS first_day, max(start_ts::DATE)::VARCHAR AS last_day FROM master), k AS (SELECT *, 1 AS one FROM master), t AS ({_top('k', 'one')}) SELECT c.*, t.top_category, t.top_category_count, {_RATE} FROM c, t",
     "issues": f"WITH {MASTER_SQL}, c AS (SELECT category, {_COUNTS} FROM master GROUP BY category) SELECT c.*, {_RATE}, total * 100.0::DOUBLE / sum(total) OVER () AS share FROM c",

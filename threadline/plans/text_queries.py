@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from threadline import dims
 from threadline.functions import text as T
-from threadline.operators import chat, features, profile, reports
+from threadline.operators import chat, features, profile, reports, scans
 from threadline.plans.frames import MESSAGES_SQL, messages, read
 
 _W = r"\p{L}\p{N}_"
@@ -91,6 +91,7 @@ QUERIES = {
     "mention_flags": lambda s, d: chat.handling_labels(messages(s, d), "conv_id", T.word_pattern(dims.REMOTE_WORDS), T.credential_pattern(dims.CREDENTIAL_WORDS)),
     "response_label": lambda s, d: chat.response_labels(messages(s, d), "conv_id", "turn", T.word_pattern(dims.CLOSING_WORDS), T.word_pattern(dims.WAITING_WORDS)),
     "topic_split": lambda s, d: chat.split_topics(messages(s, d), ["conv_id"], ["turn"], dims.TAXONOMY).select("conv_id", "turn", "segment", "category"),
+    "topic_slices": lambda s, d: scans.topics_by_slice(messages(s, d), ["conv_id"], ["turn"], F.expr("turn div 3"), dims.TAXONOMY).select("conv_id", "turn", "segment", "category"),
     "topic_summary": lambda s, d: chat.split_topics(messages(s, d), ["conv_id"], ["turn"], dims.TAXONOMY).groupBy("conv_id", "segment", "category").agg(F.count(F.lit(1)).alias("n")),
     "first_category": lambda s, d: read(s, d, "documents").select("doc_id", T.category_or_fallback(F.col("text"), dims.TAXONOMY).alias("category")),
     "all_categories": lambda s, d: read(s, d, "documents").select("doc_id", F.array_join(T.all_categories(F.col("text"), dims.TAXONOMY), ",").alias("categories")),
@@ -170,4 +171,5 @@ h AS (SELECT *, last_value(own IGNORE NULLS) OVER (PARTITION BY conv_id ORDER BY
 s AS (SELECT *, (sum(CASE WHEN own <> held THEN 1 ELSE 0 END) OVER (PARTITION BY conv_id ORDER BY turn ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW))::BIGINT AS segment FROM h),
 t AS (SELECT conv_id, turn, segment, coalesce(max(own) OVER (PARTITION BY conv_id, segment), 'OTHER') AS category FROM s)"""
 ORACLES["topic_split"] = f"{_SPLIT} SELECT * FROM t"
+ORACLES["topic_slices"] = ORACLES["topic_split"]
 ORACLES["topic_summary"] = f"{_SPLIT} SELECT conv_id, segment, category, count(*) AS n FROM t GROUP BY ALL"

@@ -1,7 +1,8 @@
 """Chat exports: raw text files to messages, and what is known about their quality.
 
 A file becomes rows of (source_file, line_no, line); everything after that is columns, one window over a file
-and one grouping. The parallelism is across files.
+and one grouping. Where files are small the parallelism is across files; ``read_splits`` and ``fold_splits`` spread one
+large file over many tasks.
 """
 
 from __future__ import annotations
@@ -10,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from threadline.functions.text import media_of, strip_invisible
+from threadline.operators.scans import SLICE, carried
 
 # The shapes of a dated line, and of any line that begins with a date and a time.
 DATED_LINE = r"^([0-9]{1,2}/[0-9]{1,2}/[0-9]{2})[ \t]([0-9]{1,2}\.[0-9]{2})[ \t]-[ \t](.+)$"
@@ -23,21 +25,63 @@ def decoded(content: Column) -> Column:
 
 
 def read_exports(spark: SparkSession, folder: str, recursive: bool = True) -> DataFrame:
-    """(source_file, path, line_no, line) of all text files of a folder."""
+    """(source_file, path, line_no, line) of all text files of a folder; a file goes through one task."""
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.txt").option("recursiveFileLookup", str(recursive).lower()).load(folder)
     lines = F.posexplode(F.split(decoded(F.col("content")), "\r?\n")).alias("line_no", "line")
     return files.select(F.regexp_extract("path", r"([^/]+)$", 1).alias("source_file"), "path", lines)
 
 
+def read_splits(spark: SparkSession, folder: str, recursive: bool = True) -> DataFrame:
+    """(source_file, path, split, place, line): the lines of all text files of a folder, a large file in byte ranges of many tasks.
+
+    ``split`` is where the line's byte range begins and ``place`` grows with the lines of a range, so the two order a file. Line
+    breaks are those of any system. A file with a line that is no UTF-8 is Latin-1 throughout.
+    """
+    text = spark.read.format("text").option("pathGlobFilter", "*.txt").option("recursiveFileLookup", str(recursive).lower()).load(folder)
+    path = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
+    rows = text.select(path.alias("path"), F.col("_metadata.file_block_start").alias("split"), F.monotonically_increasing_id().alias("place"), "value")
+    other = rows.groupBy("path").agg(F.bool_and(F.is_valid_utf8("value")).alias("_utf8")).where("not _utf8").select(F.col("path").alias("_p"))
+    rows = rows.join(other, F.col("path") == F.col("_p"), "left")
+    line = F.when(F.col("_p").isNull(), F.col("value")).otherwise(F.decode(F.col("value").cast("binary"), "ISO-8859-1"))
+    return rows.select(F.regexp_extract("path", r"([^/]+)$", 1).alias("source_file"), "path", "split", "place", line.alias("line"))
+
+
+def numbered_lines(lines: DataFrame) -> DataFrame:
+    """(source_file, path, line_no, line) of the lines of splits: a line's number is its place in its split and the lines of the splits before."""
+    rows = carried(lines.withColumn(SLICE, F.col("split")), ["path"], ["place"], sums={"line_no": F.lit(1)})
+    return rows.select("source_file", "path", (F.col("line_no") - 1).cast("long").alias("line_no"), "line")
+
+
+def cleaned_line() -> Column:
+    """The line without invisible signs and line breaks."""
+    return strip_invisible(F.regexp_replace("line", r"[\r\n]+$", ""))
+
+
 def fold_lines(lines: DataFrame) -> DataFrame:
     """Messages of (source_file, line_no, line) rows: a dated line begins a message, any other that is not blank goes on with it.
 
     Lines before a file's first message are dropped. A dated line without ``sender: `` is a system notice.
     """
-    cleaned = strip_invisible(F.regexp_replace("line", r"[\r\n]+$", ""))
-    rows = lines.select("source_file", "line_no", cleaned.alias("line")).withColumn("starts", F.col("line").rlike(DATED_LINE))
+    rows = lines.select("source_file", "line_no", cleaned_line().alias("line")).withColumn("starts", F.col("line").rlike(DATED_LINE))
     order = Window.partitionBy("source_file").orderBy("line_no").rowsBetween(Window.unboundedPreceding, 0)
-    rows = rows.withColumn("msg_no", F.sum(F.col("starts").cast("int")).over(order)).where((F.col("msg_no") > 0) & (F.col("starts") | (F.trim("line") != "")))
+    return messages_of(rows.withColumn("msg_no", F.sum(F.col("starts").cast("int")).over(order)), ["source_file"])
+
+
+def fold_splits(lines: DataFrame, files: list[str] | None = None) -> DataFrame:
+    """``fold_lines`` for lines with a ``split``: the message that is open at the end of a range goes on in the next.
+
+    Each range counts its dated lines; the counts of the ranges before it say which message its first lines belong to. So one
+    file over many tasks gives what one task gives. ``files`` names the columns of a file (``source_file`` and ``path``, if not given).
+    """
+    files = files or ["source_file", "path"]
+    rows = lines.withColumn("line", cleaned_line()).withColumn("starts", F.col("line").rlike(DATED_LINE)).withColumn(SLICE, F.col("split"))
+    rows = carried(rows, files, ["place"], sums={"msg_no": F.col("starts").cast("int"), "line_no": F.lit(1)})
+    return messages_of(rows.withColumn("line_no", F.col("line_no") - 1), files)
+
+
+def messages_of(rows: DataFrame, files: list[str]) -> DataFrame:
+    """Messages of lines with their ``msg_no`` (0 before the first) and whether they start one."""
+    rows = rows.where((F.col("msg_no") > 0) & (F.col("starts") | (F.trim("line") != "")))
     rest = F.regexp_extract("line", DATED_LINE, 3)
     named = rest.rlike(SENDER_AND_TEXT)
     piece = F.when(~F.col("starts"), F.col("line")).when(named, F.regexp_extract(rest, SENDER_AND_TEXT, 2)).otherwise(rest)
@@ -46,8 +90,8 @@ def fold_lines(lines: DataFrame) -> DataFrame:
         F.when(named, F.trim(F.regexp_extract(rest, SENDER_AND_TEXT, 1))).otherwise("SYSTEM").alias("sender"),
     )
     pieces = F.array_sort(F.collect_list(F.struct(F.col("line_no").alias("o"), piece.alias("t"))))
-    out = rows.groupBy("source_file", "msg_no").agg(F.min("line_no").alias("line_no"), F.min_by(head, "line_no").alias("h"), F.array_join(F.transform(pieces, lambda s: s["t"]), "\n").alias("text"))
-    return out.select("source_file", "msg_no", "line_no", "h.*", "text").withColumns({c: media_of(F.col("text"))[c] for c in ("media_type", "file_name", "has_media")})
+    out = rows.groupBy(*files, "msg_no").agg(F.min("line_no").alias("line_no"), F.min_by(head, "line_no").alias("h"), F.array_join(F.transform(pieces, lambda s: s["t"]), "\n").alias("text"))
+    return out.select(*files, "msg_no", "line_no", "h.*", "text").withColumns({c: media_of(F.col("text"))[c] for c in ("media_type", "file_name", "has_media")})
 
 
 def with_ids(messages: DataFrame) -> DataFrame:

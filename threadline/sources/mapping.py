@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from threadline.functions.text import customer_from_file
+from threadline.operators.matching import names_in_lines
 
 # Extensions of media files.
 MEDIA_EXTENSIONS = ("jpg", "jpeg", "png", "webp", "gif", "mp4", "mov", "avi", "m4a", "mp3", "aac", "ogg", "pdf", "doc", "docx", "xls", "xlsx", "csv")
@@ -46,15 +47,11 @@ def numbered_chats(new: DataFrame, last: int) -> DataFrame:
 
 
 def mentioned_media(lines: DataFrame, media: DataFrame) -> DataFrame:
-    """(path, chat_id) of media whose file name stands in a chat's text, any case; names meet lines by their words, so it is an equi-join.
-
-    A name is looked for at its first run of letters and digits, and the whole name is then compared.
-    """
-    names = media.select("path", F.lower(file_name(F.col("path"))).alias("name")).withColumn("key", F.regexp_extract("name", r"([a-z0-9]+)", 1))
-    text = lines.select("chat_id", F.lower("line").alias("line"))
-    parts = text.select("chat_id", "line", F.explode(F.array_distinct(F.split("line", "[^a-z0-9]+"))).alias("key"))
-    long = names.where(F.col("key") != "").join(parts, "key").where(F.col("line").contains(F.col("name")))
-    return long.select("path", "chat_id").distinct()
+    """(path, chat_id) of media whose file name stands in a chat's text as a substring, any case. Only lines with an extension of media are searched."""
+    names = media.select("path", F.lower(file_name(F.col("path"))).alias("name"))
+    text = lines.select("chat_id", F.lower("line").alias("line")).where(F.col("line").rlike(r"\.(" + "|".join(MEDIA_EXTENSIONS) + ")"))
+    found = names_in_lines(text, "chat_id", "line", names, "name").distinct()
+    return names.join(found, "name").select("path", "chat_id").distinct()
 
 
 def assign_media(chats: DataFrame, lines: DataFrame, media: DataFrame) -> DataFrame:
