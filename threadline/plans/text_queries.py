@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from threadline import dims
 from threadline.functions import text as T
-from threadline.operators import chat, features, profile, reports, scans
+from threadline.operators import chat, dictionary, features, profile, reports, scans
 from threadline.plans.frames import MESSAGES_SQL, messages, read
 
 _W = r"\p{L}\p{N}_"
@@ -77,6 +77,28 @@ def _guess(s, d):
 _LEAST = 0.9
 _CLUSTER_LEAST = 0.3
 _TOP_GRAMS = ((1, 15), (2, 10), (3, 10))
+def _by_tables(s, d):
+    """Documents normalised by tables that are made of their own words: domain words of five letters, general ones of six to eight, protected ones of nine."""
+    docs = read(s, d, "documents").select("doc_id", T.clean_text(F.col("text")).alias("c"))
+    words = features.materialised(docs.select(F.explode(T.tokens(F.col("c"))).alias("word")).distinct())
+    size = F.length("word")
+    domain = words.where(size == 5).select("word", F.concat(F.lit("d"), "word").alias("replacement"))
+    general = words.where(size.between(6, 8)).select("word", F.substring("word", 1, 5).alias("replacement"))
+    table = dictionary.dictionary(domain, general, words.where(size == 9).select("word"))
+    return dictionary.normalised_by_table(docs, "doc_id", "c", table)
+
+
+def _normalised_sql(tables: str) -> str:
+    """CTE ``normal`` (doc_id, normalised, changed) by the cascade, given CTEs dom(word, r), gen(word, r) and pro(word) over tok."""
+    return f"""toks AS (SELECT doc_id, {_TOKENS} AS ts FROM documents), tok AS (SELECT doc_id, unnest(ts) AS t, generate_subscripts(ts, 1) AS pos FROM toks),
+{tables},
+shorts AS (SELECT t, array_to_string(list_transform(list_filter(range(1, len(c) + 1), lambda i: i = 1 OR c[i] <> c[i - 1] OR NOT (coalesce(c[i - 2] = c[i], false) OR coalesce(c[i + 1] = c[i], false))), lambda i: c[i]), '') AS s FROM (SELECT t, string_split(t, '') AS c FROM (SELECT DISTINCT t FROM tok))),
+news AS (SELECT h.t, coalesce(CASE WHEN pt.word IS NOT NULL THEN h.t END, dt.r, CASE WHEN ps.word IS NOT NULL THEN h.s END, ds.r, gs.r, gt.r, h.s) AS new
+  FROM shorts h LEFT JOIN pro pt ON pt.word = h.t LEFT JOIN pro ps ON ps.word = h.s LEFT JOIN dom dt ON dt.word = h.t LEFT JOIN dom ds ON ds.word = h.s LEFT JOIN gen gs ON gs.word = h.s LEFT JOIN gen gt ON gt.word = h.t),
+joined AS (SELECT doc_id, string_agg(new, ' ' ORDER BY pos) AS normalised, count(*) FILTER (WHERE new <> tok.t) AS changed FROM tok JOIN news ON tok.t = news.t GROUP BY doc_id),
+normal AS (SELECT k.doc_id, CASE WHEN k.ts IS NOT NULL THEN coalesce(normalised, '') END AS normalised, CASE WHEN k.ts IS NOT NULL THEN coalesce(changed, 0) END AS changed FROM toks k LEFT JOIN joined j ON j.doc_id = k.doc_id)"""
+
+
 QUERIES = {
     "role_assign": lambda s, d: messages(s, d).groupBy("sender", "role").agg(F.count(F.lit(1)).alias("n")),
     "unmapped_senders": lambda s, d: chat.unmapped_senders(messages(s, d), s.range(1).select(F.explode(F.array(F.lit("user"), F.lit("assistant"))).alias("sender"))),
@@ -99,6 +121,8 @@ QUERIES = {
     "clean_text": lambda s, d: read(s, d, "documents").select("doc_id", F.md5(T.clean_text(F.col("text")).cast("binary")).alias("clean_md5")),
     "token_count": lambda s, d: read(s, d, "documents").select("source", F.size(T.tokens(T.clean_text(F.col("text")))).alias("n")).groupBy("source").agg(F.sum("n").alias("tokens"), F.min("n").alias("least"), F.max("n").alias("most"), F.count_if(F.col("n") == 0).alias("empty")),
     "token_normalise": lambda s, d: T.normalised_texts(read(s, d, "documents").select("doc_id", T.clean_text(F.col("text")).alias("c")), "c", dims.SLANG, dims.GENERAL_WORDS, dims.PROTECTED).select("doc_id", "changed", F.md5(F.col("normalised").cast("binary")).alias("normal_md5")),
+    "dictionary_normalise": lambda s, d: _by_tables(s, d).select("doc_id", "changed", F.md5(F.col("normalised").cast("binary")).alias("normal_md5")),
+    "dictionary_coverage": lambda s, d: dictionary.coverage(_by_tables(s, d)),
     "normalise_coverage": lambda s, d: T.normalised_texts(read(s, d, "documents").select("doc_id", T.clean_text(F.col("text")).alias("c")), "c", dims.SLANG, dims.GENERAL_WORDS, dims.PROTECTED).agg(F.sum("changed").alias("words_changed"), F.count_if(F.col("changed") > 0).alias("texts_changed"), (F.count_if(F.col("changed") > 0) * 100.0 / F.count(F.lit(1))).alias("percent")),
     "ngram_top": lambda s, d: features.term_counts(read(s, d, "documents").where("text is not null"), "doc_id", T.tokens(T.clean_text(F.col("text"))), (2,)).groupBy("term").agg(F.sum("tf").alias("n")).orderBy(F.desc("n"), "term").limit(15),
     "tfidf_terms": lambda s, d: features.feature_summary(_weights(s, d), read(s, d, "documents").count()),
@@ -173,3 +197,10 @@ t AS (SELECT conv_id, turn, segment, coalesce(max(own) OVER (PARTITION BY conv_i
 ORACLES["topic_split"] = f"{_SPLIT} SELECT * FROM t"
 ORACLES["topic_slices"] = ORACLES["topic_split"]
 ORACLES["topic_summary"] = f"{_SPLIT} SELECT conv_id, segment, category, count(*) AS n FROM t GROUP BY ALL"
+_VALUES = lambda d: ", ".join(f"('{k}', '{v}')" for k, v in d.items())
+_LITERAL = _normalised_sql(f"dom(word, r) AS (VALUES {_VALUES(dims.SLANG)}), gen(word, r) AS (VALUES {_VALUES(dims.GENERAL_WORDS)}), pro(word) AS (VALUES {', '.join(f"('{w}')" for w in dims.PROTECTED)})")
+_TABLES = _normalised_sql("dom AS (SELECT DISTINCT t AS word, 'd' || t AS r FROM tok WHERE length(t) = 5), gen AS (SELECT DISTINCT t AS word, left(t, 5) AS r FROM tok WHERE length(t) BETWEEN 6 AND 8), pro AS (SELECT DISTINCT t AS word FROM tok WHERE length(t) = 9)")
+for _name, _with in (("token_normalise", _LITERAL), ("dictionary_normalise", _TABLES)):
+    ORACLES[_name] = f"WITH {_with} SELECT doc_id, changed, md5(normalised) AS normal_md5 FROM normal"
+for _name, _with in (("normalise_coverage", _LITERAL), ("dictionary_coverage", _TABLES)):
+    ORACLES[_name] = f"WITH {_with} SELECT sum(changed) AS words_changed, count(*) FILTER (WHERE changed > 0) AS texts_changed, count(*) FILTER (WHERE changed > 0) * 100.0 / count(*) AS percent FROM normal"
