@@ -2,21 +2,28 @@
 
 from __future__ import annotations
 
+import json
+import math
 from collections.abc import Callable
 from functools import reduce
+from itertools import product
 
-from pyspark.ml import Pipeline, PipelineModel
+from pyspark import keyword_only
+from pyspark.ml import Estimator, Model, Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LinearSVC, LogisticRegression, NaiveBayes, OneVsRest, RandomForestClassifier
-from pyspark.ml.feature import CountVectorizer, IDF, NGram, Normalizer, RegexTokenizer, SQLTransformer, StopWordsRemover, StringIndexer
-from pyspark.ml.functions import vector_to_array
-from pyspark.ml.evaluation import MulticlassClassificationEvaluator
-from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
-from pyspark.sql import Column, DataFrame
+from pyspark.ml.feature import CountVectorizerModel, NGram, Normalizer, RegexTokenizer, SQLTransformer, StopWordsRemover, StringIndexer
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.param import Param, Params, TypeConverters
+from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from threadline.dims import STOP_WORDS
-from threadline.functions.text import softmax
+from threadline.functions.text import clean_text, normalised_texts, softmax
+from threadline.operators.features import materialised
 from threadline.operators.reports import class_metrics, summary_metrics
+from threadline.operators.sgd import SgdClassifier
+from threadline.operators.splits import stratified_folds
 
 
 def hash_fold(key: str, folds: int = 5) -> Column:
@@ -47,40 +54,117 @@ def balanced_weights(rows: DataFrame, label: str) -> DataFrame:
     return rows.join(weights, F.col(label) == F.col("_l")).drop("_l")
 
 
-def feature_stages(text: str = "text", terms: int = 400, min_docs: float = 2.0) -> list:
-    """Unigrams and bigrams to unit TF-IDF vectors."""
+def term_totals(dataset: DataFrame, terms: Column, min_docs: float) -> DataFrame:
+    """(t, n, d): in how many places and rows each term stands, of those in ``min_docs`` rows."""
+    rows = dataset.select(terms.alias("ts"))
+    every = rows.select(F.explode("ts").alias("t"), F.lit(1).alias("n"), F.lit(0).alias("d"))
+    once = rows.select(F.explode(F.array_distinct("ts")).alias("t"), F.lit(0).alias("n"), F.lit(1).alias("d"))
+    return every.unionByName(once).groupBy("t").agg(F.sum("n").alias("n"), F.sum("d").alias("d")).where(F.col("d") >= min_docs)
+
+
+class TopTerms(Estimator):
+    """Fits ``TermWeights`` of the commonest terms of ``_terms``: at least ``min_docs`` rows hold them, ties go by term, so a smaller vocabulary begins a larger one.
+
+    A longer n-gram is no commoner than its words. So where enough single words are known, only n-grams of words as common as the
+    last of these are counted: nearly all n-grams are rare, and they are neither shuffled nor held.
+    """
+
+    def __init__(self, terms: int, min_docs: float) -> None:
+        super().__init__()
+        self.terms, self.min_docs = terms, min_docs
+
+    def _fit(self, dataset: DataFrame) -> TermWeights:
+        single = materialised(term_totals(dataset, F.filter("_terms", lambda t: ~t.contains(" ")), self.min_docs))
+        first = single.orderBy(F.desc("n"), "t").limit(self.terms).collect()  # no more than ``terms``
+        wanted = F.col("_terms")
+        if len(first) == self.terms and first:
+            border = single.where(F.col("n") >= first[-1]["n"])
+            if border.count() <= 20 * self.terms:
+                common = [r["t"] for r in border.select("t").collect()]
+                wanted = F.filter("_terms", lambda t: F.forall(F.split(t, " "), lambda w: w.isin(*common)))
+        top = term_totals(dataset, wanted, self.min_docs).orderBy(F.desc("n"), "t").limit(self.terms).collect()
+        n = dataset.count()
+        return TermWeights(terms=[r["t"] for r in top], idf=[math.log((1 + n) / (1 + r["d"])) + 1 for r in top])
+
+
+class TermWeights(Model, DefaultParamsReadable, DefaultParamsWritable):
+    """Add ``_weights``: (1 + ln tf) idf of the known terms of ``_terms``, zero where there is none."""
+
+    terms = Param(Params._dummy(), "terms", "the vocabulary in order", TypeConverters.toListString)
+    idf = Param(Params._dummy(), "idf", "inverse document frequency of each term", TypeConverters.toListFloat)
+
+    @keyword_only
+    def __init__(self, *, terms: list[str] | None = None, idf: list[float] | None = None) -> None:
+        super().__init__()
+        if terms is not None:
+            self._set(terms=terms, idf=idf)
+
+    def _transform(self, dataset: DataFrame) -> DataFrame:
+        words, idf = self.getOrDefault(self.terms) or ["\u0000"], self.getOrDefault(self.idf) or [0.0]
+        counted = CountVectorizerModel.from_vocabulary(words, inputCol="_terms", outputCol="_tf").transform(dataset)
+        weights = F.zip_with(vector_to_array("_tf"), F.array(*[F.lit(x) for x in idf]), lambda tf, x: F.when(tf > 0, (1 + F.log(tf)) * x).otherwise(0.0))
+        return counted.withColumn("_weights", array_to_vector(weights))
+
+
+def feature_stages(text: str = "text", terms: int = 400, min_docs: float = 2.0, sizes: tuple[int, ...] = (1, 2)) -> list:
+    """N-grams of some sizes to unit TF-IDF vectors: sublinear counts, idf = ln((1 + n) / (1 + df)) + 1, the commonest terms."""
+    parts = ", ".join("_words" if n == 1 else f"_grams{n}" for n in sizes)
     return [
         RegexTokenizer(inputCol=text, outputCol="_raw", pattern=r"[^\p{L}\p{N}_]+", minTokenLength=2),
         StopWordsRemover(inputCol="_raw", outputCol="_words", stopWords=list(STOP_WORDS)),
-        NGram(n=2, inputCol="_words", outputCol="_pairs"),
-        SQLTransformer(statement="SELECT *, concat(_words, _pairs) AS _terms FROM __THIS__"),
-        CountVectorizer(inputCol="_terms", outputCol="_tf", minDF=min_docs, vocabSize=terms),
-        IDF(inputCol="_tf", outputCol="_idf"), Normalizer(inputCol="_idf", outputCol="features"),
+        *[NGram(n=n, inputCol="_words", outputCol=f"_grams{n}") for n in sizes if n > 1],
+        SQLTransformer(statement=f"SELECT *, concat({parts}) AS _terms FROM __THIS__"),
+        TopTerms(terms, min_docs), Normalizer(inputCol="_weights", outputCol="features"),
     ]
 
 
 def models() -> dict[str, object]:
-    """Baseline classifiers by name."""
+    """Baseline classifiers by name; those that take weights balance the classes."""
     args = {"featuresCol": "features", "labelCol": "_label"}
     return {
         "logistic": LogisticRegression(**args, weightCol="weight", maxIter=30), "linear_svm": OneVsRest(**args, weightCol="weight", classifier=LinearSVC(maxIter=20)),
-        "complement_bayes": NaiveBayes(**args, modelType="complement"), "multinomial_bayes": NaiveBayes(**args, modelType="multinomial"),
-        "forest": RandomForestClassifier(**args, numTrees=30, seed=1), "boosting": OneVsRest(**args, classifier=GBTClassifier(maxIter=10, seed=1)),
+        "complement_bayes": NaiveBayes(**args, modelType="complement"), "multinomial_bayes": NaiveBayes(**args, modelType="multinomial"), "sgd": SgdClassifier(**args, weightCol="weight"),
+        "forest": RandomForestClassifier(**args, weightCol="weight", numTrees=30, seed=1), "boosting": OneVsRest(**args, classifier=GBTClassifier(maxIter=10, maxDepth=3, seed=1)),
     }
 
 
+def fit_features(rows: DataFrame, label: str, text: str = "text", **vectors) -> PipelineModel:
+    """The label index and the feature stages, fitted."""
+    return Pipeline(stages=[StringIndexer(inputCol=label, outputCol="_label", handleInvalid="keep", stringOrderType="alphabetAsc"), *feature_stages(text, **vectors)]).fit(rows)
+
+
+def featured(features: PipelineModel, rows: DataFrame, label: str, keep: tuple[str, ...] = ()) -> DataFrame:
+    """Label, its index, balanced weight and features of labelled rows, written once, so that several models do not cut up the texts again."""
+    out = features.transform(balanced_weights(rows, label))
+    return materialised(out.select(*{label, *keep}, "_label", "weight", "_weights", "features"))
+
+
+def train_all(rows: DataFrame, label: str, chosen: dict[str, object], text: str = "text") -> dict[str, PipelineModel]:
+    """Several classifiers on the same features, which are made once; each result is a whole pipeline from text to prediction."""
+    features = fit_features(rows, label, text)
+    ready = featured(features, rows, label)
+    return {name: PipelineModel(stages=[*features.stages, model.fit(ready)]) for name, model in chosen.items()}
+
+
 def train(rows: DataFrame, label: str, model: object, text: str = "text") -> PipelineModel:
     """Features and classifier fitted together, so no fold sees another's vocabulary."""
-    stages = [StringIndexer(inputCol=label, outputCol="_label", handleInvalid="keep", stringOrderType="alphabetAsc"), *feature_stages(text), model]
-    return Pipeline(stages=stages).fit(balanced_weights(rows, label))
+    return train_all(rows, label, {"": model}, text)[""]
+
+
+def class_name(features: PipelineModel) -> Column:
+    """The label of a prediction's index."""
+    return F.try_element_at(F.array(*[F.lit(x) for x in features.stages[0].labels]), F.col("prediction").cast("int") + 1)
 
 
 def predict(model: PipelineModel, rows: DataFrame, label: str) -> DataFrame:
-    """Add ``predicted`` and ``confidence`` (probability, or softmax of the decision scores)."""
+    """Add ``predicted``, ``confidence`` (probability, or softmax of the decision scores), ``probabilities`` (by label, in percent, two places) and ``margin``."""
     names = F.array(*[F.lit(x) for x in model.stages[0].labels])
     out = model.transform(rows.withColumn(label, F.col(label) if label in rows.columns else F.lit(None).cast("string")))
-    scores = vector_to_array("probability") if "probability" in out.columns else softmax(vector_to_array("rawPrediction"))
-    out = out.withColumn("predicted", F.try_element_at(names, F.col("prediction").cast("int") + 1)).withColumn("confidence", F.array_max(scores)).withColumn("_scores", F.array_sort(scores, lambda a, b: F.when(a > b, -1).when(a < b, 1).otherwise(0)))
+    own = vector_to_array("probability") if "probability" in out.columns else softmax(vector_to_array("rawPrediction"))
+    out = out.withColumn("_own", F.slice(own, 1, F.size(names)))
+    by_name = F.map_from_arrays(F.slice(names, 1, F.size("_own")), F.transform("_own", lambda p: F.round(p * 100, 2)))
+    out = out.withColumn("predicted", class_name(model)).withColumn("confidence", F.array_max("_own")).withColumn("probabilities", by_name)
+    out = out.withColumn("_scores", F.array_sort("_own", lambda a, b: F.when(a > b, -1).when(a < b, 1).otherwise(0)))
     return out.withColumn("margin", F.try_element_at("_scores", F.lit(1)) - F.coalesce(F.try_element_at("_scores", F.lit(2)), F.lit(0.0)))
 
 
@@ -105,47 +189,124 @@ def scores(predicted: DataFrame, label: str, name: str) -> DataFrame:
     return accuracy.crossJoin(summary_metrics(class_metrics(predicted, label, "predicted"))).select(F.lit(name).alias("model"), "*")
 
 
+def judged(fitted: object, features: PipelineModel, ready: DataFrame, label: str) -> DataFrame:
+    """Rows of made features with ``predicted``."""
+    return fitted.transform(ready).select(label, class_name(features).alias("predicted"))
+
+
+def accuracy(predicted: DataFrame, label: str, name: str = "train_accuracy") -> DataFrame:
+    """One row: the share of right predictions."""
+    return predicted.agg(F.avg((F.col(label) == F.col("predicted")).cast("double")).alias(name))
+
+
 def cross_validate(rows: DataFrame, label: str, key: str, chosen: dict[str, object], folds: int = 5, text: str = "text") -> DataFrame:
-    """Per model the mean and deviation of accuracy and F1 over folds, and the mean accuracy on the training side. The features are fitted inside each fold."""
-    dealt = filled(rows, text).withColumn("_fold", hash_fold(key, folds))
+    """Per model the mean and deviation of accuracy and F1 over stratified folds, and the accuracy on all rows of a fit on all rows.
+
+    The vocabulary is fitted inside each fold, once for all models.
+    """
+    dealt = materialised(stratified_folds(filled(rows, text), key, label, folds))
     found = []
-    for name, model in chosen.items():
-        for k in range(folds):
-            inner = dealt.where(F.col("_fold") != k).drop("_fold")
-            fitted = train(inner, label, model, text)
-            own = scores(predict(fitted, dealt.where(F.col("_fold") == k).drop("_fold"), label), label, name)
-            seen = predict(fitted, inner, label).agg(F.avg((F.col(label) == F.col("predicted")).cast("double")).alias("train_accuracy"))
-            found.append(own.crossJoin(seen))
-    every = reduce(DataFrame.unionByName, found)
+    for k in range(folds):
+        inner, outer = dealt.where(F.col("fold") != k), dealt.where(F.col("fold") == k)
+        features = fit_features(inner, label, text)
+        a, b = featured(features, inner, label), featured(features, outer, label)
+        found += [scores(judged(model.fit(a), features, b, label), label, name) for name, model in chosen.items()]
+    features = fit_features(dealt, label, text)
+    ready = featured(features, dealt, label)
+    seen = [accuracy(judged(model.fit(ready), features, ready, label), label).select(F.lit(name).alias("model"), "train_accuracy") for name, model in chosen.items()]
     spread = [f(c).alias(f"{n}_{c}") for c in ("accuracy", "macro_f1", "weighted_f1") for n, f in (("mean", F.avg), ("std", F.stddev_pop))]
-    return every.groupBy("model").agg(*spread, F.avg("train_accuracy").alias("train_accuracy"))
+    return reduce(DataFrame.unionByName, found).groupBy("model").agg(*spread).join(reduce(DataFrame.unionByName, seen), "model")
+
+
+def with_parameters(model: object, values: dict[str, object]) -> object:
+    """A copy of a classifier with some parameters; ``balanced`` False takes the class weights away. Of one against the rest the inner one is set."""
+    values = dict(values)
+    balanced = values.pop("balanced", True)
+    if isinstance(model, OneVsRest):
+        out = model.copy()
+        out.setClassifier(model.getClassifier().copy({model.getClassifier().getParam(k): v for k, v in values.items()}))
+    else:
+        out = model.copy({model.getParam(k): v for k, v in values.items()})
+    if not balanced and out.isSet(out.getParam("weightCol")):
+        out.clear(out.getParam("weightCol"))
+    return out
+
+
+def cut_features(ready: DataFrame, terms: int) -> DataFrame:
+    """Features of the first terms alone, of unit length again: a smaller vocabulary is the beginning of a larger one."""
+    short = ready.withColumn("_short", F.slice(vector_to_array("_weights"), 1, terms))
+    norm = F.sqrt(F.aggregate("_short", F.lit(0.0), lambda a, x: a + x * x))
+    return short.withColumn("features", array_to_vector(F.transform("_short", lambda x: F.when(norm > 0, x / norm).otherwise(0.0)))).drop("_short")
+
+
+def combinations(grid: dict[str, list]) -> list[dict[str, object]]:
+    """All parameter sets of a grid, the last name varying fastest."""
+    return [dict(zip(grid, values, strict=True)) for values in product(*grid.values())]
+
+
+#: Vectoriser parameters that are searched unless others are given.
+VECTORS = {"sizes": [(1,), (1, 2)], "min_docs": [1.0, 2.0], "terms": [300, 400, 500]}
+
 
+def grid_search(rows: DataFrame, label: str, key: str, grids: dict[str, dict[str, list]], vectors: dict[str, list] | None = None, folds: int = 5, text: str = "text") -> DataFrame:
+    """(model, vector, parameters, mean_weighted_f1, rank) of every family, vectoriser and parameter set over stratified folds; rank 1 is a family's best, ties by the order of the grid.
 
-def tune(rows: DataFrame, label: str, key: str, name: str, grid: dict[str, list], folds: int = 5, text: str = "text") -> tuple[PipelineModel, dict[str, object]]:
-    """Grid search of one model by weighted F1 over folds; the best pipeline and its parameters."""
-    model = models()[name]
-    inner = model.getClassifier() if isinstance(model, OneVsRest) else model
-    build = ParamGridBuilder()
-    for parameter, values in grid.items():
-        build = build.addGrid(getattr(inner, parameter), values)
-    maps = build.build()
-    stages = [StringIndexer(inputCol=label, outputCol="_label", handleInvalid="keep", stringOrderType="alphabetAsc"), *feature_stages(text), model]
-    judge = MulticlassClassificationEvaluator(labelCol="_label", predictionCol="prediction", metricName="f1")
-    dealt = balanced_weights(filled(rows, text), label).withColumn("_fold", hash_fold(key, folds))
-    found = CrossValidator(estimator=Pipeline(stages=stages), estimatorParamMaps=maps, evaluator=judge, numFolds=folds, foldCol="_fold", parallelism=2).fit(dealt)
-    best = maps[max(range(len(maps)), key=lambda k: (found.avgMetrics[k], -k))]
-    return found.bestModel, {p.name: v for p, v in best.items()}
+    The texts are cut up once a fold, n-gram sizes and least document count, with the largest vocabulary; smaller ones are cuts of
+    it. So what is fitted most is classifiers on written features.
+    """
+    vectors = vectors or VECTORS
+    dealt = materialised(stratified_folds(filled(rows, text), key, label, folds))
+    found = []
+    for sizes, least in product(vectors["sizes"], vectors["min_docs"]):
+        for k in range(folds):
+            inner, outer = dealt.where(F.col("fold") != k), dealt.where(F.col("fold") == k)
+            features = fit_features(inner, label, text, terms=max(vectors["terms"]), min_docs=least, sizes=sizes)
+            whole = [featured(features, side, label) for side in (inner, outer)]
+            for terms in vectors["terms"]:
+                a, b = (materialised(cut_features(x, terms)) for x in whole)
+                for name, grid in grids.items():
+                    for values in combinations(grid):
+                        got = scores(judged(with_parameters(models()[name], values).fit(a), features, b, label), label, name).first()
+                        found.append((name, json.dumps({"sizes": sizes, "min_docs": least, "terms": terms}), json.dumps(values), len(found), float(got["weighted_f1"] or 0.0)))
+    spark = rows.sparkSession
+    table = spark.createDataFrame(found, "model string, vector string, parameters string, n long, f1 double")  # a row a fit
+    means = table.groupBy("model", "vector", "parameters").agg(F.avg("f1").alias("mean_weighted_f1"), F.min("n").alias("_n"))
+    best = Window.partitionBy("model").orderBy(F.desc("mean_weighted_f1"), "_n")
+    return means.withColumn("rank", F.row_number().over(best)).drop("_n")
+
+
+def tune(rows: DataFrame, label: str, key: str, name: str, grid: dict[str, list], folds: int = 5, text: str = "text", vectors: dict[str, list] | None = None) -> tuple[PipelineModel, dict[str, object]]:
+    """Grid search of one family by weighted F1 over folds; the best pipeline, fitted on all rows, and its parameters. The vectoriser's are searched too if given."""
+    searched = grid_search(rows, label, key, {name: grid}, vectors or {"sizes": [(1, 2)], "min_docs": [2.0], "terms": [400]}, folds, text)
+    top = searched.where("rank = 1").first()
+    values, vector = json.loads(top["parameters"]), json.loads(top["vector"])
+    full = filled(rows, text)
+    features = fit_features(full, label, text, terms=vector["terms"], min_docs=vector["min_docs"], sizes=tuple(vector["sizes"]))
+    best = with_parameters(models()[name], values).fit(featured(features, full, label))
+    return PipelineModel(stages=[*features.stages, best]), values | (vector if vectors else {})
 
 
 def evaluate(fitted: dict[str, PipelineModel], train_rows: DataFrame, test_rows: DataFrame, label: str) -> DataFrame:
     """Metrics of fitted models on the test side, with the gap of accuracy to the training side, best first, ties by name."""
     found = []
     for name, model in fitted.items():
-        seen = predict(model, train_rows, label).agg(F.avg((F.col(label) == F.col("predicted")).cast("double")).alias("train_accuracy"))
+        seen = accuracy(predict(model, train_rows, label), label)
         found.append(scores(predict(model, test_rows, label), label, name).crossJoin(seen).withColumn("gap", F.col("train_accuracy") - F.col("accuracy")))
     return reduce(DataFrame.unionByName, found).orderBy(F.desc("accuracy"), "model")
 
 
+def train_and_evaluate(train_rows: DataFrame, test_rows: DataFrame, label: str, chosen: dict[str, object], text: str = "text") -> DataFrame:
+    """``evaluate`` of several classifiers that are fitted here, the features of both sides being made once."""
+    features = fit_features(train_rows, label, text)
+    a, b = featured(features, train_rows, label), featured(features, test_rows, label)
+    found = []
+    for name, model in chosen.items():
+        fitted = model.fit(a)
+        seen = accuracy(judged(fitted, features, a, label), label)
+        found.append(materialised(scores(judged(fitted, features, b, label), label, name).crossJoin(seen).withColumn("gap", F.col("train_accuracy") - F.col("accuracy"))))
+    return reduce(DataFrame.unionByName, found).orderBy(F.desc("accuracy"), "model")
+
+
 def select_model(validated: DataFrame) -> str:
     """Name of the model with the best mean weighted F1, ties by name; one row is read."""
     return validated.orderBy(F.desc("mean_weighted_f1"), "model").first()["model"]
@@ -160,11 +321,32 @@ def keep_model(model: PipelineModel, path: str, name: str, train_rows: DataFrame
     return spark.createDataFrame([(name, path, train_rows.count(), test_rows.count())], "model string, path string, train_rows long, test_rows long")
 
 
-def score_texts(model: PipelineModel, rows: DataFrame, label: str, fallback: str, text: str = "text") -> DataFrame:
-    """Rows with ``predicted`` and ``confidence`` in percent; a blank text gets the fallback at 100."""
-    blank = F.trim(F.coalesce(text, F.lit(""))) == ""
-    out = predict(model, rows.withColumn(text, F.coalesce(text, F.lit(""))), label)
-    return out.withColumns({"predicted": F.when(blank, fallback).otherwise(F.col("predicted")), "confidence": F.when(blank, 100.0).otherwise(F.col("confidence") * 100)})
+def load_model(path: str) -> PipelineModel:
+    """A kept model."""
+    return PipelineModel.load(path)
+
+
+def prepared(rows: DataFrame, text: str, domain: dict[str, str], general: dict[str, str], protected: tuple[str, ...]) -> DataFrame:
+    """Rows with the text cleaned and its words normalised, as the texts of the training side are; null becomes empty."""
+    clean = rows.withColumn(text, clean_text(F.coalesce(F.col(text), F.lit(""))))
+    return normalised_texts(clean, text, domain, general, protected).withColumn(text, F.coalesce("normalised", F.lit(""))).drop("normalised", "changed")
+
+
+def score_texts(model: PipelineModel, rows: DataFrame, label: str, fallback: str, text: str = "text", words: tuple[dict[str, str], dict[str, str], tuple[str, ...]] | None = None) -> DataFrame:
+    """Rows with ``predicted``, ``confidence`` in percent and ``probabilities``; a blank text gets the fallback at 100 and no probabilities.
+
+    With ``words`` (domain and general words, protected ones) raw texts are cleaned and normalised first, and count as blank if nothing is left.
+    """
+    own = rows.withColumn("_given", F.col(text))
+    own = prepared(own, text, *words) if words else own.withColumn(text, F.coalesce(text, F.lit("")))
+    blank = F.trim(F.col(text)) == ""
+    out = predict(model, own.withColumn("_blank", blank), label)
+    none = F.map_from_arrays(F.array().cast("array<string>"), F.array().cast("array<double>"))
+    out = out.withColumns({
+        "predicted": F.when(F.col("_blank"), fallback).otherwise(F.col("predicted")), "confidence": F.when(F.col("_blank"), 100.0).otherwise(F.col("confidence") * 100),
+        "probabilities": F.when(F.col("_blank"), none).otherwise(F.col("probabilities")), "normalised": F.col(text), text: F.col("_given"),
+    })
+    return out.drop("_given", "_blank")
 
 
 def active_learning(rows: DataFrame, key: str, label: str, model: PipelineModel, relabel: Callable[[DataFrame], DataFrame], previous: DataFrame, n: int = 30, text: str = "text") -> DataFrame:
