@@ -1,6 +1,10 @@
-from datetime import datetime
+import random
+from datetime import datetime, timedelta
 
-from threadline.streaming import ingest
+from pyspark.sql import functions as F
+
+from threadline.operators import chat
+from threadline.streaming import ingest, sessions
 
 
 def test_ingest_in_steps(spark, tmp_path):
@@ -23,3 +27,29 @@ def test_ingest_in_steps(spark, tmp_path):
     arrive((2, day(6), "b"), (3, day(1), "late"), (1, day(7), "other time"), (4, None, "no time"))
     arrive((4, None, "no time"), (3, day(1), "late"))
     assert run() == sorted([*first, (1, 7, "other time"), (3, 1, "late"), (4, 0, "no time")])
+
+
+def test_sessions_of_reordered_files(spark, tmp_path):
+    rng = random.Random(6)
+    start, rows = datetime(2024, 1, 1), []
+    for i in range(600):
+        start += timedelta(minutes=rng.choice([1, 20, 100, 239, 240, 241, 700]))
+        rows.append((i, rng.randrange(3), start, rng.choice(["CLIENT", "CLIENT", "SYSTEM"])))
+    end = (9999, 99, start + timedelta(days=400), "CLIENT")
+    schema = "id long, source long, ts timestamp, role string"
+    folder, sink, state = (str(tmp_path / x) for x in ("in", "out", "state"))
+    counted = F.col("role") != "SYSTEM"
+    stream = lambda: sessions.stream_sessions(spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(folder), "source", "id", "ts", counted, "3 days")
+    # files overlap in time: rows change places with others of the same day or two
+    order = sorted(range(600), key=lambda k: rows[k][2] + timedelta(hours=rng.randrange(40)))
+    for part in range(6):
+        spark.createDataFrame([rows[k] for k in order[part * 100 : part * 100 + 100]], schema).coalesce(1).write.mode("append").parquet(folder)
+        sessions.run_to_end(stream(), sink, state)  # stopped and started again after every file
+    before = spark.read.parquet(sink).count()
+    assert 0 < before < 600  # the last rows wait for the watermark
+    spark.createDataFrame([end], schema).coalesce(1).write.mode("append").parquet(folder)
+    sessions.run_to_end(stream(), sink, state)
+    want = chat.sessionise(spark.createDataFrame(rows, schema), ["source"], ["ts", "id"], 4, counts=counted)
+    got = spark.read.parquet(sink)
+    plain = lambda df, s, i: sorted((r[s], r[i], r["ts"], r["session_no"]) for r in df.collect())
+    assert plain(got, "source", "id") == plain(want, "source", "id")

@@ -13,7 +13,8 @@ from threadline.dims import Category, Taxonomy
 # Classes are spelled out so that other SQL engines read the patterns the same way.
 _WORD = r"\p{L}\p{N}_"
 INVISIBLE = "[​-‏‪-‮⁦-⁩﻿]"
-MEDIA_NAME = r"[a-z0-9_-]+\.(?:jpg|jpeg|png|webp|mp4|opus|pdf)"
+# Fixed value: the name of an image as exports have it.
+IMAGE_NAME = rf"img-[0-9]+-wa[0-9]+\.[{_WORD}]+"
 
 
 def category_pattern(category: Category) -> str | None:
@@ -66,13 +67,13 @@ def parse_time(text: Column) -> Column:
 
 #: What cleaning removes, in this order: marks of media and deletion, image names and links; signs; lone numbers; doubled blanks.
 CLEAN_PATTERNS = (
-    rf"<[^<>]*(?:omitted|attached|terlampir|disertakan)[^<>]*>|[(]file[ \t\n]+terlampir[)]|this message was deleted|pesan[ \t\n]+ini[ \t\n]+(?:telah[ \t\n]+)?(?:dihapus|diedit)|https?://[^ \t\n]+|www\.[^ \t\n]+|{MEDIA_NAME}",
+    rf"<[^<>]*(?:omitted|attached|terlampir|disertakan)[^<>]*>|[(]file[ \t\n]+terlampir[)]|this message was deleted|pesan[ \t\n]+ini[ \t\n]+(?:telah[ \t\n]+)?(?:dihapus|diedit)|https?://[^ \t\n]+|www\.[^ \t\n]+|{IMAGE_NAME}",
     rf"[^{_WORD} ]+", r"(^| )([0-9]+ )*[0-9]+( |$)", r" +",
 )
 
 
 #: Without any of these a text holds nothing that the first pattern removes.
-CLEAN_HINTS = ("<", "(file", "this message was deleted", "pesan", "http", "www.", ".jpg", ".jpeg", ".png", ".webp", ".mp4", ".opus", ".pdf")
+CLEAN_HINTS = ("<", "(file", "this message was deleted", "pesan", "http", "www.", "img-")
 
 
 def bound(value: Column, use: Callable[[Column], Column]) -> Column:

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from threadline.dims import Taxonomy
-from threadline.functions.text import ATTACHED_MARK, OMITTED_MARKS
+from threadline.functions.text import ATTACHED_MARK, OMITTED_MARKS, display_name
 from threadline.operators.chat import response_labels, sessionise, split_topics, time_gaps, transcript
 
 MINUTE_US = 60_000_000
@@ -96,6 +96,25 @@ def with_prediction(master: DataFrame, scored: DataFrame) -> DataFrame:
     return out.withColumn("match", F.when(F.col("category") == F.col("predicted"), "MATCH").otherwise("DIFFER"))
 
 
+def with_texts(master: DataFrame, texts: DataFrame) -> DataFrame:
+    """Add ``normalised`` from (sub_id, normalised) rows, empty where a unit has none."""
+    return master.join(texts.select("sub_id", "normalised"), "sub_id", "left").withColumn("normalised", F.coalesce("normalised", F.lit("")))
+
+
+def with_customer(master: DataFrame, mapping: DataFrame) -> DataFrame:
+    """Add ``customer`` from (source_filename, customer_name) rows: the name, or Unknown with the source."""
+    names = mapping.groupBy(F.col("source_filename").alias("_f")).agg(F.min("customer_name").alias("_name"))
+    return master.join(names, F.col("source_file") == F.col("_f"), "left").withColumn("customer", display_name(F.col("_name"), F.col("source_file"))).drop("_f", "_name")
+
+
+def match_rate(rows: DataFrame, category: str = "category") -> DataFrame:
+    """(category, total, matched, percent) of rows with a ``match``; a null category is all of them."""
+    n, same = F.count(F.lit(1)), F.count_if(F.col("match") == "MATCH")
+    each = rows.groupBy(F.col(category).alias("category")).agg(n.alias("total"), same.alias("matched"))
+    whole = each.agg(F.coalesce(F.sum("total"), F.lit(0)).alias("total"), F.coalesce(F.sum("matched"), F.lit(0)).alias("matched")).select(F.lit(None).cast("string").alias("category"), "total", "matched")
+    return each.unionByName(whole).withColumn("percent", F.coalesce(F.try_divide(F.col("matched") * 100.0, F.col("total")), F.lit(0.0)))
+
+
 def executive_summary(rows: DataFrame, key: str, category: str) -> DataFrame:
     """Eight figures as (metric, value, percent); what is not remote is the rest of all here."""
     one = rows.agg(

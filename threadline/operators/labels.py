@@ -144,6 +144,22 @@ def audit_label(label: Column, text: Column, rules: AuditRules) -> Column:
     return F.struct(verdict.alias("verdict"), found.alias("rule"), F.array_join(signals, ";").alias("signals"))
 
 
+def audit_sample(judged: DataFrame, key: str, verdict: str = "verdict", k: int = 25) -> DataFrame:
+    """The first k rows of each verdict but CONSISTENT, in order of the key: what a person looks at."""
+    order = Window.partitionBy(verdict).orderBy(key)
+    return judged.where(F.col(verdict) != "CONSISTENT").withColumn("place", F.row_number().over(order)).where(F.col("place") <= k)
+
+
+def cluster_prompts(texts: DataFrame, clusters: DataFrame, key: str, text: str, names: list[str], least: int = 5, shown: int = 20) -> DataFrame:
+    """(cluster, members, prompt) of the clusters of at least ``least`` members: the names in use and the first ``shown`` texts by key."""
+    joined = texts.join(clusters, key)
+    order = Window.partitionBy("cluster").orderBy(key)
+    few = joined.withColumn("_k", F.row_number().over(order)).where(F.col("_k") <= shown)
+    own = few.groupBy("cluster").agg(F.transform(F.array_sort(F.collect_list(F.struct("_k", F.col(text).alias("t")))), lambda x: x["t"]).alias("_texts"))
+    sizes = joined.groupBy("cluster").agg(F.count(F.lit(1)).alias("members")).where(F.col("members") >= least)
+    return sizes.join(own, "cluster").select("cluster", "members", proposal_prompt(names, F.col("_texts")).alias("prompt"))
+
+
 def proposal_contract(name: Column, definition: Column, keywords: Column, existing: list[str]) -> Column:
     """Struct (name, definition, keywords) of a sound proposal, else null: an upper-case name not in use, a definition of 10 signs, two distinct cleaned keywords."""
     upper = F.upper(F.trim(F.coalesce(name, F.lit(""))))

@@ -78,6 +78,20 @@ def matching(rows: DataFrame, query: str | None = None, columns: tuple[str, ...]
     return rows
 
 
+def matching_any(rows: DataFrame, query: str | None = None, columns: tuple[str, ...] = (), **any_of: tuple[object, tuple[str, ...]]) -> DataFrame:
+    """Rows that hold a text in one of some columns and, for each named filter (value, columns), have the value in one of its columns.
+
+    Texts are compared without blanks around the value; a filter whose name ends in ``_upper`` compares upper case. A null value filters nothing.
+    """
+    rows = matching(rows, query, columns)
+    for name, (value, own) in any_of.items():
+        if value is not None:
+            upper = name.endswith("_upper")
+            wanted = str(value).strip().upper() if upper else str(value).strip()
+            rows = rows.where(reduce(lambda a, b: a | b, [F.coalesce((F.upper(c) if upper else F.col(c)) == wanted, F.lit(False)) for c in own]))
+    return rows
+
+
 def page(rows: DataFrame, order: list, number: int = 1, size: int = 50) -> DataFrame:
     """A page of at most 200 rows in a stated order; a top-k of offset plus size, not a full sort."""
     if number < 1 or not 1 <= size <= 200:

@@ -85,6 +85,8 @@ QUERIES = {
     "number_chats": lambda s, d: mapping.numbered_chats(_chats(s, d).select("path"), 17),
     "media_assign": lambda s, d: _media_assign(s, d),
     "ingest_summary": lambda s, d: mapping.ingest_summary(_chats(s, d), _media_assign(s, d)),
+    "media_map": lambda s, d: mapping.media_map(_chats(s, d), _media_assign(s, d)).select("chat_id", F.array_join("media", "|").alias("media")),
+    "unresolved_media": lambda s, d: mapping.unresolved_media(_media_assign(s, d)),
     "media_by_sender": lambda s, d: distributions.media_by_sender(parsed(s, d)),
     "period_span": lambda s, d: distributions.period_span(_roles(parsed(s, d)), "ts"),
     "full_master": lambda s, d: distributions.full_master(_roles(parsed(s, d)), dims.TAXONOMY, T.word_pattern(dims.REMOTE_WORDS), T.credential_pattern(dims.CREDENTIAL_WORDS), T.word_pattern(dims.CLOSING_WORDS), T.word_pattern(dims.WAITING_WORDS)),
@@ -107,4 +109,7 @@ FROM m LEFT JOIN chats c ON c.place = m.doc_id - 1 LEFT JOIN b ON b.folder = m.f
     "period_span": f"WITH {_PARSED}, m AS (SELECT date_trunc('minute', ts) AS ts FROM msgs) SELECT min(ts) AS first_ts, max(ts) AS last_ts, count(DISTINCT ts::DATE) AS days, count(DISTINCT date_trunc('month', ts)) AS months FROM m",
     "scoring_rows": "SELECT doc_id, CASE WHEN doc_id % 2 = 0 OR lang IS NULL OR trim(lang) = '' THEN trim(source) ELSE trim(lang) END AS text FROM documents WHERE coalesce(CASE WHEN doc_id % 2 = 1 THEN nullif(trim(lang), '') END, nullif(trim(source), '')) IS NOT NULL",
 }
+_ASSIGNED = ORACLES["media_assign"].replace("SELECT m.path,", ", a AS (SELECT m.path,", 1) + ")"
+ORACLES["media_map"] = f"{_ASSIGNED} SELECT c.chat_id, coalesce(string_agg(a.path, '|' ORDER BY a.path), '') AS media FROM chats c LEFT JOIN a ON a.chat_id = c.chat_id GROUP BY 1"
+ORACLES["unresolved_media"] = f"{_ASSIGNED} SELECT path, regexp_extract(path, '([^/]+)$', 1) AS filename, 'unable_to_determine_chat' AS reason FROM a WHERE chat_id IS NULL"
 ORACLES["ingest_summary"] = ORACLES["media_assign"].replace("SELECT m.path,", ", a AS (SELECT m.path,", 1) + ") SELECT (SELECT count(*) FROM chats) AS chats, count(*) AS media, count(chat_id) AS resolved, count(*) FILTER (WHERE chat_id IS NULL) AS unresolved FROM a"

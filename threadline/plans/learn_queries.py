@@ -2,18 +2,25 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from threadline import dims
 from threadline.functions.text import category_or_fallback
 from threadline.operators import learn
+from threadline.operators.features import checkpoint_folder
+from threadline.plans.export_queries import _roles as exports_roles
+from threadline.plans.export_queries import parsed
 from threadline.plans.frames import read
+from threadline.plans.staged import chat_stages, run_stages
 
 
 def _rows(s, d):
-    """Labelled documents, the group being the source."""
+    """Labelled documents, the group being the source; dealt by id, as a small table may be one file and its texts are cut up several times."""
     docs = read(s, d, "documents").where("source is not null").select("doc_id", "text", "source")
-    return docs.join(read(s, d, "labels").select("doc_id", F.col("quality").cast("string").alias("label")), "doc_id")
+    tasks = int(s.conf.get("spark.sql.shuffle.partitions"))
+    return docs.repartition(tasks, "doc_id").join(read(s, d, "labels").select("doc_id", F.col("quality").cast("string").alias("label")), "doc_id")
 
 
 def _split(s, d):
@@ -36,7 +43,15 @@ def _active(s, d):
     return learn.active_learning(rows, "doc_id", "label", model, asked, previous).groupBy("status").agg(F.count(F.lit(1)).alias("n"))
 
 
+def _staged(s, d):
+    """The whole run on exports of the events, each stage a table: the summary of its full master."""
+    folder = f"{checkpoint_folder(s)}/run-{uuid.uuid4().hex}"
+    messages = exports_roles(parsed(s, d))
+    return run_stages(s, folder, chat_stages(), {"messages": messages})["summary"]
+
+
 QUERIES = {
+    "staged_run": lambda s, d: _staged(s, d),
     "split_summary": lambda s, d: learn.split_summary(_split(s, d), "label"),
     "split_leaks": lambda s, d: learn.leaking_groups(_split(s, d), "source").unionByName(learn.shared_groups(*(_split(s, d).where(F.col("split") == x) for x in ("train", "test")), "source").select("source", F.lit(2).cast("long").alias("sides"))),
     "split_classes": lambda s, d: learn.class_union(*(_split(s, d).where(F.col("split") == x) for x in ("train", "test")), "label"),

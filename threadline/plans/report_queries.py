@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from threadline.operators import profile, reports, scans
+from threadline.operators import distributions, profile, reports, scans
 from threadline.operators.chat import first_rows, time_anomalies
 from threadline.plans.frames import EVENTS_SQL, MASTER_SQL, events, master, read, sessions
 
@@ -23,12 +23,31 @@ c AS (SELECT period, {_COUNTS} FROM timed GROUP BY period), t AS ({_top("timed",
 SELECT c.*, {_RATE}, t.top_category, t.top_category_count FROM c LEFT JOIN t USING (period)"""
 
 
+def _predicted(s, d):
+    """Sessions as units, two of three with a prediction: purchase for longer ones, else their own category."""
+    units = master(s, d).withColumns({"sub_id": F.format_string("user_%d_%03d", "user_id", "session_no"), "source_file": F.format_string("user_%d.txt", "user_id")})
+    scored = units.where("session_no % 3 <> 0").select("sub_id", F.when(F.col("total_messages") > 1, "purchase").otherwise(F.col("category")).alias("predicted"), F.lit(50.0).alias("confidence"))
+    return distributions.with_prediction(units, scored)
+
+
+def _names(s, d):
+    """Names of every third user's export."""
+    users = read(s, d, "events").select("user_id").distinct().where("user_id % 3 = 0")
+    return users.select(F.format_string("user_%d.txt", "user_id").alias("source_filename"), F.format_string("customer %d", "user_id").alias("customer_name"))
+
+
+_PREDICTED = f"""WITH {MASTER_SQL}, q AS (SELECT *, printf('user_%d_%03d', user_id, session_no) AS sub_id, CASE WHEN session_no % 3 <> 0 THEN CASE WHEN total_messages > 1 THEN 'purchase' ELSE category END END AS predicted FROM master),
+p AS (SELECT *, CASE WHEN category = predicted THEN 'MATCH' ELSE 'DIFFER' END AS match FROM q)"""
+
 QUERIES = {
     "flagship_sessions_timeseries": lambda s, d: reports.time_series(master(s, d), "day", "category", "start_ts"),
     "series_week": lambda s, d: reports.time_series(master(s, d), "week", "category", "start_ts"),
     "series_month": lambda s, d: reports.time_series(master(s, d), "month", "category", "start_ts"),
     "series_year": lambda s, d: reports.time_series(master(s, d), "year", "category", "start_ts"),
     "session_numbers": lambda s, d: sessions(s, d).select("event_id", "user_id", "session_no"),
+    "match_rate": lambda s, d: distributions.match_rate(_predicted(s, d)),
+    "filtered_units": lambda s, d: reports.matching_any(_predicted(s, d), query="user_1", columns=("sub_id",), category=(" purchase ", ("category", "predicted")), remote_upper=("remote", ("handling",))).select("sub_id", "category", "predicted", "handling"),
+    "customer_units": lambda s, d: distributions.with_customer(_predicted(s, d), _names(s, d)).groupBy("customer").agg(F.count(F.lit(1)).alias("units")),
     "session_slices": lambda s, d: scans.sessions_by_slice(events(s, d), ["user_id"], ["ts", "event_id"], F.date_trunc("week", "ts"), 4, counts=F.col("role") != "SYSTEM").select("event_id", "user_id", "session_no"),
     "master": lambda s, d: master(s, d),
     "overview": lambda s, d: reports.overview(master(s, d).withColumn("conv", F.concat_ws("_", "user_id", "session_no")), "conv", "category", "start_ts"),
@@ -65,6 +84,9 @@ ORACLES = {
     "series_month": _series("month"),
     "series_year": _series("year"),
     "session_numbers": f"WITH {EVENTS_SQL} SELECT event_id, user_id, session_no::BIGINT AS session_no FROM sess",
+    "match_rate": f"{_PREDICTED}, g AS (SELECT category, count(*) AS total, count(*) FILTER (WHERE match = 'MATCH') AS matched FROM p GROUP BY ROLLUP (category)) SELECT category, total, matched, matched * 100.0::DOUBLE / total AS percent FROM g",
+    "filtered_units": f"{_PREDICTED} SELECT sub_id, category, predicted, handling FROM p WHERE contains(sub_id, 'user_1') AND (category = 'purchase' OR predicted = 'purchase') AND upper(handling) = 'REMOTE'",
+    "customer_units": f"{_PREDICTED} SELECT CASE WHEN user_id % 3 = 0 THEN 'customer ' || user_id ELSE 'Unknown (user_' || user_id || '.txt)' END AS customer, count(*) AS units FROM p GROUP BY 1",
     "session_slices": f"WITH {EVENTS_SQL} SELECT event_id, user_id, session_no::BIGINT AS session_no FROM sess",
     "master": f"WITH {MASTER_SQL} SELECT * FROM master",
     "overview": f"WITH {MASTER_SQL}, c AS (SELECT {_COUNTS}, count(DISTINCT user_id || '_' || session_no) AS conversations, min(start_ts::DATE)::VARCHAR AS first_day, max(start_ts::DATE)::VARCHAR AS last_day FROM master), k AS (SELECT *, 1 AS one FROM master), t AS ({_top('k', 'one')}) SELECT c.*, t.top_category, t.top_category_count, {_RATE} FROM c, t",

@@ -142,6 +142,23 @@ def write_rows(df: DataFrame, path: str, columns: tuple[str, ...], single: bool
     (out.coalesce(1) if single else out).write.mode("overwrite").csv(path, header=True, escape='"')
 
 
+def write_master(master: DataFrame, path: str, columns: tuple[str, ...]) -> None:
+    """The master as CSV files, each with a header that begins with a byte-order mark, as spreadsheets want it."""
+    first, *rest = [F.col(c).cast("string").alias(("\ufeff" if k == 0 else "") + c) for k, c in enumerate(columns)]
+    master.select(first, *rest).write.mode("overwrite").csv(path, header=True, escape='"', encoding="UTF-8")
+
+
+def write_features(weights: DataFrame, labels: DataFrame, id_col: str, path: str) -> None:
+    """(id, term, weight) rows and (id, label) rows of a feature set, as Parquet in two folders."""
+    weights.select(id_col, "term", "weight").write.mode("overwrite").parquet(f"{path}/weights")
+    labels.select(id_col, "label").write.mode("overwrite").parquet(f"{path}/labels")
+
+
+def read_features(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    """The weights and labels that ``write_features`` wrote."""
+    return spark.read.parquet(f"{path}/weights"), spark.read.parquet(f"{path}/labels")
+
+
 def session_rows(master: DataFrame, session: str | None) -> DataFrame:
     """Rows of one session, or of the default one (null); a session without any row is an error, never the default."""
     if session is None:

@@ -74,3 +74,19 @@ def ingest_summary(chats: DataFrame, assigned: DataFrame) -> DataFrame:
     """One row: chats, media files, resolved and unresolved ones."""
     counts = assigned.agg(F.count(F.lit(1)).alias("media"), F.count_if(F.col("chat_id").isNotNull()).alias("resolved"), F.count_if(F.col("chat_id").isNull()).alias("unresolved"))
     return chats.agg(F.count(F.lit(1)).alias("chats")).crossJoin(counts)
+
+
+def media_map(chats: DataFrame, assigned: DataFrame) -> DataFrame:
+    """(chat_id, media) for every chat: the paths of its media in order, an empty list for none."""
+    own = assigned.where("chat_id is not null").groupBy("chat_id").agg(F.array_sort(F.collect_list("path")).alias("_media"))
+    return chats.select("chat_id").join(own, "chat_id", "left").select("chat_id", F.coalesce("_media", F.array().cast("array<string>")).alias("media"))
+
+
+def unresolved_media(assigned: DataFrame) -> DataFrame:
+    """(path, filename, reason) of media that no chat has."""
+    return assigned.where("chat_id is null").select("path", file_name(F.col("path")).alias("filename"), F.lit("unable_to_determine_chat").alias("reason"))
+
+
+def ingest_warnings(chats: DataFrame) -> DataFrame:
+    """(warning): one row if no chat was found."""
+    return chats.agg(F.count(F.lit(1)).alias("n")).where("n = 0").select(F.lit("no valid chat file was found").alias("warning"))
