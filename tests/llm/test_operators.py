@@ -169,6 +169,38 @@ def test_shards_follow_the_curve(spark):
     assert curve == sorted(curve) and all(r["curve"] == table[(r["source_cell"] * 16 + r["lang_cell"]) * 16 + r["size_cell"]] for r in rows)
 
 
+def shards_by_sorting(rows, n, side=16):
+    """(shard, slot) of rows (id, text, lang, source) from one sort, and the cells of the commonest values."""
+    def cells(values):
+        count = Counter(v or "" for v in values)
+        top = sorted(count, key=lambda v: (-count[v], v.encode()))[: side // 2]
+        return {v: top.index(v) if v in top else side // 2 + zlib.crc32(v.encode()) % (side // 2) for v in count}
+
+    langs, sources, table = cells(r[2] for r in rows), cells(r[3] for r in rows), sharding.curve_table()
+    keyed = []
+    for k, (i, text, lang, source) in enumerate(rows):
+        raw = (text or "").encode()
+        size, crc = len(raw) + 16, zlib.crc32(raw)
+        curve = table[(sources[source or ""] * side + langs[lang or ""]) * side + min(side - 1, size.bit_length() - 5)]
+        keyed.append((curve, zlib.crc32(str(i).encode()) if i is not None else crc, i is not None, i or 0, crc, size, k))
+    out = {}
+    for rank, (*_, k) in enumerate(sorted(keyed)):
+        shard = rank * n // len(rows)
+        out[k] = (shard, rank - -(-shard * len(rows) // n))
+    return out
+
+
+def test_shards_against_one_sort(spark, odd):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text", "lang", "source").collect()
+    want = shards_by_sorting([tuple(r) for r in docs], 40)
+    got = {r["doc_id"]: (r["shard"], r["slot"]) for r in sharding.op3_hilbert_shards(spark, SF).collect()}
+    assert got == {r["doc_id"]: want[k] for k, r in enumerate(docs)}
+    rows = [tuple(r) for r in odd.select("doc_id", "text", "lang", "source").collect()]
+    want = shards_by_sorting(rows, 4)
+    mine = sorted((str(r["doc_id"]), str(r["text"]), r["shard"], r["slot"]) for r in sharding.shard_by_curve(odd, 4).collect())
+    assert mine == sorted((str(r[0]), str(r[1]), *want[k]) for k, r in enumerate(rows))
+
+
 def test_mixing_and_language_keep_columns_of_any_name(spark):
     rows = [(i, "some words in a text", "en", "s" if i % 2 else None, 5, "r", "b", "s", "p", "l", "j") for i in range(6)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long, rounds string, below string, _source string, plan_source string, _l string, row string")

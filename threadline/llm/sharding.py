@@ -1,8 +1,8 @@
 """Hilbert-curve sharding: quantise metadata, sort by curve index, cut the order into runs.
 
-Three dimensions (source, language, size) are quantised to 16 cells each. Documents close on the
-curve share cells in most dimensions, so each shard covers few cells per dimension and a reader that
-filters on any of them can skip most shards.
+Three dimensions (source, language, size) are quantised to 16 cells each; the commonest sources and languages
+have cells of their own. Documents close on the curve share cells in most dimensions, so each shard covers few
+cells per dimension and a reader that filters on any of them can skip most shards.
 
 No task sorts the whole table: a histogram over (curve cell, hash prefix) gives every small group
 its first global rank, and only ranks inside such a group come from a window. The number of hash
@@ -63,9 +63,17 @@ def curve_table(bits: int = BITS) -> list[int]:
     return [curve_index([x, y, z], bits) for x in range(side) for y in range(side) for z in range(side)]
 
 
-def string_cell(name: str, side: int) -> Column:
-    """Cell of a categorical value: its checksum modulo the side, null as the empty text."""
-    return (F.crc32(F.coalesce(F.col(name).cast("string"), F.lit(""))) % side).cast("int")
+def value_cells(docs: DataFrame, name: str, side: int) -> Column:
+    """Cell of a categorical value: each of the ``side`` / 2 commonest values (ties by value, null as the empty text) has its own; the others share the rest by checksum.
+
+    The commonest are a bounded list in the plan, so no value has to be looked up by a join.
+    """
+    value = F.coalesce(F.col(name).cast("string"), F.lit(""))
+    top = docs.groupBy(value.alias("v")).agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "v").limit(side // 2).collect()
+    cell = side // 2 + F.crc32(value) % (side - side // 2)
+    for k, r in enumerate(top):
+        cell = F.when(value == r["v"], k).otherwise(cell)
+    return cell.cast("int")
 
 
 def size_cell(size: Column, side: int) -> Column:
@@ -87,8 +95,8 @@ def shard_by_curve(docs: DataFrame, n_shards: int, bits: int = BITS, id_col: str
     placed = (
         docs.withColumn("size", utf8_bytes(text_col) + 16)
         .withColumn("text_crc32", F.crc32(F.coalesce(F.col(text_col), F.lit(""))))
-        .withColumn("source_cell", string_cell("source", side))
-        .withColumn("lang_cell", string_cell("lang", side))
+        .withColumn("source_cell", value_cells(docs, "source", side))
+        .withColumn("lang_cell", value_cells(docs, "lang", side))
         .withColumn("size_cell", size_cell(F.col("size"), side))
         .withColumn("curve", F.element_at(lattice, (F.col("source_cell") * side + F.col("lang_cell")) * side + F.col("size_cell") + 1).cast("int"))
         .withColumn("_tie", F.coalesce(F.crc32(F.col(id_col).cast("string")), F.col("text_crc32")))  # null ids spread by their text
