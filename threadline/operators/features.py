@@ -94,11 +94,12 @@ def _parts(near: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         yield np.concatenate(rows), np.concatenate(columns)
 
 
-def near_pairs(weights: DataFrame, id_col: str, least: float, spanning: bool = False, block_docs: int = 2048) -> DataFrame:
+def near_pairs(weights: DataFrame, id_col: str, least: float, spanning: bool = False, block_docs: int = 2048, only: DataFrame | None = None) -> DataFrame:
     """Pairs of documents (a < b) with a cosine of at least ``least``: every block of documents times every other, in products of dense matrices.
 
     The terms are few and common, so nearly all pairs share one and an index on terms would meet them all too. ids are long. With ``spanning`` only pairs (a, b) that connect the same documents come out: per two blocks a star
-    from the least id of each connected part, so what is made grows with documents and blocks, not with pairs.
+    from the least id of each connected part, so what is made grows with documents and blocks, not with pairs. With ``only`` (a table
+    of ids) one side of each pair is among these, and only their blocks are met with all others.
     """
     terms = [r[0] for r in weights.select("term").distinct().orderBy("term").collect()]  # no more than the vocabulary
     spark = weights.sparkSession
@@ -125,16 +126,49 @@ def near_pairs(weights: DataFrame, id_col: str, least: float, spanning: bool = F
             score = x[k : k + 512] @ y.T
             i, j = np.nonzero(score >= least)
             u, v, z = a[k + i], b[j], score[i, j]
-            some = u < v if len(both) == 1 else u != v
+            some = u < v if len(both) == 1 else u != v  # a document of the few is also among all
             found.append(pd.DataFrame({"a": np.minimum(u, v)[some], "b": np.maximum(u, v)[some], "cosine": z[some]}))
         return pd.concat(found)
 
-    blocks = materialised(rows.groupBy("block").applyInPandas(packed, "block int, ids binary, sizes binary, terms binary, weights binary"))
+    shape = "block int, ids binary, sizes binary, terms binary, weights binary"
+    blocks = materialised(rows.groupBy("block").applyInPandas(packed, shape))
+    if only is not None:
+        some = rows.join(only.select(F.col("id").alias("i")), "i", "left_semi")
+        n_some = max(1, -(-some.select("i").distinct().count() // block_docs))
+        some = some.withColumn("block", (-1 - F.pmod(F.xxhash64("i"), F.lit(n_some))).cast("int"))
+        left = materialised(some.groupBy("block").applyInPandas(packed, shape))
+        # every block of the few once for each block of all: the pair of block numbers deals both to one task
+        a = left.withColumn("_y", F.explode(F.sequence(F.lit(0), F.lit(n_blocks - 1)))).withColumn("_x", F.col("block"))
+        b = blocks.withColumn("_x", F.explode(F.sequence(F.lit(-n_some), F.lit(-1)))).withColumn("_y", F.col("block"))
+        return a.unionByName(b).groupBy("_x", "_y").applyInPandas(products, "a long, b long, cosine double").distinct()
     other = F.explode(F.sequence(F.lit(0), F.lit(n_blocks - 1)))
     dealt = blocks.withColumn("_o", other).select("*", F.least("block", "_o").alias("_x"), F.greatest("block", "_o").alias("_y"))
     return dealt.groupBy("_x", "_y").applyInPandas(products, "a long, b long, cosine double")
 
 
+#: Documents that all others are compared with first, in ``cosine_clusters``.
+HUBS = 256
+
+
+def cosine_clusters(weights: DataFrame, id_col: str, least: float, hubs: int = HUBS, block_docs: int = 2048) -> DataFrame:
+    """(id, cluster) of all documents that a chain of cosines of at least ``least`` connects to another.
+
+    All are compared with some hubs, chosen by hash. Pairs inside the largest cluster that this gives can change nothing, so only
+    the documents outside it are then compared with all. Where most documents are connected, as is usual for a low bound, the work is
+    documents times (hubs + what is left), not documents squared; where few are, it is that of all pairs.
+    """
+    weights = materialised(weights)
+    ids = weights.select(F.col(id_col).cast("long").alias("id")).distinct()
+    first = ids.orderBy(F.xxhash64("id"), "id").limit(hubs)
+    stars = materialised(near_pairs(weights, id_col, least, True, block_docs, materialised(first)))
+    found = clusters(stars)
+    largest = found.groupBy("cluster").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "cluster").limit(1)
+    rest = materialised(ids.join(found.join(F.broadcast(largest.select("cluster")), "cluster"), "id", "left_anti"))
+    if rest.isEmpty():
+        return found
+    return clusters(stars.unionByName(near_pairs(weights, id_col, least, True, block_docs, rest)))
+
+
 def clusters(pairs: DataFrame) -> DataFrame:
     """(id, cluster) by connected components of pairs (a, b): labels take the least label of the neighbours and then of their own label, until none changes."""
     edges = materialised(pairs.select("a", "b").unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct())

@@ -49,7 +49,7 @@ def _cluster_weights(s, d):
 
 def _clusters(s, d):
     """Size of every cluster; a document near no other is one of its own."""
-    found = features.clusters(features.near_pairs(_cluster_weights(s, d), "doc_id", _CLUSTER_LEAST, spanning=True))
+    found = features.cosine_clusters(_cluster_weights(s, d), "doc_id", _CLUSTER_LEAST)
     docs = read(s, d, "documents").select("doc_id").join(found, F.col("doc_id") == F.col("id"), "left")
     return docs.groupBy(F.coalesce("cluster", "doc_id").alias("cluster")).agg(F.count(F.lit(1)).alias("members"))
 
