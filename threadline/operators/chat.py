@@ -113,11 +113,15 @@ def client_text(rows: DataFrame, key: str, order: str, role: str = "role", text:
 
 
 def exact_duplicates(rows: DataFrame, columns: list[str], id_col: str) -> DataFrame:
-    """Rows that repeat an earlier one on some columns, with the id of the first. Equal rows are met by digest, so texts are not sorted."""
-    w = Window.partitionBy("_d").orderBy(id_col)
+    """Rows that repeat an earlier one on some columns, with the id of the first; ids are unique.
+
+    Equal rows are met by digest: the least id of each is a sum over rows, so copies are folded where they lie, and only digests of
+    several rows are joined back, which Spark can split where very many rows are equal.
+    """
     digest = F.sha2(F.concat_ws("\u0001", *[F.coalesce(F.col(c).cast("string"), F.lit("\u0000")) for c in columns]), 256)
-    out = rows.select(F.col(id_col), digest.alias("_d")).withColumn("first_id", F.first(id_col).over(w)).withColumn("_n", F.row_number().over(w))
-    return out.where("_n > 1").select(id_col, "first_id")
+    out = rows.select(F.col(id_col), digest.alias("_d"))
+    first = out.groupBy("_d").agg(F.min(id_col).alias("first_id"), F.count(F.lit(1)).alias("_n")).where("_n > 1").drop("_n")
+    return out.join(first, "_d").where(F.col(id_col) != F.col("first_id")).select(id_col, "first_id")
 
 
 def first_rows(rows: DataFrame, key: str, order: list[str], k: int = 1) -> DataFrame:
