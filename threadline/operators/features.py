@@ -148,17 +148,22 @@ def near_pairs(weights: DataFrame, id_col: str, least: float, spanning: bool = F
 
 #: Documents that all others are compared with first, in ``cosine_clusters``.
 HUBS = 256
+#: Up to so many documents all pairs of blocks are less work than two rounds of clusters.
+FEW_DOCS = 16_384
 
 
-def cosine_clusters(weights: DataFrame, id_col: str, least: float, hubs: int = HUBS, block_docs: int = 2048) -> DataFrame:
+def cosine_clusters(weights: DataFrame, id_col: str, least: float, hubs: int = HUBS, block_docs: int = 2048, few: int = FEW_DOCS) -> DataFrame:
     """(id, cluster) of all documents that a chain of cosines of at least ``least`` connects to another.
 
     All are compared with some hubs, chosen by hash. Pairs inside the largest cluster that this gives can change nothing, so only
     the documents outside it are then compared with all. Where most documents are connected, as is usual for a low bound, the work is
-    documents times (hubs + what is left), not documents squared; where few are, it is that of all pairs.
+    documents times (hubs + what is left), not documents squared; where few are, it is that of all pairs. Small tables, up to ``few``
+    documents, go through all pairs at once, with the same result.
     """
     weights = materialised(weights)
     ids = weights.select(F.col(id_col).cast("long").alias("id")).distinct()
+    if ids.count() <= few:
+        return clusters(near_pairs(weights, id_col, least, True, block_docs))
     first = ids.orderBy(F.xxhash64("id"), "id").limit(hubs)
     stars = materialised(near_pairs(weights, id_col, least, True, block_docs, materialised(first)))
     found = clusters(stars)
