@@ -55,24 +55,27 @@ def _roles(messages):
 
 
 def _paths(s, d):
-    """Documents as files in folders, for the joins of media and chats."""
-    docs = read(s, d, "documents").select("doc_id", "source")
-    return docs.select("doc_id", F.concat(F.coalesce("source", F.lit("none")), F.when(F.col("doc_id") % 7 == 0, "/sub").otherwise(""), F.lit("/file "), F.col("doc_id").cast("string"), F.when(F.col("doc_id") % 3 == 0, ".TXT").when(F.col("doc_id") % 3 == 1, ".jpg").otherwise(".bin")).alias("path"))
+    """Documents as files in folders, for the joins of media and chats: a third each are chats, media and others."""
+    docs = read(s, d, "documents")
+    place = F.concat(F.coalesce("source", F.lit("none")), F.lit("/"), F.expr("coalesce(n_chars, 0) div 20").cast("string"))
+    kind = F.when(F.col("doc_id") % 3 == 0, ".TXT").when(F.col("doc_id") % 3 == 1, ".jpg").otherwise(".bin")
+    return docs.select("doc_id", "lang", F.concat(place, F.lit("/file "), F.col("doc_id").cast("string"), kind).alias("path"))
 
 
 def _chats(s, d):
-    paths = _paths(s, d).where("doc_id % 15 = 0")
-    return paths.select(F.format_string("chat_%d", "doc_id").alias("chat_id"), "path", F.col("doc_id").alias("place"))
+    """All text files; one in English names the file after it."""
+    paths = _paths(s, d).where("endswith(path, '.TXT')")
+    return paths.select(F.format_string("chat_%d", "doc_id").alias("chat_id"), "path", F.col("doc_id").alias("place"), "lang")
 
 
 def _media_assign(s, d):
-    paths = _paths(s, d)
-    lines = read(s, d, "documents").where("doc_id % 15 = 0").select(F.format_string("chat_%d", "doc_id").alias("chat_id"), F.concat(F.lit("see FILE "), (F.col("doc_id") + 1).cast("string"), F.lit(".jpg and more")).alias("line"))
-    return mapping.assign_media(_chats(s, d), lines, paths.select("path"))
+    named = F.concat(F.lit("see FILE "), (F.col("place") + 1).cast("string"), F.lit(".jpg and more"))
+    lines = _chats(s, d).select("chat_id", F.when(F.col("lang") == "en", named).otherwise(F.lit("see the .jpg")).alias("line"))
+    return mapping.assign_media(_chats(s, d), lines, _paths(s, d).select("path"))
 
 
-_PATHS = """paths AS (SELECT doc_id, coalesce(source, 'none') || CASE WHEN doc_id % 7 = 0 THEN '/sub' ELSE '' END || '/file ' || doc_id || CASE doc_id % 3 WHEN 0 THEN '.TXT' WHEN 1 THEN '.jpg' ELSE '.bin' END AS path FROM documents),
-chats AS (SELECT 'chat_' || doc_id AS chat_id, doc_id AS place, path, regexp_replace(path, '/[^/]*$', '') AS folder FROM paths WHERE doc_id % 15 = 0)"""
+_PATHS = """paths AS (SELECT doc_id, lang, coalesce(source, 'none') || '/' || coalesce(n_chars, 0) // 20 || '/file ' || doc_id || CASE doc_id % 3 WHEN 0 THEN '.TXT' WHEN 1 THEN '.jpg' ELSE '.bin' END AS path FROM documents),
+chats AS (SELECT 'chat_' || doc_id AS chat_id, doc_id AS place, lang, path, regexp_replace(path, '/[^/]*$', '') AS folder FROM paths WHERE suffix(path, '.TXT'))"""
 
 QUERIES = {
     "parse_chat": lambda s, d: exports.with_ids(parsed(s, d)).select("id", "source_file", "msg_no", "sent_date", "sent_time", "sender", "text", "media_type", "file_name", "has_media"),
@@ -104,7 +107,7 @@ ORACLES = {
     "media_assign": f"""WITH {_PATHS}, m AS (SELECT doc_id, path, regexp_replace(path, '/[^/]*$', '') AS folder FROM paths WHERE doc_id % 3 = 1),
 b AS (SELECT folder, arg_min(chat_id, place) AS beside FROM chats GROUP BY 1)
 SELECT m.path, coalesce(c.chat_id, b.beside) AS chat_id, CASE WHEN c.chat_id IS NOT NULL THEN 'mentioned' WHEN b.beside IS NOT NULL THEN 'folder' ELSE 'unresolved' END AS reason
-FROM m LEFT JOIN chats c ON c.place = m.doc_id - 1 LEFT JOIN b ON b.folder = m.folder""",
+FROM m LEFT JOIN chats c ON c.place = m.doc_id - 1 AND c.lang = 'en' LEFT JOIN b ON b.folder = m.folder""",
     "media_by_sender": f"WITH {_PARSED} SELECT sender, count(*) FILTER (WHERE has_media) AS media, count(*) FILTER (WHERE file_name <> '') AS with_file, count(*) FILTER (WHERE has_media AND file_name = '') AS without_file, 0::BIGINT AS media_and_text, count(*) FILTER (WHERE has_media) AS media_only FROM msgs GROUP BY 1",
     "period_span": f"WITH {_PARSED}, m AS (SELECT date_trunc('minute', ts) AS ts FROM msgs) SELECT min(ts) AS first_ts, max(ts) AS last_ts, count(DISTINCT ts::DATE) AS days, count(DISTINCT date_trunc('month', ts)) AS months FROM m",
     "scoring_rows": "SELECT doc_id, CASE WHEN doc_id % 2 = 0 OR lang IS NULL OR trim(lang) = '' THEN trim(source) ELSE trim(lang) END AS text FROM documents WHERE coalesce(CASE WHEN doc_id % 2 = 1 THEN nullif(trim(lang), '') END, nullif(trim(source), '')) IS NOT NULL",
