@@ -134,6 +134,20 @@ def time_anomalies(rows: DataFrame, keys: list[str], order: list[str], ts: str =
     return time_gaps(rows, keys, order, ts).where("gap_us < 0")
 
 
+def time_order_report(rows: DataFrame, key: str, order: str, ts: str = "ts", k: int = 3) -> DataFrame:
+    """Per source the number of rows earlier than the previous row with a time, and the first k of them as text, in order; empty if there is none.
+
+    All windows and the sums are over the source, so the rows are dealt once.
+    """
+    _, upto = earlier_rows([key], [order])
+    late = F.coalesce(F.col("gap_us") < 0, F.lit(False))
+    marked = time_gaps(rows, [key], [order], ts).withColumn("_late", late).withColumn("_n", F.count_if("_late").over(upto))
+    line = F.concat(F.col(order).cast("string"), F.lit(" at "), F.col(ts).cast("string"), F.lit(", "), F.expr("(-gap_us) div 60000000").cast("string"), F.lit(" minutes back"))
+    shown = F.array_sort(F.collect_list(F.when(F.col("_late") & (F.col("_n") <= k), F.struct(F.col(order).alias("o"), line.alias("t")))))
+    out = marked.groupBy(key).agg(F.count_if("_late").alias("anomalies"), shown.alias("_s"))
+    return out.select(key, "anomalies", F.array_join(F.transform("_s", lambda x: x["t"]), "; ").alias("samples"))
+
+
 def transcript(order: str, ts: str, role: str, text: str) -> Column:
     """Aggregate: ``[time] role: text`` pieces in order, line breaks flattened."""
     piece = F.concat(F.lit("["), F.coalesce(F.col(ts).cast("string"), F.lit("")), F.lit("] "), F.col(role), F.lit(": "), F.regexp_replace(F.coalesce(F.col(text), F.lit("")), r"[\r\n]+", " "))

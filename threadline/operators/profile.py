@@ -67,9 +67,28 @@ def threshold_simulation(rows: DataFrame, keys: list[str], order: list[str], hou
 
 
 def similar_names(names: DataFrame, column: str, least: int = 3) -> DataFrame:
-    """Pairs of distinct names of which one contains the other. Names meet by their leading letters and at each position of the longer one, so it is an equi-join."""
+    """Pairs (short, long) of distinct names, lower-cased and trimmed, of which one stands in the other.
+
+    Every piece of a name that is as long as some name is met with the names themselves, so only true pairs meet and leading letters
+    that all names share gather nothing. The lengths in use are at most those up to the longest name, a few rows. Pieces made: the
+    letters of the names times the lengths in use.
+    """
     distinct = names.select(F.lower(F.trim(column)).alias("name")).where(F.length("name") >= least).distinct()
-    inner = distinct.select(F.col("name").alias("short"), F.substring("name", 1, least).alias("key"))
-    places = F.transform(F.sequence(F.lit(1), F.length("name") - least + 1), lambda i: F.substr(F.col("name"), i, F.lit(least)))
-    outer = distinct.select(F.col("name").alias("long"), F.explode(F.array_distinct(places)).alias("key"))
-    return inner.join(outer, "key").where((F.col("short") != F.col("long")) & F.col("long").contains(F.col("short"))).select("short", "long")
+    lengths = distinct.select(F.length("name").alias("n")).distinct()
+    pieces = distinct.join(F.broadcast(lengths), F.length("name") > F.col("n")).select(F.col("name").alias("long"), F.explode(F.array_distinct(F.transform(F.sequence(F.lit(1), F.length("name") - F.col("n") + 1), lambda i: F.substr(F.col("name"), i, F.col("n"))))).alias("short"))
+    return pieces.join(distinct.select(F.col("name").alias("short")), "short").select("short", "long")
+
+
+def alike_senders(messages: DataFrame, sender: str = "sender", left_out: tuple[str, ...] = ("SYSTEM",)) -> DataFrame:
+    """Senders that may be one: (first, second, kind), system senders left out.
+
+    ``contains``: the lower-cased, trimmed first name stands in the second, each by its first spelling. ``spelling``: the second is
+    another spelling of the first; every further spelling is met with the first one only, so no pairs within a group are made. Null
+    and blank senders take no part.
+    """
+    spelt = messages.where(F.trim(sender) != "").where(~F.col(sender).isin(*left_out)).select(F.col(sender).alias("spelling"), F.lower(F.trim(sender)).alias("name")).distinct()
+    first = spelt.groupBy("name").agg(F.min("spelling").alias("first"))
+    other = spelt.join(first, "name").where("spelling <> first").select("first", F.col("spelling").alias("second"), F.lit("spelling").alias("kind"))
+    pairs = similar_names(first, "name", 1)
+    named = pairs.join(first.select(F.col("name").alias("short"), "first"), "short").join(first.select(F.col("name").alias("long"), F.col("first").alias("second")), "long")
+    return other.unionByName(named.select("first", "second", F.lit("contains").alias("kind")))

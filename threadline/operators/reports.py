@@ -131,3 +131,9 @@ def summary_metrics(per_class: DataFrame) -> DataFrame:
     """Macro and weighted averages of per-class metrics."""
     parts = [F.avg(c).alias(f"macro_{c}") for c in ("precision", "recall", "f1")] + [(F.sum(F.col(c) * F.col("support")) / F.sum("support")).alias(f"weighted_{c}") for c in ("precision", "recall", "f1")]
     return per_class.agg(*parts)
+
+
+def report_view(rows: DataFrame, counts: tuple[str, ...] = (), percents: tuple[str, ...] = ()) -> DataFrame:
+    """A report as it is shown: counts with separators of thousands, percents with one place and a sign, nulls as a dash. Other columns stay as they are."""
+    shown = {c: F.format_number(F.col(c), 0) for c in counts} | {c: F.concat(F.format_number(F.col(c), 1), F.lit("%")) for c in percents}
+    return rows.withColumns({c: F.coalesce(v, F.lit("-")) for c, v in shown.items()})

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from threadline.operators import distributions, profile, reports, scans
-from threadline.operators.chat import first_rows, time_anomalies
+from threadline.operators.chat import first_rows, time_anomalies, time_order_report
 from threadline.plans.frames import EVENTS_SQL, MASTER_SQL, events, master, read, sessions
 
 _COUNTS = "count(*) AS total, count(*) FILTER (WHERE handling = 'REMOTE') AS remote, count(*) FILTER (WHERE handling = 'NON_REMOTE') AS non_remote, count(*) FILTER (WHERE handling = 'UNKNOWN') AS unknown"
@@ -74,6 +74,8 @@ QUERIES = {
         F.count_if((F.col("client_messages") > 0) & (F.col("admin_messages") > 0)).alias("dialog"), F.count_if((F.col("client_messages") > 0) & (F.col("admin_messages") == 0)).alias("client_only"),
         F.count_if((F.col("client_messages") == 0) & (F.col("admin_messages") > 0)).alias("admin_only"), F.count_if((F.col("client_messages") == 0) & (F.col("admin_messages") == 0)).alias("system_only")),
     "time_order_anomalies": lambda s, d: time_anomalies(events(s, d), ["user_id"], ["event_id"]).select("event_id", "gap_us"),
+    "time_order_report": lambda s, d: time_order_report(read(s, d, "orders"), "o_custkey", "o_orderkey", "o_orderdate"),
+    "issues_view": lambda s, d: reports.report_view(reports.breakdown(master(s, d), "category", share=True), ("total", "remote", "non_remote", "unknown"), ("rate", "share")),
     "share_by_key": lambda s, d: profile.counts_with_share(read(s, d, "events"), ["event_type"]),
 }
 
@@ -108,5 +110,11 @@ ORACLES = {
     "session_median": f"WITH {MASTER_SQL}, r AS (SELECT category, total_messages, row_number() OVER (PARTITION BY category ORDER BY total_messages) AS i, count(*) OVER (PARTITION BY category) AS n FROM master) SELECT category, total_messages AS median FROM r WHERE i = n // 2 + 1",
     "session_composition": f"WITH {MASTER_SQL} SELECT count(*) FILTER (WHERE client_messages > 0 AND admin_messages > 0) AS dialog, count(*) FILTER (WHERE client_messages > 0 AND admin_messages = 0) AS client_only, count(*) FILTER (WHERE client_messages = 0 AND admin_messages > 0) AS admin_only, count(*) FILTER (WHERE client_messages = 0 AND admin_messages = 0) AS system_only FROM master",
     "time_order_anomalies": "SELECT event_id, gap_us FROM (SELECT event_id, epoch_us(ts) - epoch_us(lag(ts) OVER (PARTITION BY user_id ORDER BY event_id)) AS gap_us FROM events) WHERE gap_us < 0",
+    "time_order_report": """WITH g AS (SELECT *, epoch_us(o_orderdate) - epoch_us(last_value(o_orderdate IGNORE NULLS) OVER (PARTITION BY o_custkey ORDER BY o_orderkey ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)) AS gap FROM orders),
+l AS (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) AS r FROM g WHERE gap < 0)
+SELECT o_custkey, count(o_orderkey) AS anomalies, coalesce(string_agg(o_orderkey || ' at ' || strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') || ', ' || -gap // 60000000 || ' minutes back', '; ' ORDER BY o_orderkey) FILTER (WHERE r <= 3), '') AS samples
+FROM (SELECT DISTINCT o_custkey FROM orders) LEFT JOIN l USING (o_custkey) GROUP BY 1""",
     "share_by_key": "SELECT event_type, count(*) AS n, count(*) * 100.0::DOUBLE / sum(count(*)) OVER () AS share FROM events GROUP BY 1",
 }
+_SHOWN = ", ".join([f"format('{{:,}}', {c}::BIGINT) AS {c}" for c in ("total", "remote", "non_remote", "unknown")] + [f"printf('%.1f%%', {c}) AS {c}" for c in ("rate", "share")])
+ORACLES["issues_view"] = f"SELECT category, {_SHOWN} FROM ({ORACLES['issues']})"

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from threadline import dims
 from threadline.functions import text as T
-from threadline.operators import chat, dictionary, features, profile, reports, scans
+from threadline.operators import chat, dictionary, distributions, features, labels, profile, reports, scans
 from threadline.plans.frames import MESSAGES_SQL, messages, read
 
 _W = r"\p{L}\p{N}_"
@@ -47,11 +47,33 @@ def _cluster_weights(s, d):
     return features.materialised(features.tfidf(counts, "doc_id", docs.count(), features.vocabulary(counts, 1, 2000), sublinear=False))
 
 
-def _clusters(s, d):
-    """Size of every cluster; a document near no other is one of its own."""
+def _clustered(s, d):
+    """(doc_id, cluster) of all documents; one near no other is a cluster of its own."""
     found = features.cosine_clusters(_cluster_weights(s, d), "doc_id", _CLUSTER_LEAST)
     docs = read(s, d, "documents").select("doc_id").join(found, F.col("doc_id") == F.col("id"), "left")
-    return docs.groupBy(F.coalesce("cluster", "doc_id").alias("cluster")).agg(F.count(F.lit(1)).alias("members"))
+    return docs.select("doc_id", F.coalesce("cluster", "doc_id").alias("cluster"))
+
+
+def _cluster_report(s, d):
+    """Clusters with their longest text; documents of blanks only are the residual row."""
+    texts = read(s, d, "documents").select("doc_id", "text")
+    with_text = texts.where(F.trim("text") != "").select("doc_id")
+    report = labels.cluster_report(texts, _clustered(s, d).join(with_text, "doc_id", "left_semi"), "doc_id", "text")
+    return report.select("cluster", "members", "first_member", F.md5(F.col("sample").cast("binary")).alias("sample_md5"))
+
+
+def _senders(s, d):
+    """Sources, some in capitals, and names of parts as senders."""
+    spelt = F.when(F.col("n_chars") % 2 == 0, F.upper("source")).otherwise(F.col("source"))
+    return read(s, d, "documents").select(spelt.alias("sender")).union(read(s, d, "part").select("p_name"))
+
+
+def _chat_master(s, d):
+    """The full master of the conversations: a turn an hour, with four more after every third; texts that ask count as media."""
+    hours = F.expr("make_interval(0, 0, 0, 0, cast(turn + turn div 3 * 4 as int))")
+    rows = messages(s, d).select(F.format_string("chat_%d.txt", "conv_id").alias("source_file"), F.col("turn").alias("msg_no"), (F.to_timestamp_ntz(F.lit("2024-01-01 00:00:00")) + hours).alias("ts"), "role", "text", F.coalesce(F.col("text").contains("?"), F.lit(False)).alias("has_media"))
+    out = distributions.full_master(rows, dims.TAXONOMY, T.word_pattern(dims.REMOTE_WORDS), T.credential_pattern(dims.CREDENTIAL_WORDS), T.word_pattern(dims.CLOSING_WORDS), T.word_pattern(dims.WAITING_WORDS))
+    return out.withColumn("transcript_md5", F.md5(F.col("transcript").cast("binary"))).drop("transcript")
 
 
 def _top_grams(s, d):
@@ -129,7 +151,10 @@ QUERIES = {
     "top_terms_by_label": lambda s, d: features.top_terms(_weights(s, d), read(s, d, "documents").select("doc_id", F.col("lang").alias("label")).where("label is not null"), "doc_id", "label"),
     "cosine_pairs": lambda s, d: features.near_pairs(features.materialised(_weights(s, d)), "doc_id", _LEAST).select("a", "b"),
     "cluster_pairs": lambda s, d: features.near_pairs(_cluster_weights(s, d), "doc_id", _CLUSTER_LEAST).select("a", "b"),
-    "clusters": lambda s, d: _clusters(s, d),
+    "clusters": lambda s, d: _clustered(s, d).groupBy("cluster").agg(F.count(F.lit(1)).alias("members")),
+    "cluster_report": lambda s, d: _cluster_report(s, d),
+    "similar_senders": lambda s, d: profile.alike_senders(_senders(s, d), "sender", ("src0",)),
+    "chat_master": lambda s, d: _chat_master(s, d),
     "ngram_top_lists": lambda s, d: _top_grams(s, d),
     "confusion": lambda s, d: _guess(s, d).groupBy("label", "guess").agg(F.count(F.lit(1)).alias("n")),
     "class_metrics": lambda s, d: reports.class_metrics(_guess(s, d), "label", "guess"),
@@ -184,6 +209,14 @@ SELECT conv_id, CASE WHEN client IS NULL THEN 'NO_RESPONSE' WHEN admins = 0 OR l
 ORACLES["group_split"] = "SELECT doc_id, CASE WHEN ('0x' || substr(md5(source), 1, 8))::BIGINT % 5 = 0 THEN 'test' ELSE 'train' END AS split FROM documents WHERE source IS NOT NULL"
 _CLUSTER_TERMS = _TERMS.replace("HAVING count(*) >= 2 ", "").replace("LIMIT 400", "LIMIT 2000").replace("(1 + ln(tf.tf))", "tf.tf")
 ORACLES["cluster_pairs"] = f"WITH {_CLUSTER_TERMS} SELECT x.doc_id AS a, y.doc_id AS b FROM weights x JOIN weights y ON x.term = y.term AND x.doc_id < y.doc_id GROUP BY 1, 2 HAVING sum(x.weight * y.weight) >= {_CLUSTER_LEAST}::DOUBLE"
+_CLUSTERED = f"""WITH RECURSIVE {_CLUSTER_TERMS},
+p AS MATERIALIZED (SELECT x.doc_id AS a, y.doc_id AS b FROM weights x JOIN weights y ON x.term = y.term AND x.doc_id <> y.doc_id GROUP BY 1, 2 HAVING sum(x.weight * y.weight) >= {_CLUSTER_LEAST}::DOUBLE),
+cc(doc_id, cluster) USING KEY (doc_id) AS (SELECT doc_id, doc_id FROM documents UNION SELECT p.b, min(u.cluster) FROM cc u JOIN p ON p.a = u.doc_id JOIN recurring.cc c ON c.doc_id = p.b WHERE u.cluster < c.cluster GROUP BY 1)"""
+ORACLES["clusters"] = f"{_CLUSTERED} SELECT cluster, count(*) AS members FROM cc GROUP BY 1"
+ORACLES["cluster_report"] = f"{_CLUSTERED} SELECT CASE WHEN trim(text) <> '' THEN cluster END AS cluster, count(*) AS members, min(doc_id) AS first_member, md5(arg_max(text, (length(text), -doc_id))) AS sample_md5 FROM documents JOIN cc USING (doc_id) GROUP BY 1"
+ORACLES["similar_senders"] = """WITH s AS (SELECT DISTINCT sender AS spelling, lower(trim(sender)) AS name FROM (SELECT CASE WHEN n_chars % 2 = 0 THEN upper(source) ELSE source END AS sender FROM documents UNION ALL SELECT p_name FROM part) WHERE trim(sender) <> '' AND sender <> 'src0'),
+f AS (SELECT name, min(spelling) AS first FROM s GROUP BY 1)
+SELECT first, spelling AS second, 'spelling' AS kind FROM s JOIN f USING (name) WHERE spelling <> first UNION ALL SELECT a.first, b.first, 'contains' FROM f a JOIN f b ON a.name <> b.name AND contains(b.name, a.name)"""
 ORACLES["ngram_top_lists"] = f"WITH toks AS (SELECT {_TOKENS} AS w FROM documents), " + ", ".join(
     f"g{n} AS (SELECT {n} AS words, term, count(*) AS n FROM (SELECT unnest(list_transform(range(1, greatest(len(w) - {n - 2}, 1)), lambda i: array_to_string(w[i:i + {n - 1}], ' '))) AS term FROM toks) GROUP BY term ORDER BY n DESC, term LIMIT {k})" for n, k in _TOP_GRAMS
 ) + " " + " UNION ALL ".join(f"SELECT * FROM g{n}" for n, _ in _TOP_GRAMS)
@@ -195,6 +228,17 @@ h AS (SELECT *, last_value(own IGNORE NULLS) OVER (PARTITION BY conv_id ORDER BY
 s AS (SELECT *, (sum(CASE WHEN own <> held THEN 1 ELSE 0 END) OVER (PARTITION BY conv_id ORDER BY turn ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW))::BIGINT AS segment FROM h),
 t AS (SELECT conv_id, turn, segment, coalesce(max(own) OVER (PARTITION BY conv_id, segment), 'OTHER') AS category FROM s)"""
 ORACLES["topic_split"] = f"{_SPLIT} SELECT * FROM t"
+_CHATS = MESSAGES_SQL.replace("msg AS", "raw AS") + """, timed AS (SELECT *, TIMESTAMP '2024-01-01' + to_hours((turn + turn // 3 * 4)::INT) AS ts FROM raw),
+before AS (SELECT *, last_value(CASE WHEN role <> 'SYSTEM' THEN ts END IGNORE NULLS) OVER (PARTITION BY conv_id ORDER BY turn ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS prev_ts FROM timed),
+numbered AS (SELECT *, 1 + sum(CASE WHEN role <> 'SYSTEM' AND ts >= prev_ts + INTERVAL 4 HOUR THEN 1 ELSE 0 END) OVER (PARTITION BY conv_id ORDER BY turn ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS session_no FROM before),
+msg AS (SELECT printf('chat_%d_conv_%03d', conv_id, session_no::BIGINT) AS conv_id, conv_id AS chat, turn, ts, text, role FROM numbered)"""
+_ANSWERED = ORACLES["response_label"].replace(f"WITH {MESSAGES_SQL}, ", "").replace("SELECT conv_id, CASE WHEN client IS NULL", "r AS (SELECT conv_id, CASE WHEN client IS NULL").replace("\nr AS", ",\nr AS") + ")"
+ORACLES["chat_master"] = f"""{_SPLIT.replace(MESSAGES_SQL, _CHATS)}, {_ANSWERED},
+k AS (SELECT conv_id, CASE WHEN bool_or({_words(dims.REMOTE_WORDS)} OR {_CREDENTIAL}) THEN 'REMOTE' ELSE 'NON_REMOTE' END AS handling FROM msg GROUP BY 1),
+u AS (SELECT conv_id AS conversation_id, segment, category, 'chat_' || any_value(chat) || '.txt' AS source_file, arg_min(ts, turn) AS start_ts, arg_max(ts, turn) AS end_ts, count(*) AS total_messages, count(*) FILTER (WHERE role = 'CLIENT') AS client_messages, count(*) FILTER (WHERE role = 'ADMIN') AS admin_messages,
+      bool_or(coalesce(contains(text, '?'), false)) AS has_media, bool_or({_CREDENTIAL}) AS has_credentials, md5(string_agg('[' || strftime(ts, '%Y-%m-%d %H:%M:%S') || '] ' || role || ': ' || regexp_replace(coalesce(text, ''), '[\\r\\n]+', ' ', 'g'), ' | ' ORDER BY turn)) AS transcript_md5
+      FROM msg JOIN t USING (conv_id, turn) GROUP BY 1, 2, 3)
+SELECT conversation_id || '_' || chr((97 + segment)::INT) AS sub_id, u.* EXCLUDE (segment), response, handling FROM u JOIN r ON r.conv_id = conversation_id JOIN k ON k.conv_id = conversation_id"""
 ORACLES["topic_slices"] = ORACLES["topic_split"]
 ORACLES["topic_summary"] = f"{_SPLIT} SELECT conv_id, segment, category, count(*) AS n FROM t GROUP BY ALL"
 _VALUES = lambda d: ", ".join(f"('{k}', '{v}')" for k, v in d.items())
