@@ -1,8 +1,11 @@
 """Names that stand in others, senders that may be one, times that run back, and how a report is shown."""
 
+from collections import Counter
 from datetime import datetime
 
-from threadline.operators import chat, profile, reports
+from pyspark.sql import functions as F
+
+from threadline.operators import chat, features, profile, reports
 
 
 def test_names_in_names_meet_only_true_pairs(spark):
@@ -31,3 +34,14 @@ def test_time_order_report(spark):
 def test_report_view(spark):
     df = spark.createDataFrame([("x", 1234567, 12.25), ("y", 0, None)], "name string, n long, share double")
     assert [tuple(r) for r in reports.report_view(df, ("n",), ("share",)).collect()] == [("x", "1,234,567", "12.2%"), ("y", "0", "-")]
+
+
+def test_top_grams_against_counting(spark):
+    texts = ["a b a b c", "b a b", "", "c", "a  b", None, "x y z x y z"]
+    words = F.filter(F.split("t", " "), lambda w: w != "")
+    got = {tuple(r) for r in features.top_grams(spark.createDataFrame([(t,) for t in texts], "t string"), words, {1: 3, 2: 2, 3: 1}).collect()}
+    want = set()
+    for n, k in ((1, 3), (2, 2), (3, 1)):
+        counts = Counter(" ".join(w[i : i + n]) for w in (t.split() for t in texts if t) for i in range(len(w) - n + 1))
+        want |= {(n, t, c) for t, c in sorted(counts.items(), key=lambda x: (-x[1], x[0]))[:k]}
+    assert got == want

@@ -41,6 +41,20 @@ def term_counts(docs: DataFrame, id_col: str, words: Column, sizes: tuple[int, .
     return terms.groupBy(id_col, "term").agg(F.count(F.lit(1)).alias("tf"))
 
 
+def top_grams(docs: DataFrame, words: Column, most: dict[int, int]) -> DataFrame:
+    """(words, term, n): for each size of n-grams the so many commonest ones over all documents, ties by term.
+
+    The texts are cut up once for all sizes and counted where they lie; each task then passes on no more rows a size than are wanted.
+    """
+    def sized(n: int) -> Column:
+        return F.transform(ngrams(F.col("_w"), n), lambda t: F.struct(F.lit(n).alias("words"), t.alias("term")))
+
+    counts = docs.select(words.alias("_w")).select(F.explode(F.concat(*[sized(n) for n in most])).alias("g")).groupBy("g.words", "g.term").agg(F.count(F.lit(1)).alias("n"))
+    ranked = counts.withColumn("_r", F.row_number().over(Window.partitionBy("words").orderBy(F.desc("n"), "term"))).where(F.col("_r") <= max(most.values()))
+    wanted = F.create_map(*[F.lit(x) for pair in most.items() for x in pair])
+    return ranked.where(F.col("_r") <= wanted[F.col("words")]).drop("_r")
+
+
 def vocabulary(counts: DataFrame, min_docs: int = 2, max_terms: int = 400) -> DataFrame:
     """(term, df) of the commonest terms by total count, ties by term; no more rows than ``max_terms``."""
     terms = counts.groupBy("term").agg(F.sum("tf").alias("total"), F.count(F.lit(1)).alias("df")).where(F.col("df") >= min_docs)

@@ -36,6 +36,11 @@ def _names(s, d):
     return users.select(F.format_string("user_%d.txt", "user_id").alias("source_filename"), F.format_string("customer %d", "user_id").alias("customer_name"))
 
 
+def _named_units(s, d):
+    """Sessions with the name of their customer."""
+    return distributions.with_customer(_predicted(s, d), _names(s, d))
+
+
 _PREDICTED = f"""WITH {MASTER_SQL}, q AS (SELECT *, printf('user_%d_%03d', user_id, session_no) AS sub_id, CASE WHEN session_no % 3 <> 0 THEN CASE WHEN total_messages > 1 THEN 'purchase' ELSE category END END AS predicted FROM master),
 p AS (SELECT *, CASE WHEN category = predicted THEN 'MATCH' ELSE 'DIFFER' END AS match FROM q)"""
 
@@ -54,6 +59,8 @@ QUERIES = {
     "issues": lambda s, d: reports.breakdown(master(s, d), "category", share=True),
     "remote_by_customer": lambda s, d: reports.breakdown(master(s, d).withColumn("customer", F.col("user_id").cast("string")), "customer"),
     "customers": lambda s, d: (lambda m: reports.breakdown(m, "user_id").join(reports.top_value(m, ["user_id"], "category"), "user_id", "left"))(master(s, d)),
+    "customer_search": lambda s, d: reports.matching(reports.breakdown(_named_units(s, d), "customer"), "STOMER 1", ("customer",)),
+    "issue_view": lambda s, d: reports.matching(reports.breakdown(master(s, d), "category", share=True), category="purchase"),
     "kpi_shares": lambda s, d: reports.shares(master(s, d).agg(*reports.handling_counts())),
     "period_change": lambda s, d: reports.period_change(reports.time_series(master(s, d), "week", "category", "start_ts")),
     "concentration": lambda s, d: reports.concentration(reports.breakdown(master(s, d), "user_id").withColumnRenamed("user_id", "customer")),
@@ -118,3 +125,5 @@ FROM (SELECT DISTINCT o_custkey FROM orders) LEFT JOIN l USING (o_custkey) GROUP
 }
 _SHOWN = ", ".join([f"format('{{:,}}', {c}::BIGINT) AS {c}" for c in ("total", "remote", "non_remote", "unknown")] + [f"printf('%.1f%%', {c}) AS {c}" for c in ("rate", "share")])
 ORACLES["issues_view"] = f"SELECT category, {_SHOWN} FROM ({ORACLES['issues']})"
+ORACLES["customer_search"] = f"{_PREDICTED}, x AS (SELECT *, CASE WHEN user_id % 3 = 0 THEN 'customer ' || user_id ELSE 'Unknown (user_' || user_id || '.txt)' END AS customer FROM p), c AS (SELECT customer, {_COUNTS} FROM x GROUP BY 1) SELECT c.*, {_RATE} FROM c WHERE contains(lower(customer), 'stomer 1')"
+ORACLES["issue_view"] = f"SELECT * FROM ({ORACLES['issues']}) WHERE category = 'purchase'"

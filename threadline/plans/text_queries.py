@@ -77,13 +77,16 @@ def _chat_master(s, d):
 
 
 def _top_grams(s, d):
-    """The commonest words, pairs and triples."""
-    docs, out = read(s, d, "documents").where("text is not null"), None
-    for n, k in _TOP_GRAMS:
-        counts = features.term_counts(docs, "doc_id", T.tokens(T.clean_text(F.col("text"))), (n,)).groupBy("term").agg(F.sum("tf").alias("n"))
-        top = counts.orderBy(F.desc("n"), "term").limit(k).select(F.lit(n).alias("words"), "term", "n")
-        out = top if out is None else out.unionByName(top)
-    return out
+    """The commonest words, pairs and triples; dealt by id, as a small table may be one file."""
+    docs = read(s, d, "documents").where("text is not null").select("doc_id", "text").repartition("doc_id")
+    return features.top_grams(docs, T.tokens(T.clean_text(F.col("text"))), dict(_TOP_GRAMS))
+
+
+def _explored(s, d):
+    """The tokens that exploration looks at, by language, with the number of texts that have none."""
+    words = T.explore_tokens(F.col("text"), dims.STOP_WORDS)
+    sized = read(s, d, "documents").where("text is not null").select("lang", F.size(words).alias("n"), F.size(F.array_distinct(words)).alias("m"))
+    return sized.groupBy("lang").agg(F.sum("n").alias("tokens"), F.sum("m").alias("distinct_in_text"), F.count_if(F.col("n") == 0).alias("empty"))
 
 
 def _labels(s, d):
@@ -142,6 +145,8 @@ QUERIES = {
     "client_text": lambda s, d: chat.client_text(messages(s, d), "conv_id", "turn"),
     "clean_text": lambda s, d: read(s, d, "documents").select("doc_id", F.md5(T.clean_text(F.col("text")).cast("binary")).alias("clean_md5")),
     "token_count": lambda s, d: read(s, d, "documents").select("source", F.size(T.tokens(T.clean_text(F.col("text")))).alias("n")).groupBy("source").agg(F.sum("n").alias("tokens"), F.min("n").alias("least"), F.max("n").alias("most"), F.count_if(F.col("n") == 0).alias("empty")),
+    "token_statistics": lambda s, d: read(s, d, "documents").select(F.size(T.tokens(T.clean_text(F.coalesce("text", F.lit(""))))).alias("n")).agg(F.count(F.lit(1)).alias("texts"), F.avg("n").alias("mean"), F.min("n").alias("least"), F.max("n").alias("most"), F.count_if(F.col("n") == 0).alias("empty")),
+    "explore_tokens": lambda s, d: _explored(s, d),
     "token_normalise": lambda s, d: T.normalised_texts(read(s, d, "documents").select("doc_id", T.clean_text(F.col("text")).alias("c")), "c", dims.SLANG, dims.GENERAL_WORDS, dims.PROTECTED).select("doc_id", "changed", F.md5(F.col("normalised").cast("binary")).alias("normal_md5")),
     "dictionary_normalise": lambda s, d: _by_tables(s, d).select("doc_id", "changed", F.md5(F.col("normalised").cast("binary")).alias("normal_md5")),
     "dictionary_coverage": lambda s, d: dictionary.coverage(_by_tables(s, d)),
@@ -194,6 +199,8 @@ SELECT conv_id, CASE WHEN client IS NULL THEN 'NO_RESPONSE' WHEN admins = 0 OR l
     "all_categories": f"SELECT doc_id, coalesce(nullif(concat_ws(',', {_ALL}), ''), 'OTHER') AS categories FROM documents",
     "client_text": f"WITH {MESSAGES_SQL} SELECT conv_id, coalesce(string_agg(text, ' ' ORDER BY turn) FILTER (WHERE role = 'CLIENT'), string_agg(text, ' ' ORDER BY turn)) AS client_text, count(*) AS n_rows FROM msg WHERE text IS NOT NULL GROUP BY 1",
     "clean_text": f"SELECT doc_id, md5({_CLEAN}) AS clean_md5 FROM documents",
+    "token_statistics": f"SELECT count(*) AS texts, avg(n) AS mean, min(n)::INT AS least, max(n)::INT AS most, count(*) FILTER (WHERE n = 0) AS empty FROM (SELECT coalesce(len({_TOKENS}), 0) AS n FROM documents)",
+    "explore_tokens": f"WITH w AS (SELECT lang, list_filter({_TOKENS}, lambda t: length(t) > 1 AND NOT regexp_full_match(t, '[0-9]+') AND t NOT IN {dims.STOP_WORDS}) AS w FROM documents WHERE text IS NOT NULL) SELECT lang, sum(len(w))::BIGINT AS tokens, sum(len(list_distinct(w)))::BIGINT AS distinct_in_text, count(*) FILTER (WHERE len(w) = 0) AS empty FROM w GROUP BY 1",
     "token_count": f"SELECT source, sum(n)::BIGINT AS tokens, min(n)::INT AS least, max(n)::INT AS most, count(*) FILTER (WHERE n = 0) AS empty FROM (SELECT source, len({_TOKENS}) AS n FROM documents) GROUP BY 1",
     "ngram_top": f"WITH toks AS (SELECT {_TOKENS} AS w FROM documents), grams AS (SELECT unnest(list_transform(range(1, greatest(len(w), 1)), lambda i: w[i] || ' ' || w[i + 1])) AS term FROM toks) SELECT term, count(*) AS n FROM grams GROUP BY 1 ORDER BY n DESC, term LIMIT 15",
     "tfidf_terms": f"WITH {_TERMS} SELECT term, sum(weight) / (SELECT count(*) FROM documents) AS mean_weight, count(*) AS df FROM weights GROUP BY term",
