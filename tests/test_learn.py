@@ -113,3 +113,16 @@ def test_group_folds_beyond_the_greedy_ones(spark):
     assert splits.group_folds(rows.limit(0), "g", "label").collect() == []
     even = splits.stratified_folds(rows, "g", "label", 4).groupBy("label", "fold").count().groupBy("label").agg((F.max("count") - F.min("count")).alias("d")).agg(F.max("d")).first()[0]
     assert even <= 1
+
+
+def test_group_folds_in_ranges_are_those_of_one_range(spark):
+    rng = np.random.default_rng(3)
+    cells = [(g, str(rng.choice(["a", "b", "c"], p=[0.6, 0.3, 0.1]))) for g in range(400) for _ in range(int(rng.integers(1, 9)))]
+    rows = spark.createDataFrame([*cells, (None, "only here")], "g long, label string")
+    counts = {g: [sum(c == (g, x) for c in cells) for x in "abc"] for g, _ in cells}
+    order = sorted(counts, key=lambda g: (-(3 * sum(n * n for n in counts[g]) - sum(counts[g]) ** 2), g))
+    own = np.array([counts[g] for g in order], float)
+    want = dict(zip(order, splits.greedy_folds(own, 5, np.zeros((5, 3)), own.sum(axis=0)), strict=True))
+    for some in (60, 10**6):
+        got = {r["g"]: r["fold"] for r in splits.group_folds(rows, "g", "label", 5, greedy=some).select("g", "fold").distinct().collect()}
+        assert got == want

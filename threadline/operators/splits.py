@@ -2,13 +2,19 @@
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Callable, Iterator
+
 import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-#: Groups that get their fold one by one, those of the largest spread; only their histograms come to the driver.
-GREEDY_GROUPS = 10_000
+from threadline.operators.features import checkpoint_folder
+
+#: Groups that one task deals, about; the next task goes on from the sums of the folds.
+GREEDY_GROUPS = 50_000
 #: Rows of a class that one task ranks, about.
 RANK_ROWS = 50_000
 
@@ -20,9 +26,10 @@ def key_hash(key: str) -> Column:
 
 def group_histograms(rows: DataFrame, group: str, label: str) -> tuple[DataFrame, list]:
     """(group, counts) with the number of rows of each class in the order of the class names, and these names. Classes are a dimension."""
-    names = sorted(r[0] for r in rows.select(label).where(F.col(label).isNotNull()).distinct().collect())
+    kept = rows.where(F.col(group).isNotNull() & F.col(label).isNotNull())
+    names = sorted(r[0] for r in kept.select(label).distinct().collect())
     counts = F.array(*[F.count_if(F.col(label) == n) for n in names]) if names else F.array().cast("array<bigint>")
-    return rows.where(F.col(group).isNotNull() & F.col(label).isNotNull()).groupBy(group).agg(counts.alias("counts")), names
+    return kept.groupBy(group).agg(counts.alias("counts")), names
 
 
 def greedy_folds(histograms: np.ndarray, folds: int, held: np.ndarray, total: np.ndarray) -> list[int]:
@@ -34,11 +41,11 @@ def greedy_folds(histograms: np.ndarray, folds: int, held: np.ndarray, total: np
     held, chosen = held.astype(float), []
     one = np.eye(folds)[:, :, None]
     for h in histograms:
-        spread = ((held[None] + one * h) / total).std(axis=1).mean(axis=1)
-        best = 0
+        spread = ((held[None] + one * h) / total).std(axis=1).mean(axis=1).tolist()
+        sizes, best = held.sum(axis=1).tolist(), 0
         for k in range(1, folds):
-            tie = np.isclose(spread[k], spread[best]) and held[k].sum() < held[best].sum()
-            if spread[k] < spread[best] and not np.isclose(spread[k], spread[best]) or tie:
+            alike = abs(spread[k] - spread[best]) <= 1e-8 + 1e-5 * abs(spread[best])
+            if sizes[k] < sizes[best] if alike else spread[k] < spread[best]:
                 best = k
         held[best] += h
         chosen.append(best)
@@ -48,9 +55,9 @@ def greedy_folds(histograms: np.ndarray, folds: int, held: np.ndarray, total: np
 def group_folds(rows: DataFrame, group: str, label: str, folds: int = 5, greedy: int = GREEDY_GROUPS) -> DataFrame:
     """Add ``fold``: whole groups, each fold with about the class shares of the whole. Rows without group or label go.
 
-    The ``greedy`` groups whose histograms are the most uneven are dealt one after the other, largest spread first, ties by
-    group. Any other groups, each smaller in spread than those, go by a hash of the group, and the greedy ones even out what
-    the hash leaves uneven. So the driver sees no more than ``greedy`` histograms and the sums of the rest.
+    All groups are dealt one after the other, largest spread of the histogram first, ties by group. The histograms lie on disk in
+    that order, cut into ranges of about ``greedy`` groups; a task deals a range and the next one goes on from the sums of the folds.
+    So a task holds a range and the driver the sums, at any number of groups, and nothing but the order of the deal is serial.
     """
     histograms, names = group_histograms(rows, group, label)
     kept = rows.where(F.col(group).isNotNull() & F.col(label).isNotNull())
@@ -59,20 +66,36 @@ def group_folds(rows: DataFrame, group: str, label: str, folds: int = 5, greedy:
     n = F.size("counts")
     squares = F.aggregate("counts", F.lit(0).cast("long"), lambda a, x: a + x * x)
     plain = F.aggregate("counts", F.lit(0).cast("long"), lambda a, x: a + x)
-    spread = n * squares - plain * plain  # orders as the standard deviation does, in whole numbers
+    spark, folder = rows.sparkSession, f"{checkpoint_folder(rows.sparkSession)}/folds-{uuid.uuid4().hex}"
+    histograms.withColumn("_spread", n * squares - plain * plain).write.parquet(f"{folder}/made")  # orders as the standard deviation does, in whole numbers
+    made = spark.read.parquet(f"{folder}/made")
+    sums = made.agg(F.count(F.lit(1)).alias("n"), *[F.sum(F.col("counts")[k]).alias(f"c{k}") for k in range(len(names))]).first()
     order = [F.desc("_spread"), F.col(group)]
-    ranked = histograms.withColumn("_spread", spread)
-    head = ranked.orderBy(*order).limit(greedy).select(group, "counts").collect()
-    first = rows.sparkSession.createDataFrame([(r[0],) for r in head], histograms.select(group).schema)
-    by_hash = (key_hash(group) % folds).cast("int")
-    rest = histograms.join(F.broadcast(first), group, "left_anti").groupBy(by_hash.alias("f")).agg(F.array(*[F.sum(F.col("counts")[k]) for k in range(len(names))]).alias("c")).collect()
-    held = np.zeros((folds, len(names)))
-    for r in rest:
-        held[r["f"]] = r["c"]
-    own = np.array([r["counts"] for r in head], float).reshape(-1, len(names))
-    chosen = greedy_folds(own, folds, held, held.sum(axis=0) + own.sum(axis=0))
-    table = rows.sparkSession.createDataFrame([(r[0], f) for r, f in zip(head, chosen, strict=True)], T.StructType([*first.schema.fields, T.StructField("_fold", T.IntegerType())]))
-    return kept.join(F.broadcast(table), group, "left").withColumn("fold", F.coalesce("_fold", by_hash)).drop("_fold")
+    ranges = max(1, -(-sums["n"] // greedy))
+    made.repartitionByRange(ranges, *order).withColumn("_range", F.spark_partition_id()).write.partitionBy("_range").parquet(f"{folder}/ranges")
+    ranked = spark.read.parquet(f"{folder}/ranges")
+    held, total = np.zeros((folds, len(names))), np.array(sums[1:], float)
+    shape = T.StructType([*ranked.select(group, "counts").schema.fields, T.StructField("_fold", T.IntegerType())])
+
+    def deal(held: np.ndarray) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
+        def one(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            own = held.copy()
+            for batch in batches:
+                counts = np.array(batch["counts"].tolist(), float).reshape(-1, len(names))
+                chosen = greedy_folds(counts, folds, own, total)
+                np.add.at(own, chosen, counts)
+                yield batch[[group, "counts"]].assign(_fold=chosen)
+
+        return one
+
+    for k in range(ranges):
+        part = ranked.where(F.col("_range") == k).coalesce(1).sortWithinPartitions(*order).select(group, "counts")
+        part.mapInPandas(deal(held), shape).write.parquet(f"{folder}/dealt/part={k}")
+        own = spark.read.schema(shape).parquet(f"{folder}/dealt/part={k}").groupBy("_fold").agg(*[F.sum(F.col("counts")[i]) for i in range(len(names))]).collect()
+        for r in own:
+            held[r[0]] += np.array(r[1:], float)
+    table = spark.read.schema(shape).parquet(*[f"{folder}/dealt/part={k}" for k in range(ranges)]).select(F.col(group).alias("_g"), F.col("_fold").alias("fold"))
+    return kept.join(table, F.col(group) == F.col("_g")).drop("_g")
 
 
 def stratified_folds(rows: DataFrame, key: str, label: str, folds: int = 5, salt: str = "") -> DataFrame:
