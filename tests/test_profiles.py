@@ -45,3 +45,18 @@ def test_top_grams_against_counting(spark):
         counts = Counter(" ".join(w[i : i + n]) for w in (t.split() for t in texts if t) for i in range(len(w) - n + 1))
         want |= {(n, t, c) for t, c in sorted(counts.items(), key=lambda x: (-x[1], x[0]))[:k]}
     assert got == want
+
+
+def test_terms_of_the_commonest_words_suffice(spark):
+    """Where the n-grams of the first words do not settle which are the commonest, those of more words are counted."""
+    texts = ["a x b y c z d"] * 5 + ["p q r"] * 4 + ["a a", "b b", "c d", "p q p q", None, ""]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "id long, t string")
+    cut = [t.split() for t in texts if t]
+    every = {n: Counter(" ".join(w[i : i + n]) for w in cut for i in range(len(w) - n + 1)) for n in (1, 2, 3)}
+    best = lambda n, k: sorted(every[n].items(), key=lambda x: (-x[1], x[0]))[:k]
+    got = {tuple(r) for r in features.top_grams(docs, F.col("t"), {2: 4, 3: 2}, first=2).collect()}
+    assert got == {(n, *x) for n, k in ((2, 4), (3, 2)) for x in best(n, k)}
+    rows = Counter(t for n in (1, 2) for w in cut for t in {" ".join(w[i : i + n]) for i in range(len(w) - n + 1)})
+    both = sorted(((t, c) for n in (1, 2) for t, c in every[n].items() if rows[t] >= 2), key=lambda x: (-x[1], x[0]))
+    for most in (3, 9, 100):
+        assert features.vocabulary(docs, F.col("t"), 2, most) == [(t, rows[t]) for t, _ in both[:most]]
