@@ -54,3 +54,11 @@ def test_stage_rejects_what_is_far_from_every_language(spark):
     letters = {r["doc_id"] for r in docs.collect() if r["text"] and any(c.isalpha() for c in r["text"])}
     assert kept <= letters and len(letters - kept) <= 0.01 * len(letters)
     assert language.language_stage(spark, docs.limit(0), SF).collect() == []
+
+
+def test_limit_comes_from_all_documents(spark):
+    rows = [(k, "en", n / 7919.0) for k, n in enumerate(range(7919))] + [(9000, "und", 1.0)]
+    df = spark.createDataFrame(rows, "doc_id long, lang_pred string, distance double")
+    want = sorted(n / 7919.0 for n in range(7919))[-(-99 * 7919 // 100) - 1]
+    assert language.distance_limit(df) == (1.0 + want) / 2
+    assert language.distance_limit(df.limit(0)) == 1.0
