@@ -72,27 +72,39 @@ def split_topics(rows: DataFrame, keys: list[str], order: list[str], taxonomy: T
     return out.withColumn("category", F.coalesce(label, F.lit(taxonomy.fallback))).withColumn("suffix", letters_suffix(F.col("segment"))).drop("_own", "_held", "_cut")
 
 
+def response_marks(rows: DataFrame, keys: list[str], position: str, closing: str, waiting: str, role: str = "role", text: str = "text", short: int = 30) -> DataFrame:
+    """Add what ``response_sums`` adds up; a window over the conversation says where its last client row is."""
+    lowered = F.lower(F.coalesce(F.col(text), F.lit("")))
+    out = rows.withColumns({
+        "_p": F.col(position), "_r": F.col(role), "_closing": lowered.rlike(closing), "_asks": lowered.contains("?"), "_waits": lowered.rlike(waiting), "_short": F.length(F.trim(lowered)) <= short,
+    })
+    return out.withColumn("_client", F.max(F.when(F.col("_r") == "CLIENT", F.col("_p"))).over(Window.partitionBy(*keys)))
+
+
+def response_sums() -> dict[str, Column]:
+    """Aggregates of ``response_marks`` over a conversation or a part of it."""
+    after = F.col("_p") > F.col("_client")
+    return {
+        "_client": F.max("_client"), "_admins": F.count_if(F.col("_r") == "ADMIN"), "_last": F.max(F.struct("_p", "_r", (F.col("_closing") & ~F.col("_asks") & ~F.col("_waits")).alias("closed"))),
+        "_brief": F.coalesce(F.bool_and(F.when(after, F.col("_short") | F.col("_closing"))), F.lit(True)), "_open": F.coalesce(F.bool_or(F.when(after, F.col("_asks") | F.col("_waits"))), F.lit(False)),
+    }
+
+
+def response_of(client: Column, admins: Column, last: Column, brief: Column, is_open: Column) -> Column:
+    """The ordered rule on the sums of a whole conversation."""
+    yes = (admins == 0) | (last["_r"] == "CLIENT") | last["closed"] | (brief & ~is_open)
+    return F.when(client.isNull(), "NO_RESPONSE").when(yes, "RESPONSE").otherwise("NO_RESPONSE")
+
+
 def response_labels(rows: DataFrame, key: str, position: str, closing: str, waiting: str, role: str = "role", text: str = "text", short: int = 30) -> DataFrame:
     """Per conversation whether the client responded, by the ordered rule.
 
     No client row: no. No admin row: yes. Last row by the client: yes. Last row a closing word that neither asks nor waits: yes.
     All rows after the client's last are short or closing, and none asks or waits: yes. Else no.
     """
-    lowered = F.lower(F.coalesce(F.col(text), F.lit("")))
-    out = rows.select(
-        F.col(key), F.col(position).alias("_p"), F.col(role).alias("_r"), lowered.rlike(closing).alias("_closing"),
-        (lowered.contains("?")).alias("_asks"), lowered.rlike(waiting).alias("_waits"), (F.length(F.trim(lowered)) <= short).alias("_short"),
-    )
-    out = out.withColumn("_client", F.max(F.when(F.col("_r") == "CLIENT", F.col("_p"))).over(Window.partitionBy(key)))
-    after = F.col("_p") > F.col("_client")
-    groups = out.groupBy(key).agg(
-        F.max("_client").alias("client"), F.count_if(F.col("_r") == "ADMIN").alias("admins"), F.max_by("_r", "_p").alias("last_role"),
-        F.max_by(F.col("_closing") & ~F.col("_asks") & ~F.col("_waits"), "_p").alias("closed"),
-        F.coalesce(F.bool_and(F.when(after, F.col("_short") | F.col("_closing"))), F.lit(True)).alias("brief"),
-        F.coalesce(F.bool_or(F.when(after, F.col("_asks") | F.col("_waits"))), F.lit(False)).alias("open"),
-    )
-    yes = (F.col("admins") == 0) | (F.col("last_role") == "CLIENT") | F.col("closed") | (F.col("brief") & ~F.col("open"))
-    return groups.select(key, F.when(F.col("client").isNull(), "NO_RESPONSE").when(yes, "RESPONSE").otherwise("NO_RESPONSE").alias("response"))
+    marks = response_marks(rows.select(key, position, role, text), [key], position, closing, waiting, role, text, short)
+    groups = marks.groupBy(key).agg(*[c.alias(n) for n, c in response_sums().items()])
+    return groups.select(key, response_of(*[F.col(c) for c in response_sums()]).alias("response"))
 
 
 def handling_labels(rows: DataFrame, key: str, remote: str, credentials: str, text: str = "text") -> DataFrame:

@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from threadline.dims import Taxonomy
-from threadline.functions.text import ATTACHED_MARK, OMITTED_MARKS, display_name
-from threadline.operators.chat import response_labels, sessionise, split_topics, time_gaps, transcript
+from threadline.functions.text import ATTACHED_MARK, OMITTED_MARKS, display_name, letters_suffix
+from threadline.operators.chat import response_marks, response_of, response_sums, sessionise, split_topics, time_gaps, transcript
 
 MINUTE_US = 60_000_000
 # Lower bounds of the gap buckets in minutes, and of the size classes of conversations.
@@ -72,22 +72,28 @@ def label_distribution(messages: DataFrame, labels: DataFrame, key: str, label:
 
 
 def full_master(messages: DataFrame, taxonomy: Taxonomy, remote: str, credentials: str, closing: str, waiting: str, hours: float = 4.0) -> DataFrame:
-    """One row per one-topic unit of (source_file, msg_no, ts, role, text, has_media) rows: period, counts, media, credentials, labels and transcript."""
+    """One row per one-topic unit of (source_file, msg_no, ts, role, text, has_media) rows: period, counts, media, credentials, labels and transcript.
+
+    Windows, units and the labels of conversations all lie within a file, so messages are dealt by file once and read once: a unit
+    adds up its share of what its conversation is judged by, and a window over the units of a conversation adds up these sums.
+    """
     rows = sessionise(messages, ["source_file"], ["msg_no"], hours, counts=F.col("role") != "SYSTEM")
     lowered = F.lower(F.coalesce(F.col("text"), F.lit("")))
     keys = ["source_file", "session_no"]
     rows = split_topics(rows, keys, ["msg_no"], taxonomy).withColumns({"_cred": lowered.rlike(credentials), "_tool": lowered.rlike(remote)})
-    stem = F.regexp_replace("source_file", r"\.[^.]*$", "")
-    conversation = F.concat(stem, F.format_string("_conv_%03d", "session_no"))
-    rows = rows.withColumn("conversation_id", conversation)
-    labels = response_labels(rows, "conversation_id", "msg_no", closing, waiting)
-    handling = rows.groupBy("conversation_id").agg(F.when(F.bool_or(F.col("_cred") | F.col("_tool")), "REMOTE").otherwise("NON_REMOTE").alias("handling"))
-    units = rows.groupBy("source_file", "session_no", "segment", "conversation_id", "suffix", "category").agg(
+    rows = response_marks(rows, keys, "msg_no", closing, waiting)
+    units = rows.groupBy(*keys, "segment", "category").agg(
         F.min_by("ts", "msg_no").alias("start_ts"), F.max_by("ts", "msg_no").alias("end_ts"), F.count(F.lit(1)).alias("total_messages"), F.count_if(F.col("role") == "CLIENT").alias("client_messages"),
-        F.count_if(F.col("role") == "ADMIN").alias("admin_messages"), F.bool_or("has_media").alias("has_media"), F.bool_or("_cred").alias("has_credentials"), transcript("msg_no", "ts", "role", "text").alias("transcript"),
+        F.count_if(F.col("role") == "ADMIN").alias("admin_messages"), F.bool_or("has_media").alias("has_media"), F.bool_or("_cred").alias("has_credentials"), F.bool_or(F.col("_cred") | F.col("_tool")).alias("_handled"),
+        *[c.alias(n) for n, c in response_sums().items()], transcript("msg_no", "ts", "role", "text").alias("transcript"),
     )
-    out = units.join(labels, "conversation_id").join(handling, "conversation_id")
-    return out.select(F.concat_ws("_", "conversation_id", "suffix").alias("sub_id"), "conversation_id", "source_file", "start_ts", "end_ts", "total_messages", "client_messages", "admin_messages", "has_media", "has_credentials", "response", "handling", "category", "transcript")
+    whole = Window.partitionBy(*keys)
+    sums = [F.max("_client"), F.sum("_admins"), F.max("_last"), F.bool_and("_brief"), F.bool_or("_open")]
+    response = response_of(*[c.over(whole) for c in sums])
+    handling = F.when(F.bool_or("_handled").over(whole), "REMOTE").otherwise("NON_REMOTE")
+    conversation = F.concat(F.regexp_replace("source_file", r"\.[^.]*$", ""), F.format_string("_conv_%03d", "session_no"))
+    out = units.withColumns({"response": response, "handling": handling, "conversation_id": conversation})
+    return out.select(F.concat_ws("_", "conversation_id", letters_suffix(F.col("segment"))).alias("sub_id"), "conversation_id", "source_file", "start_ts", "end_ts", "total_messages", "client_messages", "admin_messages", "has_media", "has_credentials", "response", "handling", "category", "transcript")
 
 
 def with_prediction(master: DataFrame, scored: DataFrame) -> DataFrame:
