@@ -1,12 +1,13 @@
 """Forms of plans that keep work in proportion to the input."""
 
 import pytest
+from pyspark.ml.linalg import SparseVector
 from pyspark.sql import functions as F
 
 from tests.conftest import SF
 from threadline import dims
 from threadline.functions import text as T
-from threadline.operators import chat, distributions
+from threadline.operators import chat, distributions, learn
 from threadline.plans import export_queries
 
 
@@ -34,3 +35,19 @@ def test_units_have_the_labels_of_their_conversation(spark, patterns):
     keyed = rows.withColumn("c", F.concat(F.regexp_replace("source_file", ".txt$", ""), F.lit("_conv_001")))
     want = chat.response_labels(keyed, "c", "msg_no", closing, waiting).join(chat.handling_labels(keyed, "c", remote, credentials), "c")
     assert got == {(r["c"], r["response"], r["handling"]) for r in want.collect()} and {r for _, r, _ in got} == {"RESPONSE", "NO_RESPONSE"}
+
+
+def test_class_weights_do_not_deal_rows_by_class(spark):
+    rows = spark.range(100).withColumn("label", (F.col("id") % 3).cast("string"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as for tables that are too large for a guess of the planner
+    try:
+        weighted = learn.balanced_weights(rows, "label")
+        assert "SortMergeJoin" not in plan(weighted) and weighted.count() == 100
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_features_of_short_texts_are_sparse(spark):
+    rows = spark.createDataFrame([(i, f"word{i} word{i + 1} word{i + 2}", "ab"[i % 2]) for i in range(60)], "id long, text string, label string")
+    features = learn.fit_features(rows, "label", min_docs=1.0)
+    assert all(isinstance(r["features"], SparseVector) and r["features"].size == len(features.stages[-2].getOrDefault("terms")) for r in features.transform(rows).collect())

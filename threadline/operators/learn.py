@@ -11,7 +11,7 @@ from itertools import product
 from pyspark import keyword_only
 from pyspark.ml import Estimator, Model, Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LinearSVC, LogisticRegression, NaiveBayes, OneVsRest, RandomForestClassifier
-from pyspark.ml.feature import CountVectorizerModel, NGram, Normalizer, RegexTokenizer, SQLTransformer, StopWordsRemover, StringIndexer
+from pyspark.ml.feature import CountVectorizerModel, NGram, Normalizer, RegexTokenizer, SQLTransformer, StopWordsRemover, StringIndexer, VectorAssembler, VectorSizeHint
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from threadline.dims import STOP_WORDS
 from threadline.functions.text import clean_text, normalised_texts, softmax
-from threadline.operators.features import materialised
+from threadline.operators.features import gram_totals, materialised, words_from, written
 from threadline.operators.reports import class_metrics, summary_metrics
 from threadline.operators.sgd import SgdClassifier
 from threadline.operators.splits import stratified_folds
@@ -51,15 +51,7 @@ def balanced_weights(rows: DataFrame, label: str) -> DataFrame:
     sizes = rows.groupBy(label).agg(F.count(F.lit(1)).alias("_n"))
     totals = sizes.agg(F.sum("_n").alias("_all"), F.count(F.lit(1)).alias("_k"))
     weights = sizes.crossJoin(totals).select(F.col(label).alias("_l"), (F.col("_all") * 1.0 / (F.col("_k") * F.col("_n"))).alias("weight"))
-    return rows.join(weights, F.col(label) == F.col("_l")).drop("_l")
-
-
-def term_totals(dataset: DataFrame, terms: Column, min_docs: float) -> DataFrame:
-    """(t, n, d): in how many places and rows each term stands, of those in ``min_docs`` rows."""
-    rows = dataset.select(terms.alias("ts"))
-    every = rows.select(F.explode("ts").alias("t"), F.lit(1).alias("n"), F.lit(0).alias("d"))
-    once = rows.select(F.explode(F.array_distinct("ts")).alias("t"), F.lit(0).alias("n"), F.lit(1).alias("d"))
-    return every.unionByName(once).groupBy("t").agg(F.sum("n").alias("n"), F.sum("d").alias("d")).where(F.col("d") >= min_docs)
+    return rows.join(F.broadcast(weights), F.col(label) == F.col("_l")).drop("_l")  # a row a class: dealt by label, all rows would go to a few tasks
 
 
 class TopTerms(Estimator):
@@ -69,22 +61,21 @@ class TopTerms(Estimator):
     last of these are counted: nearly all n-grams are rare, and they are neither shuffled nor held.
     """
 
-    def __init__(self, terms: int, min_docs: float) -> None:
+    def __init__(self, terms: int, min_docs: float, sizes: tuple[int, ...] = (1, 2)) -> None:
         super().__init__()
-        self.terms, self.min_docs = terms, min_docs
+        self.terms, self.min_docs, self.sizes = terms, min_docs, sizes
 
     def _fit(self, dataset: DataFrame) -> TermWeights:
-        single = materialised(term_totals(dataset, F.filter("_terms", lambda t: ~t.contains(" ")), self.min_docs))
-        first = single.orderBy(F.desc("n"), "t").limit(self.terms).collect()  # no more than ``terms``
-        wanted = F.col("_terms")
-        if len(first) == self.terms and first:
-            border = single.where(F.col("n") >= first[-1]["n"])
-            if border.count() <= 20 * self.terms:
-                common = [r["t"] for r in border.select("t").collect()]
-                wanted = F.filter("_terms", lambda t: F.forall(F.split(t, " "), lambda w: w.isin(*common)))
-        top = term_totals(dataset, wanted, self.min_docs).orderBy(F.desc("n"), "t").limit(self.terms).collect()
-        n = dataset.count()
-        return TermWeights(terms=[r["t"] for r in top], idf=[math.log((1 + n) / (1 + r["d"])) + 1 for r in top])
+        words, often = written(dataset.select("_words")), F.col("d") >= self.min_docs
+        single = materialised(gram_totals(words, F.col("_words"), (1,)).where(often))
+        parts = [single] if 1 in self.sizes else []
+        if longer := tuple(n for n in self.sizes if n > 1):
+            first = single.orderBy(F.desc("n"), "term").limit(self.terms).collect()  # no more than ``terms``
+            known = words_from(single, first[-1]["n"] if len(first) == self.terms and first and parts else 1)
+            parts.append(gram_totals(words, F.col("_words"), longer, known).where(often))
+        top = reduce(DataFrame.unionByName, parts).orderBy(F.desc("n"), "term").limit(self.terms).collect()
+        n = words.count()
+        return TermWeights(terms=[r["term"] for r in top], idf=[math.log((1 + n) / (1 + r["d"])) + 1 for r in top])
 
 
 class TermWeights(Model, DefaultParamsReadable, DefaultParamsWritable):
@@ -103,7 +94,9 @@ class TermWeights(Model, DefaultParamsReadable, DefaultParamsWritable):
         words, idf = self.getOrDefault(self.terms) or ["\u0000"], self.getOrDefault(self.idf) or [0.0]
         counted = CountVectorizerModel.from_vocabulary(words, inputCol="_terms", outputCol="_tf").transform(dataset)
         weights = F.zip_with(vector_to_array("_tf"), F.array(*[F.lit(x) for x in idf]), lambda tf, x: F.when(tf > 0, (1 + F.log(tf)) * x).otherwise(0.0))
-        return counted.withColumn("_weights", array_to_vector(weights))
+        dense = counted.withColumn("_dense", array_to_vector(weights))
+        sized = VectorSizeHint(inputCol="_dense", size=len(words), handleInvalid="optimistic").transform(dense)
+        return VectorAssembler(inputCols=["_dense"], outputCol="_weights").transform(sized).drop("_dense")  # a text has few of the terms: sparse where that is smaller
 
 
 def feature_stages(text: str = "text", terms: int = 400, min_docs: float = 2.0, sizes: tuple[int, ...] = (1, 2)) -> list:
@@ -114,7 +107,7 @@ def feature_stages(text: str = "text", terms: int = 400, min_docs: float = 2.0,
         StopWordsRemover(inputCol="_raw", outputCol="_words", stopWords=list(STOP_WORDS)),
         *[NGram(n=n, inputCol="_words", outputCol=f"_grams{n}") for n in sizes if n > 1],
         SQLTransformer(statement=f"SELECT *, concat({parts}) AS _terms FROM __THIS__"),
-        TopTerms(terms, min_docs), Normalizer(inputCol="_weights", outputCol="features"),
+        TopTerms(terms, min_docs, sizes), Normalizer(inputCol="_weights", outputCol="features"),
     ]
 
 
