@@ -121,3 +121,10 @@ def test_ids_that_stand_twice(spark):
     assert ids.count(None) == 1 and ids.count(1) == 1 and 2 not in ids and ids.count(4) == 1
     assert [r["text"] for r in rows if r["doc_id"] == 1] == [base]
     assert near_dedup.keep_one(df.where(F.lit(False))).collect() == []
+
+
+def test_rows_are_dealt_once_to_keep_one(spark):
+    docs = spark.createDataFrame([(1, "a b c d e f"), (1, "a b c d e f"), (2, None), (None, "x"), (None, "x"), (3, "a b c d e f"), (3, None)], "doc_id long, text string").withColumn("lang", F.lit("en"))
+    kept = near_dedup.keep_one(docs)
+    assert kept._jdf.queryExecution().executedPlan().toString().count(" AS row#") == 1
+    assert sorted(map(str, kept.select("doc_id", "text").collect())) == sorted(map(str, spark.createDataFrame([(1, "a b c d e f"), (2, None), (None, "x"), (None, "x")], "doc_id long, text string").collect()))

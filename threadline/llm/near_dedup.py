@@ -325,13 +325,14 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
 
     Of several rows with one id the row of the text that counted stays; of rows that differ only in other columns, the one of the largest hash.
     """
-    others = near_classes(docs, id_col, text_col).where("id <> class_id").select(F.col("id").alias("gone"))
+    others = near_classes(docs, id_col, text_col).where("id <> class_id").select(F.col("id").alias("same"), F.lit(True).alias("gone"))
     order = F.struct(F.xxhash64(F.col(text_col)).alias("t"), F.xxhash64(*columns(docs)).alias("all"))
     rows = docs.select(F.struct(*columns(docs)).alias("row"), F.col(id_col).alias("id"), F.when(F.col(text_col).isNotNull(), order).alias("pick"))  # a null text counts least
     several = rows.where("id is not null").groupBy(F.col("id").alias("same")).agg(F.count(F.lit(1)).alias("n"), F.max("pick").alias("best")).where("n > 1")
-    kept = rows.join(others, F.col("id") == F.col("gone"), "left_anti").join(several, F.col("id") == F.col("same"), "left")
-    once = kept.where(F.col("same").isNotNull() & F.col("pick").eqNullSafe(F.col("best"))).dropDuplicates(["id"])
-    return kept.where(F.col("same").isNull()).unionByName(once).select("row.*")
+    marks = others.join(several, "same", "full")  # narrow, so that the rows themselves are dealt once
+    kept = rows.join(marks, F.col("id") == F.col("same"), "left").where(F.col("gone").isNull())
+    one = Window.partitionBy("id").orderBy(F.desc(F.col("pick").eqNullSafe(F.col("best"))))
+    return kept.withColumn("at", F.row_number().over(one)).where(F.col("n").isNull() | (F.col("at") == 1)).select("row.*")
 
 
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
