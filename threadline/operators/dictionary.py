@@ -8,11 +8,14 @@ places, are shuffled.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from threadline.functions.text import reduce_elongated, tokens
-from threadline.operators.features import materialised
+from threadline.functions.text import reduce_elongated
+from threadline.operators.features import gram_totals, materialised, written
 
 #: Distinct tokens that go to all tasks with their answer.
 FREQUENT = 100_000
@@ -45,23 +48,43 @@ def answers(words: DataFrame, table: DataFrame) -> DataFrame:
 def normalised_by_table(rows: DataFrame, id_col: str, cleaned: str, table: DataFrame, frequent: int = FREQUENT) -> DataFrame:
     """(id, normalised, changed): the tokens of each cleaned text normalised, and how many of them changed; both null for a null text.
 
-    Ids are unique. ``table`` is a ``dictionary``.
+    Ids are unique, ``table`` is a ``dictionary``, and ``rows`` are read twice, so they should be written. Texts are normalised where they
+    lie; only places of tokens that are not among the common ones are dealt, and only texts with such places are met with the answers.
     """
-    each = rows.repartition(F.col(id_col)).select(F.col(id_col), F.col(cleaned).isNotNull().alias("_text"), F.posexplode_outer(tokens(F.col(cleaned))).alias("place", "token"))
-    words = rows.select(F.explode(tokens(F.col(cleaned))).alias("token")).groupBy("token").agg(F.count(F.lit(1)).alias("n"))
+    words = gram_totals(rows, F.col(cleaned), (1,)).select(F.col("term").alias("token"), "n")
     known = materialised(answers(words, table))
     common = known.orderBy(F.desc("n"), "token").limit(frequent).select("token", "new")
-    common = F.broadcast(materialised(common))  # no more rows than the parameter
+    held = rows.sparkSession.sparkContext.broadcast(dict(map(tuple, common.collect())))  # no more rows than the parameter
+
+    def apply(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        answer = held.value
+        for batch in batches:
+            out = []
+            for text in batch["_c"]:
+                if text is None:
+                    out.append((None, None, [], []))
+                    continue
+                own = [t for t in text.split(" ") if t]
+                new = [answer.get(t) for t in own]
+                places = [k for k, n in enumerate(new) if n is None]
+                changed = sum(n is not None and n != t for n, t in zip(new, own, strict=True))
+                out.append((" ".join(t if n is None else n for n, t in zip(new, own, strict=True)), changed, places, [own[k] for k in places]))
+            made = pd.DataFrame(out, columns=["normalised", "_here", "places", "tokens"])
+            made["_here"] = made["_here"].astype("Int64")
+            yield pd.concat([batch[[id_col]].reset_index(drop=True), made], axis=1)
+
+    shape = f"`{id_col}` {rows.schema[id_col].dataType.simpleString()}, normalised string, _here long, places array<int>, tokens array<string>"
+    here = rows.select(id_col, F.col(cleaned).alias("_c")).mapInPandas(apply, shape)
+    if known.count() <= frequent:
+        return here.select(id_col, "normalised", F.col("_here").alias("changed"))
+    here = written(here)
     rare = known.join(common.select("token"), "token", "left_anti").select("token", "new")
-    piece = F.struct("place", "new")
-    changed = F.count_if(F.col("new") != F.col("token"))
-    here = each.join(common, "token", "left").groupBy(id_col).agg(F.max("_text").alias("_text"), F.collect_list(F.when(F.col("new").isNotNull(), piece)).alias("_here"), changed.alias("_changed"))
-    away = each.join(common, "token", "left_anti").where(F.col("token").isNotNull()).join(rare, "token")
-    away = away.groupBy(F.col(id_col).alias("_id")).agg(F.collect_list(piece).alias("_away"), changed.alias("_more"))
-    out = here.join(away, F.col(id_col) == F.col("_id"), "left")
-    pieces = F.array_sort(F.concat("_here", F.coalesce("_away", F.array().cast("array<struct<place:int,new:string>>"))))
-    text = F.array_join(F.transform(pieces, lambda p: p["new"]), " ")
-    return out.select(id_col, F.when(F.col("_text"), text).alias("normalised"), F.when(F.col("_text"), F.col("_changed") + F.coalesce("_more", F.lit(0))).alias("changed"))
+    away = here.select(F.col(id_col).alias("_id"), F.explode(F.arrays_zip("places", "tokens")).alias("p")).select("_id", F.col("p.places").alias("place"), F.col("p.tokens").alias("token")).join(rare, "token")
+    away = away.groupBy("_id").agg(F.map_from_entries(F.collect_list(F.struct("place", "new"))).alias("_new"), F.count_if(F.col("new") != F.col("token")).alias("_more"))
+    open_ = here.where(F.size("places") > 0).join(away, F.col(id_col) == F.col("_id"))
+    text = F.array_join(F.transform(F.split("normalised", " "), lambda t, k: F.coalesce(F.try_element_at("_new", k), t)), " ")
+    done = here.where(F.size("places") == 0).select(id_col, "normalised", F.col("_here").alias("changed"))
+    return done.unionByName(open_.select(id_col, text.alias("normalised"), (F.col("_here") + F.col("_more")).alias("changed")))
 
 
 def coverage(normalised: DataFrame) -> DataFrame:
