@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from tests.conftest import SF
 from threadline import dims
 from threadline.functions import text as T
-from threadline.operators import chat, distributions, learn
+from threadline.operators import chat, dictionary, distributions, features, learn
 from threadline.plans import export_queries
 
 
@@ -51,3 +51,19 @@ def test_features_of_short_texts_are_sparse(spark):
     rows = spark.createDataFrame([(i, f"word{i} word{i + 1} word{i + 2}", "ab"[i % 2]) for i in range(60)], "id long, text string, label string")
     features = learn.fit_features(rows, "label", min_docs=1.0)
     assert all(isinstance(r["features"], SparseVector) and r["features"].size == len(features.stages[-2].getOrDefault("terms")) for r in features.transform(rows).collect())
+
+
+def test_texts_are_normalised_where_they_lie(spark):
+    rows = spark.createDataFrame([(1, "aa bb aa"), (2, None), (3, ""), (4, "cc")], "id long, c string")
+    table = dictionary.dictionary(spark.createDataFrame([("aa", "x")], "word string, replacement string"), spark.createDataFrame([], "word string, replacement string"), spark.createDataFrame([("cc",)], "word string"))
+    whole, parts = (dictionary.normalised_by_table(rows, "id", "c", table, n) for n in (100, 1))
+    assert "Generate" not in plan(whole) and "Exchange" not in plan(whole)
+    want = [(1, "x bb x", 2), (2, None, None), (3, "", 0), (4, "cc", 0)]
+    assert sorted(map(tuple, whole.collect())) == sorted(map(tuple, parts.collect())) == want
+
+
+def test_top_lists_sort_no_whole_table(spark):
+    rows = spark.createDataFrame([("b a b a",), ("a b",), ("c c a",)], "c string")
+    top = features.top_grams(rows, F.col("c"), {1: 2, 2: 1})
+    assert "Window" not in plan(top)
+    assert sorted(map(tuple, top.collect())) == [(1, "a", 4), (1, "b", 3), (2, "a b", 2)]
