@@ -53,3 +53,33 @@ def test_sessions_of_reordered_files(spark, tmp_path):
     got = spark.read.parquet(sink)
     plain = lambda df, s, i: sorted((r[s], r[i], r["ts"], r["session_no"]) for r in df.collect())
     assert plain(got, "source", "id") == plain(want, "source", "id")
+
+
+def test_sources_share_states(spark, tmp_path):
+    """As many states as there are shares, however many sources; one without a number is a source, and clocks of any zone agree."""
+    rng = random.Random(7)
+    start, rows = datetime(2024, 3, 30), []
+    for i in range(900):
+        start += timedelta(minutes=rng.choice([0, 1, 2, 20]))
+        rows.append((i, rng.choice([None, *range(-20, 20), 2**53 + 1]), start, rng.choice(["CLIENT", "CLIENT", "SYSTEM", None])))
+    schema = "id long, source long, ts timestamp, role string"
+    folder, sink, state = (str(tmp_path / x) for x in ("in", "out", "state"))
+    counted = F.col("role") != "SYSTEM"
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        given = spark.createDataFrame(rows, schema)
+        for part in ((0, 400), (400, 900)):
+            given.where(F.col("id").between(part[0], part[1] - 1)).coalesce(1).write.mode("append").parquet(folder)
+        spark.createDataFrame([(9999, 99, start + timedelta(days=400), "CLIENT")], schema).coalesce(1).write.mode("append").parquet(folder)
+        stream = sessions.stream_sessions(spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(folder), "source", "id", "ts", counted, "3 days", shares=4)
+        run = stream.writeStream.format("parquet").option("checkpointLocation", state).option("path", sink).trigger(availableNow=True).start()
+        run.awaitTermination()
+        assert 0 < max(p["stateOperators"][0]["numRowsTotal"] for p in run.recentProgress) <= 4 + 1
+        micros = F.unix_micros("ts")
+        got = spark.read.parquet(sink).select("source", "id", micros, "session_no").collect()
+        # the clock of sessionise does not move for rows of no known kind either
+        want = chat.sessionise(given, ["source"], ["ts", "id"], 4, counts=F.coalesce(counted, F.lit(False))).select("source", "id", micros, "session_no").collect()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+    assert sorted(map(str, got)) == sorted(map(str, want)) and len(got) == 900
