@@ -67,3 +67,16 @@ def test_top_lists_sort_no_whole_table(spark):
     top = features.top_grams(rows, F.col("c"), {1: 2, 2: 1})
     assert "Window" not in plan(top)
     assert sorted(map(tuple, top.collect())) == [(1, "a", 4), (1, "b", 3), (2, "a b", 2)]
+
+
+def test_only_ngrams_of_marked_words_are_put_together(spark):
+    texts = ["a b  c a b", "", None, "a", "c b a b c", " b a "]
+    rows = spark.createDataFrame([(t,) for t in texts], "t string")
+    for only in (None, ["a", "b"], []):
+        want = []
+        for n in (1, 2, 3):
+            each = [[" ".join(g) for g in zip(*(w[k:] for k in range(n)), strict=False) if only is None or set(g) <= set(only)] for w in ([x for x in (t or "").split(" ") if x] for t in texts)]
+            want += [(n, g, sum(e.count(g) for e in each), sum(g in e for e in each)) for g in sorted({g for e in each for g in e})]
+        assert sorted(map(tuple, features.gram_totals(rows, F.col("t"), (1, 2, 3), only).collect())) == want
+    made = list(features._grams("a b c".split(), 2, frozenset("ab")))
+    assert made == ["a b"]
